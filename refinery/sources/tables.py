@@ -1,0 +1,10 @@
+"""Catalog table scans."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def read_table(spark: SparkSession, name: str, database: str | None = None) -> DataFrame:
+    """``db.table`` from the session catalog (partition pruning applies)."""
+    return spark.table(f"{database}.{name}" if database else name)
