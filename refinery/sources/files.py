@@ -28,14 +28,18 @@ def read_csv(spark: SparkSession, path: str | list[str], *, header: bool = True,
 
 def read_parquet(spark: SparkSession, path: str | list[str], *,
                  base_path: str | None = None,
-                 columns: list[str] | None = None) -> DataFrame:
+                 columns: list[str] | None = None,
+                 schema: StructType | None = None) -> DataFrame:
     """Parquet scan of a file, a flat folder or a ``col=value/`` tree.
 
     Partition folders become typed trailing columns.  ``base_path`` keeps
     them when ``path`` points below the table root.  Selecting ``columns``
     here only documents intent: Catalyst prunes unused columns anyway.
+    A known ``schema`` skips the schema-inference job of the scan.
     """
     reader = spark.read
+    if schema is not None:        # known schema: no footer-reading job
+        reader = reader.schema(schema)
     if base_path:
         reader = reader.option("basePath", base_path)
     paths = [path] if isinstance(path, str) else list(path)
@@ -43,6 +47,22 @@ def read_parquet(spark: SparkSession, path: str | list[str], *,
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over ``min_partitions`` tasks (default: the
+    cluster's default parallelism) when the scan plans fewer splits.
+
+    A file written as one row group cannot be split, so a whole table may
+    land in one task; per-row work (joins, decimal arithmetic) then runs on
+    one core.  A large multi-file input already has enough splits and is
+    returned unchanged, so no shuffle is added at scale.
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def read_partition(spark: SparkSession, root: str, keep_partition_column: bool = False,
                    **partition: object) -> DataFrame:
     """Scan one leaf folder ``root/k1=v1/k2=v2``.

@@ -19,20 +19,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.sources.files import read_parquet
+from refinery.sources.files import read_parquet, spread
 
 # Segment cut-offs used on the test tables (spend there is ~50x the
 # reference's sample data).
 STANDIN_TIERS = ((1500000, "High Value"), (900000, "Medium Value"))
 
 
+# The test tables are read-only, so each file's schema is inferred once per
+# session and then passed to the reader (no schema job per query).
+_SCHEMAS: dict[tuple[int, str], object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _SCHEMAS:
+        df = read_parquet(spark, path)
+        _SCHEMAS[key] = df.schema
+        return df
+    return read_parquet(spark, path, schema=_SCHEMAS[key])
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    o = table(spark, sf_dir, "orders")
+    li = spread(table(spark, sf_dir, "lineitem"))
+    o = spread(table(spark, sf_dir, "orders"))
     p = table(spark, sf_dir, "part")
     joined = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
                 .join(p, li.l_partkey == p.p_partkey, "inner"))
