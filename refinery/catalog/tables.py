@@ -55,10 +55,11 @@ def _partition_columns(spark: SparkSession, table: str) -> list[str]:
 
 
 def crawl(spark: SparkSession, targets: Mapping[str, str], database: str, *,
-          prefix: str = "", fmt: str = "parquet", **options: str) -> DataFrame:
+          prefix: str = "", fmt: str = "parquet", location: str | None = None,
+          **options: str) -> DataFrame:
     """Register one table per ``{name: path}`` target as ``database.<prefix><name>``
     (schema and partitions inferred) and return the database's table list."""
-    create_database(spark, database)
+    create_database(spark, database, location)
     for name, path in targets.items():
         register(spark, f"{database}.{prefix}{name}", path, fmt=fmt, **options)
     return list_tables(spark, database)

@@ -131,7 +131,7 @@ def daily_job(spark: SparkSession, ds: str, source_df: DataFrame, *, root: str,
     """
     root = root.rstrip("/")
     raw_base, refined_path = f"{root}/raw", f"{root}/refined/{table}"
-    catalog.create_database(spark, database)
+    catalog.create_database(spark, database, location=f"{root}/_catalog")
     raw_table, refined_table = f"{database}.{raw_prefix}{table}", f"{database}.{refined_prefix}{table}"
 
     landed = extract_job(spark, source_df, raw_base, table, ds, source=source,

@@ -50,7 +50,7 @@ def sample_rows(df: DataFrame, columns: Sequence[str], n: int = 10,
     global sort)."""
     out = df.select(*columns)
     if order_by:
-        out = out.orderBy(*order_by)
+        out = out.orderBy(*[F.asc_nulls_last(c) for c in order_by])
     return out.limit(n)
 
 

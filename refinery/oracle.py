@@ -96,11 +96,11 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'Refined Table', COUNT(*) FROM ({_REFINED})""",
     "sample_rows": f"""
         SELECT customer_id, customer_zip_code_prefix, customer_city, customer_state
-        FROM ({_REFINED}) ORDER BY customer_id LIMIT 10""",
+        FROM ({_REFINED}) ORDER BY customer_id NULLS LAST LIMIT 10""",
     "top_cities": f"""
         SELECT customer_city, customer_state, COUNT(*) AS customer_count
         FROM ({_REFINED}) GROUP BY customer_city, customer_state
-        ORDER BY customer_count DESC, customer_city, customer_state LIMIT 10""",
+        ORDER BY customer_count DESC, customer_city NULLS LAST, customer_state NULLS LAST LIMIT 10""",
     "validation_report": f"""
         WITH r AS (SELECT COUNT(*) AS raw_rows,
                           COUNT(*) FILTER (WHERE COALESCE(customer_state IN ('{STATE}'), false)) AS raw_kept
@@ -123,6 +123,8 @@ ORACLE: dict[str, str] = {
                'raw ' || CAST(raw_rows AS VARCHAR) || ', expected refined '
                || CAST(raw_kept AS VARCHAR) || ', refined ' || CAST(refined_rows AS VARCHAR)
         FROM r, f""",
+    "sql_validate_state": f"""
+        SELECT customer_state, COUNT(*) AS "count" FROM ({_REFINED}) GROUP BY customer_state""",
     "register_table": f"SELECT *, DATE '{RUN_DATES[0]}' AS dt FROM ({_RAW})",
     "refresh_partitions": _EVENTS,
     "schema_drift": f"""
@@ -143,3 +145,7 @@ ORACLE: dict[str, str] = {
     "daily_refine": _daily_refined(),
     "incremental_refine": _daily_refined(),
 }
+
+# The SQL-text checks compute the same results as their DataFrame forms.
+for _name in ("validate_uppercase", "validate_row_counts", "sample_rows", "top_cities"):
+    ORACLE[f"sql_{_name}"] = ORACLE[_name]

@@ -30,6 +30,7 @@ from refinery.operators import (
     value_counts,
 )
 from refinery.functions.columns import date_text, parse_date
+from refinery.operators.sql_checks import run_sql_check
 from refinery.session import scratch_path
 from refinery.sinks.files import land_raw, write_csv, write_partitioned
 from refinery.sources.files import file_inventory, read_csv, read_parquet, read_partition
@@ -82,8 +83,22 @@ def _raw_refined(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 
 
 def _db(spark: SparkSession, stem: str) -> str:
-    """A fresh database name for one query run."""
-    return catalog.create_database(spark, f"{stem}_{scratch_path(spark, 'x')[-12:]}")
+    """A fresh database for one query run, located in the shared folder."""
+    location = scratch_path(spark, f"db_{stem}")
+    return catalog.create_database(spark, f"{stem}_{location[-12:]}", location=location)
+
+
+def _catalog_pair(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Raw and refined store customers registered as catalog tables."""
+    def build() -> str:
+        db = _db(spark, "checks")
+        raw_path = scratch_path(spark, "raw_customers_tbl")
+        standins.store_customers(spark, sf_dir).write.parquet(raw_path)
+        catalog.register(spark, f"{db}.raw2_customers", raw_path)
+        catalog.register(spark, f"{db}.refined_customers", _refined_base(spark, sf_dir))
+        return db
+    db = _memo(spark, sf_dir, "catalog_pair", build)
+    return f"{db}.raw2_customers", f"{db}.refined_customers"
 
 
 # --- segmentation ------------------------------------------------------------
@@ -242,6 +257,33 @@ def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
                       absent=REFINE["drop"])
 
 
+def sql_validate_uppercase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw, refined = _catalog_pair(spark, sf_dir)
+    return (run_sql_check(spark, "uppercase", raw).select(F.lit("raw").alias("table_name"), "*")
+            .unionByName(run_sql_check(spark, "uppercase", refined)
+                         .select(F.lit("refined").alias("table_name"), "*")))
+
+
+def sql_validate_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, refined = _catalog_pair(spark, sf_dir)
+    return run_sql_check(spark, "state", refined)
+
+
+def sql_validate_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw, refined = _catalog_pair(spark, sf_dir)
+    return run_sql_check(spark, "row_counts", refined, raw=raw)
+
+
+def sql_sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, refined = _catalog_pair(spark, sf_dir)
+    return run_sql_check(spark, "sample", refined)
+
+
+def sql_top_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, refined = _catalog_pair(spark, sf_dir)
+    return run_sql_check(spark, "top_cities", refined)
+
+
 # --- catalog -----------------------------------------------------------------
 
 def register_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -355,6 +397,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_rows": sample_refined,
     "top_cities": top_cities,
     "validation_report": validation_report,
+    "sql_validate_uppercase": sql_validate_uppercase,
+    "sql_validate_state": sql_validate_state,
+    "sql_validate_row_counts": sql_validate_row_counts,
+    "sql_sample_rows": sql_sample_rows,
+    "sql_top_cities": sql_top_cities,
     "register_table": register_table,
     "refresh_partitions": refresh_partitions,
     "schema_drift": schema_drift,

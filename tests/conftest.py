@@ -17,6 +17,7 @@ def spark():
     s = get_session("refinery-tests", master="local[8]", conf={
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.showConsoleProgress": "false",
+        "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="refinery-wh-"),
     })
     s.sparkContext.setLogLevel("ERROR")
     yield s

@@ -16,7 +16,7 @@ def _days(spark, days):
 
 def test_register_recovers_partitions_and_lists(spark, tmp):
     path = write_partitioned(_days(spark, ["2024-01-01", "2024-01-02"]), f"{tmp}/t", ["dt"])
-    tables = catalog.crawl(spark, {"things": path}, "cat_a", prefix="raw2_")
+    tables = catalog.crawl(spark, {"things": path}, "cat_a", prefix="raw2_", location=f"{tmp}/db")
     assert [r.tableName for r in tables.collect()] == ["raw2_things"]
     t = spark.table("cat_a.raw2_things")
     assert t.count() == 6 and t.columns[-1] == "dt"
@@ -24,7 +24,7 @@ def test_register_recovers_partitions_and_lists(spark, tmp):
 
 def test_refresh_new_folders_and_everything(spark, tmp):
     path = write_partitioned(_days(spark, ["2024-01-01"]), f"{tmp}/t", ["dt"])
-    catalog.create_database(spark, "cat_b")
+    catalog.create_database(spark, "cat_b", location=f"{tmp}/db")
     table = catalog.register(spark, "cat_b.t", path)
     write_partitioned(_days(spark, ["2024-01-02"]), path, ["dt"])
     assert spark.table(table).count() == 3          # not yet known to the catalog
@@ -41,7 +41,7 @@ def test_refresh_new_folders_and_everything(spark, tmp):
 def test_evolve_adds_columns_and_deprecates(spark, tmp):
     old = _days(spark, ["2024-01-01"])
     path = write_partitioned(old, f"{tmp}/t", ["dt"])
-    catalog.create_database(spark, "cat_c")
+    catalog.create_database(spark, "cat_c", location=f"{tmp}/db")
     table = catalog.register(spark, "cat_c.t", path)
     new = _days(spark, ["2024-01-02"]).withColumn("extra", F.lit("x"))
     write_partitioned(new, path, ["dt"])
@@ -59,7 +59,7 @@ def test_evolve_adds_columns_and_deprecates(spark, tmp):
 
 def test_table_stats(spark, tmp):
     path = write_partitioned(_days(spark, ["2024-01-01", "2024-01-02"]), f"{tmp}/t", ["dt"])
-    catalog.create_database(spark, "cat_d")
+    catalog.create_database(spark, "cat_d", location=f"{tmp}/db")
     table = catalog.register(spark, "cat_d.t", path)
     r = catalog.table_stats(spark, table).collect()[0]
     assert r.row_count == 6 and r.size_bytes > 0
@@ -68,7 +68,7 @@ def test_table_stats(spark, tmp):
 def test_register_csv_with_schema(spark, tmp):
     df = _days(spark, ["2024-01-03"])
     df.drop("dt").write.option("header", True).csv(f"{tmp}/raw/dt=2024-01-03")
-    catalog.create_database(spark, "cat_e")
+    catalog.create_database(spark, "cat_e", location=f"{tmp}/db")
     table = catalog.register(spark, "cat_e.raw", f"{tmp}/raw", fmt="csv",
                              schema=df.schema, partition_by=("dt",))
     t = spark.table(table)

@@ -82,3 +82,4 @@ def test_entry_contract(spark):
     assert df.count() > 0
     q, o = e.queries(), e.oracle_sql()
     assert set(o) <= set(q) and set(q) - set(o) == {"file_inventory"}
+    assert all(o[k].strip() for k in o)

@@ -80,3 +80,14 @@ def test_jdbc_options_quote_and_partition():
         jdbc_options("jdbc:mysql://h/db", "t`; drop table x", None)
     with pytest.raises(ValueError):
         jdbc_options("jdbc:postgresql://h/db", "t", partition_column="id")
+
+
+def test_partitioned_csv_sink(spark, tmp):
+    from refinery.sinks.files import write_partitioned
+    df = spark.createDataFrame([(1, "a", "2024-01-01"), (2, "b", "2024-01-02"), (3, "c", "2024-01-02")],
+                               "id int, v string, date_partition string")
+    path = write_partitioned(df.withColumn("date_partition", F.col("date_partition").cast("date")),
+                             f"{tmp}/csv", ["date_partition"], fmt="csv")
+    back = read_csv(spark, path, schema="id int, v string, date_partition date")
+    assert sorted((r.id, str(r.date_partition)) for r in back.collect()) == [
+        (1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-02")]

@@ -1,0 +1,39 @@
+"""The checks as SQL text over catalog tables agree with the DataFrame form."""
+
+import pytest
+
+from refinery import catalog
+from refinery.operators.quality import top_k, uppercase_counts
+from refinery.operators.sql_checks import columns_absent, run_sql_check
+
+from test_quality import raw_customers, refined_customers
+
+
+@pytest.fixture()
+def tables(spark, tmp):
+    catalog.create_database(spark, "sqlc", location=f"{tmp}/db")
+    raw_customers(spark).write.parquet(f"{tmp}/raw")
+    refined_customers(spark).write.parquet(f"{tmp}/ref")
+    catalog.register(spark, "sqlc.raw2_c", f"{tmp}/raw")
+    catalog.register(spark, "sqlc.refined_c", f"{tmp}/ref")
+    return "sqlc.raw2_c", "sqlc.refined_c"
+
+
+def test_sql_matches_dataframe_form(spark, tables):
+    raw, ref = tables
+    assert sorted(run_sql_check(spark, "uppercase", raw).collect()) == sorted(
+        uppercase_counts(spark.table(raw), "customer_city").collect())
+    assert run_sql_check(spark, "top_cities", ref, n=3).collect() == top_k(
+        spark.table(ref), ["customer_city", "customer_state"], 3, count_name="customer_count").collect()
+    assert [tuple(r) for r in run_sql_check(spark, "row_counts", ref, raw=raw).collect()] == [
+        ("Raw Table", 9), ("Refined Table", 7)]
+    assert [r.customer_id for r in run_sql_check(spark, "sample", ref, n=2).collect()] == [1, 2]
+    assert [tuple(r) for r in run_sql_check(spark, "state", ref).collect()] == [("SP", 7)]
+
+
+def test_columns_absent_and_identifier_guard(spark, tables):
+    raw, ref = tables
+    assert columns_absent(spark, ref, ["customer_unique_id", "customer_city"]) == {
+        "customer_unique_id": True, "customer_city": False}
+    with pytest.raises(ValueError):
+        run_sql_check(spark, "state", ref, state="x` FROM t; --")
