@@ -56,11 +56,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     one core.  A large multi-file input already has enough splits and is
     returned unchanged, so no shuffle is added at scale.
     """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        planned = df.rdd.getNumPartitions()
+    except Exception:   # Spark Connect has no RDD view: leave the scan as it is
         return df
-    return df.repartition(target)
+    return df if planned >= target else df.repartition(target)
 
 
 def read_partition(spark: SparkSession, root: str, keep_partition_column: bool = False,

@@ -89,3 +89,54 @@ def test_plan_aggregates_sales_before_the_customer_join(spark):
     assert "HashAggregate" in plan and "partial_sum" in plan
     join_at = min(i for i in (plan.find("BroadcastHashJoin"), plan.find("SortMergeJoin")) if i >= 0)
     assert plan.find("partial_sum") > join_at   # listed below (i.e. under) the join
+
+
+def test_properties_on_test_tables(spark):
+    """Totals over all segments equal the total over joined sales, and the
+    tier is monotone in the total."""
+    from conftest import SF001
+    from refinery import standins
+    from refinery.functions.columns import money
+    seg = segment_customers(standins.sales(spark, SF001), standins.customers(spark, SF001),
+                            tiers=standins.STANDIN_TIERS)
+    joined = standins.sales(spark, SF001).join(standins.customers(spark, SF001), "CustomerID")
+    want = joined.agg(F.sum(money("Price") * money("Quantity"))).first()[0]
+    got = seg.agg(F.sum(F.col("Total_sales").cast("decimal(38,4)"))).first()[0]
+    assert abs(float(got) - float(want)) < 1e-6 * float(want)
+    rank = {"High Value": 0, "Medium Value": 1, "Low Value": 2}
+    rows = sorted(((r.Total_sales, rank[r.Segmentation_column]) for r in seg.collect()), reverse=True)
+    assert [t for _, t in rows] == sorted(t for _, t in rows)
+    assert seg.count() == seg.select("CustomerID").distinct().count()
+
+
+def test_tier_label_matches_python(spark):
+    from hypothesis import given, settings, strategies as st
+    from refinery.functions.columns import tier_label
+
+    def python_label(v, tiers, default="Low Value"):
+        if v is None:
+            return default
+        for cut, label in tiers:
+            if v >= cut:
+                return label
+        return default
+
+    tiers = [(28000, "High Value"), (20000, "Medium Value")]
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(st.one_of(st.none(), st.integers(0, 40000),
+                              st.sampled_from([19999, 20000, 27999, 28000])), min_size=1, max_size=40))
+    def check(values):
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v long")
+        got = {r.i: r.l for r in df.select("i", tier_label("v", tiers).alias("l")).collect()}
+        assert got == {i: python_label(v, tiers) for i, v in enumerate(values)}
+
+    check()
+
+
+def test_cluster_conf_sizes():
+    from refinery.session import cluster_conf
+    conf = cluster_conf(100 * 1024 ** 4)        # 100 TiB
+    assert int(conf["spark.sql.shuffle.partitions"]) == 200_000   # capped
+    assert cluster_conf(1024 ** 3)["spark.sql.shuffle.partitions"] == "200"
+    assert int(cluster_conf(10 * 1024 ** 4)["spark.sql.shuffle.partitions"]) == 40960
