@@ -2,6 +2,7 @@
 schema evolution, statistics."""
 
 from refinery.catalog.tables import (
+    add_partition,
     create_database,
     crawl,
     evolve,
@@ -11,5 +12,5 @@ from refinery.catalog.tables import (
     table_stats,
 )
 
-__all__ = ["create_database", "crawl", "evolve", "list_tables", "refresh",
+__all__ = ["add_partition", "create_database", "crawl", "evolve", "list_tables", "refresh",
            "register", "table_stats"]

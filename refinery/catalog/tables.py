@@ -79,6 +79,23 @@ def refresh(spark: SparkSession, table: str, mode: str = "everything") -> None:
     spark.catalog.refreshTable(table)
 
 
+def add_partition(spark: SparkSession, table: str, spec: Mapping[str, object],
+                  location: str | None = None) -> None:
+    """Register one known partition (``{"dt": "2024-01-02"}``).
+
+    A job that has just written a partition knows its folder, so it adds
+    that one entry instead of listing every partition folder of the table
+    (``refresh``); the cost stays the same however many days the table
+    holds.  Adding a partition that is already there is a no-op.
+    """
+    values = ", ".join(f"`{k}` = '{str(v).replace(chr(39), '')}'" for k, v in spec.items())
+    ddl = f"ALTER TABLE {_q(table)} ADD IF NOT EXISTS PARTITION ({values})"
+    if location:
+        ddl += f" LOCATION '{location}'"
+    spark.sql(ddl)
+    spark.catalog.refreshTable(table)
+
+
 def evolve(spark: SparkSession, table: str, new_schema: StructType) -> dict[str, list[str]]:
     """Schema drift policy.
 

@@ -128,6 +128,8 @@ def daily_job(spark: SparkSession, ds: str, source_df: DataFrame, *, root: str,
     extract -> land ``raw/<table>/dt=ds`` (CSV) -> register / add the raw
     partition -> refine the day -> replace ``refined/<table>/dt=ds``
     (Parquet) -> register / add the refined partition -> checks on the day.
+    The catalog learns the one partition written (``add_partition``); the
+    first run's ``register`` recovers whatever folders already exist.
     """
     root = root.rstrip("/")
     raw_base, refined_path = f"{root}/raw", f"{root}/refined/{table}"
@@ -143,13 +145,14 @@ def daily_job(spark: SparkSession, ds: str, source_df: DataFrame, *, root: str,
     if not spark.catalog.tableExists(raw_table):
         catalog.register(spark, raw_table, f"{raw_base}/{table}", fmt="csv",
                          schema=raw_schema, partition_by=("dt",))
-    catalog.refresh(spark, raw_table, mode="new_folders")
+    # Only the day just written is added: no listing of all earlier days.
+    catalog.add_partition(spark, raw_table, {"dt": ds})
 
     raw_day = spark.table(raw_table).where(F.col("dt") == F.lit(ds).cast("date"))
     refine_job(raw_day, refined_path, ds, keep=keep, upper=upper, drop=drop)
     if not spark.catalog.tableExists(refined_table):
         catalog.register(spark, refined_table, refined_path, fmt="parquet")
-    catalog.refresh(spark, refined_table, mode="new_folders")
+    catalog.add_partition(spark, refined_table, {"dt": ds})
 
     refined_day = spark.table(refined_table).where(F.col("dt") == F.lit(ds).cast("date"))
     verdict = validate_job(raw_day, refined_day, upper=upper, allowed=keep, absent=drop,

@@ -38,6 +38,18 @@ def test_refresh_new_folders_and_everything(spark, tmp):
     assert spark.table(table).count() == 3
 
 
+def test_add_partition_registers_only_the_named_day(spark, tmp):
+    path = write_partitioned(_days(spark, ["2024-01-01"]), f"{tmp}/t", ["dt"])
+    catalog.create_database(spark, "cat_p", location=f"{tmp}/db")
+    table = catalog.register(spark, "cat_p.t", path)
+    write_partitioned(_days(spark, ["2024-01-02", "2024-01-03"]), path, ["dt"])
+    catalog.add_partition(spark, table, {"dt": "2024-01-03"})
+    catalog.add_partition(spark, table, {"dt": "2024-01-03"})     # again: no-op
+    days = sorted(str(r.dt) for r in spark.table(table).select("dt").distinct().collect())
+    assert days == ["2024-01-01", "2024-01-03"]                  # 01-02 not listed
+    assert spark.sql(f"SHOW PARTITIONS {table}").count() == 2
+
+
 def test_evolve_adds_columns_and_deprecates(spark, tmp):
     old = _days(spark, ["2024-01-01"])
     path = write_partitioned(old, f"{tmp}/t", ["dt"])
