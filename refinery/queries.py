@@ -108,30 +108,50 @@ def customer_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
                              tiers=standins.STANDIN_TIERS)
 
 
+def _sales_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    sales = standins.sales(spark, sf_dir).select("CustomerID", "Price", "Quantity", "Product")
+    return sales, standins.customers(spark, sf_dir)
+
+
+def _sales_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The job's inputs as headered CSV (written once per session and sf folder)."""
+    def build() -> str:
+        base = scratch_path(spark, "segmentation_csv_in")
+        sales, customers = _sales_inputs(spark, sf_dir)
+        write_csv(sales, f"{base}/sales", header=True)
+        write_csv(customers, f"{base}/customer", header=True)
+        return base
+    return _memo(spark, sf_dir, "sales_csv", build)
+
+
+def _sales_tables(spark: SparkSession, sf_dir: str) -> str:
+    """The job's inputs as catalog tables over Parquet (built once per session)."""
+    def build() -> str:
+        db = _db(spark, "seg")
+        for name, df in zip(("sales", "customer"), _sales_inputs(spark, sf_dir)):
+            path = scratch_path(spark, f"catalog_{name}")
+            df.write.parquet(path)
+            catalog.register(spark, f"{db}.{name}", path)
+        return db
+    return _memo(spark, sf_dir, "sales_tables", build)
+
+
 def segmentation_csv_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reference's main job end to end: headered CSV in, headerless CSV out."""
-    base = scratch_path(spark, "segmentation_csv")
-    sales = standins.sales(spark, sf_dir).select("CustomerID", "Price", "Quantity", "Product")
-    customers = standins.customers(spark, sf_dir)
-    write_csv(sales, f"{base}/sales", header=True)
-    write_csv(customers, f"{base}/customer", header=True)
-    jobs.segmentation_job(spark, f"{base}/sales", f"{base}/customer", f"{base}/out",
+    base = _sales_csv(spark, sf_dir)
+    sales, customers = _sales_inputs(spark, sf_dir)
+    out = scratch_path(spark, "segmentation_csv_out")
+    jobs.segmentation_job(spark, f"{base}/sales", f"{base}/customer", out,
                           tiers=standins.STANDIN_TIERS, sales_schema=sales.schema,
                           customer_schema=customers.schema)
     out_schema = ("CustomerID bigint, Name string, Age int, Gender string, "
                   "Total_sales double, Segmentation_column string")
-    return read_csv(spark, f"{base}/out", header=False, schema=out_schema)
+    return read_csv(spark, out, header=False, schema=out_schema)
 
 
 def segmentation_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales and customers as catalog tables over Parquet, result as compact Parquet."""
-    db = _db(spark, "seg")
-    for name, df in (("sales", standins.sales(spark, sf_dir)
-                      .select("CustomerID", "Price", "Quantity", "Product")),
-                     ("customer", standins.customers(spark, sf_dir))):
-        path = scratch_path(spark, f"catalog_{name}")
-        df.write.parquet(path)
-        catalog.register(spark, f"{db}.{name}", path)
+    db = _sales_tables(spark, sf_dir)
     out = scratch_path(spark, "segmentation_parquet")
     jobs.segmentation_catalog_job(spark, f"{db}.sales", f"{db}.customer", out,
                                   tiers=standins.STANDIN_TIERS)
