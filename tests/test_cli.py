@@ -79,3 +79,22 @@ def test_bad_arguments_are_rejected(spark):
     with pytest.raises(SystemExit):
         run(spark, ["daily", "--run-date", "2024-01-01", "--root", "x", "--database", "d",
                     "--table", "t", "--keep", "no-equals-sign", "--source-table", "t"])
+
+
+def test_segment_catalog_command(spark, tmp):
+    from refinery import catalog
+    sales = spark.createDataFrame([(500, 56, "C1"), (100, 200, "C2"), (5, 1, "C3")],
+                                  "Price int, Quantity int, CustomerID string")
+    cust = spark.createDataFrame([("C1", "a", 1, "F"), ("C2", "b", 2, "M"), ("C3", "c", 3, "M")],
+                                 "CustomerID string, Name string, Age int, Gender string")
+    catalog.create_database(spark, "cli_seg", location=f"{tmp}/db")
+    for name, df in (("sales", sales), ("customer", cust)):
+        df.write.parquet(f"{tmp}/{name}")
+        catalog.register(spark, f"cli_seg.{name}", f"{tmp}/{name}")
+    assert run(spark, ["segment-catalog", "--sales-table", "cli_seg.sales",
+                       "--customer-table", "cli_seg.customer", "--output", f"{tmp}/out",
+                       "--register-as", "cli_seg.segments"]) == 0
+    got = {r.CustomerID: (r.Total_sales, r.Segmentation_column)
+           for r in spark.table("cli_seg.segments").collect()}
+    assert got == {"C1": (28000, "High Value"), "C2": (20000, "Medium Value"),
+                   "C3": (5, "Low Value")}

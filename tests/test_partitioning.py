@@ -126,3 +126,27 @@ def test_rebalanced_write_makes_one_file_per_small_partition(spark, tmp):
     path = write_partitioned(demo_orders(spark).repartition(8), f"{tmp}/p", ["Customer"])
     files = [r.file_path for r in files_read(read_parquet(spark, path)).collect()]
     assert len(files) == 5
+
+
+def test_data_reduction_matches_python_counts(spark):
+    """Random rows with NULLs in both filtered columns: counts and percents
+    equal a plain Python count (a NULL predicate keeps nothing)."""
+    from hypothesis import given, settings, strategies as st
+
+    day = st.one_of(st.none(), st.sampled_from(["2024-01-01", "2024-01-02", "2024-01-03"]))
+    kind = st.one_of(st.none(), st.sampled_from(["click", "view"]))
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(st.tuples(day, kind), min_size=1, max_size=60))
+    def check(rows):
+        df = spark.createDataFrame(rows, "d string, k string").withColumn("d", F.col("d").cast("date"))
+        got = {r.scenario: (r.row_count, r.reduction_pct) for r in
+               data_reduction(df, F.col("d") == "2024-01-02", F.col("k") == "click").collect()}
+        n = len(rows)
+        kept = {"no_filter": n,
+                "partition_filter": sum(d == "2024-01-02" for d, _ in rows),
+                "data_filter": sum(k == "click" for _, k in rows),
+                "both_filters": sum(d == "2024-01-02" and k == "click" for d, k in rows)}
+        assert got == {s: (c, round(100 * (n - c) / n, 1)) for s, c in kept.items()}
+
+    check()
