@@ -17,10 +17,16 @@ def _q(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
 
 
+def _lit(value: object) -> str:
+    """A Spark SQL string literal (backslash and quote escaped)."""
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> str:
     ddl = f"CREATE DATABASE IF NOT EXISTS {_q(name)}"
     if location:
-        ddl += f" LOCATION '{location}'"
+        ddl += f" LOCATION {_lit(location)}"
     spark.sql(ddl)
     return name
 
@@ -40,7 +46,7 @@ def register(spark: SparkSession, table: str, path: str, *, fmt: str = "parquet"
         options.setdefault("header", "true")
     if schema is not None:
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        opts = ", ".join(f"'{k}' '{v}'" for k, v in {**options, "path": path}.items())
+        opts = ", ".join(f"{_lit(k)} {_lit(v)}" for k, v in {**options, "path": path}.items())
         part = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
         spark.sql(f"CREATE TABLE {_q(table)} ({cols}) USING {fmt} OPTIONS ({opts}){part}")
     else:
@@ -88,10 +94,10 @@ def add_partition(spark: SparkSession, table: str, spec: Mapping[str, object],
     (``refresh``); the cost stays the same however many days the table
     holds.  Adding a partition that is already there is a no-op.
     """
-    values = ", ".join(f"`{k}` = '{str(v).replace(chr(39), '')}'" for k, v in spec.items())
+    values = ", ".join(f"`{k}` = {_lit(v)}" for k, v in spec.items())
     ddl = f"ALTER TABLE {_q(table)} ADD IF NOT EXISTS PARTITION ({values})"
     if location:
-        ddl += f" LOCATION '{location}'"
+        ddl += f" LOCATION {_lit(location)}"
     spark.sql(ddl)
     spark.catalog.refreshTable(table)
 
@@ -113,7 +119,7 @@ def evolve(spark: SparkSession, table: str, new_schema: StructType) -> dict[str,
         spark.sql(f"ALTER TABLE {_q(table)} ADD COLUMNS ({cols})")
     if gone:
         spark.sql(f"ALTER TABLE {_q(table)} SET TBLPROPERTIES "
-                  f"('deprecated' = 'true', 'deprecated_columns' = '{','.join(gone)}')")
+                  f"('deprecated' = 'true', 'deprecated_columns' = {_lit(','.join(gone))})")
     spark.catalog.refreshTable(table)
     return {"added": [f.name for f in added], "deprecated": gone}
 

@@ -73,6 +73,12 @@ def _not_allowed(c: Column, values: Sequence[object]) -> Column:
     return ~F.coalesce(c.isin(list(values)), F.lit(False))
 
 
+def _as_text(values: Sequence[object]) -> list[Column]:
+    # Spark's own cast of each value, so it matches the column cast to string
+    # (True -> 'true', 1.0 -> '1.0', dates as yyyy-MM-dd).
+    return [F.lit(v).cast("string") for v in values]
+
+
 def run_checks(raw: DataFrame, refined: DataFrame, *, upper: Iterable[str] = (),
                allowed: dict[str, Sequence[object]] | None = None,
                absent: Iterable[str] = ()) -> DataFrame:
@@ -98,13 +104,13 @@ def run_checks(raw: DataFrame, refined: DataFrame, *, upper: Iterable[str] = (),
 
     kept_raw = is_raw
     for c, values in allowed.items():
-        kept_raw = kept_raw & ~_not_allowed(F.col(c), [str(v) for v in values])
+        kept_raw = kept_raw & ~_not_allowed(F.col(c), _as_text(values))
     aggs = [F.count_if(is_raw).alias("raw_rows"), F.count_if(is_ref).alias("refined_rows"),
             F.count_if(kept_raw).alias("raw_kept")]
     for c in upper:
         aggs.append(F.count_if(is_ref & _failed_upper(F.col(c))).alias(f"bad_upper_{c}"))
     for c, values in allowed.items():
-        aggs.append(F.count_if(is_ref & _not_allowed(F.col(c), [str(v) for v in values]))
+        aggs.append(F.count_if(is_ref & _not_allowed(F.col(c), _as_text(values)))
                     .alias(f"bad_allowed_{c}"))
     stats = both.agg(*aggs)
 

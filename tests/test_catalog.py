@@ -87,3 +87,16 @@ def test_register_csv_with_schema(spark, tmp):
     assert dict(t.dtypes) == {"id": "int", "name": "string", "dt": "date"}
     assert t.count() == 3
     assert read_parquet  # imported for symmetry with other tests
+
+
+def test_paths_and_values_with_quotes_are_escaped(spark, tmp):
+    df = _days(spark, ["2024-01-04"])
+    base = f"{tmp}/it's here"
+    df.drop("dt").write.option("header", True).csv(f"{base}/dt=2024-01-04")
+    catalog.create_database(spark, "cat_q", location=f"{tmp}/db'q")
+    table = catalog.register(spark, "cat_q.raw", base, fmt="csv", schema=df.schema,
+                             partition_by=("dt",))
+    assert spark.table(table).count() == 3
+    df.drop("dt").write.option("header", True).csv(f"{base}/dt=2024-01-05")
+    catalog.add_partition(spark, table, {"dt": "2024-01-05"})
+    assert spark.table(table).count() == 6

@@ -95,3 +95,13 @@ def test_every_refined_row_passes_each_check(spark):
     assert ref.where(~F.coalesce(F.col("customer_state").isin("SP"), F.lit(False))).count() == 0
     # refined is a subset of raw (by key)
     assert ref.select("customer_id").subtract(raw_customers(spark).select("customer_id")).count() == 0
+
+
+def test_allowed_values_compare_as_spark_text(spark):
+    # non-string allowed values: True must match the column's 'true', 2 its '2'
+    raw = spark.createDataFrame([(1, True, 2), (2, False, 2), (3, True, 3)],
+                                "id int, active boolean, tier int")
+    refined = raw.where(F.col("active") & (F.col("tier") == 2))
+    verdict = {r.check: r.passed for r in run_checks(
+        raw, refined, allowed={"active": [True], "tier": [2]}).collect()}
+    assert verdict == {"allowed:active": True, "allowed:tier": True, "row_counts": True}
