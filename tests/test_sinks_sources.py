@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from refinery.jobs import extract_many
-from refinery.plans.inspect import files_read
+from refinery.plans.inspect import explain_text, files_read
 from refinery.sinks.audit import land_with_audit
 from refinery.sinks.files import land_raw, write_compact, write_csv
 from refinery.sources.files import file_inventory, read_csv, read_parquet
@@ -91,3 +91,14 @@ def test_partitioned_csv_sink(spark, tmp):
     back = read_csv(spark, path, schema="id int, v string, date_partition date")
     assert sorted((r.id, str(r.date_partition)) for r in back.collect()) == [
         (1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-02")]
+
+
+def test_spread_only_small_under_split_scans(spark):
+    from refinery.sources.files import spread
+    from conftest import SF01
+    li = read_parquet(spark, f"{SF01}/lineitem.parquet")       # one row group: one split
+    assert li.rdd.getNumPartitions() < 8
+    assert "RoundRobinPartitioning" in explain_text(spread(li, 8), "simple")
+    big = spread(li, 8, max_bytes=1000)                          # pretend it is large
+    assert "RoundRobinPartitioning" not in explain_text(big, "simple")
+    assert spread(li, 1) is li                                   # already enough splits
