@@ -45,14 +45,17 @@ FILTER_SQL = "o_orderstatus = 'F' AND o_totalprice > 200000"
 REFINE = dict(keep={"customer_state": [STATE]}, upper=["customer_city"],
               drop=["customer_unique_id"])
 
-_MEMO: dict[tuple, str] = {}
-
-
-def _memo(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], str]) -> str:
-    key = (id(spark), sf_dir.rstrip("/"), name)
-    if key not in _MEMO:
-        _MEMO[key] = build()
-    return _MEMO[key]
+def _memo(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], str], *,
+          database: bool = False) -> str:
+    """``build()`` once per session and sf folder.  The cache lives on the
+    session object, so a later session never sees an earlier one's entries;
+    a cached database is rebuilt if the catalog no longer has it."""
+    cache = spark.__dict__.setdefault("_refinery_built", {})
+    key = (sf_dir.rstrip("/"), name)
+    value = cache.get(key)
+    if value is None or (database and not spark.catalog.databaseExists(value)):
+        value = cache[key] = build()
+    return value
 
 
 def _events_base(spark: SparkSession, sf_dir: str) -> str:
@@ -97,7 +100,7 @@ def _catalog_pair(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
         catalog.register(spark, f"{db}.raw2_customers", raw_path)
         catalog.register(spark, f"{db}.refined_customers", _refined_base(spark, sf_dir))
         return db
-    db = _memo(spark, sf_dir, "catalog_pair", build)
+    db = _memo(spark, sf_dir, "catalog_pair", build, database=True)
     return f"{db}.raw2_customers", f"{db}.refined_customers"
 
 
@@ -133,7 +136,7 @@ def _sales_tables(spark: SparkSession, sf_dir: str) -> str:
             df.write.parquet(path)
             catalog.register(spark, f"{db}.{name}", path)
         return db
-    return _memo(spark, sf_dir, "sales_tables", build)
+    return _memo(spark, sf_dir, "sales_tables", build, database=True)
 
 
 def segmentation_csv_job(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,9 +65,6 @@ def get_session(app: str = "refinery", master: str | None = None,
     return spark
 
 
-_LOCAL_ROOTS: dict[int, str] = {}
-
-
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by the cluster, created only when unset."""
     root = None
@@ -82,10 +79,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:
             root = None
     if not root:
-        root = _LOCAL_ROOTS.get(id(spark))
+        root = spark.__dict__.get("_refinery_local_root")
     if not root:
+        # Kept on the session object: a later session gets its own folder.
         root = tempfile.mkdtemp(prefix="refinery-ckpt-")
-        _LOCAL_ROOTS[id(spark)] = root
+        spark.__dict__["_refinery_local_root"] = root
         if sc is not None:
             sc.setCheckpointDir(root)
     return root.rstrip("/")

@@ -26,19 +26,17 @@ from refinery.sources.files import read_parquet, spread
 STANDIN_TIERS = ((1500000, "High Value"), (900000, "Medium Value"))
 
 
-# The test tables are read-only, so each file's schema is inferred once per
-# session and then passed to the reader (no schema job per query).
-_SCHEMAS: dict[tuple[int, str], object] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table.  They are read-only, so each file's schema is inferred
+    once per session (kept on the session object) and then passed to the
+    reader: no schema job per query."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    if key not in _SCHEMAS:
+    schemas = spark.__dict__.setdefault("_refinery_schemas", {})
+    if path not in schemas:
         df = read_parquet(spark, path)
-        _SCHEMAS[key] = df.schema
+        schemas[path] = df.schema
         return df
-    return read_parquet(spark, path, schema=_SCHEMAS[key])
+    return read_parquet(spark, path, schema=schemas[path])
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,3 +83,15 @@ def test_entry_contract(spark):
     q, o = e.queries(), e.oracle_sql()
     assert set(o) <= set(q) and set(q) - set(o) == {"file_inventory"}
     assert all(o[k].strip() for k in o)
+
+
+def test_cached_inputs_are_per_session_and_rebuilt_when_lost(spark):
+    from conftest import SF001
+    from refinery import queries as Q
+    first = sorted(map(tuple, Q.sql_validate_state(spark, SF001).collect()))
+    raw, _ = Q._catalog_pair(spark, SF001)
+    spark.sql(f"DROP DATABASE `{raw.split('.')[0]}` CASCADE")
+    assert sorted(map(tuple, Q.sql_validate_state(spark, SF001).collect())) == first
+    other = spark.newSession()
+    assert Q._events_base(other, SF001) != Q._events_base(spark, SF001)
+    assert Q._events_base(spark, SF001) == Q._events_base(spark, SF001)
