@@ -128,6 +128,27 @@ def test_rebalanced_write_makes_one_file_per_small_partition(spark, tmp):
     assert len(files) == 5
 
 
+def test_hot_partition_value_is_split_over_several_files(spark, tmp):
+    """A day holding a third of all rows is not written by one task: the
+    rebalance lets AQE split it by the advisory size; no row is lost."""
+    n = 60_000
+    df = spark.range(n, numPartitions=8).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(
+            (F.col("id") % 20).cast("string")).alias("day"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(256 << 10))
+    try:
+        path = write_partitioned(df, f"{tmp}/hot", ["day"])
+    finally:
+        spark.conf.set(key, old)
+    out = read_parquet(spark, path)
+    hot_files = [r.file_path for r in files_read(out.where(F.col("day") == "hot")).collect()]
+    assert len(hot_files) > 1
+    assert out.count() == n and out.where(F.col("day") == "hot").count() == n // 3
+
+
 def test_data_reduction_matches_python_counts(spark):
     """Random rows with NULLs in both filtered columns: counts and percents
     equal a plain Python count (a NULL predicate keeps nothing)."""
