@@ -28,6 +28,10 @@ def land_raw(df: DataFrame, base: str, table: str, ds: str | None = None,
 
     Returns the folder written, or ``None`` (and writes nothing) when the
     extract is empty.  Only that folder is replaced, so other days stay.
+    The emptiness probe stops at the first row: a split of a file scan, or a
+    ``LIMIT 1`` pushed to the database.  For an extract that is itself a join
+    or aggregate, the probe would run that plan's shuffle, so land such an
+    extract from a table written first.
     ``observation`` (a ``pyspark.sql.Observation``) is attached to the write
     only, so it sees every row exactly once.
     """
