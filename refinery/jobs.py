@@ -26,6 +26,7 @@ from refinery.functions.columns import DEFAULT_TIER_LABEL, DEFAULT_TIERS, parse_
 from refinery.operators.quality import run_checks
 from refinery.operators.refine import refine
 from refinery.operators.segmentation import segment_customers
+from refinery.session import scratch_path
 from refinery.sinks.audit import append_audit, land_with_audit
 from refinery.sinks.files import write_compact, write_csv, write_partitioned
 from refinery.sources.files import read_csv
@@ -42,19 +43,24 @@ def segmentation_job(spark: SparkSession, sales_path: str, customer_path: str,
                      customer_schema: T.StructType | str | None = None,
                      header: bool = False) -> str:
     """Headered CSV in, segmented CSV out (no header line by default, as
-    Spark writes it).  Pass schemas to skip type inference at scale."""
+    Spark writes it).  Pass schemas to skip type inference at scale.
+    Both aggregated sides are staged in the shared checkpoint folder before
+    the join (a skewed customer key can be split; see ``customer_totals``)."""
     sales = read_csv(spark, sales_path, schema=sales_schema)
     customers = read_csv(spark, customer_path, schema=customer_schema)
-    result = segment_customers(sales, customers, tiers=tiers, default_label=default_label)
+    result = segment_customers(sales, customers, tiers=tiers, default_label=default_label,
+                               stage=scratch_path(spark, "segmentation_stage"))
     return write_csv(result, output_path, header=header)
 
 
 def segmentation_catalog_job(spark: SparkSession, sales_table: str, customer_table: str,
                              output_path: str, *, tiers=DEFAULT_TIERS,
                              default_label: str = DEFAULT_TIER_LABEL) -> str:
-    """Catalog tables in, Parquet (snappy, as few files as the size allows) out."""
+    """Catalog tables in, Parquet (snappy, as few files as the size allows)
+    out; staged like :func:`segmentation_job`."""
     result = segment_customers(spark.table(sales_table), spark.table(customer_table),
-                               tiers=tiers, default_label=default_label)
+                               tiers=tiers, default_label=default_label,
+                               stage=scratch_path(spark, "segmentation_stage"))
     return write_compact(result, output_path)
 
 
