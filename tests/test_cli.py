@@ -98,3 +98,14 @@ def test_segment_catalog_command(spark, tmp):
            for r in spark.table("cli_seg.segments").collect()}
     assert got == {"C1": (28000, "High Value"), "C2": (20000, "Medium Value"),
                    "C3": (5, "Low Value")}
+
+
+def test_jdbc_arguments_without_a_connection(spark, tmp):
+    from refinery.cli import _properties
+    props = f"{tmp.replace('file:', '')}.properties"
+    with open(props, "w", encoding="utf-8") as fh:
+        fh.write("# credentials\nuser = etl\npassword=s3cr=t\n\n")
+    assert _properties(props) == {"user": "etl", "password": "s3cr=t"}
+    with pytest.raises(SystemExit):      # a JDBC source needs its table
+        run(spark, ["daily", "--run-date", "2024-01-01", "--jdbc-url", "jdbc:postgresql://h/db",
+                    "--root", tmp, "--database", "d", "--table", "t"])
