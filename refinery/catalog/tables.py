@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from refinery.functions.columns import pretty_size
+
 
 def _q(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
@@ -130,11 +132,13 @@ def list_tables(spark: SparkSession, database: str) -> DataFrame:
 
 
 def table_stats(spark: SparkSession, table: str) -> DataFrame:
-    """Row count and size in bytes, computed by ``ANALYZE TABLE`` (a
-    distributed scan) and read back from the catalog."""
+    """Row count and total size (bytes, and as ``pg_size_pretty`` prints
+    it), computed by ``ANALYZE TABLE`` (a distributed scan) and read back
+    from the catalog."""
     spark.sql(f"ANALYZE TABLE {_q(table)} COMPUTE STATISTICS")
     stats = spark.sql(f"DESCRIBE TABLE EXTENDED {_q(table)}").where(F.col("col_name") == "Statistics")
+    size = F.regexp_extract("data_type", r"(\d+) bytes", 1).cast("bigint")
     return stats.select(
         F.lit(table).alias("table_name"),
         F.regexp_extract("data_type", r"(\d+) rows", 1).cast("bigint").alias("row_count"),
-        F.regexp_extract("data_type", r"(\d+) bytes", 1).cast("bigint").alias("size_bytes"))
+        size.alias("size_bytes"), pretty_size(size).alias("size_pretty"))

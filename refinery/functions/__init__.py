@@ -10,6 +10,7 @@ from refinery.functions.columns import (
     line_total,
     money,
     parse_date,
+    pretty_size,
     reduction_pct,
     tier_label,
     uppercase_verdict,
@@ -17,6 +18,6 @@ from refinery.functions.columns import (
 
 __all__ = [
     "DEFAULT_TIERS", "MONEY_TYPE", "UPPERCASE_FAIL", "UPPERCASE_PASS",
-    "date_text", "is_integral", "line_total", "money", "parse_date",
+    "date_text", "is_integral", "line_total", "money", "parse_date", "pretty_size",
     "reduction_pct", "tier_label", "uppercase_verdict",
 ]

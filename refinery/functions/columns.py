@@ -84,6 +84,40 @@ def uppercase_verdict(c: str | Column) -> Column:
     return F.when(v == F.upper(v), F.lit(UPPERCASE_PASS)).otherwise(F.lit(UPPERCASE_FAIL))
 
 
+# --- fixed values (PostgreSQL's pg_size_pretty format) -----------------------
+# Sizes below 10240 bytes print as "N bytes".  Larger ones use the first unit
+# of kB, MB, GB, TB, PB in which the size, counted in halves of that unit
+# (divisions truncate), is below 2 * 10240 - 1; it prints rounded half away
+# from zero.
+SIZE_UNITS = ("kB", "MB", "GB", "TB", "PB")
+SIZE_LIMIT = 10 * 1024
+# -----------------------------------------------------------------------------
+
+
+def pretty_size(size: str | Column) -> Column:
+    """Byte count as PostgreSQL's ``pg_size_pretty`` prints it ("7403 bytes",
+    "977 kB", "10 MB").  Built-in integer arithmetic only, so it stays in
+    codegen."""
+    b = _col(size).cast("bigint")
+
+    def tdiv(x: Column, d: int) -> Column:
+        # integer division rounding toward zero (as C does), exact via decimals
+        return (x.cast("decimal(20,0)") / F.lit(d).cast("decimal(20,0)")).cast("bigint")
+
+    def half_rounded(x: Column) -> Column:
+        return tdiv(x + F.when(x < 0, F.lit(-1)).otherwise(F.lit(1)), 2)
+
+    expr = F.when(F.abs(b) < SIZE_LIMIT, F.concat(b.cast("string"), F.lit(" bytes")))
+    for i, unit in enumerate(SIZE_UNITS):
+        v = tdiv(b, 512 * 1024 ** i)          # one extra bit kept for rounding
+        text = F.concat(half_rounded(v).cast("string"), F.lit(f" {unit}"))
+        if i < len(SIZE_UNITS) - 1:
+            expr = expr.when(F.abs(v) < 2 * SIZE_LIMIT - 1, text)
+        else:
+            expr = expr.otherwise(text)
+    return expr
+
+
 def reduction_pct(kept: str | Column, total: str | Column) -> Column:
     """Share of rows a filter removed, in percent, one decimal."""
     k, n = _col(kept), _col(total)

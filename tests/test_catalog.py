@@ -75,6 +75,7 @@ def test_table_stats(spark, tmp):
     table = catalog.register(spark, "cat_d.t", path)
     r = catalog.table_stats(spark, table).collect()[0]
     assert r.row_count == 6 and r.size_bytes > 0
+    assert r.size_pretty == _pg_size_pretty(r.size_bytes)
 
 
 def test_register_csv_with_schema(spark, tmp):
@@ -100,3 +101,28 @@ def test_paths_and_values_with_quotes_are_escaped(spark, tmp):
     df.drop("dt").write.option("header", True).csv(f"{base}/dt=2024-01-05")
     catalog.add_partition(spark, table, {"dt": "2024-01-05"})
     assert spark.table(table).count() == 6
+
+
+def _pg_size_pretty(size):
+    # plain-Python statement of the same published rule, for comparison
+    def tdiv(a, b):
+        q = abs(a) // b
+        return q if a >= 0 else -q
+    if abs(size) < 10240:
+        return f"{size} bytes"
+    v = tdiv(size, 512)
+    for unit in ("kB", "MB", "GB", "TB"):
+        if abs(v) < 20479:
+            return f"{tdiv(v + (1 if v >= 0 else -1), 2)} {unit}"
+        v = tdiv(v, 1024)
+    return f"{tdiv(v + (1 if v >= 0 else -1), 2)} PB"
+
+
+def test_pretty_size_matches_the_rule(spark):
+    from refinery.functions.columns import pretty_size
+    values = [0, 1, 7403, 10239, 10240, 10751, 10752, 1_000_000, 10_485_759, 10_485_760,
+              10_484_000_000, 1 << 40, (1 << 50) * 3, 123_456_789_012_345, -20_000]
+    df = spark.createDataFrame([(v,) for v in values], "b bigint")
+    got = [r.p for r in df.select(pretty_size("b").alias("p")).collect()]
+    assert got == [_pg_size_pretty(v) for v in values]
+    assert got[2] == "7403 bytes" and got[7] == "977 kB" and got[9] == "10 MB"
