@@ -21,6 +21,9 @@ DEFAULT_TIER_LABEL = "Low Value"
 # Verdict labels of the uppercase check.
 UPPERCASE_PASS = "PASS - All Uppercase"
 UPPERCASE_FAIL = "FAIL - Not Uppercase"
+# Source labels of the raw-against-refined row-count check.
+RAW_LABEL = "Raw Table"
+REFINED_LABEL = "Refined Table"
 # -----------------------------------------------------------------------------
 
 # Money is multiplied and summed as an exact decimal so the result does not

@@ -1,20 +1,23 @@
 """The refined-table checks as SQL text run by ``spark.sql`` against catalog
 tables -- the form in which the checks are written by their users.
 
-Table and column names are substituted as back-quoted identifiers; nothing
-else is interpolated.  Catalyst plans the text exactly like the DataFrame
-form in :mod:`refinery.operators.quality`.
+Table and column names are substituted as back-quoted identifiers, the
+fixed labels as quoted literals; nothing else is interpolated.  Catalyst
+plans the text exactly like the DataFrame form in
+:mod:`refinery.operators.quality`.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from refinery.functions.columns import RAW_LABEL, REFINED_LABEL, UPPERCASE_FAIL, UPPERCASE_PASS
+
 SQL_CHECKS: dict[str, str] = {
     # casing verdict per row, grouped by the verdict (GROUP BY ordinal)
     "uppercase": """
-        SELECT CASE WHEN {city} = UPPER({city}) THEN 'PASS - All Uppercase'
-                    ELSE 'FAIL - Not Uppercase' END AS uppercase_validation,
+        SELECT CASE WHEN {city} = UPPER({city}) THEN {pass_label}
+                    ELSE {fail_label} END AS uppercase_validation,
                COUNT(*) AS `count`
         FROM {table}
         GROUP BY 1""",
@@ -26,9 +29,9 @@ SQL_CHECKS: dict[str, str] = {
         ORDER BY `count` DESC, {state} NULLS LAST""",
     # raw against refined row counts
     "row_counts": """
-        SELECT 'Raw Table' AS source, COUNT(*) AS row_count FROM {raw}
+        SELECT {raw_label} AS source, COUNT(*) AS row_count FROM {raw}
         UNION ALL
-        SELECT 'Refined Table' AS source, COUNT(*) AS row_count FROM {table}""",
+        SELECT {refined_label} AS source, COUNT(*) AS row_count FROM {table}""",
     # first rows by id
     "sample": """
         SELECT {id}, {zip}, {city}, {state}
@@ -48,6 +51,14 @@ DEFAULT_NAMES = {"city": "customer_city", "state": "customer_state", "id": "cust
                  "zip": "customer_zip_code_prefix"}
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+_LABELS = {"pass_label": _text(UPPERCASE_PASS), "fail_label": _text(UPPERCASE_FAIL),
+           "raw_label": _text(RAW_LABEL), "refined_label": _text(REFINED_LABEL)}
+
+
 def _ident(name: str) -> str:
     if "`" in name:
         raise ValueError(f"identifier may not contain a back-quote: {name!r}")
@@ -59,7 +70,7 @@ def run_sql_check(spark: SparkSession, check: str, table: str, *, raw: str | Non
     """Run one of :data:`SQL_CHECKS` on catalog table ``table`` (and ``raw``)."""
     cols = {k: _ident(v) for k, v in {**DEFAULT_NAMES, **names}.items()}
     text = SQL_CHECKS[check].format(table=_ident(table), raw=_ident(raw) if raw else "",
-                                    n=int(n), **cols)
+                                    n=int(n), **cols, **_LABELS)
     return spark.sql(text)
 
 

@@ -29,7 +29,7 @@ from refinery.operators import (
     uppercase_counts,
     value_counts,
 )
-from refinery.functions.columns import date_text, parse_date
+from refinery.functions.columns import RAW_LABEL, REFINED_LABEL, date_text, parse_date
 from refinery.operators.sql_checks import run_sql_check
 from refinery.session import scratch_path
 from refinery.sinks.files import land_raw, write_csv, write_partitioned
@@ -260,7 +260,7 @@ def validate_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def validate_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, refined = _raw_refined(spark, sf_dir)
-    return compare_counts([("Raw Table", raw), ("Refined Table", refined)])
+    return compare_counts([(RAW_LABEL, raw), (REFINED_LABEL, refined)])
 
 
 def sample_refined(spark: SparkSession, sf_dir: str) -> DataFrame:
