@@ -31,7 +31,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refinery import catalog, jobs
-from refinery.functions.columns import DEFAULT_TIER_LABEL, DEFAULT_TIERS
+from refinery.functions.columns import (
+    DATE_FORMAT,
+    DATE_PARTITION_COLUMN,
+    DEFAULT_TIER_LABEL,
+    DEFAULT_TIERS,
+)
 from refinery.session import get_session
 from refinery.sources.files import read_csv, read_parquet
 from refinery.sources.jdbc import read_jdbc
@@ -112,8 +117,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("output")
     p.add_argument("--schema")
     p.add_argument("--date-column", default="Date")
-    p.add_argument("--date-format", default="dd-MM-yyyy")
-    p.add_argument("--partition-column", default="date_partition")
+    p.add_argument("--date-format", default=DATE_FORMAT)
+    p.add_argument("--partition-column", default=DATE_PARTITION_COLUMN)
 
     p = sub.add_parser("refine", help="refine one day of a raw table into a partitioned table")
     p.add_argument("--database", required=True)

@@ -24,6 +24,12 @@ UPPERCASE_FAIL = "FAIL - Not Uppercase"
 # Source labels of the raw-against-refined row-count check.
 RAW_LABEL = "Raw Table"
 REFINED_LABEL = "Refined Table"
+# Text date format of the raw orders, and the partition column it becomes.
+DATE_FORMAT = "dd-MM-yyyy"
+DATE_PARTITION_COLUMN = "date_partition"
+# Catalog table-name prefixes of the raw and refined tables.
+RAW_TABLE_PREFIX = "raw2_"
+REFINED_TABLE_PREFIX = "refined_"
 # -----------------------------------------------------------------------------
 
 # Money is multiplied and summed as an exact decimal so the result does not
@@ -72,12 +78,12 @@ def tier_label(value: str | Column,
     return expr.otherwise(F.lit(default))
 
 
-def parse_date(text: str | Column, fmt: str = "dd-MM-yyyy") -> Column:
+def parse_date(text: str | Column, fmt: str = DATE_FORMAT) -> Column:
     """Text to DATE; unparseable text becomes NULL instead of failing the job."""
     return F.try_to_date(_col(text), fmt)
 
 
-def date_text(value: str | Column, fmt: str = "dd-MM-yyyy") -> Column:
+def date_text(value: str | Column, fmt: str = DATE_FORMAT) -> Column:
     return F.date_format(_col(value), fmt)
 
 

@@ -22,7 +22,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from refinery import catalog
-from refinery.functions.columns import DEFAULT_TIER_LABEL, DEFAULT_TIERS, parse_date
+from refinery.functions.columns import (
+    DATE_FORMAT,
+    DATE_PARTITION_COLUMN,
+    DEFAULT_TIER_LABEL,
+    DEFAULT_TIERS,
+    RAW_TABLE_PREFIX,
+    REFINED_TABLE_PREFIX,
+    parse_date,
+)
 from refinery.operators.quality import run_checks
 from refinery.operators.refine import refine
 from refinery.operators.segmentation import segment_customers
@@ -65,8 +73,8 @@ def segmentation_catalog_job(spark: SparkSession, sales_table: str, customer_tab
 
 
 def partition_job(spark: SparkSession, raw_path: str, refined_path: str, *,
-                  date_column: str = "Date", date_format: str = "dd-MM-yyyy",
-                  partition_column: str = "date_partition",
+                  date_column: str = "Date", date_format: str = DATE_FORMAT,
+                  partition_column: str = DATE_PARTITION_COLUMN,
                   schema: T.StructType | str | None = None) -> str:
     """Raw CSV -> parse the text date -> Parquet partitioned by that date.
     Only the dates present in this batch are replaced."""
@@ -127,7 +135,7 @@ def validate_job(raw: DataFrame, refined: DataFrame, *, upper: Sequence[str] = (
 def daily_job(spark: SparkSession, ds: str, source_df: DataFrame, *, root: str,
               database: str, table: str, keep: dict[str, Sequence[object]],
               upper: Sequence[str], drop: Sequence[str], source: str = "database",
-              raw_prefix: str = "raw2_", refined_prefix: str = "refined_",
+              raw_prefix: str = RAW_TABLE_PREFIX, refined_prefix: str = REFINED_TABLE_PREFIX,
               fail_on_check: bool = True) -> dict[str, object]:
     """One run for date ``ds``; running the same date again changes nothing.
 

@@ -29,7 +29,15 @@ from refinery.operators import (
     uppercase_counts,
     value_counts,
 )
-from refinery.functions.columns import RAW_LABEL, REFINED_LABEL, date_text, parse_date
+from refinery.functions.columns import (
+    DATE_PARTITION_COLUMN as PART,
+    RAW_LABEL,
+    RAW_TABLE_PREFIX,
+    REFINED_LABEL,
+    REFINED_TABLE_PREFIX,
+    date_text,
+    parse_date,
+)
 from refinery.operators.sql_checks import run_sql_check
 from refinery.session import scratch_path
 from refinery.sinks.files import land_raw, write_csv, write_partitioned
@@ -63,7 +71,7 @@ def _events_base(spark: SparkSession, sf_dir: str) -> str:
     def build() -> str:
         path = scratch_path(spark, "events_by_day")
         return write_partitioned(standins.events_with_date(spark, sf_dir), path,
-                                 ["date_partition"])
+                                 [PART])
     return _memo(spark, sf_dir, "events", build)
 
 
@@ -97,11 +105,11 @@ def _catalog_pair(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
         db = _db(spark, "checks")
         raw_path = scratch_path(spark, "raw_customers_tbl")
         standins.store_customers(spark, sf_dir).write.parquet(raw_path)
-        catalog.register(spark, f"{db}.raw2_customers", raw_path)
-        catalog.register(spark, f"{db}.refined_customers", _refined_base(spark, sf_dir))
+        catalog.register(spark, f"{db}.{RAW_TABLE_PREFIX}customers", raw_path)
+        catalog.register(spark, f"{db}.{REFINED_TABLE_PREFIX}customers", _refined_base(spark, sf_dir))
         return db
     db = _memo(spark, sf_dir, "catalog_pair", build, database=True)
-    return f"{db}.raw2_customers", f"{db}.refined_customers"
+    return f"{db}.{RAW_TABLE_PREFIX}customers", f"{db}.{REFINED_TABLE_PREFIX}customers"
 
 
 # --- segmentation ------------------------------------------------------------
@@ -198,7 +206,7 @@ def date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def filter_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir).filter(F.col("date_partition") == DAY)
+    return _events(spark, sf_dir).filter(F.col(PART) == DAY)
 
 
 def filter_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,7 +215,7 @@ def filter_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def filter_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir)
-    return ev.filter((F.col("date_partition") == DAY) & (F.col("event_type") == KIND))
+    return ev.filter((F.col(PART) == DAY) & (F.col("event_type") == KIND))
 
 
 def filter_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,23 +224,23 @@ def filter_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def data_reduction_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir)
-    return data_reduction(ev, F.col("date_partition") == DAY, F.col("event_type") == KIND)
+    return data_reduction(ev, F.col(PART) == DAY, F.col("event_type") == KIND)
 
 
 def partition_counts_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return partition_counts(_events(spark, sf_dir), "date_partition")
+    return partition_counts(_events(spark, sf_dir), PART)
 
 
 def dynamic_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all days, then rewrite one day with only its clicks."""
     path = write_partitioned(standins.events_with_date(spark, sf_dir),
-                             scratch_path(spark, "events_overwrite"), ["date_partition"])
-    day = read_parquet(spark, path).where((F.col("date_partition") == DAY)
+                             scratch_path(spark, "events_overwrite"), [PART])
+    day = read_parquet(spark, path).where((F.col(PART) == DAY)
                                           & (F.col("event_type") == KIND))
     # Materialise the subset before replacing the folder it is read from.
     staged = scratch_path(spark, "events_day_stage")
     day.write.parquet(staged)
-    write_partitioned(read_parquet(spark, staged), path, ["date_partition"], dynamic=True)
+    write_partitioned(read_parquet(spark, staged), path, [PART], dynamic=True)
     return read_parquet(spark, path)
 
 
@@ -313,17 +321,17 @@ def register_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = standins.store_customers(spark, sf_dir).withColumn("dt", F.lit(RUN_DATES[0]).cast("date"))
     path = write_partitioned(raw, scratch_path(spark, "raw_customers"), ["dt"])
     db = _db(spark, "crawl")
-    tables = catalog.crawl(spark, {"customers": path}, db, prefix="raw2_")
-    assert tables.where(F.col("tableName") == "raw2_customers").count() == 1
-    return spark.table(f"{db}.raw2_customers")
+    tables = catalog.crawl(spark, {"customers": path}, db, prefix=RAW_TABLE_PREFIX)
+    assert tables.where(F.col("tableName") == f"{RAW_TABLE_PREFIX}customers").count() == 1
+    return spark.table(f"{db}.{RAW_TABLE_PREFIX}customers")
 
 
 def refresh_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = standins.events_with_date(spark, sf_dir)
     path = scratch_path(spark, "events_refresh")
-    write_partitioned(ev.where(F.col("date_partition") <= DAY), path, ["date_partition"])
+    write_partitioned(ev.where(F.col(PART) <= DAY), path, [PART])
     table = catalog.register(spark, f"{_db(spark, 'refresh')}.events", path)
-    write_partitioned(ev.where(F.col("date_partition") > DAY), path, ["date_partition"])
+    write_partitioned(ev.where(F.col(PART) > DAY), path, [PART])
     catalog.refresh(spark, table, mode="new_folders")
     return spark.table(table)
 
@@ -331,11 +339,11 @@ def refresh_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = standins.events_with_date(spark, sf_dir)
     path = scratch_path(spark, "events_drift")
-    write_partitioned(ev.where(F.col("date_partition") <= DAY).drop("props"), path,
-                      ["date_partition"])
+    write_partitioned(ev.where(F.col(PART) <= DAY).drop("props"), path,
+                      [PART])
     table = catalog.register(spark, f"{_db(spark, 'drift')}.events", path)
-    newer = ev.where(F.col("date_partition") > DAY)
-    write_partitioned(newer, path, ["date_partition"])
+    newer = ev.where(F.col(PART) > DAY)
+    write_partitioned(newer, path, [PART])
     catalog.evolve(spark, table, newer.schema)
     catalog.refresh(spark, table, mode="new_folders")
     return spark.table(table)
@@ -379,7 +387,7 @@ def daily_refine(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = standins.store_customers(spark, sf_dir)
     for ds in (RUN_DATES[0], RUN_DATES[1], RUN_DATES[1]):   # second day twice
         jobs.daily_job(spark, ds, source, root=root, database=db, table="customers", **REFINE)
-    return spark.table(f"{db}.refined_customers")
+    return spark.table(f"{db}.{REFINED_TABLE_PREFIX}customers")
 
 
 def incremental_refine(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from refinery.functions.columns import DATE_PARTITION_COLUMN
 from refinery.sources.files import read_parquet, spread
 
 # Segment cut-offs used on the test tables (spend there is ~50x the
@@ -59,7 +60,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events_with_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
-    return ev.withColumn("date_partition", F.to_date("ts"))
+    return ev.withColumn(DATE_PARTITION_COLUMN, F.to_date("ts"))
 
 
 def store_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
