@@ -34,6 +34,7 @@ from refinery.functions.columns import (
 from refinery.operators.quality import run_checks
 from refinery.operators.refine import refine
 from refinery.operators.segmentation import segment_customers
+from refinery.plans.inspect import byte_setting, estimated_bytes
 from refinery.session import scratch_path
 from refinery.sinks.audit import append_audit, land_with_audit
 from refinery.sinks.files import write_compact, write_csv, write_partitioned
@@ -44,6 +45,24 @@ class CheckFailed(RuntimeError):
     """A data-quality check returned ``passed = false``."""
 
 
+SKEW_THRESHOLD = "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"
+
+
+def segmentation_stage(spark: SparkSession, customers: DataFrame) -> str | None:
+    """Where to stage the segmentation join, or ``None`` when it cannot help.
+
+    AQE calls a join partition skewed only above ``SKEW_THRESHOLD``, so a
+    customer input smaller than that cannot give a skewed customer key and is
+    joined lazily.  A larger one (or one whose size is unknown) is staged in
+    the shared checkpoint folder (see ``customer_totals``).
+    """
+    size = estimated_bytes(customers)
+    threshold = byte_setting(spark.conf.get(SKEW_THRESHOLD, "256MB"))
+    if size is not None and size <= threshold:
+        return None
+    return scratch_path(spark, "segmentation_stage")
+
+
 def segmentation_job(spark: SparkSession, sales_path: str, customer_path: str,
                      output_path: str, *, tiers=DEFAULT_TIERS,
                      default_label: str = DEFAULT_TIER_LABEL,
@@ -53,11 +72,12 @@ def segmentation_job(spark: SparkSession, sales_path: str, customer_path: str,
     """Headered CSV in, segmented CSV out (no header line by default, as
     Spark writes it).  Pass schemas to skip type inference at scale.
     Both aggregated sides are staged in the shared checkpoint folder before
-    the join (a skewed customer key can be split; see ``customer_totals``)."""
+    the join when the customer input could hold a skewed key (see
+    :func:`segmentation_stage`)."""
     sales = read_csv(spark, sales_path, schema=sales_schema)
     customers = read_csv(spark, customer_path, schema=customer_schema)
     result = segment_customers(sales, customers, tiers=tiers, default_label=default_label,
-                               stage=scratch_path(spark, "segmentation_stage"))
+                               stage=segmentation_stage(spark, customers))
     return write_csv(result, output_path, header=header)
 
 
@@ -66,9 +86,10 @@ def segmentation_catalog_job(spark: SparkSession, sales_table: str, customer_tab
                              default_label: str = DEFAULT_TIER_LABEL) -> str:
     """Catalog tables in, Parquet (snappy, as few files as the size allows)
     out; staged like :func:`segmentation_job`."""
-    result = segment_customers(spark.table(sales_table), spark.table(customer_table),
+    customers = spark.table(customer_table)
+    result = segment_customers(spark.table(sales_table), customers,
                                tiers=tiers, default_label=default_label,
-                               stage=scratch_path(spark, "segmentation_stage"))
+                               stage=segmentation_stage(spark, customers))
     return write_compact(result, output_path)
 
 

@@ -1,5 +1,11 @@
 """Plan inspection: what a scan prunes and pushes down."""
 
-from refinery.plans.inspect import explain_text, files_read, scan_filters
+from refinery.plans.inspect import (
+    byte_setting,
+    estimated_bytes,
+    explain_text,
+    files_read,
+    scan_filters,
+)
 
-__all__ = ["explain_text", "files_read", "scan_filters"]
+__all__ = ["byte_setting", "estimated_bytes", "explain_text", "files_read", "scan_filters"]

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from refinery.plans.inspect import estimated_bytes
+
 
 def read_csv(spark: SparkSession, path: str | list[str], *, header: bool = True,
              schema: StructType | str | None = None, **options) -> DataFrame:
@@ -63,12 +65,12 @@ def spread(df: DataFrame, min_partitions: int | None = None,
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         planned = df.rdd.getNumPartitions()
-        if planned >= target:
-            return df
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     except Exception:   # Spark Connect has no RDD view: leave the scan as it is
         return df
-    return df.repartition(target) if size <= max_bytes else df
+    if planned >= target:
+        return df
+    size = estimated_bytes(df)
+    return df.repartition(target) if size is not None and size <= max_bytes else df
 
 
 def read_partition(spark: SparkSession, root: str, keep_partition_column: bool = False,

@@ -169,3 +169,26 @@ def test_staged_join_lets_aqe_split_a_hot_customer_key(spark, tmp):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_jobs_stage_only_when_a_skewed_customer_key_is_possible(spark, tmp):
+    import pytest
+    from refinery.jobs import SKEW_THRESHOLD, segmentation_stage
+    from refinery.plans.inspect import byte_setting
+    assert byte_setting("256MB") == 256 << 20 and byte_setting("64m") == 64 << 20
+    assert byte_setting("4096") == 4096 and byte_setting("1k") == 1024
+    with pytest.raises(ValueError):
+        byte_setting("lots")
+    _fixture(spark)[1].write.parquet(f"{tmp}/customers")
+    customers = spark.read.parquet(f"{tmp}/customers")         # sized from its files
+    assert segmentation_stage(spark, customers) is None       # far below 256 MB
+    # rows built in Python have no size estimate: staged to be safe
+    assert segmentation_stage(spark, _fixture(spark)[1]) is not None
+    old = spark.conf.get(SKEW_THRESHOLD)
+    spark.conf.set(SKEW_THRESHOLD, "16")
+    try:
+        from refinery.session import checkpoint_root
+        path = segmentation_stage(spark, customers)
+        assert path is not None and path.startswith(checkpoint_root(spark))
+    finally:
+        spark.conf.set(SKEW_THRESHOLD, old)
