@@ -115,8 +115,12 @@ def _catalog_pair(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 # --- segmentation ------------------------------------------------------------
 
 def customer_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segment_customers(standins.sales(spark, sf_dir), standins.customers(spark, sf_dir),
-                             tiers=standins.STANDIN_TIERS)
+    """The segmentation operator; staged like the jobs when the customer
+    input is large enough to hold a skewed key (lazy on the test tables)."""
+    customers = standins.customers(spark, sf_dir)
+    return segment_customers(standins.sales(spark, sf_dir), customers,
+                             tiers=standins.STANDIN_TIERS,
+                             stage=jobs.segmentation_stage(spark, customers))
 
 
 def _sales_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
