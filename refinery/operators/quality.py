@@ -16,9 +16,11 @@ from refinery.functions.columns import uppercase_verdict
 
 
 def uppercase_counts(df: DataFrame, column: str, label: str = "uppercase_validation",
-                     count_name: str = "count") -> DataFrame:
-    """``SELECT CASE WHEN c = UPPER(c) THEN 'PASS…' ELSE 'FAIL…' END, COUNT(*) GROUP BY 1``."""
-    return df.groupBy(uppercase_verdict(column).alias(label)).agg(
+                     count_name: str = "count", by: Sequence[str] = ()) -> DataFrame:
+    """``SELECT CASE WHEN c = UPPER(c) THEN 'PASS…' ELSE 'FAIL…' END, COUNT(*) GROUP BY 1``,
+    optionally per ``by`` columns (several tables tagged and unioned are
+    then checked with one aggregation)."""
+    return df.groupBy(*by, uppercase_verdict(column).alias(label)).agg(
         F.count(F.lit(1)).alias(count_name))
 
 

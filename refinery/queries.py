@@ -259,10 +259,12 @@ def customer_refine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def validate_uppercase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Casing verdict counts of both tables: rows tagged by table, unioned,
+    one aggregation (one shuffle of partial counts)."""
     raw, refined = _raw_refined(spark, sf_dir)
-    return (uppercase_counts(raw, "customer_city").select(F.lit("raw").alias("table_name"), "*")
-            .unionByName(uppercase_counts(refined, "customer_city")
-                         .select(F.lit("refined").alias("table_name"), "*")))
+    both = (raw.select(F.lit("raw").alias("table_name"), "customer_city")
+            .unionByName(refined.select(F.lit("refined").alias("table_name"), "customer_city")))
+    return uppercase_counts(both, "customer_city", by=["table_name"])
 
 
 def validate_state(spark: SparkSession, sf_dir: str) -> DataFrame:
