@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,7 +31,7 @@ from refinery.functions.columns import (
     REFINED_TABLE_PREFIX,
     parse_date,
 )
-from refinery.operators.quality import run_checks
+from refinery.operators.quality import raw_count_columns, run_checks
 from refinery.operators.refine import refine
 from refinery.operators.segmentation import segment_customers
 from refinery.plans.inspect import byte_setting, estimated_bytes
@@ -134,19 +134,27 @@ def extract_many(spark: SparkSession, sources: dict[str, DataFrame], raw_base: s
 
 def refine_job(raw_day: DataFrame, refined_path: str, ds: str, *,
                keep: dict[str, Sequence[object]], upper: Sequence[str],
-               drop: Sequence[str], partition_column: str = "dt") -> str:
-    """Refine one day and replace only that day's partition."""
+               drop: Sequence[str], partition_column: str = "dt",
+               observation: Observation | None = None) -> str:
+    """Refine one day and replace only that day's partition.  With
+    ``observation`` the raw rows are counted as they are read
+    (``raw_rows``, ``raw_kept``; see ``raw_count_columns``)."""
+    if observation is not None:
+        raw_day = raw_day.observe(observation, *raw_count_columns(keep))
     out = refine(raw_day.drop(partition_column), keep=keep, upper=upper, drop=drop)
     out = out.withColumn(partition_column, F.lit(ds).cast("date"))
     return write_partitioned(out, refined_path, [partition_column], dynamic=True)
 
 
-def validate_job(raw: DataFrame, refined: DataFrame, *, upper: Sequence[str] = (),
+def validate_job(raw: DataFrame | None, refined: DataFrame, *, upper: Sequence[str] = (),
                  allowed: dict[str, Sequence[object]] | None = None,
-                 absent: Sequence[str] = (), fail: bool = True) -> list:
+                 absent: Sequence[str] = (), fail: bool = True,
+                 raw_counts: tuple[int, int] | None = None) -> list:
     """Run all checks; the verdict (one row per check) is collected and the
-    job fails when any check did not pass."""
-    verdict = run_checks(raw, refined, upper=upper, allowed=allowed, absent=absent).collect()
+    job fails when any check did not pass.  ``raw_counts``: see
+    ``run_checks``."""
+    verdict = run_checks(raw, refined, upper=upper, allowed=allowed, absent=absent,
+                         raw_counts=raw_counts).collect()
     failed = [r for r in verdict if not r["passed"]]
     if failed and fail:
         raise CheckFailed("; ".join(f"{r['check']}: {r['detail']}" for r in failed))
@@ -184,13 +192,17 @@ def daily_job(spark: SparkSession, ds: str, source_df: DataFrame, *, root: str,
     catalog.add_partition(spark, raw_table, {"dt": ds})
 
     raw_day = spark.table(raw_table).where(F.col("dt") == F.lit(ds).cast("date"))
-    refine_job(raw_day, refined_path, ds, keep=keep, upper=upper, drop=drop)
+    # The raw rows are counted while they are refined: the checks below then
+    # read only the refined day, not the raw CSV a second time.
+    seen = Observation(f"raw_{table}")
+    refine_job(raw_day, refined_path, ds, keep=keep, upper=upper, drop=drop, observation=seen)
+    raw_counts = (int(seen.get["raw_rows"]), int(seen.get["raw_kept"]))
     if not spark.catalog.tableExists(refined_table):
         catalog.register(spark, refined_table, refined_path, fmt="parquet")
     catalog.add_partition(spark, refined_table, {"dt": ds})
 
     refined_day = spark.table(refined_table).where(F.col("dt") == F.lit(ds).cast("date"))
-    verdict = validate_job(raw_day, refined_day, upper=upper, allowed=keep, absent=drop,
-                           fail=fail_on_check)
+    verdict = validate_job(None, refined_day, upper=upper, allowed=keep, absent=drop,
+                           fail=fail_on_check, raw_counts=raw_counts)
     return {"ds": ds, "landed": landed, "raw_table": raw_table,
             "refined_table": refined_table, "verdict": verdict}

@@ -81,15 +81,31 @@ def _as_text(values: Sequence[object]) -> list[Column]:
     return [F.lit(v).cast("string") for v in values]
 
 
-def run_checks(raw: DataFrame, refined: DataFrame, *, upper: Iterable[str] = (),
+def raw_count_columns(allowed: dict[str, Sequence[object]] | None) -> list[Column]:
+    """``raw_rows`` and ``raw_kept`` (rows passing every allowed list, by the
+    same text comparison as the checks) as aggregate columns: for
+    ``DataFrame.observe`` on the raw rows while they are refined, so the
+    row-count check needs no second read of raw."""
+    kept = F.lit(True)
+    for c, values in (allowed or {}).items():
+        kept = kept & ~_not_allowed(F.col(c).cast("string"), _as_text(values))
+    return [F.count(F.lit(1)).alias("raw_rows"), F.count_if(kept).alias("raw_kept")]
+
+
+def run_checks(raw: DataFrame | None, refined: DataFrame, *, upper: Iterable[str] = (),
                allowed: dict[str, Sequence[object]] | None = None,
-               absent: Iterable[str] = ()) -> DataFrame:
+               absent: Iterable[str] = (),
+               raw_counts: tuple[int, int] | None = None) -> DataFrame:
     """All checks in one pass.
 
     * ``uppercase:<c>``   every refined value of ``c`` is upper case
     * ``allowed:<c>``     every refined value of ``c`` is in the allowed list
     * ``absent:<c>``      column ``c`` is not in the refined table (schema only)
     * ``row_counts``      refined rows == raw rows passing the allowed lists
+
+    ``raw_counts`` = (raw rows, raw rows passing the allowed lists) when they
+    were already counted (see :func:`raw_count_columns`); ``raw`` is then
+    not read and may be ``None``.
     """
     upper = list(upper)
     allowed = dict(allowed or {})
@@ -97,18 +113,23 @@ def run_checks(raw: DataFrame, refined: DataFrame, *, upper: Iterable[str] = (),
     used = sorted(set(upper) | set(allowed))
     tag = "__is_raw"
     # Only the allowed-list columns are needed from raw; the rest are NULL.
-    raw_part = raw.select(F.lit(True).alias(tag), *[
+    raw_part = None if raw_counts is not None else raw.select(F.lit(True).alias(tag), *[
         (F.col(c) if c in allowed else F.lit(None)).cast("string").alias(c) for c in used])
     ref_part = refined.select(F.lit(False).alias(tag),
                               *[F.col(c).cast("string").alias(c) for c in used])
-    both = raw_part.unionByName(ref_part)
     is_raw, is_ref = F.col(tag), ~F.col(tag)
-
-    kept_raw = is_raw
-    for c, values in allowed.items():
-        kept_raw = kept_raw & ~_not_allowed(F.col(c), _as_text(values))
-    aggs = [F.count_if(is_raw).alias("raw_rows"), F.count_if(is_ref).alias("refined_rows"),
-            F.count_if(kept_raw).alias("raw_kept")]
+    if raw_counts is None:
+        both = raw_part.unionByName(ref_part)
+        kept_raw = is_raw
+        for c, values in allowed.items():
+            kept_raw = kept_raw & ~_not_allowed(F.col(c), _as_text(values))
+        aggs = [F.count_if(is_raw).alias("raw_rows"), F.count_if(is_ref).alias("refined_rows"),
+                F.count_if(kept_raw).alias("raw_kept")]
+    else:
+        both = ref_part
+        aggs = [F.lit(int(raw_counts[0])).cast("bigint").alias("raw_rows"),
+                F.count_if(is_ref).alias("refined_rows"),
+                F.lit(int(raw_counts[1])).cast("bigint").alias("raw_kept")]
     for c in upper:
         aggs.append(F.count_if(is_ref & _failed_upper(F.col(c))).alias(f"bad_upper_{c}"))
     for c, values in allowed.items():
