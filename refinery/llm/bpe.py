@@ -29,10 +29,12 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import sys
 from array import array
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import regex
@@ -175,7 +177,6 @@ def codec(path: str) -> BytePairCodec:
 
 
 def little_endian(ids: array) -> bytes:
-    import sys
     if sys.byteorder == "big":
         ids = array("I", ids)
         ids.byteswap()
@@ -190,22 +191,23 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     def run(batches):
         own = codec(path)
         for batch in batches:
-            n, ids_sha, text_sha, lists = [], [], [], []
+            n, ids_sha, text_sha, every = [], [], [], array("I")
             for text in batch.column(1).to_pylist():
                 ids = own.encode(text)
                 n.append(len(ids))
                 ids_sha.append(hashlib.sha256(little_endian(ids)).hexdigest())
                 text_sha.append(hashlib.sha256(own.decode(ids)).hexdigest())
                 if with_ids:
-                    lists.append(ids.tolist())
+                    every.extend(ids)
             columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()),
                        pa.array(text_sha, pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
-                columns.append(pa.array(lists, pa.list_(pa.int64())))
+                offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(offsets, np.array(every, dtype=np.int32)))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, f"doc_id {id_type.simpleString()}, n_tokens long, ids_sha256 string, "
-                                "decoded_sha256 string" + ", ids array<long>" * with_ids)
+                                "decoded_sha256 string" + ", ids array<int>" * with_ids)

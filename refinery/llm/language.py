@@ -202,27 +202,24 @@ def fit(docs: DataFrame, per_lang: int = 600, max_rows: int = 6000, **options) -
     return train(*labelled_sample(rows, per_lang, max_rows), **options)
 
 
-def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text",
-             keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` of ``docs`` and lang_pred, lang_score, lang_accepted."""
+def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep: list[str] | None = None,
+             names: tuple[str, str, str] = ("lang_pred", "lang_score", "lang_accepted")) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (default: all) and three more: prediction, score
+    and whether it is accepted.  A column of ``docs`` of one of their names gives way."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    keep = list(docs.columns if keep is None else keep)
-    names = ["lang_pred", "lang_score", "lang_accepted"]
-    if set(names) & set(keep):
-        raise ValueError(f"columns {sorted(set(names) & set(keep))} are in use")
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).cast("string").alias("__text"))
-    schema = rows.schema
-    fields = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields[:-1]]
-                       + ["lang_pred string", "lang_score double", "lang_accepted boolean"])
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in names]
+    own = docs.select(*[F.col(f"`{c}`") for c in keep])
+    rows = docs.select(F.col(f"`{text_col}`").cast("string").alias(names[0]), *[F.col(f"`{c}`") for c in keep])
+    schema = (own.schema.add(names[0], "string").add(names[1], "double").add(names[2], "boolean"))
 
     def run(batches):
         for batch in batches:
-            lang, score, ok = sent.value.predict(batch.column(batch.num_columns - 1).to_pylist())
+            lang, score, ok = sent.value.predict(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(lang, pa.string()), pa.array(score), pa.array(ok)],
+                [*batch.columns[1:], pa.array(lang, pa.string()), pa.array(score), pa.array(ok)],
                 names=[*keep, *names])
 
-    return rows.mapInArrow(run, fields)
+    return rows.mapInArrow(run, schema)
 
 
 def evaluate(predicted: list[str], truth: list[str]) -> dict[str, float]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, simhash, spotsigs, token_counts, toxicity
+from . import bpe, chat, language, mixing, quality, secrets, simhash, spotsigs, token_counts, toxicity
 from .common import held_out, table
 
 
@@ -25,6 +25,16 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("lang_score").alias("score"), F.col("lang_accepted").alias("accepted"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: rules and Markov models."""
+    docs = table(spark, sf_dir, "documents")
+    found = F.col("found")
+    return secrets.scan(docs, secrets.train(docs)).select(
+        "doc_id", *[secrets.count_of(found, k).alias(f"n_{k}") for k in secrets.KINDS],
+        F.sha2(secrets.span_text(found, rules_only=True), 256).alias("base_sha256"),
+        secrets.span_text(found).alias("spans"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document and where its worst sentence starts."""
     docs = table(spark, sf_dir, "documents")
@@ -33,24 +43,41 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"), "worst_sentence")
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximal conversations in chat markup."""
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SpotSigs fingerprint of every document and of its edited text, and their likeness."""
     return spotsigs.next_document_likeness(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, rules and robust outlier verdict of every document."""
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document by the 32k piece vocabulary."""
     found = token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return found.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
+def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus mixed to 95 % of the greatest source entropy, at most 4 copies, on as
+    many tokens as it has."""
+    return mixing.mix(table(spark, sf_dir, "documents"), entropy=0.95, max_repeats=4.0, budget=1.0)
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded bytes of every document by the multilingual 50k ranks, as digests."""
     return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op2_language_id, op4_toxicity, op6_document_fingerprints,
-                            op8_token_counts, op10_byte_bpe)
+    f.__name__: f for f in (op1_simhash_near_dedup, op2_language_id, op3_secret_scan, op4_toxicity, op5_chat_format,
+                            op6_document_fingerprints, op7_quality_rules, op8_token_counts, op9_source_mix,
+                            op10_byte_bpe)
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op5_chat_format": chat.ORACLE}

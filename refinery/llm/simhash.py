@@ -275,3 +275,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     "groups")
     return (rows.join(groups, F.col("fp") == F.col("group_fp"), "left")
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
+
+
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                radius: int = 2) -> DataFrame:
+    """``docs`` with one row of each group: that of the smallest id (a null id is the
+    smallest; of one id, the row of the smallest hash; of equal rows, one).
+
+    Only the ids that go are joined to the texts.  Map columns don't count as
+    part of a row here."""
+    plain = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    tag = F.struct(F.col(f"`{id_col}`").alias("id"), F.xxhash64(*plain).alias("row"))
+    found = near_duplicates(docs.select(tag.alias("tag"), F.col(f"`{text_col}`").alias("text")), "tag", "text", shingle, radius)
+    found = shared(found.groupBy("doc_id").agg(F.first("component_id").alias("head"), F.count("*").alias("copies"))
+                   .select(F.col("doc_id.id").alias("__go_id"), F.col("doc_id.row").alias("__go_row"),
+                           F.col("doc_id").eqNullSafe(F.col("head")).alias("stays"), "copies"), "heads")
+    same = F.col("__tag.id").eqNullSafe(F.col("__go_id")) & (F.col("__tag.row") == F.col("__go_row"))
+    tagged = docs.withColumn("__tag", tag)
+    kept = tagged.join(found.where("not stays"), same, "left_anti")
+    repeated = found.where("stays and copies > 1")
+    if repeated.isEmpty():
+        return kept.drop("__tag")
+    once = kept.join(repeated, same, "left_semi").dropDuplicates(["__tag"])
+    return kept.join(repeated, same, "left_anti").unionByName(once).drop("__tag")
