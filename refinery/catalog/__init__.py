@@ -9,8 +9,9 @@ from refinery.catalog.tables import (
     list_tables,
     refresh,
     register,
+    same_name,
     table_stats,
 )
 
 __all__ = ["add_partition", "create_database", "crawl", "evolve", "list_tables", "refresh",
-           "register", "table_stats"]
+           "register", "same_name", "table_stats"]

@@ -12,13 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from refinery.csv_format import reader_options
 from refinery.functions.columns import pretty_size
 
 
 def _q(name: str) -> str:
+    if "`" in name:
+        raise ValueError(f"identifier may not contain a back-quote: {name!r}")
     return ".".join(f"`{part}`" for part in name.split("."))
 
 
+def _q_column(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _lit(value: object) -> str:
     """A Spark SQL string literal (backslash and quote escaped)."""
     text = str(value).replace("\\", "\\\\").replace("'", "\\'")
@@ -45,11 +52,11 @@ def register(spark: SparkSession, table: str, path: str, *, fmt: str = "parquet"
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {_q(table)}")
     if fmt == "csv":
-        options.setdefault("header", "true")
+        options = {**reader_options(header=True), **options}
     if schema is not None:
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        cols = ", ".join(f"{_q_column(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
         opts = ", ".join(f"{_lit(k)} {_lit(v)}" for k, v in {**options, "path": path}.items())
-        part = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+        part = f" PARTITIONED BY ({', '.join(map(_q_column, partition_by))})" if partition_by else ""
         spark.sql(f"CREATE TABLE {_q(table)} ({cols}) USING {fmt} OPTIONS ({opts}){part}")
     else:
         spark.catalog.createTable(table, path=path, source=fmt, **options)
@@ -96,7 +103,7 @@ def add_partition(spark: SparkSession, table: str, spec: Mapping[str, object],
     (``refresh``); the cost stays the same however many days the table
     holds.  Adding a partition that is already there is a no-op.
     """
-    values = ", ".join(f"`{k}` = {_lit(v)}" for k, v in spec.items())
+    values = ", ".join(f"{_q_column(k)} = {_lit(v)}" for k, v in spec.items())
     ddl = f"ALTER TABLE {_q(table)} ADD IF NOT EXISTS PARTITION ({values})"
     if location:
         ddl += f" LOCATION {_lit(location)}"
@@ -104,26 +111,37 @@ def add_partition(spark: SparkSession, table: str, spec: Mapping[str, object],
     spark.catalog.refreshTable(table)
 
 
+def same_name(spark: SparkSession, name: str) -> str:
+    """The form in which Spark compares column names."""
+    return name if spark.conf.get("spark.sql.caseSensitive") == "true" else name.lower()
+
+
 def evolve(spark: SparkSession, table: str, new_schema: StructType) -> dict[str, list[str]]:
-    """Schema drift policy.
+    """Schema drift policy.  Names are compared as Spark compares them.
 
     Columns in ``new_schema`` but not in the table are added (old files read
     them as NULL).  Columns missing from ``new_schema`` are not dropped: the
     table is marked ``deprecated`` with the names in a property, and the data
-    is left alone.  Returns ``{"added": [...], "deprecated": [...]}``.
+    is left alone.  A column of another type is reported and not altered: files
+    already written hold the old type.  Returns
+    ``{"added": [...], "deprecated": [...], "changed": ["name: old -> new", ...]}``.
     """
-    current = {c.name: c for c in spark.catalog.listColumns(table)}
-    added = [f for f in new_schema.fields if f.name not in current]
-    incoming = {f.name for f in new_schema.fields}
-    gone = [name for name, c in current.items() if name not in incoming and not c.isPartition]
+    fold = lambda name: same_name(spark, name)
+    current = {fold(f.name): f for f in spark.table(table).schema.fields}
+    partitions = set(map(fold, _partition_columns(spark, table)))
+    incoming = {fold(f.name): f for f in new_schema.fields}
+    added = [f for name, f in incoming.items() if name not in current]
+    gone = [f.name for name, f in current.items() if name not in incoming and name not in partitions]
+    changed = [f"{current[name].name}: {current[name].dataType.simpleString()} -> {f.dataType.simpleString()}"
+               for name, f in incoming.items() if name in current and current[name].dataType != f.dataType]
     if added:
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+        cols = ", ".join(f"{_q_column(f.name)} {f.dataType.simpleString()}" for f in added)
         spark.sql(f"ALTER TABLE {_q(table)} ADD COLUMNS ({cols})")
     if gone:
         spark.sql(f"ALTER TABLE {_q(table)} SET TBLPROPERTIES "
                   f"('deprecated' = 'true', 'deprecated_columns' = {_lit(','.join(gone))})")
     spark.catalog.refreshTable(table)
-    return {"added": [f.name for f in added], "deprecated": gone}
+    return {"added": [f.name for f in added], "deprecated": gone, "changed": changed}
 
 
 def list_tables(spark: SparkSession, database: str) -> DataFrame:

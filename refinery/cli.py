@@ -119,6 +119,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--date-column", default="Date")
     p.add_argument("--date-format", default=DATE_FORMAT)
     p.add_argument("--partition-column", default=DATE_PARTITION_COLUMN)
+    p.add_argument("--reject-path", help="folder of the rows without a date (default: OUTPUT_rejects)")
+    p.add_argument("--batch", help="name of this input in the reject table")
 
     p = sub.add_parser("refine", help="refine one day of a raw table into a partitioned table")
     p.add_argument("--database", required=True)
@@ -151,6 +153,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--jdbc-lower-bound", type=int)
     p.add_argument("--jdbc-upper-bound", type=int)
     p.add_argument("--jdbc-num-partitions", type=int)
+    p.add_argument("--jdbc-single-task", action="store_true", help="read a small table without a partition column")
     p.add_argument("--where", help="SQL predicate applied to the extract")
     p.add_argument("--source-name", default="database")
     p.add_argument("--root", required=True, help="folder holding raw/, refined/, audit/")
@@ -176,7 +179,7 @@ def _source(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
                           lower_bound=a.jdbc_lower_bound, upper_bound=a.jdbc_upper_bound,
                           num_partitions=a.jdbc_num_partitions)
         return read_jdbc(spark, a.jdbc_url, a.jdbc_table, a.jdbc_schema, where=a.where,
-                         **bounds, **_properties(a.jdbc_properties))
+                         single_task=a.jdbc_single_task, **bounds, **_properties(a.jdbc_properties))
     return df.where(a.where) if a.where else df
 
 
@@ -204,9 +207,10 @@ def run(spark: SparkSession, argv: Sequence[str]) -> int:
         if a.register_as:
             catalog.register(spark, a.register_as, a.output)
     elif a.command == "partition":
-        jobs.partition_job(spark, a.raw, a.output, date_column=a.date_column,
-                           date_format=a.date_format, partition_column=a.partition_column,
-                           schema=a.schema)
+        done = jobs.partition_job(spark, a.raw, a.output, date_column=a.date_column,
+                                  date_format=a.date_format, partition_column=a.partition_column,
+                                  schema=a.schema, reject_path=a.reject_path, batch=a.batch)
+        print(f"{done.rejected} rows without a date in {done.reject_path}")
     elif a.command == "refine":
         if bool(a.raw_table) == bool(a.input):
             raise SystemExit("give exactly one of --raw-table and --input")

@@ -2,7 +2,7 @@
 
 from refinery.functions.columns import (
     DEFAULT_TIERS,
-    MONEY_TYPE,
+    MONEY_SCALE,
     UPPERCASE_FAIL,
     UPPERCASE_PASS,
     date_text,
@@ -17,7 +17,7 @@ from refinery.functions.columns import (
 )
 
 __all__ = [
-    "DEFAULT_TIERS", "MONEY_TYPE", "UPPERCASE_FAIL", "UPPERCASE_PASS",
+    "DEFAULT_TIERS", "MONEY_SCALE", "UPPERCASE_FAIL", "UPPERCASE_PASS",
     "date_text", "is_integral", "line_total", "money", "parse_date", "pretty_size",
     "reduction_pct", "tier_label", "uppercase_verdict",
 ]

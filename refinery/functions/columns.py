@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # --- fixed values (must equal the reference job's) --------------------------
-# Segment cut-offs and labels of the customer segmentation job, first match
-# wins, compared with >=; anything else (including a null total) gets the
-# default label.
+# Segment cut-offs of the customer segmentation job, first match wins, compared
+# with >=; anything else (including a null total) gets the default label.  The
+# labels are defaults of this package; every job takes its own.
 DEFAULT_TIERS: tuple[tuple[int, str], ...] = ((28000, "High Value"), (20000, "Medium Value"))
 DEFAULT_TIER_LABEL = "Low Value"
 # Verdict labels of the uppercase check.
@@ -33,8 +33,10 @@ REFINED_TABLE_PREFIX = "refined_"
 # -----------------------------------------------------------------------------
 
 # Money is multiplied and summed as an exact decimal so the result does not
-# depend on partition order (a double sum does).
-MONEY_TYPE = T.DecimalType(18, 2)
+# depend on partition order (a double sum does).  Amounts hold up to MONEY_SCALE
+# decimal places; products then have twice as many and still fit 38 digits.
+MONEY_SCALE = 6
+MONEY_DIGITS = 18
 
 
 def _col(c: str | Column) -> Column:
@@ -46,19 +48,28 @@ def is_integral(df: DataFrame, name: str) -> bool:
                       (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
 
 
-def money(c: str | Column) -> Column:
-    return _col(c).cast(MONEY_TYPE)
+def money(c: str | Column, scale: int = MONEY_SCALE) -> Column:
+    """The amount as DECIMAL(18, ``scale``), exactly: an amount with more decimal
+    places (or too many digits) fails the job instead of being rounded.
+
+    A double counts as the decimal it prints as (0.1 is 0.1)."""
+    v = _col(c)
+    kind = T.DecimalType(MONEY_DIGITS, scale)
+    exact = v.try_cast(kind)
+    failed = F.raise_error(F.concat(F.lit("amount does not fit the money scale: "), v.cast("string")))
+    return F.when(v.isNull() | F.coalesce(exact == v, F.lit(False)), exact).otherwise(failed.cast(kind))
 
 
-def line_total(price: str | Column, quantity: str | Column, integral: bool = False) -> Column:
+def line_total(price: str | Column, quantity: str | Column, integral: bool = False,
+               scale: int = MONEY_SCALE) -> Column:
     """``price * quantity``.
 
     Integral inputs are widened to bigint first (int * int overflows under
-    ANSI); anything else is multiplied as DECIMAL(18,2) x DECIMAL(18,2).
+    ANSI); anything else is multiplied as exact decimals (see :func:`money`).
     """
     if integral:
         return _col(price).cast("bigint") * _col(quantity).cast("bigint")
-    return money(price) * money(quantity)
+    return money(price, scale) * money(quantity, scale)
 
 
 def tier_label(value: str | Column,

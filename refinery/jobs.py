@@ -15,9 +15,11 @@ from the source.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,13 +33,12 @@ from refinery.functions.columns import (
     REFINED_TABLE_PREFIX,
     parse_date,
 )
-from refinery.operators.quality import raw_count_columns, run_checks
+from refinery.operators.quality import run_checks
 from refinery.operators.refine import refine
 from refinery.operators.segmentation import segment_customers
-from refinery.plans.inspect import byte_setting, estimated_bytes
 from refinery.session import scratch_path
-from refinery.sinks.audit import append_audit, land_with_audit
-from refinery.sinks.files import write_compact, write_csv, write_partitioned
+from refinery.sinks.audit import land_with_audit, record_audit
+from refinery.sinks.files import replace_day, write_compact, write_csv, write_partitioned
 from refinery.sources.files import read_csv
 
 
@@ -45,24 +46,6 @@ class CheckFailed(RuntimeError):
     """A data-quality check returned ``passed = false``."""
 
 
-SKEW_THRESHOLD = "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"
-
-
-def segmentation_stage(spark: SparkSession, customers: DataFrame) -> str | None:
-    """Where to stage the segmentation join, or ``None`` when it cannot help.
-
-    AQE calls a join partition skewed only above ``SKEW_THRESHOLD``, so a
-    customer input smaller than that cannot give a skewed customer key and is
-    joined lazily.  A larger one (or one whose size is unknown) is staged in
-    the shared checkpoint folder (see ``customer_totals``).
-    """
-    size = estimated_bytes(customers)
-    threshold = byte_setting(spark.conf.get(SKEW_THRESHOLD, "256MB"))
-    if size is not None and size <= threshold:
-        return None
-    return scratch_path(spark, "segmentation_stage")
-
-
 def segmentation_job(spark: SparkSession, sales_path: str, customer_path: str,
                      output_path: str, *, tiers=DEFAULT_TIERS,
                      default_label: str = DEFAULT_TIER_LABEL,
@@ -72,12 +55,10 @@ def segmentation_job(spark: SparkSession, sales_path: str, customer_path: str,
     """Headered CSV in, segmented CSV out (no header line by default, as
     Spark writes it).  Pass schemas to skip type inference at scale.
     Both aggregated sides are staged in the shared checkpoint folder before
-    the join when the customer input could hold a skewed key (see
-    :func:`segmentation_stage`)."""
+    the join (see ``customer_totals``)."""
     sales = read_csv(spark, sales_path, schema=sales_schema)
     customers = read_csv(spark, customer_path, schema=customer_schema)
-    result = segment_customers(sales, customers, tiers=tiers, default_label=default_label,
-                               stage=segmentation_stage(spark, customers))
+    result = segment_customers(sales, customers, tiers=tiers, default_label=default_label)
     return write_csv(result, output_path, header=header)
 
 
@@ -86,35 +67,56 @@ def segmentation_catalog_job(spark: SparkSession, sales_table: str, customer_tab
                              default_label: str = DEFAULT_TIER_LABEL) -> str:
     """Catalog tables in, Parquet (snappy, as few files as the size allows)
     out; staged like :func:`segmentation_job`."""
-    customers = spark.table(customer_table)
-    result = segment_customers(spark.table(sales_table), customers,
-                               tiers=tiers, default_label=default_label,
-                               stage=segmentation_stage(spark, customers))
+    result = segment_customers(spark.table(sales_table), spark.table(customer_table),
+                               tiers=tiers, default_label=default_label)
     return write_compact(result, output_path)
 
 
+class Partitioned(NamedTuple):
+    """What :func:`partition_job` wrote: the table, the rows without a date, their number."""
+
+    path: str
+    reject_path: str
+    rejected: int
+
+
 def partition_job(spark: SparkSession, raw_path: str, refined_path: str, *,
                   date_column: str = "Date", date_format: str = DATE_FORMAT,
                   partition_column: str = DATE_PARTITION_COLUMN,
-                  schema: T.StructType | str | None = None) -> str:
+                  schema: T.StructType | str | None = None,
+                  reject_path: str | None = None, batch: str | None = None) -> Partitioned:
     """Raw CSV -> parse the text date -> Parquet partitioned by that date.
-    Only the dates present in this batch are replaced."""
-    raw = read_csv(spark, raw_path, schema=schema)
-    parsed = raw.withColumn(partition_column, parse_date(date_column, date_format))
-    return write_partitioned(parsed, refined_path, [partition_column], dynamic=True)
+
+    Only the dates present in this batch are replaced.  Rows whose date does not
+    parse (or is missing) are kept in the reject table (default: beside the
+    refined one) under ``batch``, which names this input (default: a digest of
+    ``raw_path``): the same batch again replaces its rejects, another batch keeps
+    them.  The text is parsed once; both writes read the staged result."""
+    refined_path = refined_path.rstrip("/")
+    reject_path = (reject_path or f"{refined_path}_rejects").rstrip("/")
+    batch = batch or hashlib.sha256(raw_path.encode()).hexdigest()[:16]
+    parsed = read_csv(spark, raw_path, schema=schema).withColumn(partition_column, parse_date(date_column, date_format))
+    stage = scratch_path(spark, "parsed_dates")
+    parsed.write.parquet(stage)
+    staged = spark.read.schema(parsed.schema).parquet(stage)
+    dated = F.col(partition_column).isNotNull()
+    write_partitioned(staged.where(dated), refined_path, [partition_column], dynamic=True)
+    folder = replace_day(staged.where(~dated).drop(partition_column), reject_path, "batch", batch)
+    rejected = spark.read.schema(staged.drop(partition_column).schema).parquet(folder).count()
+    return Partitioned(refined_path, reject_path, rejected)
 
 
 def extract_job(spark: SparkSession, source_df: DataFrame, raw_base: str, table: str,
                 ds: str | None, *, source: str, database: str | None = None,
-                audit_path: str | None = None) -> str | None:
+                audit_path: str | None = None) -> tuple[str | None, int]:
     """Land one extract at ``raw_base/table[/dt=ds]`` and record the audit row.
-    Returns the folder written, or ``None`` for an empty extract."""
+    Returns the folder written (``None`` for an empty extract) and the rows extracted."""
     path, rows = land_with_audit(source_df, raw_base, table, ds, source=source,
                                  database=database)
     if audit_path is not None:
-        append_audit(spark, audit_path, source=source, table=table, database=database,
+        record_audit(spark, audit_path, source=source, table=table, database=database,
                      ds=ds, rows=rows, path=path)
-    return path
+    return path, rows
 
 
 def extract_many(spark: SparkSession, sources: dict[str, DataFrame], raw_base: str,
@@ -124,85 +126,108 @@ def extract_many(spark: SparkSession, sources: dict[str, DataFrame], raw_base: s
     results = []
     for table, df in sources.items():
         try:
-            path = extract_job(spark, df, raw_base, table, ds, source=source,
-                               audit_path=audit_path)
+            path, _ = extract_job(spark, df, raw_base, table, ds, source=source,
+                                  audit_path=audit_path)
             results.append((table, path, None))
         except Exception as exc:  # keep going, report it
-            results.append((table, None, f"{type(exc).__name__}: {exc}"[:500]))
+            results.append((table, None, f"{type(exc).__name__}: {exc}"))
     return spark.createDataFrame(results, "table_name string, path string, error string")
 
 
 def refine_job(raw_day: DataFrame, refined_path: str, ds: str, *,
                keep: dict[str, Sequence[object]], upper: Sequence[str],
-               drop: Sequence[str], partition_column: str = "dt",
-               observation: Observation | None = None) -> str:
-    """Refine one day and replace only that day's partition.  With
-    ``observation`` the raw rows are counted as they are read
-    (``raw_rows``, ``raw_kept``; see ``raw_count_columns``)."""
-    if observation is not None:
-        raw_day = raw_day.observe(observation, *raw_count_columns(keep))
+               drop: Sequence[str], partition_column: str = "dt") -> str:
+    """Refine one day and make that day's partition hold exactly the result, also
+    if no row is kept."""
     out = refine(raw_day.drop(partition_column), keep=keep, upper=upper, drop=drop)
-    out = out.withColumn(partition_column, F.lit(ds).cast("date"))
-    return write_partitioned(out, refined_path, [partition_column], dynamic=True)
+    return replace_day(out, refined_path, partition_column, ds)
 
 
-def validate_job(raw: DataFrame | None, refined: DataFrame, *, upper: Sequence[str] = (),
+def validate_job(raw: DataFrame, refined: DataFrame, *, upper: Sequence[str] = (),
                  allowed: dict[str, Sequence[object]] | None = None,
                  absent: Sequence[str] = (), fail: bool = True,
-                 raw_counts: tuple[int, int] | None = None) -> list:
+                 landed_rows: int | None = None) -> list:
     """Run all checks; the verdict (one row per check) is collected and the
-    job fails when any check did not pass.  ``raw_counts``: see
+    job fails when any check did not pass.  ``landed_rows``: see
     ``run_checks``."""
     verdict = run_checks(raw, refined, upper=upper, allowed=allowed, absent=absent,
-                         raw_counts=raw_counts).collect()
+                         landed_rows=landed_rows).collect()
     failed = [r for r in verdict if not r["passed"]]
     if failed and fail:
         raise CheckFailed("; ".join(f"{r['check']}: {r['detail']}" for r in failed))
     return verdict
 
 
+class SchemaChanged(RuntimeError):
+    """A source column has another type than the raw table."""
+
+
+def in_table_order(spark: SparkSession, source_df: DataFrame, table: str, partition_column: str) -> DataFrame:
+    """``source_df`` as ``table`` has its columns: matched by name, in the table's
+    order and under its names; columns the source no longer has are NULL."""
+    fold = lambda name: catalog.same_name(spark, name)
+    own = {fold(c): c for c in source_df.columns}
+    return source_df.select(*[
+        (F.col(f"`{own[fold(f.name)]}`") if fold(f.name) in own else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in spark.table(table).schema.fields if fold(f.name) != fold(partition_column)])
+
+
 def daily_job(spark: SparkSession, ds: str, source_df: DataFrame, *, root: str,
               database: str, table: str, keep: dict[str, Sequence[object]],
               upper: Sequence[str], drop: Sequence[str], source: str = "database",
               raw_prefix: str = RAW_TABLE_PREFIX, refined_prefix: str = REFINED_TABLE_PREFIX,
               fail_on_check: bool = True) -> dict[str, object]:
-    """One run for date ``ds``; running the same date again changes nothing.
+    """One run for date ``ds``; running the same date again leaves the same tables
+    and the same audit row.
 
     extract -> land ``raw/<table>/dt=ds`` (CSV) -> register / add the raw
     partition -> refine the day -> replace ``refined/<table>/dt=ds``
-    (Parquet) -> register / add the refined partition -> checks on the day.
-    The catalog learns the one partition written (``add_partition``); the
-    first run's ``register`` recovers whatever folders already exist.
+    (Parquet) -> register / add the refined partition -> checks on the day,
+    counted from the written tables (raw as read against the rows extracted,
+    refined against raw).
+
+    Drift: columns are matched by name.  New ones are added to both tables, ones
+    that are gone land as NULL, another order or case changes nothing, and another
+    type raises before anything is written.  The catalog learns the one partition
+    written (``add_partition``); the first run's ``register`` recovers whatever
+    folders already exist.
     """
     root = root.rstrip("/")
     raw_base, refined_path = f"{root}/raw", f"{root}/refined/{table}"
     catalog.create_database(spark, database, location=f"{root}/_catalog")
     raw_table, refined_table = f"{database}.{raw_prefix}{table}", f"{database}.{refined_prefix}{table}"
 
-    landed = extract_job(spark, source_df, raw_base, table, ds, source=source,
-                         database=database, audit_path=f"{root}/audit")
+    drift = None
+    if spark.catalog.tableExists(raw_table):
+        drift = catalog.evolve(spark, raw_table, source_df.schema)
+        if drift["changed"]:
+            raise SchemaChanged("; ".join(drift["changed"]))
+        source_df = in_table_order(spark, source_df, raw_table, "dt")
+
+    landed, rows = extract_job(spark, source_df, raw_base, table, ds, source=source,
+                               database=database, audit_path=f"{root}/audit")
     if landed is None:
-        return {"ds": ds, "landed": None, "verdict": []}
+        return {"ds": ds, "landed": None, "verdict": [], "drift": drift}
 
-    raw_schema = T.StructType(source_df.schema.fields + [T.StructField("dt", T.DateType())])
     if not spark.catalog.tableExists(raw_table):
+        raw_schema = T.StructType(source_df.schema.fields + [T.StructField("dt", T.DateType())])
         catalog.register(spark, raw_table, f"{raw_base}/{table}", fmt="csv",
                          schema=raw_schema, partition_by=("dt",))
     # Only the day just written is added: no listing of all earlier days.
     catalog.add_partition(spark, raw_table, {"dt": ds})
 
-    raw_day = spark.table(raw_table).where(F.col("dt") == F.lit(ds).cast("date"))
-    # The raw rows are counted while they are refined: the checks below then
-    # read only the refined day, not the raw CSV a second time.
-    seen = Observation(f"raw_{table}")
-    refine_job(raw_day, refined_path, ds, keep=keep, upper=upper, drop=drop, observation=seen)
-    raw_counts = (int(seen.get["raw_rows"]), int(seen.get["raw_kept"]))
+    # Read by the header: a landing whose columns are not the table's fails here.
+    raw_day = read_csv(spark, landed, schema=source_df.schema, own=True, enforceSchema=False)
+    refine_job(raw_day, refined_path, ds, keep=keep, upper=upper, drop=drop)
     if not spark.catalog.tableExists(refined_table):
         catalog.register(spark, refined_table, refined_path, fmt="parquet")
+    else:
+        refined_schema = refine(raw_day, keep=keep, upper=upper, drop=drop).schema
+        catalog.evolve(spark, refined_table, refined_schema)
     catalog.add_partition(spark, refined_table, {"dt": ds})
 
-    refined_day = spark.table(refined_table).where(F.col("dt") == F.lit(ds).cast("date"))
-    verdict = validate_job(None, refined_day, upper=upper, allowed=keep, absent=drop,
-                           fail=fail_on_check, raw_counts=raw_counts)
+    day = F.col("dt") == F.lit(ds).cast("date")
+    verdict = validate_job(spark.table(raw_table).where(day), spark.table(refined_table).where(day),
+                           upper=upper, allowed=keep, absent=drop, fail=fail_on_check, landed_rows=rows)
     return {"ds": ds, "landed": landed, "raw_table": raw_table,
-            "refined_table": refined_table, "verdict": verdict}
+            "refined_table": refined_table, "verdict": verdict, "drift": drift}

@@ -8,6 +8,7 @@ from refinery.operators.quality import (
     sample_rows,
     top_k,
     uppercase_counts,
+    validate_columns,
     value_counts,
 )
 from refinery.operators.pruning import data_reduction, partition_counts
@@ -15,5 +16,5 @@ from refinery.operators.pruning import data_reduction, partition_counts
 __all__ = [
     "compare_counts", "customer_totals", "data_reduction", "partition_counts",
     "refine", "run_checks", "sample_rows", "segment_customers", "top_k",
-    "uppercase_counts", "value_counts",
+    "uppercase_counts", "validate_columns", "value_counts",
 ]

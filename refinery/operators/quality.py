@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refinery.functions.columns import uppercase_verdict
+from refinery.operators.refine import among, has_column, resolve
 
 
 def uppercase_counts(df: DataFrame, column: str, label: str = "uppercase_validation",
@@ -71,71 +72,50 @@ def _failed_upper(c: Column) -> Column:
     return ~F.coalesce(c == F.upper(c), F.lit(False))
 
 
-def _not_allowed(c: Column, values: Sequence[object]) -> Column:
-    return ~F.coalesce(c.isin(list(values)), F.lit(False))
-
-
-def _as_text(values: Sequence[object]) -> list[Column]:
-    # Spark's own cast of each value, so it matches the column cast to string
-    # (True -> 'true', 1.0 -> '1.0', dates as yyyy-MM-dd).
-    return [F.lit(v).cast("string") for v in values]
-
-
-def raw_count_columns(allowed: dict[str, Sequence[object]] | None) -> list[Column]:
-    """``raw_rows`` and ``raw_kept`` (rows passing every allowed list, by the
-    same text comparison as the checks) as aggregate columns: for
-    ``DataFrame.observe`` on the raw rows while they are refined, so the
-    row-count check needs no second read of raw."""
-    kept = F.lit(True)
-    for c, values in (allowed or {}).items():
-        kept = kept & ~_not_allowed(F.col(c).cast("string"), _as_text(values))
-    return [F.count(F.lit(1)).alias("raw_rows"), F.count_if(kept).alias("raw_kept")]
+def validate_columns(tables: Sequence[tuple[str, DataFrame]], absent: Iterable[str]) -> DataFrame:
+    """(table_name, column_name, row_count, passed, detail): whether each column is
+    gone from each table, with the rows of the table."""
+    parts = []
+    for name, df in tables:
+        rows = [F.struct(F.lit(name).alias("table_name"), F.lit(c).alias("column_name"),
+                         F.col("row_count"), F.lit(not has_column(df, c)).alias("passed"),
+                         F.lit("column present" if has_column(df, c) else "column absent").alias("detail"))
+                for c in absent]
+        parts.append(df.agg(F.count(F.lit(1)).alias("row_count")).select(F.inline(F.array(*rows))))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
-def run_checks(raw: DataFrame | None, refined: DataFrame, *, upper: Iterable[str] = (),
+def run_checks(raw: DataFrame, refined: DataFrame, *, upper: Iterable[str] = (),
                allowed: dict[str, Sequence[object]] | None = None,
-               absent: Iterable[str] = (),
-               raw_counts: tuple[int, int] | None = None) -> DataFrame:
-    """All checks in one pass.
+               absent: Iterable[str] = (), landed_rows: int | None = None) -> DataFrame:
+    """All checks in one pass over each table.
 
     * ``uppercase:<c>``   every refined value of ``c`` is upper case
     * ``allowed:<c>``     every refined value of ``c`` is in the allowed list
     * ``absent:<c>``      column ``c`` is not in the refined table (schema only)
+    * ``landed``          raw rows as read == ``landed_rows``, the rows the extract
+                          counted (only when given)
     * ``row_counts``      refined rows == raw rows passing the allowed lists
 
-    ``raw_counts`` = (raw rows, raw rows passing the allowed lists) when they
-    were already counted (see :func:`raw_count_columns`); ``raw`` is then
-    not read and may be ``None``.
+    Values are compared in the columns' own types, as ``refine`` does.
     """
-    upper = list(upper)
+    upper, absent = list(upper), list(absent)
     allowed = dict(allowed or {})
-    absent = list(absent)
-    used = sorted(set(upper) | set(allowed))
-    tag = "__is_raw"
-    # Only the allowed-list columns are needed from raw; the rest are NULL.
-    raw_part = None if raw_counts is not None else raw.select(F.lit(True).alias(tag), *[
-        (F.col(c) if c in allowed else F.lit(None)).cast("string").alias(c) for c in used])
-    ref_part = refined.select(F.lit(False).alias(tag),
-                              *[F.col(c).cast("string").alias(c) for c in used])
-    is_raw, is_ref = F.col(tag), ~F.col(tag)
-    if raw_counts is None:
-        both = raw_part.unionByName(ref_part)
-        kept_raw = is_raw
-        for c, values in allowed.items():
-            kept_raw = kept_raw & ~_not_allowed(F.col(c), _as_text(values))
-        aggs = [F.count_if(is_raw).alias("raw_rows"), F.count_if(is_ref).alias("refined_rows"),
-                F.count_if(kept_raw).alias("raw_kept")]
-    else:
-        both = ref_part
-        aggs = [F.lit(int(raw_counts[0])).cast("bigint").alias("raw_rows"),
-                F.count_if(is_ref).alias("refined_rows"),
-                F.lit(int(raw_counts[1])).cast("bigint").alias("raw_kept")]
-    for c in upper:
-        aggs.append(F.count_if(is_ref & _failed_upper(F.col(c))).alias(f"bad_upper_{c}"))
+    kept = F.lit(True)
     for c, values in allowed.items():
-        aggs.append(F.count_if(is_ref & _not_allowed(F.col(c), _as_text(values)))
-                    .alias(f"bad_allowed_{c}"))
-    stats = both.agg(*aggs)
+        kept = kept & among(raw, c, values)
+    flags = {"is_ref": F.lit(True),
+             **{f"bad_upper_{i}": _failed_upper(F.col(f"`{resolve(refined, c)}`")) for i, c in enumerate(upper)},
+             **{f"bad_allowed_{i}": ~among(refined, c, v) for i, (c, v) in enumerate(allowed.items())}}
+    # Only flags leave the scans; rows of the two tables are told apart by is_ref.
+    both = (raw.select(F.lit(False).alias("is_ref"), kept.alias("kept"),
+                       *[F.lit(False).alias(f) for f in flags if f != "is_ref"])
+            .unionByName(refined.select(*[c.alias(f) for f, c in flags.items()], F.lit(False).alias("kept"))))
+    stats = both.agg(F.count_if(~F.col("is_ref")).alias("raw_rows"), F.count_if("is_ref").alias("refined_rows"),
+                     F.count_if("kept").alias("raw_kept"), *[F.count_if(f).alias(f) for f in flags if f != "is_ref"])
 
     def verdict(name: str, passed: Column, detail: Column) -> Column:
         return F.struct(F.lit(name).alias("check"), passed.alias("passed"),
@@ -143,20 +123,23 @@ def run_checks(raw: DataFrame | None, refined: DataFrame, *, upper: Iterable[str
 
     refined_rows = F.col("refined_rows").cast("string")
     rows = []
-    for c in upper:
-        bad = F.col(f"bad_upper_{c}")
+    for i, c in enumerate(upper):
+        bad = F.col(f"bad_upper_{i}")
         rows.append(verdict(f"uppercase:{c}", bad == 0,
                             F.concat(bad.cast("string"), F.lit(" of "), refined_rows,
                                      F.lit(" rows not upper case"))))
-    for c in allowed:
-        bad = F.col(f"bad_allowed_{c}")
+    for i, c in enumerate(allowed):
+        bad = F.col(f"bad_allowed_{i}")
         rows.append(verdict(f"allowed:{c}", bad == 0,
                             F.concat(bad.cast("string"), F.lit(" of "), refined_rows,
                                      F.lit(" rows outside the allowed values"))))
     for c in absent:
-        present = c in refined.columns
+        present = has_column(refined, c)
         rows.append(verdict(f"absent:{c}", F.lit(not present),
                             F.lit("column present" if present else "column absent")))
+    if landed_rows is not None:
+        rows.append(verdict("landed", F.col("raw_rows") == F.lit(int(landed_rows)),
+                            F.concat(F.lit(f"extracted {int(landed_rows)}, raw "), F.col("raw_rows").cast("string"))))
     rows.append(verdict("row_counts", F.col("refined_rows") == F.col("raw_kept"),
                         F.concat(F.lit("raw "), F.col("raw_rows").cast("string"),
                                  F.lit(", expected refined "), F.col("raw_kept").cast("string"),

@@ -72,9 +72,3 @@ def run_sql_check(spark: SparkSession, check: str, table: str, *, raw: str | Non
     text = SQL_CHECKS[check].format(table=_ident(table), raw=_ident(raw) if raw else "",
                                     n=int(n), **cols, **_LABELS)
     return spark.sql(text)
-
-
-def columns_absent(spark: SparkSession, table: str, columns: list[str]) -> dict[str, bool]:
-    """Column-drop check from the table header (catalog metadata, no scan)."""
-    present = set(spark.table(table).columns)
-    return {c: c not in present for c in columns}

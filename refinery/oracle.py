@@ -4,11 +4,11 @@ joins, GROUP BY and CASE over the source tables."""
 
 from __future__ import annotations
 
-from refinery.queries import DAY, FILTER_SQL, KIND, RUN_DATES, STATE
+from refinery.queries import DAY, FILTER_SQL, KIND, RUN_DATES, STATE, TEXT_TABLES
 
 _SALES = """
     SELECT o.o_custkey AS CustomerID,
-           CAST(p.p_retailprice AS DECIMAL(18,2)) * CAST(l.l_quantity AS DECIMAL(18,2)) AS amount
+           CAST(p.p_retailprice AS DECIMAL(18,6)) * CAST(l.l_quantity AS DECIMAL(18,6)) AS amount
     FROM lineitem l
     JOIN orders o ON l.l_orderkey = o.o_orderkey
     JOIN part p ON l.l_partkey = p.p_partkey"""
@@ -26,6 +26,21 @@ FROM sales s JOIN cust c ON s.CustomerID = c.CustomerID
 GROUP BY c.CustomerID, c.Name, c.Age, c.Gender
 """
 
+EXACT = f"""
+WITH sales AS (
+    SELECT o.o_custkey AS CustomerID,
+           CAST((CAST(p.p_retailprice AS DECIMAL(18,3)) + CAST(o.o_custkey % 10 + 1 AS DECIMAL(18,3)) / 1000)
+                AS DECIMAL(18,3)) * CAST(l.l_quantity AS DECIMAL(18,0)) AS amount
+    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey)
+SELECT c.c_custkey AS CustomerID, c.c_name AS Name, c.c_nationkey AS Age, c.c_mktsegment AS Gender,
+       CAST(SUM(s.amount) AS DOUBLE) AS Total_sales,
+       CASE WHEN SUM(s.amount) >= 1500000 THEN 'High Value'
+            WHEN SUM(s.amount) >= 900000 THEN 'Medium Value'
+            ELSE 'Low Value' END AS Segmentation_column
+FROM sales s JOIN customer c ON s.CustomerID = c.c_custkey
+GROUP BY ALL
+"""
+
 _EVENTS = "SELECT *, CAST(ts AS DATE) AS date_partition FROM events"
 
 _RAW = """SELECT p_partkey AS customer_id, p_brand AS customer_unique_id,
@@ -47,6 +62,7 @@ def _daily_refined() -> str:
 
 ORACLE: dict[str, str] = {
     "customer_segmentation": SEGMENTATION,
+    "segmentation_exact_money": EXACT,
     "segmentation_csv_job": SEGMENTATION,
     "segmentation_catalog": SEGMENTATION,
     "csv_scan": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
@@ -60,6 +76,16 @@ ORACLE: dict[str, str] = {
         SELECT o_orderkey,
                CAST(strptime(strftime(o_orderdate, '%d-%m-%Y'), '%d-%m-%Y') AS DATE) AS order_date
         FROM orders""",
+    "date_parse_counts": """SELECT o_orderdate AS order_date, COUNT(*) AS "count" FROM (
+        SELECT CAST(o_orderdate AS DATE) AS o_orderdate FROM orders) GROUP BY 1""",
+    "partition_csv_job": f"""
+        WITH t AS (SELECT event_id, CASE WHEN event_id % 50 = 0 THEN 'soon'
+                             WHEN event_id % 77 <> 0 THEN strftime(ts, '%d-%m-%Y') END AS "Date",
+                          event_id % 50 = 0 OR event_id % 77 = 0 AS bad, CAST(ts AS DATE) AS d FROM events)
+        SELECT event_id, "Date", CASE WHEN NOT bad THEN d END AS date_partition,
+               CASE WHEN bad THEN CASE WHEN d < DATE '{DAY}' THEN 'early' ELSE 'late' END END AS batch,
+               (SELECT COUNT(*) FROM t WHERE bad) AS rejected_in_all
+        FROM t""",
     "filter_partition": f"SELECT * FROM ({_EVENTS}) WHERE date_partition = DATE '{DAY}'",
     "filter_data": f"SELECT * FROM ({_EVENTS}) WHERE event_type = '{KIND}'",
     "filter_combined": f"""SELECT * FROM ({_EVENTS})
@@ -123,6 +149,12 @@ ORACLE: dict[str, str] = {
                'raw ' || CAST(raw_rows AS VARCHAR) || ', expected refined '
                || CAST(raw_kept AS VARCHAR) || ', refined ' || CAST(refined_rows AS VARCHAR)
         FROM r, f""",
+    "validate_columns": f"""
+        SELECT 'Raw Table' AS table_name, 'customer_unique_id' AS column_name, COUNT(*) AS row_count,
+               false AS passed, 'column present' AS detail FROM ({_RAW})
+        UNION ALL
+        SELECT 'Refined Table', 'customer_unique_id', COUNT(*), true, 'column absent' FROM ({_REFINED})""",
+    "file_inventory": f"SELECT DISTINCT date_partition, true AS all_filled FROM ({_EVENTS})",
     "sql_validate_state": f"""
         SELECT customer_state, COUNT(*) AS "count" FROM ({_REFINED}) GROUP BY customer_state""",
     "register_table": f"SELECT *, DATE '{RUN_DATES[0]}' AS dt FROM ({_RAW})",
@@ -143,9 +175,22 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT 'parquet', 'supplier', DATE '{RUN_DATES[0]}', COUNT(*) FROM supplier""",
     "daily_refine": _daily_refined(),
+    "daily_refine_text": f"""
+        SELECT doc_id, text, lang, UPPER(source) AS source, DATE '{RUN_DATES[0]}' AS dt
+        FROM documents WHERE lang IN ('en', 'fr')""",
+    "daily_refine_drift": f"""
+        SELECT customer_id, customer_zip_code_prefix, customer_city, customer_state,
+               CAST(NULL AS VARCHAR) AS store_note, DATE '{RUN_DATES[0]}' AS dt FROM ({_REFINED})
+        UNION ALL
+        SELECT customer_id, NULL, customer_city, customer_state,
+               'store ' || CAST(customer_id AS VARCHAR), DATE '{RUN_DATES[1]}' FROM ({_REFINED})""",
     "incremental_refine": _daily_refined(),
 }
 
+for _name in TEXT_TABLES:
+    ORACLE[f"csv_headerless_roundtrip_{_name}"] = f"SELECT * FROM {_name}"
+    ORACLE[f"raw_landing_{_name}"] = f"SELECT *, DATE '{RUN_DATES[0]}' AS dt FROM {_name}"
+
 # The SQL-text checks compute the same results as their DataFrame forms.
 for _name in ("validate_uppercase", "validate_row_counts", "sample_rows", "top_cities"):
     ORACLE[f"sql_{_name}"] = ORACLE[_name]

@@ -59,28 +59,3 @@ def scan_filters(df: DataFrame) -> dict[str, list[list[str]]]:
 def files_read(df: DataFrame) -> DataFrame:
     """Distinct files a query scans (one row per file)."""
     return df.select(F.col("_metadata.file_path").alias("file_path")).distinct()
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (file sizes for a scan, table
-    statistics when analysed), or ``None`` when it is unknown (rows built
-    in Python, which Catalyst sizes as ``Long.MaxValue``) or cannot be read
-    (Spark Connect)."""
-    try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except Exception:
-        return None
-    return None if size >= (1 << 63) - 1 else size
-
-
-_UNITS = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}
-
-
-def byte_setting(value: str) -> int:
-    """A Spark byte-size setting ("256MB", "64m", "1048576") as bytes
-    (binary units, as Spark reads them)."""
-    text = value.strip().lower()
-    match = re.fullmatch(r"(\d+)\s*([bkmgtp]?)b?", text)
-    if not match:
-        raise ValueError(f"not a byte size: {value!r}")
-    return int(match.group(1)) * _UNITS[match.group(2) or "b"]

@@ -3,9 +3,7 @@ DataFrame`` over the driver's test tables, plus the equivalent DuckDB SQL.
 
 Queries that exercise a sink write below the session's shared checkpoint
 folder (``refinery.session.scratch_path``) and return a DataFrame reading
-the written data back.  Written bases shared by several queries (the
-date-partitioned events, the refined store customers) are written once per
-session and sf folder.
+the written data back.  Nothing is kept between queries: each builds its inputs.
 """
 
 from __future__ import annotations
@@ -27,6 +25,7 @@ from refinery.operators import (
     segment_customers,
     top_k,
     uppercase_counts,
+    validate_columns,
     value_counts,
 )
 from refinery.functions.columns import (
@@ -40,8 +39,9 @@ from refinery.functions.columns import (
 )
 from refinery.operators.sql_checks import run_sql_check
 from refinery.session import scratch_path
+from refinery.sinks.audit import read_audit
 from refinery.sinks.files import land_raw, write_csv, write_partitioned
-from refinery.sources.files import file_inventory, read_csv, read_parquet, read_partition
+from refinery.sources.files import inventory_by_folder, read_csv, read_parquet, read_partition
 from refinery.streaming.new_folders import refine_new_landings
 
 # Parameters of the queries on the test tables (fixed, also used in the SQL).
@@ -50,29 +50,16 @@ KIND = "click"                  # data filter (event_type stands in for Customer
 STATE = "LARGE"                 # kept state (p_type stands in for customer_state)
 RUN_DATES = ("2024-01-01", "2024-01-02")
 FILTER_SQL = "o_orderstatus = 'F' AND o_totalprice > 200000"
+TEXT_TABLES = ("documents", "events", "conversations")     # landed besides the clean tables
+REFINE_TEXT = dict(keep={"lang": ["en", "fr"]}, upper=["source"], drop=["n_chars"])
 REFINE = dict(keep={"customer_state": [STATE]}, upper=["customer_city"],
               drop=["customer_unique_id"])
 
-def _memo(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], str], *,
-          database: bool = False) -> str:
-    """``build()`` once per session and sf folder.  The cache lives on the
-    session object, so a later session never sees an earlier one's entries;
-    a cached database is rebuilt if the catalog no longer has it."""
-    cache = spark.__dict__.setdefault("_refinery_built", {})
-    key = (sf_dir.rstrip("/"), name)
-    value = cache.get(key)
-    if value is None or (database and not spark.catalog.databaseExists(value)):
-        value = cache[key] = build()
-    return value
-
 
 def _events_base(spark: SparkSession, sf_dir: str) -> str:
     """Events written as Parquet partitioned by ``date_partition``."""
-    def build() -> str:
-        path = scratch_path(spark, "events_by_day")
-        return write_partitioned(standins.events_with_date(spark, sf_dir), path,
-                                 [PART])
-    return _memo(spark, sf_dir, "events", build)
+    return write_partitioned(standins.events_with_date(spark, sf_dir),
+                             scratch_path(spark, "events_by_day"), [PART])
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,11 +68,9 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _refined_base(spark: SparkSession, sf_dir: str) -> str:
     """Store customers refined and written as Parquet."""
-    def build() -> str:
-        path = scratch_path(spark, "refined_customers")
-        refine(standins.store_customers(spark, sf_dir), **REFINE).write.parquet(path)
-        return path
-    return _memo(spark, sf_dir, "refined", build)
+    path = scratch_path(spark, "refined_customers")
+    refine(standins.store_customers(spark, sf_dir), **REFINE).write.parquet(path)
+    return path
 
 
 def _raw_refined(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -101,26 +86,29 @@ def _db(spark: SparkSession, stem: str) -> str:
 
 def _catalog_pair(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Raw and refined store customers registered as catalog tables."""
-    def build() -> str:
-        db = _db(spark, "checks")
-        raw_path = scratch_path(spark, "raw_customers_tbl")
-        standins.store_customers(spark, sf_dir).write.parquet(raw_path)
-        catalog.register(spark, f"{db}.{RAW_TABLE_PREFIX}customers", raw_path)
-        catalog.register(spark, f"{db}.{REFINED_TABLE_PREFIX}customers", _refined_base(spark, sf_dir))
-        return db
-    db = _memo(spark, sf_dir, "catalog_pair", build, database=True)
+    db = _db(spark, "checks")
+    raw_path = scratch_path(spark, "raw_customers_tbl")
+    standins.store_customers(spark, sf_dir).write.parquet(raw_path)
+    catalog.register(spark, f"{db}.{RAW_TABLE_PREFIX}customers", raw_path)
+    catalog.register(spark, f"{db}.{REFINED_TABLE_PREFIX}customers", _refined_base(spark, sf_dir))
     return f"{db}.{RAW_TABLE_PREFIX}customers", f"{db}.{REFINED_TABLE_PREFIX}customers"
 
 
 # --- segmentation ------------------------------------------------------------
 
 def customer_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The segmentation operator; staged like the jobs when the customer
-    input is large enough to hold a skewed key (lazy on the test tables)."""
-    customers = standins.customers(spark, sf_dir)
-    return segment_customers(standins.sales(spark, sf_dir), customers,
-                             tiers=standins.STANDIN_TIERS,
-                             stage=jobs.segmentation_stage(spark, customers))
+    """The segmentation operator, staged like the jobs."""
+    return segment_customers(standins.sales(spark, sf_dir), standins.customers(spark, sf_dir),
+                             tiers=standins.STANDIN_TIERS)
+
+
+def segmentation_exact_money(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices with three decimal places: nothing is rounded before the sum."""
+    sales = standins.sales(spark, sf_dir)
+    price = (F.col("Price").cast("decimal(18,2)")
+             + (F.col("CustomerID") % 10 + 1).cast("decimal(4,0)") * F.lit(0.001).cast("decimal(4,3)"))
+    return segment_customers(sales.withColumn("Price", price.cast("double")), standins.customers(spark, sf_dir),
+                             tiers=standins.STANDIN_TIERS)
 
 
 def _sales_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -129,26 +117,22 @@ def _sales_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 
 
 def _sales_csv(spark: SparkSession, sf_dir: str) -> str:
-    """The job's inputs as headered CSV (written once per session and sf folder)."""
-    def build() -> str:
-        base = scratch_path(spark, "segmentation_csv_in")
-        sales, customers = _sales_inputs(spark, sf_dir)
-        write_csv(sales, f"{base}/sales", header=True)
-        write_csv(customers, f"{base}/customer", header=True)
-        return base
-    return _memo(spark, sf_dir, "sales_csv", build)
+    """The job's inputs as headered CSV."""
+    base = scratch_path(spark, "segmentation_csv_in")
+    sales, customers = _sales_inputs(spark, sf_dir)
+    write_csv(sales, f"{base}/sales", header=True)
+    write_csv(customers, f"{base}/customer", header=True)
+    return base
 
 
 def _sales_tables(spark: SparkSession, sf_dir: str) -> str:
-    """The job's inputs as catalog tables over Parquet (built once per session)."""
-    def build() -> str:
-        db = _db(spark, "seg")
-        for name, df in zip(("sales", "customer"), _sales_inputs(spark, sf_dir)):
-            path = scratch_path(spark, f"catalog_{name}")
-            df.write.parquet(path)
-            catalog.register(spark, f"{db}.{name}", path)
-        return db
-    return _memo(spark, sf_dir, "sales_tables", build, database=True)
+    """The job's inputs as catalog tables over Parquet."""
+    db = _db(spark, "seg")
+    for name, df in zip(("sales", "customer"), _sales_inputs(spark, sf_dir)):
+        path = scratch_path(spark, f"catalog_{name}")
+        df.write.parquet(path)
+        catalog.register(spark, f"{db}.{name}", path)
+    return db
 
 
 def segmentation_csv_job(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,10 +166,12 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, header=True, schema=nation.schema)
 
 
-def csv_headerless_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = standins.table(spark, sf_dir, "nation")
-    path = write_csv(nation, scratch_path(spark, "nation_csv"))
-    return read_csv(spark, path, header=False, schema=nation.schema)
+def _roundtrip(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """A table through the headerless CSV sink and back."""
+        df = standins.table(spark, sf_dir, name)
+        return read_csv(spark, write_csv(df, scratch_path(spark, f"{name}_csv")), header=False, schema=df.schema, own=True)
+    return query
 
 
 def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,6 +195,30 @@ def date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select("o_orderkey", parse_date("Date").alias("order_date"))
 
 
+def date_parse_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per parsed day, days without a readable date counted as NULL."""
+    return partition_counts(date_parse(spark, sf_dir), "order_date")
+
+
+def partition_csv_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw CSV in two batches -> Parquet by date; rows without a date end in the
+    reject table of their batch.  Both tables, marked."""
+    events = standins.table(spark, sf_dir, "events")
+    text = events.select("event_id", F.when(F.col("event_id") % 50 == 0, "soon")
+                         .when(F.col("event_id") % 77 != 0, date_text("ts")).alias("Date"))
+    early = F.col("ts") < F.lit(DAY).cast("date")
+    base = scratch_path(spark, "partition_job")
+    rejected = 0
+    for batch, rows in (("early", early), ("late", ~early)):
+        path = land_raw(text.where(rows), f"{base}/raw", batch)
+        done = jobs.partition_job(spark, path, f"{base}/refined", schema="event_id bigint, Date string", batch=batch)
+        rejected += done.rejected
+    bad = spark.read.schema("event_id bigint, Date string, batch string").parquet(done.reject_path)
+    return (read_parquet(spark, done.path).select("event_id", "Date", PART, F.lit(None).cast("string").alias("batch"))
+            .unionByName(bad.select("event_id", "Date", F.lit(None).cast("date").alias(PART), "batch"))
+            .withColumn("rejected_in_all", F.lit(rejected).cast("bigint")))
+
+
 def filter_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir).filter(F.col(PART) == DAY)
 
@@ -249,7 +259,10 @@ def dynamic_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_inventory_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return file_inventory(spark, _events_base(spark, sf_dir), glob="*.parquet")
+    """Per partition folder of the events: whether it has files, all of them with bytes."""
+    files = inventory_by_folder(spark, _events_base(spark, sf_dir), scratch_path(spark, "inventory"), glob="*.parquet")
+    day = F.regexp_extract("folder", f"^{PART}=(.*)$", 1).cast("date")
+    return files.groupBy(day.alias(PART)).agg(F.min(F.col("length") > 0).alias("all_filled"))
 
 
 # --- refine and checks -------------------------------------------------------
@@ -294,6 +307,12 @@ def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
                       absent=REFINE["drop"])
 
 
+def validate_columns_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dropped column is still in raw (fails) and gone from refined (passes)."""
+    raw, refined = _raw_refined(spark, sf_dir)
+    return validate_columns([(RAW_LABEL, raw), (REFINED_LABEL, refined)], REFINE["drop"])
+
+
 def sql_validate_uppercase(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, refined = _catalog_pair(spark, sf_dir)
     return (run_sql_check(spark, "uppercase", raw).select(F.lit("raw").alias("table_name"), "*")
@@ -370,12 +389,15 @@ def table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- extract, landing, daily run ---------------------------------------------
 
-def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = standins.table(spark, sf_dir, "customer")
-    base = scratch_path(spark, "raw")
-    path = jobs.extract_job(spark, customer, base, "customer", RUN_DATES[0], source="parquet")
-    schema = T.StructType(customer.schema.fields + [T.StructField("dt", T.DateType())])
-    return read_csv(spark, path.rsplit("/", 1)[0], schema=schema, basePath=f"{base}/customer")
+def _landing(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """A table extracted to the raw landing and read back."""
+        df = standins.table(spark, sf_dir, name)
+        base = scratch_path(spark, "raw")
+        jobs.extract_job(spark, df, base, name, RUN_DATES[0], source="parquet")
+        schema = T.StructType(df.schema.fields + [T.StructField("dt", T.DateType())])
+        return read_csv(spark, f"{base}/{name}", schema=schema, own=True, basePath=f"{base}/{name}")
+    return query
 
 
 def extract_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -384,7 +406,10 @@ def extract_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name in ("customer", "supplier"):
         jobs.extract_job(spark, standins.table(spark, sf_dir, name), base, name, RUN_DATES[0],
                          source="parquet", audit_path=audit)
-    return read_parquet(spark, audit).select("source", "table_name", "run_date", "extracted_rows")
+    # landed again: the audit row is replaced
+    jobs.extract_job(spark, standins.table(spark, sf_dir, "supplier"), base, "supplier", RUN_DATES[0],
+                     source="parquet", audit_path=audit)
+    return read_audit(spark, audit).select("source", "table_name", "run_date", "extracted_rows")
 
 
 def daily_refine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -396,30 +421,54 @@ def daily_refine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{db}.{REFINED_TABLE_PREFIX}customers")
 
 
+def daily_refine_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily run over a table whose texts hold line breaks, quotes and blanks."""
+    root = scratch_path(spark, "daily_text")
+    db = _db(spark, "daily_text")
+    jobs.daily_job(spark, RUN_DATES[0], standins.table(spark, sf_dir, "documents"), root=root, database=db,
+                   table="documents", **REFINE_TEXT)
+    return spark.table(f"{db}.{REFINED_TABLE_PREFIX}documents")
+
+
+def daily_refine_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day 2 has its columns in another order, one in another case, one new and one gone."""
+    root = scratch_path(spark, "daily_drift")
+    db = _db(spark, "daily_drift")
+    day = standins.store_customers(spark, sf_dir)
+    changed = day.select("customer_state", F.col("customer_city").alias("CUSTOMER_CITY"), "customer_unique_id",
+                         "customer_id", F.concat(F.lit("store "), F.col("customer_id").cast("string")).alias("store_note"))
+    for ds, source in zip(RUN_DATES, (day, changed)):
+        jobs.daily_job(spark, ds, source, root=root, database=db, table="customers", **REFINE)
+    return spark.table(f"{db}.{REFINED_TABLE_PREFIX}customers")
+
+
 def incremental_refine(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "incremental")
     source = standins.store_customers(spark, sf_dir)
     schema = T.StructType(source.schema.fields + [T.StructField("dt", T.DateType())])
-    for ds in RUN_DATES:
-        land_raw(source, f"{root}/raw", "customers", ds)
+    # the second day is landed twice, and a last run finds nothing new
+    for ds in (*RUN_DATES, RUN_DATES[1], None):
+        if ds:
+            land_raw(source, f"{root}/raw", "customers", ds)
         refine_new_landings(spark, f"{root}/raw/customers", schema, f"{root}/refined",
                             f"{root}/_checkpoint", **REFINE)
-    # Nothing new: a third run must add nothing.
-    refine_new_landings(spark, f"{root}/raw/customers", schema, f"{root}/refined",
-                        f"{root}/_checkpoint", **REFINE)
     return read_parquet(spark, f"{root}/refined")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "customer_segmentation": customer_segmentation,
+    "segmentation_exact_money": segmentation_exact_money,
     "segmentation_csv_job": segmentation_csv_job,
     "segmentation_catalog": segmentation_catalog,
     "csv_scan": csv_scan,
-    "csv_headerless_roundtrip": csv_headerless_roundtrip,
+    **{("csv_headerless_roundtrip" if t == "nation" else f"csv_headerless_roundtrip_{t}"): _roundtrip(t)
+       for t in ("nation", *TEXT_TABLES)},
     "parquet_scan": parquet_scan,
     "partitioned_scan": partitioned_scan,
     "leaf_partition_scan": leaf_partition_scan,
     "date_parse": date_parse,
+    "date_parse_counts": date_parse_counts,
+    "partition_csv_job": partition_csv_job,
     "filter_partition": filter_partition,
     "filter_data": filter_data,
     "filter_combined": filter_combined,
@@ -434,6 +483,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_rows": sample_refined,
     "top_cities": top_cities,
     "validation_report": validation_report,
+    "validate_columns": validate_columns_report,
     "sql_validate_uppercase": sql_validate_uppercase,
     "sql_validate_state": sql_validate_state,
     "sql_validate_row_counts": sql_validate_row_counts,
@@ -443,9 +493,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "refresh_partitions": refresh_partitions,
     "schema_drift": schema_drift,
     "table_stats": table_stats,
-    "raw_landing": raw_landing,
+    **{("raw_landing" if t == "customer" else f"raw_landing_{t}"): _landing(t) for t in ("customer", *TEXT_TABLES)},
     "extract_audit": extract_audit,
     "daily_refine": daily_refine,
+    "daily_refine_text": daily_refine_text,
+    "daily_refine_drift": daily_refine_drift,
     "incremental_refine": incremental_refine,
     "file_inventory": file_inventory_report,
 }

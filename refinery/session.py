@@ -2,8 +2,8 @@
 
 Intermediate and demo outputs are written below the cluster's shared
 checkpoint folder (``spark.checkpoint.dir``), never below a machine-local
-temporary folder.  Only when the session names no such folder (unit tests,
-a laptop) do we create one and register it as the checkpoint directory.
+temporary folder.  Only a ``local[...]`` session that names no such folder
+(unit tests, a laptop) gets one of its own; on a cluster that is an error.
 """
 
 from __future__ import annotations
@@ -26,32 +26,6 @@ DEFAULT_CONF = {
 }
 
 
-MiB = 1 << 20
-
-
-def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 * MiB,
-                 max_shuffle_partitions: int = 200_000) -> dict[str, str]:
-    """Sizing for a large input (e.g. 100 TB on a 1000-executor cluster).
-
-    Scan splits and post-shuffle partitions aim at ``target_partition_bytes``
-    so each task's share fits executor memory without spilling much.  The
-    shuffle starts with as many partitions as the input would need and AQE
-    coalesces them down to the advisory size once real shuffle sizes are
-    known (shuffled data is usually far smaller after pruning and partial
-    aggregation).  A partition several times the advisory size is a skewed
-    one that AQE splits.
-    """
-    initial = max(200, min(max_shuffle_partitions, -(-input_bytes // target_partition_bytes)))
-    return {
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.shuffle.partitions": str(initial),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-    }
-
-
 def get_session(app: str = "refinery", master: str | None = None,
                 conf: dict[str, str] | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings above plus ``conf``."""
@@ -81,6 +55,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.__dict__.get("_refinery_local_root")
     if not root:
+        if sc is None or not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         # Kept on the session object: a later session gets its own folder.
         root = tempfile.mkdtemp(prefix="refinery-ckpt-")
         spark.__dict__["_refinery_local_root"] = root

@@ -33,10 +33,19 @@ def land_with_audit(df: DataFrame, base: str, table: str, ds: str | None, *,
     return path, rows
 
 
-def append_audit(spark: SparkSession, audit_path: str, *, source: str, table: str,
+def record_audit(spark: SparkSession, audit_path: str, *, source: str, table: str,
                  database: str | None, ds: str | None, rows: int,
                  path: str | None) -> None:
-    """Append one audit row (a bounded, driver-built record) to the audit table."""
+    """Write the audit row of one landing (a bounded, driver-built record).
+
+    The table is partitioned by what identifies a landing, so landing a day
+    again replaces its row."""
     run_date = dt.date.fromisoformat(ds) if ds else None
     row = [(source, table, database, run_date, rows, path)]
-    spark.createDataFrame(row, AUDIT_SCHEMA).write.mode("append").parquet(audit_path)
+    (spark.createDataFrame(row, AUDIT_SCHEMA).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
+     .partitionBy("source", "table_name", "database", "run_date").parquet(audit_path))
+
+
+def read_audit(spark: SparkSession, audit_path: str) -> DataFrame:
+    return spark.read.schema(AUDIT_SCHEMA).parquet(audit_path).select(*AUDIT_SCHEMA.names)

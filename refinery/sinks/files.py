@@ -11,11 +11,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from refinery.csv_format import writable, writer_options
+
 
 def write_csv(df: DataFrame, path: str, *, header: bool = False,
-              mode: str = "overwrite", partition_by: Sequence[str] = ()) -> str:
-    """CSV folder of part files.  Spark's default is no header line."""
-    w = df.write.mode(mode).option("header", header)
+              mode: str = "overwrite", partition_by: Sequence[str] = (),
+              quote_all: bool = False) -> str:
+    """CSV folder of part files (see ``refinery.csv_format``).  Spark's default
+    is no header line."""
+    w = writable(df, quote_all).write.mode(mode).options(**writer_options(header, quote_all))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)
@@ -41,14 +45,28 @@ def land_raw(df: DataFrame, base: str, table: str, ds: str | None = None,
     if observation is not None:
         from pyspark.sql import functions as F
         df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
-    w = df.write.mode("overwrite")
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        write_csv(df, path, header=True, quote_all=True)
     else:
-        w.format(fmt).save(path)
+        df.write.mode("overwrite").format(fmt).save(path)
     return path
 
 
+def replace_day(df: DataFrame, path: str, column: str, value: str, *, fmt: str = "parquet") -> str:
+    """Make ``path/column=value`` hold exactly the rows of ``df`` -- also when
+    there are none, where a dynamic overwrite would leave the old rows.
+
+    One day is one folder, so a plain REBALANCE sizes its files from the real
+    bytes (hashing by the constant day would send all rows to one task).
+    Returns the folder."""
+    folder = f"{path.rstrip('/')}/{column}={value}"
+    out = df.drop(column).hint("rebalance")
+    if fmt == "csv":
+        return write_csv(out, folder, header=True, quote_all=True)
+    out.write.mode("overwrite").format(fmt).save(folder)
+    return folder
+
+
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], *,
                       fmt: str = "parquet", mode: str = "overwrite",
                       dynamic: bool = True, rebalance: bool = True,
@@ -66,13 +84,13 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], *,
     cols = list(partition_by)
     if rebalance and cols:
         df = df.hint("rebalance", *cols)
-    w = df.write.mode(mode).format(fmt).partitionBy(*cols)
+    w = (writable(df, True) if fmt == "csv" else df).write.mode(mode).format(fmt).partitionBy(*cols)
     if dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")
+    if fmt == "csv":
+        w = w.options(**writer_options(header=True, quote_all=True))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
-    if fmt == "csv":
-        w = w.option("header", True)
     for key, value in options.items():
         w = w.option(key, value)
     w.save(path)

@@ -2,15 +2,14 @@
 
 from refinery.sources.files import (
     file_inventory,
+    inventory_by_folder,
     read_csv,
     read_parquet,
     read_partition,
-    spread,
 )
 from refinery.sources.jdbc import jdbc_options, read_jdbc
-from refinery.sources.tables import read_table
 
 __all__ = [
-    "file_inventory", "jdbc_options", "read_csv", "read_jdbc",
-    "read_parquet", "read_partition", "read_table", "spread",
+    "file_inventory", "inventory_by_folder", "jdbc_options", "read_csv", "read_jdbc",
+    "read_parquet", "read_partition",
 ]

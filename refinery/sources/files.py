@@ -7,18 +7,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from refinery.plans.inspect import estimated_bytes
+from refinery.csv_format import reader_options
 
 
 def read_csv(spark: SparkSession, path: str | list[str], *, header: bool = True,
-             schema: StructType | str | None = None, **options) -> DataFrame:
-    """CSV scan.
+             schema: StructType | str | None = None, own: bool = False, **options) -> DataFrame:
+    """CSV scan by the package's CSV contract (``refinery.csv_format``); ``own``
+    says that the package's own writers made the files.
+
+    Values may hold line breaks, so each file is one task; pass
+    ``multiLine=False`` for one huge file that is known to hold none.
+    ``enforceSchema=False`` makes a header that differs from the schema an error.
 
     With ``schema`` the file is read once.  Without it the column types are
     inferred, which costs an extra pass over the input: fine for a small
     landing file, avoid it at scale.
     """
-    reader = spark.read.option("header", header)
+    reader = spark.read.options(**reader_options(header, typed=schema is not None, own=own))
     if schema is not None:
         reader = reader.schema(schema)
     else:
@@ -49,30 +54,6 @@ def read_parquet(spark: SparkSession, path: str | list[str], *,
     return df.select(*columns) if columns else df
 
 
-def spread(df: DataFrame, min_partitions: int | None = None,
-           max_bytes: int = 1 << 30) -> DataFrame:
-    """Round-robin the rows over ``min_partitions`` tasks (default: the
-    cluster's default parallelism) when the scan plans fewer splits and is
-    small (estimated at most ``max_bytes``).
-
-    A file written as one row group cannot be split, so a whole table may
-    land in one task; per-row work (joins, decimal arithmetic) then runs on
-    one core.  The round-robin is an extra shuffle, so it is only added
-    when it moves little data: a large under-split input (say 4,000 splits
-    on an 8,000-core cluster) is returned unchanged, as is any input that
-    already has enough splits.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        planned = df.rdd.getNumPartitions()
-    except Exception:   # Spark Connect has no RDD view: leave the scan as it is
-        return df
-    if planned >= target:
-        return df
-    size = estimated_bytes(df)
-    return df.repartition(target) if size is not None and size <= max_bytes else df
-
-
 def read_partition(spark: SparkSession, root: str, keep_partition_column: bool = False,
                    **partition: object) -> DataFrame:
     """Scan one leaf folder ``root/k1=v1/k2=v2``.
@@ -86,12 +67,14 @@ def read_partition(spark: SparkSession, root: str, keep_partition_column: bool =
     return read_parquet(spark, path, base_path=root if keep_partition_column else None)
 
 
-def file_inventory(spark: SparkSession, root: str, glob: str | None = None,
+def file_inventory(spark: SparkSession, root: str | list[str], glob: str | None = None,
                    recursive: bool = True) -> DataFrame:
     """(path, length, modificationTime) of every file under ``root``.
 
     Uses the ``binaryFile`` source; selecting only the metadata columns means
-    file contents are never read.  No page cap: every file is listed.
+    file contents are never read.  No page cap: every file is listed.  The
+    driver holds the listing of one call; for a very large tree use
+    :func:`inventory_by_folder`.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
     if glob:
@@ -99,6 +82,29 @@ def file_inventory(spark: SparkSession, root: str, glob: str | None = None,
     return reader.load(root).select("path", "length", "modificationTime")
 
 
-def with_file_path(df: DataFrame, name: str = "file_path") -> DataFrame:
-    """Add the source file of each row (from the hidden ``_metadata`` column)."""
-    return df.withColumn(name, F.col("_metadata.file_path"))
+def inventory_by_folder(spark: SparkSession, root: str, out: str, glob: str | None = None,
+                        folders: int = 64) -> DataFrame:
+    """The inventory of ``root`` as a Parquet table at ``out``, listed ``folders``
+    top-level folders at a time: the driver holds the files of so many folders,
+    not of the whole tree.  Adds ``folder``, the top-level folder's name ("" for
+    files right under ``root``)."""
+    root = root.rstrip("/")
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    entries = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(top)
+    names = sorted(e.getPath().getName() for e in entries
+                   if e.isDirectory() and not e.getPath().getName().startswith(("_", ".")))
+    schema = "folder string, path string, length long, modificationTime timestamp"
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(out)
+    loose = [e.getPath().toString() for e in entries
+             if e.isFile() and not e.getPath().getName().startswith(("_", "."))]
+    if loose:
+        (file_inventory(spark, loose, glob).select(F.lit("").alias("folder"), "*")
+         .write.mode("append").parquet(out))
+    # paths come back with the scheme and authority of the file system
+    depth = len([p for p in top.toUri().getPath().split("/") if p])
+    parts = F.split(F.regexp_replace("path", "^[^:/]+:(//[^/]*)?", ""), "/+")
+    for i in range(0, len(names), folders):
+        part = [f"{root}/{name}" for name in names[i:i + folders]]
+        (file_inventory(spark, part, glob).select(F.get(parts, F.lit(depth + 1)).alias("folder"), "*")
+         .write.mode("append").parquet(out))
+    return spark.read.schema(schema).parquet(out)

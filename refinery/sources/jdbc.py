@@ -41,7 +41,12 @@ def jdbc_options(url: str, table: str, schema: str | None = None, *,
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, schema: str | None = None,
-              where: str | None = None, **kwargs) -> DataFrame:
-    """Partitioned JDBC scan of ``schema.table``, optionally filtered by ``where``."""
+              where: str | None = None, *, single_task: bool = False, **kwargs) -> DataFrame:
+    """Partitioned JDBC scan of ``schema.table``, optionally filtered by ``where``.
+
+    Without a partition column one task would read the whole table: that is
+    refused unless the caller asks for it (``single_task``, for small tables)."""
+    if kwargs.get("partition_column") is None and not single_task:
+        raise ValueError(f"reading {table} needs partition_column with bounds, or single_task=True")
     df = spark.read.format("jdbc").options(**jdbc_options(url, table, schema, **kwargs)).load()
     return df.where(where) if where else df

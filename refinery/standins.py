@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refinery.functions.columns import DATE_PARTITION_COLUMN
-from refinery.sources.files import read_parquet, spread
+from refinery.sources.files import read_parquet
 
 # Segment cut-offs used on the test tables (spend there is ~50x the
 # reference's sample data).
@@ -28,20 +28,12 @@ STANDIN_TIERS = ((1500000, "High Value"), (900000, "Medium Value"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table.  They are read-only, so each file's schema is inferred
-    once per session (kept on the session object) and then passed to the
-    reader: no schema job per query."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schemas = spark.__dict__.setdefault("_refinery_schemas", {})
-    if path not in schemas:
-        df = read_parquet(spark, path)
-        schemas[path] = df.schema
-        return df
-    return read_parquet(spark, path, schema=schemas[path])
+    """A test table."""
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spread(table(spark, sf_dir, "lineitem"))
+    li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders")
     p = table(spark, sf_dir, "part")
     joined = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")

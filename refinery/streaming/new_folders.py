@@ -3,9 +3,10 @@
 This is the "new folders only" refresh mode applied to the refine step:
 the file stream source remembers in its checkpoint which files it has
 processed, and ``trigger(availableNow=True)`` processes everything new and
-stops, so a daily run costs only the new day.  The Parquet file sink
-commits each micro-batch through its own log, so a batch replayed after a
-failure is written exactly once.  Checkpoint and output live in the shared
+stops, so a daily run costs only the new days.  A new file says that its day
+was landed (again): the whole day is then read as it stands, refined, and
+replaces that day of the output, so a day landed twice, or a batch replayed
+after a failure, is there once.  Checkpoint and output live in the shared
 folder passed in by the caller.
 """
 
@@ -13,35 +14,50 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from refinery.csv_format import reader_options
 from refinery.operators.refine import refine
+from refinery.sinks.files import replace_day, write_partitioned
 
 
 def refine_new_landings(spark: SparkSession, raw_table_path: str, schema: T.StructType,
                         refined_path: str, checkpoint: str, *,
                         keep: dict[str, Sequence[object]], upper: Sequence[str],
                         drop: Sequence[str], partition_column: str = "dt",
-                        max_files_per_trigger: int | None = None) -> int:
-    """Process all new CSV files under ``raw_table_path/<partition>=*/``.
+                        max_files_per_trigger: int | None = None) -> None:
+    """Process all days with new CSV files under ``raw_table_path/<partition>=*/``.
 
     ``schema`` must include the partition column (filled from folder
-    names).  Returns the number of micro-batches run.
+    names).
     """
-    reader = (spark.readStream.schema(schema).option("header", True)
-              .option("basePath", raw_table_path))
+    raw_table_path = raw_table_path.rstrip("/")
+    options = {**reader_options(header=True), "basePath": raw_table_path}
+    reader = spark.readStream.schema(schema).options(**options)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.csv(f"{raw_table_path.rstrip('/')}/{partition_column}=*")
-    refined = refine(raw, keep=keep, upper=upper, drop=drop)
-    query = (refined.writeStream.format("parquet")
-             .partitionBy(partition_column)
-             .option("path", refined_path)
+    landed = reader.csv(f"{raw_table_path}/{partition_column}=*")
+
+    def replace_days(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        # the days landed since the last run: folder names, not rows
+        days = [r[0] for r in batch.select(F.col(partition_column).cast("string")).distinct().collect()]
+        if not days:
+            return
+        raw = (session.read.schema(schema).options(**options).csv(raw_table_path)
+               .where(F.col(partition_column).cast("string").isin(days)))
+        write_partitioned(refine(raw, keep=keep, upper=upper, drop=drop), refined_path, [partition_column])
+        full = {r[0] for r in refine(raw, keep=keep).select(F.col(partition_column).cast("string")).distinct().collect()}
+        nothing = refine(raw, keep=keep, upper=upper, drop=drop).limit(0)
+        for day in sorted(set(days) - full):        # a day of which no row is kept
+            replace_day(nothing, refined_path, partition_column, day)
+
+    query = (landed.writeStream.foreachBatch(replace_days)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return len(query.recentProgress)

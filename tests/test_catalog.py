@@ -59,16 +59,30 @@ def test_evolve_adds_columns_and_deprecates(spark, tmp):
     write_partitioned(new, path, ["dt"])
     change = catalog.evolve(spark, table, new.schema)
     catalog.refresh(spark, table)
-    assert change == {"added": ["extra"], "deprecated": []}
+    assert change == {"added": ["extra"], "deprecated": [], "changed": []}
     got = {(str(r.dt), r.extra) for r in spark.table(table).collect()}
     assert got == {("2024-01-01", None), ("2024-01-02", "x")}
     change = catalog.evolve(spark, table, new.drop("name").schema)
-    assert change == {"added": [], "deprecated": ["name"]}
+    assert change == {"added": [], "deprecated": ["name"], "changed": []}
     props = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
     assert props["deprecated"] == "true" and props["deprecated_columns"] == "name"
     assert "name" in spark.table(table).columns       # data left alone
 
 
+def test_evolve_compares_names_as_spark_does_and_reports_types(spark, tmp):
+    import pytest
+    df = spark.createDataFrame([(1, "a")], "id int, name string")
+    df.write.parquet(f"{tmp}/t")
+    catalog.create_database(spark, "cat_n", location=f"{tmp}/db")
+    table = catalog.register(spark, "cat_n.t", f"{tmp}/t")
+    assert catalog.evolve(spark, table, df.withColumnRenamed("id", "Id").schema) == {
+        "added": [], "deprecated": [], "changed": []}
+    changed = catalog.evolve(spark, table, df.withColumn("id", F.col("id").cast("string")).schema)
+    assert changed["changed"] == ["id: int -> string"]
+    with pytest.raises(ValueError):
+        catalog.list_tables(spark, "a`b")
+
+
 def test_table_stats(spark, tmp):
     path = write_partitioned(_days(spark, ["2024-01-01", "2024-01-02"]), f"{tmp}/t", ["dt"])
     catalog.create_database(spark, "cat_d", location=f"{tmp}/db")

@@ -7,6 +7,8 @@ import re
 
 import pytest
 
+from refinery import standins
+from refinery.operators.segmentation import customer_groups, sales_per_key
 from refinery.plans.inspect import explain_text
 
 READ_QUERIES = ["customer_segmentation", "filter_partition", "filter_data", "filter_combined",
@@ -32,7 +34,13 @@ def _plans(spark):
     import __spark_entry__ as entry
     from conftest import SF001
     queries = entry.queries()
-    return {name: explain_text(queries[name](spark, SF001), "simple") for name in READ_QUERIES}
+    plans = {name: explain_text(queries[name](spark, SF001), "simple") for name in READ_QUERIES}
+    # the segmentation's aggregations run while it is staged: their plans, before the write
+    plans["segmentation sales"] = explain_text(sales_per_key(
+        standins.sales(spark, SF001), "CustomerID", "Price", "Quantity", "total"), "simple")
+    plans["segmentation customers"] = explain_text(customer_groups(
+        standins.customers(spark, SF001), "CustomerID", ["Name", "Age", "Gender"], "rows"), "simple")
+    return plans
 
 
 def _nodes(plan):

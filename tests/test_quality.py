@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from refinery.jobs import CheckFailed, validate_job
 from refinery.operators.quality import (
-    compare_counts, run_checks, sample_rows, top_k, uppercase_counts, value_counts)
+    compare_counts, run_checks, sample_rows, top_k, uppercase_counts, validate_columns, value_counts)
 from refinery.operators.refine import refine
 
 COLS = ("customer_id int, customer_unique_id string, customer_zip_code_prefix string, "
@@ -97,11 +97,37 @@ def test_every_refined_row_passes_each_check(spark):
     assert ref.select("customer_id").subtract(raw_customers(spark).select("customer_id")).count() == 0
 
 
-def test_allowed_values_compare_as_spark_text(spark):
-    # non-string allowed values: True must match the column's 'true', 2 its '2'
+def test_allowed_values_compare_in_the_column_type(spark):
     raw = spark.createDataFrame([(1, True, 2), (2, False, 2), (3, True, 3)],
                                 "id int, active boolean, tier int")
     refined = raw.where(F.col("active") & (F.col("tier") == 2))
     verdict = {r.check: r.passed for r in run_checks(
         raw, refined, allowed={"active": [True], "tier": [2]}).collect()}
     assert verdict == {"allowed:active": True, "allowed:tier": True, "row_counts": True}
+
+
+def test_decimal_keep_agrees_with_refine(spark):
+    raw = spark.createDataFrame([("1.00", "A"), ("2.00", "B")], "p string, c string").select(F.col("p").cast("decimal(9,2)").alias("p"), "c")
+    refined = refine(raw, keep={"p": [1]})
+    assert refined.count() == 1
+    verdict = run_checks(raw, refined, allowed={"p": [1]}, landed_rows=2).collect()
+    assert [r.passed for r in verdict] == [True, True, True]
+    assert not {r.check: r.passed for r in run_checks(raw, refined, landed_rows=3).collect()}["landed"]
+
+
+def test_names_resolve_as_spark_does(spark):
+    df = spark.createDataFrame([("rio", "SP")], "City string, st string")
+    out = refine(df, keep={"ST": ["SP"]}, upper=["city"], drop=["ST"])
+    assert out.columns == ["City"] and out.first().City == "RIO"
+    for bad in (dict(upper=["town"]), dict(drop=["town"]), dict(keep={"town": [1]})):
+        with pytest.raises(ValueError, match="town"):
+            refine(df, **bad)
+    verdict = {r.check: r.passed for r in run_checks(df, df, absent=["CITY", "town"]).collect()}
+    assert verdict["absent:CITY"] is False and verdict["absent:town"] is True
+
+
+def test_validate_columns(spark):
+    got = [tuple(r) for r in validate_columns([("Raw", raw_customers(spark)), ("Refined", refined_customers(spark))],
+                                              ["customer_unique_id"]).collect()]
+    assert got == [("Raw", "customer_unique_id", 9, False, "column present"),
+                   ("Refined", "customer_unique_id", 7, True, "column absent")]

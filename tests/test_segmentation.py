@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from refinery.functions.columns import DEFAULT_TIERS
 from refinery.operators.segmentation import segment_customers
-from refinery.plans.inspect import explain_text
+from refinery.sources.files import read_csv
 
 SALES_COLS = "Date string, Product string, Category string, Price int, Quantity int, CustomerID string"
 CUST_COLS = "CustomerID string, Name string, Age int, Gender string"
@@ -82,13 +82,13 @@ def test_money_is_exact_decimal(spark):
     assert out.Total_sales == 0.91 and out.Segmentation_column == "High Value"
 
 
-def test_plan_aggregates_sales_before_the_customer_join(spark):
+def test_join_meets_one_row_per_customer(spark, tmp):
+    """Sales are summed before the join: the staged side has a row per key."""
     sales, customers = _fixture(spark)
-    plan = explain_text(segment_customers(sales, customers), "formatted")
-    # a partial aggregate on the sales side feeds the join
-    assert "HashAggregate" in plan and "partial_sum" in plan
-    join_at = min(i for i in (plan.find("BroadcastHashJoin"), plan.find("SortMergeJoin")) if i >= 0)
-    assert plan.find("partial_sum") > join_at   # listed below (i.e. under) the join
+    segment_customers(sales, customers, stage=f"{tmp}/s")
+    per_key = spark.read.parquet(f"{tmp}/s/per_key")
+    assert sorted(r.CustomerID for r in per_key.collect()) == ["C1", "C2", "C3", "C5", "C9"]
+    assert spark.read.parquet(f"{tmp}/s/customer_groups").count() == 5
 
 
 def test_properties_on_test_tables(spark):
@@ -134,17 +134,9 @@ def test_tier_label_matches_python(spark):
     check()
 
 
-def test_cluster_conf_sizes():
-    from refinery.session import cluster_conf
-    conf = cluster_conf(100 * 1024 ** 4)        # 100 TiB
-    assert int(conf["spark.sql.shuffle.partitions"]) == 200_000   # capped
-    assert cluster_conf(1024 ** 3)["spark.sql.shuffle.partitions"] == "200"
-    assert int(cluster_conf(10 * 1024 ** 4)["spark.sql.shuffle.partitions"]) == 40960
-
-
 def test_staged_join_lets_aqe_split_a_hot_customer_key(spark, tmp):
-    """A key holding a third of the customer rows (distinct names): with the
-    sides staged, AQE splits the skewed join partition; same rows as lazy."""
+    """A key holding a third of the customer rows (distinct names), the customers in
+    one gzip file: AQE splits the skewed join partition; rows as by the plain plan."""
     confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
              "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4096",
              "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
@@ -159,44 +151,38 @@ def test_staged_join_lets_aqe_split_a_hot_customer_key(spark, tmp):
             F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("CustomerID"),
             F.concat(F.lit("n"), F.col("id").cast("string")).alias("Name"),
             (F.col("id") % 50).cast("int").alias("Age"), F.lit("M").alias("Gender"))
+        cust.coalesce(1).write.option("header", True).option("compression", "gzip").csv(f"{tmp}/customers")
+        cust = read_csv(spark, f"{tmp}/customers", schema=cust.schema)
         sales = spark.range(3 * n).select((F.col("id") % n).alias("CustomerID"),
                                           F.lit(3).alias("Price"), F.lit(2).alias("Quantity"))
         staged = segment_customers(sales, cust, stage=f"{tmp}/stage")
         rows = staged.collect()
         assert "skew=true" in staged._jdf.queryExecution().executedPlan().toString()
-        assert sorted(rows) == sorted(segment_customers(sales, cust).collect())
+        assert sorted(rows) == sorted(_naive(sales, cust).select(*rows[0].__fields__).collect())
         assert len(rows) == n
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
 
 
-def test_jobs_stage_only_when_a_skewed_customer_key_is_possible(spark, tmp):
+def test_money_keeps_small_parts_and_refuses_what_does_not_fit(spark):
     import pytest
-    from refinery.jobs import SKEW_THRESHOLD, segmentation_stage
-    from refinery.plans.inspect import byte_setting
-    assert byte_setting("256MB") == 256 << 20 and byte_setting("64m") == 64 << 20
-    assert byte_setting("4096") == 4096 and byte_setting("1k") == 1024
-    with pytest.raises(ValueError):
-        byte_setting("lots")
-    _fixture(spark)[1].write.parquet(f"{tmp}/customers")
-    customers = spark.read.parquet(f"{tmp}/customers")         # sized from its files
-    assert segmentation_stage(spark, customers) is None       # far below 256 MB
-    # rows built in Python have no size estimate: staged to be safe
-    assert segmentation_stage(spark, _fixture(spark)[1]) is not None
-    old = spark.conf.get(SKEW_THRESHOLD)
-    spark.conf.set(SKEW_THRESHOLD, "16")
-    try:
-        from refinery.session import checkpoint_root
-        path = segmentation_stage(spark, customers)
-        assert path is not None and path.startswith(checkpoint_root(spark))
-    finally:
-        spark.conf.set(SKEW_THRESHOLD, old)
+    cust = spark.createDataFrame([(1, "a", 1, "x")], "CustomerID int, Name string, Age int, Gender string")
+    tiers = [(1.5, "High Value")]
+    for kind in ("double", "decimal(12,6)", "string"):
+        s = (spark.createDataFrame([("0.125", 8), ("0.001", 1000)], "Price string, Quantity int")
+             .select(F.col("Price").cast(kind).alias("Price"), "Quantity", F.lit(1).alias("CustomerID")))
+        row = segment_customers(s, cust, tiers=tiers).collect()[0]
+        assert row.Total_sales == 2.0 and row.Segmentation_column == "High Value", kind
+    fine = spark.createDataFrame([(0.0000001, 1, 1)], "Price double, Quantity int, CustomerID int")
+    for df, scale in ((fine, 6), (spark.createDataFrame([(0.125, 1, 1)], fine.schema), 2)):
+        with pytest.raises(Exception, match="money scale"):
+            segment_customers(df, cust, scale=scale).collect()
 
 
 def test_grouped_join_equals_join_then_group_on_random_tables(spark, tmp):
     """Repeated customer rows, NULL attributes, NULL prices, unknown keys:
-    lazy and staged forms both equal the plain join-then-group."""
+    the staged form equals the plain join-then-group."""
     from hypothesis import given, settings, strategies as st
 
     key = st.sampled_from(["A", "B", "C", "D", None])
@@ -218,8 +204,7 @@ def test_grouped_join_equals_join_then_group_on_random_tables(spark, tmp):
                  .agg(F.sum(F.col("Price").cast("decimal(18,2)") * F.col("Quantity").cast("decimal(18,2)"))
                       .cast("double").alias("Total_sales")))
         want = sorted(map(tuple, plain.collect()), key=repr)
-        for stage in (None, f"{tmp}/stage{next(runs)}"):
-            got = segment_customers(s, c, tiers=tiers, stage=stage).drop("Segmentation_column")
-            assert sorted(map(tuple, got.collect()), key=repr) == want
+        got = segment_customers(s, c, tiers=tiers, stage=f"{tmp}/stage{next(runs)}").drop("Segmentation_column")
+        assert sorted(map(tuple, got.collect()), key=repr) == want
 
     check()

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from refinery.jobs import extract_many
-from refinery.plans.inspect import explain_text, files_read
+from refinery.plans.inspect import files_read
 from refinery.sinks.audit import land_with_audit
 from refinery.sinks.files import land_raw, write_compact, write_csv
 from refinery.sources.files import file_inventory, read_csv, read_parquet
@@ -63,6 +63,13 @@ def test_extract_many_continues_after_failure(spark, tmp):
     assert out["bad"].path is None and "boom" in out["bad"].error
 
 
+def test_extract_errors_are_kept_whole(spark, tmp):
+    long = "x" * 2000
+    bad = spark.range(3).select(F.raise_error(F.lit(f"{long}end")).cast("string").alias("x"))
+    out = extract_many(spark, {"bad": bad}, tmp, "2024-01-01", source="t").collect()
+    assert f"{long}end" in out[0].error
+
+
 def test_file_inventory_lists_everything(spark, tmp):
     spark.range(100).repartition(4).write.parquet(f"{tmp}/p")
     inv = file_inventory(spark, f"{tmp}/p", glob="*.parquet")
@@ -93,12 +100,53 @@ def test_partitioned_csv_sink(spark, tmp):
         (1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-02")]
 
 
-def test_spread_only_small_under_split_scans(spark):
-    from refinery.sources.files import spread
-    from conftest import SF01
-    li = read_parquet(spark, f"{SF01}/lineitem.parquet")       # one row group: one split
-    assert li.rdd.getNumPartitions() < 8
-    assert "RoundRobinPartitioning" in explain_text(spread(li, 8), "simple")
-    big = spread(li, 8, max_bytes=1000)                          # pretend it is large
-    assert "RoundRobinPartitioning" not in explain_text(big, "simple")
-    assert spread(li, 1) is li                                   # already enough splits
+def test_csv_contract_keeps_every_value(spark, tmp):
+    """Line breaks, blanks, quotes, commas, empty against NULL, microseconds."""
+    import datetime as dt
+    from refinery.sinks.files import write_partitioned
+    texts = ["a\nb", "a\r\nb", "a\rb", " lead", "trail ", '"', 'say ""hi"', "x,y", "", None, "\\", "#c", "\t", "  ", "null",
+             'end\\"', "\\n", "é漢😀"]
+    rows = [(i, t, dt.datetime(2024, 1, 2, 3, 4, 5, 123456), dt.datetime(2024, 1, 2, 3, 4, 5, 7), 0.1 * i if i else None, "d")
+            for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "id int, t string, ts timestamp, n timestamp_ntz, x double, day string")
+    want = sorted(map(tuple, df.collect()), key=repr)
+    land_raw(df, tmp, "texts")
+    for back in (read_csv(spark, f"{tmp}/texts", schema=df.schema, own=True),
+                 read_csv(spark, write_csv(df, f"{tmp}/plain", quote_all=True), header=False, schema=df.schema, own=True),
+                 read_csv(spark, write_partitioned(df, f"{tmp}/parted", ["day"], fmt="csv"), schema=df.schema, own=True)):
+        assert sorted(map(tuple, back.collect()), key=repr) == want
+    with pytest.raises(Exception, match="NULL mark"):
+        write_csv(spark.createDataFrame([("\\N",)], "t string"), f"{tmp}/mark")
+    with pytest.raises(Exception, match="carriage return"):
+        write_csv(spark.createDataFrame([("a\rb",)], "t string"), f"{tmp}/cr")
+
+
+def test_inventory_by_folder(spark, tmp):
+    from refinery.sources.files import inventory_by_folder
+    df = spark.range(50).withColumn("day", F.col("id") % 5)
+    df.write.partitionBy("day").parquet(f"{tmp}/t")
+    got = inventory_by_folder(spark, f"{tmp}/t", f"{tmp}/list", glob="*.parquet", folders=2)
+    plain = file_inventory(spark, f"{tmp}/t", glob="*.parquet")
+    assert sorted(r.path for r in got.collect()) == sorted(r.path for r in plain.collect())
+    assert {r.folder for r in got.collect()} == {f"day={i}" for i in range(5)}
+    assert all(f"/{r.folder}/" in r.path for r in got.collect())
+
+
+def test_unpartitioned_jdbc_read_is_refused(spark):
+    from refinery.sources.jdbc import read_jdbc
+    with pytest.raises(ValueError, match="partition_column"):
+        read_jdbc(spark, "jdbc:postgresql://h/db", "customers")
+
+
+def test_cluster_without_shared_folder_is_an_error():
+    from types import SimpleNamespace
+    from refinery.session import checkpoint_root
+
+    def session(master):
+        conf = SimpleNamespace(get=lambda *a: None)
+        sc = SimpleNamespace(getConf=lambda: conf, getCheckpointDir=lambda: None, master=master, setCheckpointDir=lambda p: None)
+        return SimpleNamespace(sparkContext=sc, conf=conf)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(session("spark://host:7077"))
+    assert checkpoint_root(session("local[2]"))
