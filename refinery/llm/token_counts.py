@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared
+from .common import sampled, shared
 
 BLANK = "▁"
 _PRE_TOKEN = re.compile(r" +[^ \n]*|\n[^ \n]*")
@@ -85,9 +85,7 @@ def _frequencies(batches):
 
 def frequent(docs: DataFrame, path: str, sample: int, known: int) -> dict[str, int]:
     """Piece counts of the pre-tokens most frequent in a sample of ``sample`` texts."""
-    some = docs.orderBy(F.xxhash64(F.lit("sample"), "doc_id"), "doc_id").select("doc_id").limit(sample)
-    texts = (docs.join(F.broadcast(some.select(F.col("doc_id").alias("sampled")).distinct()),     # at most `sample` ids
-                       F.col("doc_id") == F.col("sampled")).select("text"))
+    texts = sampled(docs, sample, "doc_id", "text").select("text")
     seen = (texts.mapInArrow(_frequencies, "pre string, n long").groupBy("pre").agg(F.sum("n").alias("n"))
             .where(F.length("pre") <= 64).orderBy(F.desc("n"), "pre").limit(known).select("pre"))
     return {r.pre: r.pieces for r in _with_counts(seen, path).collect()}
