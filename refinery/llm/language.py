@@ -10,7 +10,7 @@ a hash of the id).  Nothing else is bounded: every whole text is scored.
 
 Calibrated rejection.  A fifth of the sample is kept from training.  Whole
 texts and single lines of it fit a softmax temperature; a text whose calibrated
-confidence is under ``min_confidence`` (0.5: more likely wrong than right) is
+confidence is not over ``min_confidence`` (0.5: no more likely right than wrong) is
 rejected, as is a text without a letter.  Rows of subwords that training never
 met are zero, so text in an unknown script has no confidence.
 
@@ -68,11 +68,11 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class LanguageModel:
-    """``scores``: one row of language scores per bucket; ``bias``; ``temperature``."""
+    """``scores``: one row of language scores per bucket, without a bias: text of
+    which nothing is known scores all languages alike."""
 
     langs: list[str]
     scores: np.ndarray
-    bias: np.ndarray
     temperature: float
     min_confidence: float
 
@@ -87,7 +87,7 @@ class LanguageModel:
                     self._add([part], total[a:b], count[a:b], alpha[a:b])
             else:
                 self._add(texts[a:b], total[a:b], count[a:b], alpha[a:b])
-        return total / np.maximum(count, 1)[:, None] + self.bias, alpha
+        return total / np.maximum(count, 1)[:, None], alpha
 
     def _add(self, texts, total, count, alpha) -> None:
         lowered = [t.lower() for t in texts]
@@ -119,7 +119,7 @@ class LanguageModel:
         best = p.argmax(axis=1)
         score = np.where(alpha, p[np.arange(len(p)), best], 0.0)
         return ([self.langs[k] if ok else "und" for k, ok in zip(best, alpha)], score,
-                alpha & (score >= self.min_confidence))
+                alpha & (score > self.min_confidence))
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -141,7 +141,7 @@ def train(texts: list[str], labels: list[str], dim: int = 16, epochs: int = 4, r
           min_confidence: float = 0.5, lines: int = 3, seed: int = 7) -> LanguageModel:
     langs = sorted(set(labels))
     if not langs:
-        return LanguageModel([], np.zeros((BUCKETS + 1, 0)), np.zeros(0), 1.0, min_confidence)
+        return LanguageModel([], np.zeros((BUCKETS + 1, 0)), 1.0, min_confidence)
     index = {x: k for k, x in enumerate(langs)}
     rng = np.random.default_rng(seed)
     keep = np.arange(len(texts)) % 5 != 4 if len(texts) >= 10 else np.ones(len(texts), dtype=bool)
@@ -152,7 +152,6 @@ def train(texts: list[str], labels: list[str], dim: int = 16, epochs: int = 4, r
     embed = rng.normal(0, 0.1, (BUCKETS, dim))
     weights = np.zeros((dim, len(langs)))
     weights[:, :] = rng.normal(0, 0.1, weights.shape)
-    bias = np.zeros(len(langs))
     met = np.zeros(BUCKETS, dtype=bool)
     steps, done = epochs * max(1, len(learn)), 0
     for _ in range(epochs):
@@ -162,17 +161,16 @@ def train(texts: list[str], labels: list[str], dim: int = 16, epochs: int = 4, r
             done += 1
             met[ids] = True
             x = share @ embed[ids]
-            z = x @ weights + bias
+            z = x @ weights
             g = np.exp(z - z.max())
             g /= g.sum()
             g[label] -= 1
             back = weights @ g
             weights -= step * np.outer(x, g)
-            bias -= 0.01 * step * g
             embed[ids] -= (step * share)[:, None] * back
     scores = np.zeros((BUCKETS + 1, len(langs)))
     scores[:BUCKETS][met] = (embed @ weights)[met]
-    z = np.array([share @ scores[ids] for (ids, share), _, _ in check]).reshape(len(check), len(langs)) + bias
+    z = np.array([share @ scores[ids] for (ids, share), _, _ in check]).reshape(len(check), len(langs))
     y = np.array([label for _, label, _ in check], dtype=int)
 
     def loss(t: float) -> float:
@@ -180,7 +178,7 @@ def train(texts: list[str], labels: list[str], dim: int = 16, epochs: int = 4, r
         return float(-np.log(np.maximum(p[np.arange(len(y)), y], 1e-9)).mean())
 
     grid = np.exp(np.linspace(np.log(0.05), np.log(5), 60))
-    return LanguageModel(langs, scores, bias, float(min(grid, key=loss)) if len(y) else 1.0, min_confidence)
+    return LanguageModel(langs, scores, float(min(grid, key=loss)) if len(y) else 1.0, min_confidence)
 
 
 def labelled_sample(docs: DataFrame, per_lang: int, max_rows: int) -> tuple[list[str], list[str]]:

@@ -44,7 +44,7 @@ def source_key(source: Column) -> Column:
 
 
 def weights(totals: DataFrame, entropy: float, max_repeats: float, budget: float) -> DataFrame:
-    """(key, tokens, weight, exponent) of the sources, from (key, tokens).
+    """(key, tokens, weight, exponent, total) of the sources, from (key, tokens).
 
     All sources' totals are in one row here: one number a source."""
     one = totals.where("tokens > 0").agg(F.array_sort(F.collect_list(F.struct("key", "tokens"))).alias("s"))
@@ -76,9 +76,10 @@ def weights(totals: DataFrame, entropy: float, max_repeats: float, budget: float
     fit_repeats = F.when(repeats(F.col("s"), F.col("a")) <= max_repeats, F.col("a")).otherwise(
         bisect(F.col("s"), F.col("a"), lambda s, a: repeats(s, a) > max_repeats)["high"])
     solved = one.select("s", fit_entropy.alias("a")).select("s", fit_repeats.alias("exponent"))
-    solved = solved.select("exponent", F.explode(F.zip_with("s", tempered(F.col("s"), F.col("exponent")),
+    total = F.aggregate("s", F.lit(0).cast("long"), lambda x, y: x + y["tokens"])
+    solved = solved.select("exponent", total.alias("total"), F.explode(F.zip_with("s", tempered(F.col("s"), F.col("exponent")),
                                                             lambda x, q: F.struct(x["key"].alias("key"), x["tokens"].alias("tokens"), q.alias("weight")))).alias("x"))
-    return solved.select("x.key", "x.tokens", "x.weight", "exponent")
+    return solved.select("x.key", "x.tokens", "x.weight", "exponent", "total")
 
 
 def _place(seed: int, copy: Column, doc_id: Column) -> Column:
@@ -99,11 +100,9 @@ def plan(rows: DataFrame, entropy: float = 0.9, max_repeats: float = 4.0, budget
     """One row per source, from (key, doc_id, tokens): weight, target, whole copies and
     where the rest ends (last whole block, last place within the next)."""
     totals = shared(rows.groupBy("key").agg(F.sum("tokens").alias("tokens")), "mix-totals")
-    total = totals.agg(F.sum("tokens").alias("total"))
     found = weights(totals, entropy, max_repeats, budget)
-    # one row: the token total of all sources
     target = F.least(F.floor(F.col("weight") * F.col("total") * budget), F.floor(F.col("tokens") * max_repeats)).cast("long")
-    sized = shared(found.join(F.broadcast(total)).withColumn("target", target)
+    sized = shared(found.withColumn("target", target)
                    .withColumn("copies", F.floor(F.col("target") / F.col("tokens")))
                    .withColumn("rest", F.col("target") - F.col("copies") * F.col("tokens"))
                    .withColumn("blocks", F.greatest(F.ceil(F.col("tokens") / block_tokens), F.lit(1)).cast("long"))
@@ -134,7 +133,9 @@ def realise(docs: DataFrame, planned: DataFrame, id_col: str = "doc_id", source_
     sources are interleaved by weight)."""
     p = planned.select(F.col("key").alias("__mix_of"), F.col("copies").alias("__mix_copies"), F.col("blocks").alias("__mix_blocks"),
                        F.col("border").alias("__mix_border"), F.col("last_place").alias("__mix_last"),
-                       F.greatest(F.col("target") / F.col("tokens"), F.lit(1e-9)).alias("__mix_turns"))
+                       # copies and the part of the next permutation that is drawn
+                       F.greatest(F.col("copies") + F.coalesce(_unit(F.col("last_place")), F.col("border") / F.col("blocks"), F.lit(0.0)),
+                                  F.lit(1e-9)).alias("__mix_turns"))
     doc_id = F.col(f"`{id_col}`")
     place = _place(seed, F.col("__mix_copy"), doc_id)
     rest = _place(seed, F.col("__mix_copies"), doc_id)

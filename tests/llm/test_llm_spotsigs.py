@@ -1,0 +1,94 @@
+"""SpotSigs: signatures, the walk over ranges and the pruned search against plain Python."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+
+from refinery.llm import queries as Q
+from refinery.llm import spotsigs as S
+
+SF = "/root/testdata/sf0.01"
+
+
+def plain_spots(text):
+    words = re.findall(r"[^\W\d_]+", text.lower())
+    content = [i for i, w in enumerate(words) if w not in S.ANCHORS]
+    out = set()
+    for i, w in enumerate(words):
+        if w in S.ANCHORS:
+            chain = [words[j] for j in content if j > i][:S.CHAIN]
+            if len(chain) == S.CHAIN:
+                out.add((w, *chain))
+    return out or ({tuple(words)} if words else set())
+
+
+def plain_likeness(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return sorted(((r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()), reverse=True)
+
+
+def test_signatures_match_plain_python(docs):
+    texts = [t for _, t in docs] + ["", "the", "the cat", "The cat sat", "a 1 b the x_y z", "漢字 the a of dog cat", "no anchors here?"]
+    sets = S.signatures(texts)
+    plain = [plain_spots(t) for t in texts]
+    assert [len(s) for s in sets] == [len(p) for p in plain]
+    rng = random.Random(2)
+    for _ in range(3000):
+        i, j = rng.randrange(len(texts)), rng.randrange(len(texts))
+        assert S.pruned_jaccard(sets[i], sets[j]) == pytest.approx(plain_likeness(plain[i], plain[j]))
+
+
+def test_pruned_jaccard():
+    a, b = np.arange(10, dtype=np.uint64), np.arange(2, 10, dtype=np.uint64)
+    assert S.pruned_jaccard(a, b) == 0.8 and S.pruned_jaccard(a, b, 0.8) == 0.8 and S.pruned_jaccard(a, b, 0.81) is None
+    empty = a[:0]
+    assert S.pruned_jaccard(empty, empty) == 1 and S.pruned_jaccard(empty, a) == 0
+    for m in range(1, 300):
+        for n in range(m, int(m / 0.8) + 1):
+            assert S.size_partition(n, 0.8) - S.size_partition(m, 0.8) in (0, 1)
+
+
+def test_query_matches_plain_order(spark, docs):
+    rows = {r.doc_id: r for r in Q.op6_document_fingerprints(spark, SF).collect()}
+    assert len(rows) == len(docs)
+    for (i, text), (_, following) in zip(docs, docs[1:] + docs[:1]):
+        cut = len(text) // 3
+        edited = text[:len(text) - cut] + following[:cut]
+        r = rows[i]
+        assert r.n_chars == len(text) and r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert r.near_edited == pytest.approx(plain_likeness(plain_spots(text), plain_spots(edited)))
+        assert r.near_next == pytest.approx(plain_likeness(plain_spots(text), plain_spots(following)))
+    by_text = {}
+    for i, t in docs:
+        by_text.setdefault(t, set()).add(rows[i].fingerprint)
+    assert all(len(f) == 1 for f in by_text.values())
+
+
+def test_search_finds_exactly_the_likely_pairs(spark, docs):
+    rng = random.Random(8)
+    base = [t for _, t in docs if len(t) > 800][:60]
+    rows = []
+    for k, t in enumerate(base):
+        words = t.split(" ")
+        for copy in range(3):
+            changed = list(words)
+            for _ in range(copy * len(words) // 60):
+                changed[rng.randrange(len(changed))] = rng.choice(words)
+            rows.append((len(rows), " ".join(changed)))
+    rows += [(1000 + i, rows[0][1]) for i in range(50)] + [(2000, None), (2001, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    members, pairs = S.near_duplicates(df, tau=0.8)
+    fp = {r.doc_id: r.fingerprint for r in members.collect()}
+    assert len(fp) == len(rows) and len({fp[0], *(fp[1000 + i] for i in range(50))}) == 1
+    sets = {fp[i]: plain_spots(t or "") for i, t in rows}
+    names = sorted(f for f in sets if sets[f])
+    want = {frozenset((a, b)) for i, a in enumerate(names) for b in names[i + 1:] if plain_likeness(sets[a], sets[b]) >= 0.8}
+    got = [frozenset((r.a, r.b)) for r in pairs.collect()]
+    assert want and set(got) == want and len(got) == len(set(got))
