@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shared
+from .common import sampled, shared
 
 # Patterns and least sizes of the rules, in the order of the kinds.
 ASSIGN = (r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -74,9 +74,8 @@ def _literal(values: list[float]) -> Column:
 
 def train(docs: DataFrame, sample: int = 2000, id_col: str = "doc_id", text_col: str = "text") -> list[float]:
     """The flat table of log-likelihood ratios of transitions."""
-    rows = (docs.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-            .orderBy(F.xxhash64(F.lit("sample"), "id"), "id").limit(sample))
-    rows = shared(rows, "secret-sample")
+    rows = docs.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = shared(sampled(rows, sample, "id", "text"), "secret-sample")
     digest = F.sha2(F.coalesce("id", F.lit("")), 256)
     code = F.regexp_replace(F.base64(F.unhex(digest)), "=", "")
     value = F.array_union(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)),
