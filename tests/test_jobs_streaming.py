@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from refinery.jobs import daily_job, segmentation_job
-from refinery.sources.files import file_inventory, read_csv
+from refinery.sources.files import file_inventory
 from refinery.streaming.new_folders import refine_new_landings
 from refinery.sinks.audit import read_audit
 from refinery.sinks.files import land_raw, write_csv
