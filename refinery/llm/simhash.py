@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared
+from .common import shared, slices
 
 SEED = 42
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -99,7 +99,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     id_type = docs.schema[id_col].dataType
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             fps = np.fromiter((fingerprint(t, shingle) for t in batch.column(1).to_pylist()),
                               np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))],
@@ -230,7 +230,9 @@ def fingerprint_links(fps: DataFrame, radius: int = 2) -> DataFrame:
     keys = F.explode(F.array(*[
         F.struct(F.lit(i).alias("choice"), F.col("fp").bitwiseAND(F.lit(mask)).alias("part"))
         for i, mask in enumerate(key_masks(radius))]))
-    buckets = (fps.select("fp").distinct().select("fp", keys.alias("key"))
+    # few bytes become many rows here: spread them first, whatever the size of the files
+    spread = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = (fps.select("fp").distinct().repartition(spread).select("fp", keys.alias("key"))
                .groupBy("key").agg(F.collect_list("fp").alias("fps"))
                .where(F.size("fps") > 1).select("fps"))
     return buckets.mapInArrow(lambda b: _bucket_edges(b, radius), "a long, b long").distinct()
