@@ -41,7 +41,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE = 1 << 19
+from .common import slices
+
+CACHE = 1 << 18
 LONG = 64                  # matches longer than this many bytes are not remembered
 
 
@@ -83,7 +85,7 @@ class BytePairCodec:
         self.prefix = {name: self._longest_prefix(name) for name in tokens}
         self.id_of = {name: ranks[t] for name, t in tokens.items()}
         self.memo: dict[str, tuple[int, ...]] = {}
-        self.fits = lru_cache(maxsize=1 << 18)(self._fits)
+        self.fits = lru_cache(maxsize=1 << 17)(self._fits)
 
     def _longest_prefix(self, name: str) -> str | None:
         # longest_prefix gives how much of the key the trie has, token or not
@@ -190,7 +192,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def run(batches):
         own = codec(path)
-        for batch in batches:
+        for batch in slices(batches):
             n, ids_sha, text_sha, every = [], [], [], array("I")
             for text in batch.column(1).to_pylist():
                 ids = own.encode(text)

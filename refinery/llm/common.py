@@ -46,6 +46,14 @@ def sampled(df: DataFrame, n: int, *key: str) -> DataFrame:
     return df.orderBy(F.pmod(place, F.lit(1 << 40)), *key).limit(n)
 
 
+def slices(batches, rows: int = 1000):
+    """Arrow batches in parts of ``rows`` rows, which bounds what a task holds as
+    Python objects (the parts share the batch's memory)."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def text_blocks(texts: list[str], limit: int) -> Iterator[tuple[int, int]]:
     """Consecutive ranges of ``texts`` of about ``limit`` characters (one at
     least), so that arrays made from a range stay small."""

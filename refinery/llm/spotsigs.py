@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SpanHash, code_points, mix, shared, text_blocks, word_char_table
+from .common import SpanHash, code_points, mix, shared, slices, text_blocks, word_char_table
 
 ANCHORS = (
     # English
@@ -188,7 +188,7 @@ def _walk(batches, chain: int) -> Iterator[pa.RecordBatch]:
         return out("done", ids, [None] * len(ids), columns)
 
     size = 0
-    for batch in batches:
+    for batch in slices(batches):
         id_type = batch.column(0).type
         for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             held.append((i, text or ""))
@@ -253,7 +253,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             sets = signatures([t or "" for t in batch.column(1).to_pylist()], chain)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(map(fingerprint, sets), pa.string()),

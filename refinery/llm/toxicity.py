@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SpanHash, code_points, held_out, sampled, segments, text_blocks, word_char_table
+from .common import SpanHash, code_points, held_out, sampled, segments, slices, text_blocks, word_char_table
 
 BITS = 18
 CUT = 0.7
@@ -179,7 +179,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> tuple[
     return [r.text for r in rows], [int(r.mark) for r in rows]
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, **options) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, **options) -> ToxicityModel:
     return train(*labelled_sample(docs, labels, max_rows), **options)
 
 
@@ -190,7 +190,7 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
     id_type = docs.schema[id_col].dataType
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(1).to_pylist()
             scores = sent.value.score(texts)
             worst = [None] * len(texts)
