@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sampled, shared
+from .common import sampled, shared, slices
 
 BLANK = "▁"
 _PRE_TOKEN = re.compile(r" +[^ \n]*|\n[^ \n]*")
@@ -92,7 +92,7 @@ def frequent(docs: DataFrame, path: str, sample: int, known: int) -> dict[str, i
 
 
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
-                 sample: int = 2000, known: int = 60_000) -> DataFrame:
+                 sample: int = 8000, known: int = 250_000) -> DataFrame:
     """(doc_id, n_bytes, n_tokens), one row per input row."""
     check_borders(path)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -102,7 +102,7 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     def run(batches):
         table = sent.value
         row = TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in slices(batches):
             numbers, sizes, sums, rest = [], [], [], []
             for text in batch.column(1).to_pylist():
                 text = text or ""
