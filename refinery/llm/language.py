@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import code_points, held_out, segments, text_blocks, word_char_table
+from .common import code_points, held_out, segments, shared, slices, text_blocks, word_char_table
 
 BUCKETS = 1 << 16
 BLOCK = 1 << 19            # characters turned into arrays at a time
@@ -185,7 +185,8 @@ def labelled_sample(docs: DataFrame, per_lang: int, max_rows: int) -> tuple[list
     """About ``per_lang`` labelled texts a language and at most ``max_rows``, by a
     hash of the id, from the rows that are not held out."""
     known = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = known.groupBy("lang").agg(F.count("*").alias("rows")).withColumnRenamed("lang", "of_lang")
+    # written, so that its size is known and the texts are not shuffled for this join
+    counts = shared(known.groupBy("lang").agg(F.count("*").alias("rows")).withColumnRenamed("lang", "of_lang"), "langs")
     order = F.xxhash64(F.lit("sample"), F.col("doc_id"))
     share = F.pmod(order, F.lit(1 << 20)) / F.lit(float(1 << 20))
     rows = (known.select("doc_id", "lang", "text", order.alias("place"), share.alias("share"))
@@ -211,7 +212,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep
     schema = (own.schema.add(names[0], "string").add(names[1], "double").add(names[2], "boolean"))
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             lang, score, ok = sent.value.predict(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(lang, pa.string()), pa.array(score), pa.array(ok)],
