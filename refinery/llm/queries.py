@@ -36,11 +36,11 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Toxicity score of every document and where its worst sentence starts."""
+    """Toxicity score of every document, its offending sentences and where the worst starts."""
     docs = table(spark, sf_dir, "documents")
     found = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
-                        (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"), "worst_sentence")
+                        (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"), "sentences", "worst_sentence")
 
 
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

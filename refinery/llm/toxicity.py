@@ -6,8 +6,11 @@ is toxic if any sentence is: P = 1 - prod(1 - p_sentence), the noisy-or.  The
 weights (hashed words and word beginnings of 3 to 8 letters) are learned from
 document labels through the noisy-or by AdaGrad with an L1 penalty, in numpy,
 on a bounded sample of labelled rows (``max_rows``, picked by a hash of the
-id).  Scoring covers every whole text, and the sentence scores locate what
-made a document toxic.
+id).  Scoring covers every whole text (one of over 2 ``BLOCK`` characters in parts
+cut after sentences), and the sentence scores locate what made a document toxic:
+every sentence at or over the cut, or the top contributor of a toxic document
+whose sentences only reach it together.  Places are code points of the text as it
+is given, from the first letter of the sentence to past the mark that ends it.
 
 Document scores are calibrated on the part of the sample that training left
 out: the logit is shifted so that the cut that separates that part best falls
@@ -20,6 +23,7 @@ a row; null ids count as held out; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,19 +37,21 @@ BITS = 18
 CUT = 0.7
 PREFIXES = range(3, 9)
 BLOCK = 1 << 19
-_ENDS = np.array([ord(c) for c in ".!?\n"], dtype=np.uint32)
+_MARKS = ".!?\n"
+_ENDS = np.array([ord(c) for c in _MARKS], dtype=np.uint32)
 
 
-def sentence_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(document of each sentence, its first character, sentence of each feature,
-    feature) over the lower-cased texts."""
+def sentence_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document of each sentence, its first character, the one past its end, sentence of
+    each feature, feature) over the lower-cased texts."""
     lowered = [t.lower() for t in texts]
     sizes = np.fromiter(map(len, lowered), np.int64, len(lowered)) + 1
     codes = code_points("\n".join([*lowered, ""]))
     letter = word_char_table()[codes]
     edge = np.diff(np.r_[False, letter, False].astype(np.int8))
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    sentence = np.cumsum(np.isin(codes, _ENDS))[start]      # the mark belongs to the sentence it ends
+    mark = np.isin(codes, _ENDS)
+    sentence = np.cumsum(mark)[start]                       # the mark belongs to the sentence it ends
     first = np.flatnonzero(np.r_[True, sentence[1:] != sentence[:-1]]) if len(start) else start
     number = np.cumsum(np.r_[False, sentence[1:] != sentence[:-1]]) if len(start) else start
     offsets = np.cumsum(sizes)
@@ -59,7 +65,28 @@ def sentence_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndar
         feature.append(hashes.of(start[long], start[long] + k) ^ np.uint64(2))
     owner_all, feature_all = np.concatenate(owner), np.concatenate(feature)
     place = start[first] - (offsets - sizes)[doc]
-    return doc, place, owner_all, (feature_all >> np.uint64(64 - BITS)).astype(np.int32)
+    marks = np.flatnonzero(mark)                            # the break behind each text is one
+    stop = np.minimum(marks[np.searchsorted(marks, start[first])] + 1 - (offsets - sizes)[doc], sizes[doc] - 1)
+    return doc, place, stop, owner_all, (feature_all >> np.uint64(64 - BITS)).astype(np.int32)
+
+
+def original_places(text: str, places: np.ndarray) -> np.ndarray:
+    """Places in ``text`` of places in its lower-cased form, which can be longer."""
+    if len(text.lower()) == len(text):
+        return places
+    widths = np.fromiter((len(c.lower()) for c in text), np.int64, len(text))
+    return np.searchsorted(np.cumsum(widths), places, "right")
+
+
+def _parts(text: str) -> Iterator[tuple[int, str]]:
+    """(first character, part) of one long text, cut after a sentence where a part has an end of one."""
+    at = 0
+    while len(text) - at > BLOCK:
+        cut = max(text.rfind(mark, at, at + BLOCK) for mark in _MARKS) + 1
+        cut = cut if cut > at else at + len(next(segments(text[at:at + BLOCK + 1], BLOCK)))
+        yield at, text[at:cut]
+        at = cut
+    yield at, text[at:]
 
 
 def _softplus(z: np.ndarray) -> np.ndarray:
@@ -74,15 +101,15 @@ class ToxicityModel:
     bias: float = 0.0
     shift: float = 0.0
 
-    def sentence_logits(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(document, first character, logit) of each sentence with a word."""
-        doc, place, owner, feature = sentence_features(texts)
+    def sentence_logits(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(document, first character, the one past its end, logit) of each sentence with a word."""
+        doc, place, stop, owner, feature = sentence_features(texts)
         z = self.bias + np.bincount(owner, weights=self.weights[feature], minlength=len(doc))
-        return doc, place, z
+        return doc, place, stop, z
 
     def _strength(self, texts: list[str]) -> np.ndarray:
         """S = -log(1 - P) of each text: sums over its sentences."""
-        doc, _, z = self.sentence_logits(texts)
+        doc, _, _, z = self.sentence_logits(texts)
         return np.bincount(doc, weights=_softplus(z), minlength=len(texts))
 
     def score(self, texts: list[str | None]) -> np.ndarray:
@@ -92,7 +119,7 @@ class ToxicityModel:
         texts = [t or "" for t in texts]
         for a, b in text_blocks(texts, BLOCK):
             if b - a == 1 and len(texts[a]) > 2 * BLOCK:
-                s[a] = sum(self._strength([part])[0] for part in segments(texts[a], BLOCK))
+                s[a] = sum(self._strength([part])[0] for _, part in _parts(texts[a]))
             else:
                 s[a:b] = self._strength(texts[a:b])
         return self.calibrated(s)
@@ -100,13 +127,29 @@ class ToxicityModel:
     def calibrated(self, s: np.ndarray) -> np.ndarray:
         return np.where(s > 0, 1 / (1 + np.exp(-np.clip(_logit(s) + self.shift, -700, 700))), 0.0)
 
-    def locate(self, text: str | None, cut: float = CUT) -> list[tuple[int, float]]:
-        """(first character in the lower-cased text, score) of the sentences at or over ``cut``."""
+    def locate(self, text: str | None, cut: float = CUT) -> list[tuple[int, int, float]]:
+        """(first character, the one past its end, score) of the sentences at or over ``cut``,
+        in order; the top one of a text that is over it while no sentence is."""
+        return self._offending(text, cut) if self.score([text])[0] >= cut else []
+
+    def _offending(self, text: str | None, cut: float) -> list[tuple[int, int, float]]:
+        """``locate`` of a text whose score is at or over ``cut``."""
         if self.weights is None or not text:
             return []
-        _, place, z = self.sentence_logits([text])
-        p = self.calibrated(_softplus(z))
-        return [(int(a), float(q)) for a, q in zip(place, p) if q >= cut]
+        found, top = [], None
+        for at, part in _parts(text) if len(text) > 2 * BLOCK else [(0, text)]:
+            _, place, stop, z = self.sentence_logits([part])
+            if not len(z):
+                continue
+            p = self.calibrated(_softplus(z))
+            over, best = np.flatnonzero(p >= cut), int(z.argmax())
+            chosen = np.r_[over, best]
+            start, end = at + original_places(part, place[chosen]), at + original_places(part, stop[chosen] - 1) + 1
+            spans = list(zip(start.tolist(), end.tolist(), p[chosen].tolist()))
+            found += spans[:-1]
+            if top is None or z[best] > top[0]:
+                top = z[best], spans[-1]
+        return found or [top[1]] if top else []
 
 
 def _logit(s: np.ndarray) -> np.ndarray:
@@ -130,7 +173,7 @@ def train(texts: list[str], labels: list[int], epochs: int = 40, rate: float = 0
     order = rng.permutation(np.flatnonzero(keep))
     for a in range(0, len(order), batch):
         part = order[a:a + batch]
-        doc, _, owner, feature = sentence_features([texts[i] for i in part])
+        doc, _, _, owner, feature = sentence_features([texts[i] for i in part])
         key = np.unique(owner.astype(np.int64) << BITS | feature)       # a feature counts once a sentence
         ids, feature = np.unique((key & ((1 << BITS) - 1)).astype(np.int64), return_inverse=True)
         packs.append((doc, (key >> BITS).astype(np.int32), feature.astype(np.int32), ids, y_all[part], len(part)))
@@ -184,22 +227,26 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, **options) ->
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, score, worst_sentence): the document's score, and the number of the
-    first character of its highest scored sentence if it is over the cut."""
+    """(doc_id, score, sentences, worst_sentence): the document's score, the sentences that
+    ``locate`` finds in it (none in a document under the cut), and the first character of
+    the highest scored of them."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     id_type = docs.schema[id_col].dataType
+    span = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())])
 
     def run(batches):
         for batch in slices(batches):
             texts = batch.column(1).to_pylist()
             scores = sent.value.score(texts)
-            worst = [None] * len(texts)
+            found = [[]] * len(texts)
             for i in np.flatnonzero(scores >= CUT):
-                found = sent.value.locate(texts[i])
-                worst[i] = max(found, key=lambda x: (x[1], -x[0]))[0] if found else None
+                found[i] = [dict(zip(span.names, x)) for x in sent.value._offending(texts[i], CUT)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(scores, pa.float64()), pa.array(worst, pa.int64())],
-                names=["doc_id", "score", "worst_sentence"])
+                [batch.column(0), pa.array(scores, pa.float64()), pa.array(found, pa.list_(span))],
+                names=["doc_id", "score", "sentences"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {id_type.simpleString()}, score double, worst_sentence long")
+    scored = rows.mapInArrow(run, f"doc_id {id_type.simpleString()}, score double, "
+                                  "sentences array<struct<start:bigint,`end`:bigint,score:double>>")
+    worst = F.array_max(F.transform("sentences", lambda x: F.struct(x["score"], (-x["start"]).alias("before"))))
+    return scored.withColumn("worst_sentence", -worst["before"])

@@ -67,6 +67,25 @@ def test_toxicity_locates_the_sentence():
     assert model.score([None, ""]).tolist() == [0, 0] and model.score(["we walk. " * 200_000 + "you stupid idiot."])[0] > 0
 
 
+def test_toxicity_locates_every_offending_sentence(spark):
+    clean = [f"a fine day number {i} in town. we walk and talk." for i in range(120)]
+    bad = [f"a fine day number {i} in town. you stupid idiot. we walk." for i in range(40)]
+    model = T.train(clean + bad, [0] * 120 + [1] * 40)
+    faint = "a idiot day"                               # under the cut alone, over it together
+    assert model.score([faint])[0] < T.CUT
+    n = next(n for n in range(2, 500) if model.score([f"{faint}. " * n])[0] >= T.CUT)
+    long = "we walk. " * 200_000
+    texts = {1: "İİ we walk! You stupid idiot. a fine day.\nyou stupid idiot", 2: f"{faint}. " * n, 3: "we walk.", 4: None,
+             5: f"you stupid idiot. {long}you stupid idiot!"}
+    rows = {r.doc_id: r for r in T.score(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), model).collect()}
+    cut = {k: [texts[k][s.start:s.end] for s in r.sentences] for k, r in rows.items()}
+    assert cut == {1: ["You stupid idiot.", "you stupid idiot"], 2: [f"{faint}."], 3: [], 4: [],
+                   5: ["you stupid idiot.", "you stupid idiot!"]}
+    assert all(s.score >= T.CUT for k in (1, 5) for s in rows[k].sentences) and rows[2].sentences[0].score < T.CUT
+    assert {k: r.worst_sentence for k, r in rows.items()} == {1: 12, 2: 0, 3: None, 4: None, 5: 0}
+    assert all(model.locate(texts[k]) == [tuple(s) for s in rows[k].sentences] for k in texts)
+
+
 def plain_spans(text):
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
     out = [(m.start(), 0, "assign", m.end()) for m in assign.finditer(text) if len(m[2]) >= 6]
