@@ -9,8 +9,11 @@ decimals.  A conversation whose whole hash is the hash of a proper prefix of
 another one is dropped by an anti-join, equal conversations leave the one of the
 smallest id, and what remains is rendered.
 
-Sums of position-salted hashes can be split anywhere, so long conversations are
-numbered and summed in blocks of ``BLOCK`` turn numbers, in different tasks.
+All rows are sorted by range once, also within a conversation (equal rows, which
+can stand in any order, by their place in the input), and a position is the row's
+place in its range behind the conversation's rows in the ranges before.  Sums of
+position-salted hashes can be split anywhere, so they run over blocks of ``BLOCK``
+positions.  No task holds more of a conversation than a range or a block.
 Both sides of the anti-join are distinct hashes, so a conversation or first turn
 that a third of the log shares is one row there.  Rendered conversations of over
 ``BLOCK`` turns continue in further parts (joined in order they are the whole).
@@ -41,16 +44,19 @@ def numbered(turns: DataFrame, block: int = BLOCK) -> DataFrame:
     """Turns with their position from 1, the conversation's length and two turn hashes."""
     rows = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"),
                         F.col("text").cast("string").alias("text"))
-    rows = rows.withColumn("block", F.floor(F.col("turn") / block))
-    sizes = rows.groupBy("conv_id", "block").agg(F.count("*").alias("n"))
+    order = [F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "role", "text")]
+    # the upper bits of the place are the range, the lower 33 count its rows in order
+    ordered = shared(rows.withColumn("salt", F.monotonically_increasing_id()).repartitionByRange(*order, "salt")
+                     .sortWithinPartitions(*order).select(*rows.columns, F.monotonically_increasing_id().alias("place")), "ordered")
+    ordered = ordered.withColumn("range", F.shiftright("place", 33))
+    sizes = ordered.groupBy("conv_id", "range").agg(F.count("*").alias("n"), F.min("place").alias("first"))
     own = Window.partitionBy("conv_id")
-    before = own.orderBy(F.col("block").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select(F.col("conv_id").alias("s_conv"), F.col("block").alias("s_block"),
+    before = own.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(F.col("conv_id").alias("s_conv"), F.col("range").alias("s_range"), "first",
                          F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"), F.sum("n").over(own).alias("len"))
-    at = Window.partitionBy("conv_id", "block").orderBy(*[F.col(c).asc_nulls_first() for c in ("turn", "role", "text")])
-    placed = (rows.withColumn("k", F.row_number().over(at))
-              .join(sizes, F.col("conv_id").eqNullSafe(F.col("s_conv")) & F.col("block").eqNullSafe(F.col("s_block")))
-              .withColumn("pos", F.col("offset") + F.col("k")))
+    placed = (ordered.join(sizes, F.col("conv_id").eqNullSafe(F.col("s_conv")) & (F.col("range") == F.col("s_range")))
+              .withColumn("pos", F.col("offset") + F.col("place") - F.col("first") + 1)
+              .withColumn("block", F.floor((F.col("pos") - 1) / block)))
     return shared(placed.select("conv_id", "block", "pos", "len", "role", "text", _turn_hash(1).alias("h1"), _turn_hash(2).alias("h2")),
                   "turns")
 
@@ -58,13 +64,13 @@ def numbered(turns: DataFrame, block: int = BLOCK) -> DataFrame:
 def prefix_hashes(placed: DataFrame) -> DataFrame:
     """(conv_id, pos, len, p1, p2): the rolling hash of each conversation up to each turn."""
     sums = placed.groupBy("conv_id", "block").agg(F.sum("h1").alias("b1"), F.sum("h2").alias("b2"))
-    before = Window.partitionBy("conv_id").orderBy(F.col("block").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("decimal(38,0)")
     sums = sums.select(F.col("conv_id").alias("s_conv"), F.col("block").alias("s_block"),
                        *[F.coalesce(F.sum(c).over(before), zero).alias(c) for c in ("b1", "b2")])
     run = Window.partitionBy("conv_id", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     rolled = (placed.select("conv_id", "block", "pos", "len", F.sum("h1").over(run).alias("r1"), F.sum("h2").over(run).alias("r2"))
-              .join(sums, F.col("conv_id").eqNullSafe(F.col("s_conv")) & F.col("block").eqNullSafe(F.col("s_block"))))
+              .join(sums, F.col("conv_id").eqNullSafe(F.col("s_conv")) & (F.col("block") == F.col("s_block"))))
     return rolled.select("conv_id", "pos", "len", (F.col("r1") + F.col("b1")).cast("decimal(38,0)").alias("p1"),
                          (F.col("r2") + F.col("b2")).cast("decimal(38,0)").alias("p2"))
 

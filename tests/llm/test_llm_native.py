@@ -153,6 +153,20 @@ def test_chats_match_plain_python(spark):
         assert max(r.part for r in out if r.conv_id == 200) == (12 if block == 4 else 0)
 
 
+def test_a_conversation_of_few_turn_numbers_is_spread(spark):
+    """Rows without conv_id on turns 0..10, many of them equal: no block or range holds them all."""
+    rows = [(None, i % 11, "user", "same" if i % 2 else f"t{i % 97:02}") for i in range(2000)] + [(i, 0, "user", "hi") for i in range(500)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)
+    got = chat.numbered(df, 16).collect()
+    lost = sorted((r for r in got if r.conv_id is None), key=lambda r: r.pos)
+    assert [r.pos for r in lost] == list(range(1, 2001)) and {r.len for r in lost} == {2000}
+    assert [r.text for r in lost] == [t for _, _, _, t in sorted(rows[:2000], key=lambda x: x[1:])]
+    assert all(r.block == (r.pos - 1) // 16 for r in got) and len(got) == len(rows)
+    out = [r for r in chat.format_chats(df, 16).collect() if r.conv_id is None]
+    assert len(out) == 125 and "".join(r.text for r in sorted(out, key=lambda r: r.part)) == "".join(
+        f"<|im_start|>user\n{r.text}<|im_end|>\n" for r in lost)
+
+
 def test_no_cross_join_in_the_mix(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = mixing.token_rows(docs).groupBy("key").agg(F.sum("tokens").alias("tokens"))
