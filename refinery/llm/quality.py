@@ -19,7 +19,8 @@ So a group of any size is summed map side and never gathered, no quantile needs
 a sort, and results don't depend on the order of rows.  ``SPREAD`` is added to
 the diagonal: statistics that hardly vary can't reject on a trifle.  Groups of
 under ``min_rows`` texts use the language's estimate, and languages of under
-``min_rows`` give no verdict (kept).
+``min_rows`` the estimate over all texts, which has no least number: every text
+that passes the rules gets a distance.
 
 Edge cases: null text counts as empty, so it fails for its words; null language
 or source is a value like any other; repeated rows (also repeated or null ids)
@@ -172,19 +173,20 @@ def estimate(rows: DataFrame, steps: int = 4, min_rows: int = 50) -> DataFrame:
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", steps: int = 4, min_rows: int = 50,
           cut: float = CUT) -> DataFrame:
-    """One row per input row: the counts, base_failed, distance (null without a verdict), kept."""
+    """One row per input row: the counts, base_failed, distance (null where base_failed), kept."""
     rows = shared(statistics(counts(docs, id_col, text_col))
                   .withColumn("base_failed", base_failed())
+                  .withColumn("by_all", F.lit("all"))
                   .withColumn("by_lang", F.to_json(F.struct("lang")))
                   .withColumn("by_source", F.to_json(F.struct("lang", "source"))), "quality")
     good = rows.where(~F.col("base_failed"))
     xs = [f"x{j}" for j in range(len(STATS))]
     names = [f"m{j}" for j in range(len(xs))] + [f"w{i}{j}" for i in range(len(xs)) for j in range(i + 1)]
-    for level in ("by_lang", "by_source"):
-        params = estimate(good.select(F.col(level).alias("group"), *xs), steps, min_rows)
+    for level in ("by_all", "by_lang", "by_source"):
+        params = estimate(good.select(F.col(level).alias("group"), *xs), steps, 1 if level == "by_all" else min_rows)
         rows = rows.join(params.select(F.col("group").alias(f"{level}_group"), *[F.col(c).alias(f"{level}_{c}") for c in names]),
                          F.col(level) == F.col(f"{level}_group"), "left")
-    distance = F.coalesce(_distance("by_source_"), _distance("by_lang_"))
+    distance = F.coalesce(_distance("by_source_"), _distance("by_lang_"), _distance("by_all_"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                        F.when(~F.col("base_failed"), distance).alias("distance"),
-                       (~F.col("base_failed") & F.coalesce(distance <= cut, F.lit(True))).alias("kept"))
+                       (~F.col("base_failed") & (distance <= cut)).alias("kept"))

@@ -73,6 +73,19 @@ def test_estimate_matches_numpy(spark):
     assert (d > quality.CUT).sum() >= 70 and (np.sort(d)[:720] <= quality.CUT).all()
 
 
+def test_rare_languages_are_judged_by_all_texts(spark):
+    rng = __import__("random").Random(4)
+    text = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(60))
+    odd = " ".join(f"{chr(65 + i % 26)}#{'X' * 40}{i}|" for i in range(60))
+    rows = [(i, text(), "en", "s") for i in range(200)] + [(1000, odd, "xx", "s"), (1001, text(), "xx", "s"), (1002, odd, None, None)]
+    schema = "doc_id long, text string, lang string, source string"
+    got = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows, schema)).collect()}
+    assert all(r.distance is not None and not r.base_failed for r in got.values())
+    assert not got[1000].kept and not got[1002].kept and got[1001].kept
+    few = quality.judge(spark.createDataFrame(rows[:3], schema)).collect()       # no language has 50 texts
+    assert all(r.distance is not None and r.kept for r in few)
+
+
 def plain_weights(tokens, entropy, max_repeats, budget):
     total = sum(tokens.values())
     p = {s: t / total for s, t in tokens.items() if t}
