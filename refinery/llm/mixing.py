@@ -2,6 +2,11 @@
 
 Native: only DataFrame and SQL functions.
 
+Tokens are counted natively: a text has as many as blank-separated words, and one
+per ``TOKEN_BYTES`` bytes (UTF-8, without blanks) at least, which counts unspaced
+scripts, base64 and minified text.  ``token_col`` names a column of exact counts to
+use instead (null counts as 0).
+
 Source token shares p are raised to an exponent and normalised, q ~ p^a: 1 keeps
 the shares, 0 makes all sources equal.  The exponent is bisected, in SQL over the
 one row of shares, to the largest that meets ``entropy`` (as a part of log n of
@@ -32,6 +37,7 @@ from pyspark.sql import functions as F
 from .common import SPACES, shared
 
 _KEY = "__mix_key"
+TOKEN_BYTES = 8
 
 
 def word_count(text: Column) -> Column:
@@ -39,6 +45,12 @@ def word_count(text: Column) -> Column:
     return F.when(bare == "", 0).otherwise(F.size(F.split(bare, r"[\x20\x09-\x0D]+"))).cast("long")
 
 
+def token_count(text: Column) -> Column:
+    """Words, or a token per TOKEN_BYTES bytes that aren't blanks where that is more."""
+    solid = F.octet_length(F.translate(F.coalesce(text.cast("string"), F.lit("")), SPACES, ""))
+    return F.greatest(word_count(text), F.ceil(solid / TOKEN_BYTES).cast("long"))
+
+
 def source_key(source: Column) -> Column:
     return F.to_json(F.struct(source.cast("string").alias("s")))
 
@@ -152,14 +164,16 @@ def realise(docs: DataFrame, planned: DataFrame, id_col: str = "doc_id", source_
             .select(*[F.col(f"`{c}`") for c in own], "__mix_copy", "__mix_block", "__mix_place", "__mix_position"))
 
 
-def token_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def token_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+               token_col: str | None = None) -> DataFrame:
+    tokens = F.coalesce(F.col(f"`{token_col}`").cast("long"), F.lit(0)) if token_col else token_count(F.col(f"`{text_col}`"))
     return shared(docs.select(source_key(F.col(f"`{source_col}`")).alias("key"), F.col(f"`{source_col}`").cast("string").alias("source"),
-                              F.col(f"`{id_col}`").alias("doc_id"), word_count(F.col(f"`{text_col}`")).alias("tokens")), "mix-rows")
+                              F.col(f"`{id_col}`").alias("doc_id"), tokens.alias("tokens")), "mix-rows")
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
+def mix(docs: DataFrame, token_col: str | None = None, **options) -> DataFrame:
     """(doc_id, source, tokens, copy, block, place, position, weight) of the mixture."""
-    rows = token_rows(docs)
+    rows = token_rows(docs, token_col=token_col)
     planned = plan(rows.select("key", "doc_id", "tokens"), **options)
     drawn = realise(rows, planned)
     return (drawn.join(planned.select(F.col("key").alias("w_key"), "weight"), F.col("key") == F.col("w_key"))

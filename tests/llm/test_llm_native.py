@@ -127,6 +127,18 @@ def test_mix_meets_weights_and_budget(spark, entropy, max_repeats, budget):
     assert None in drawn and "none" not in drawn
 
 
+def test_unspaced_sources_count_by_their_bytes(spark):
+    rows = [(i, "some plain words here " * 20, "spaced") for i in range(100)]
+    rows += [(100 + i, "漢字" * 300, "unspaced") for i in range(100)] + [(300, " \n" * 500, "blank")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    tokens = {r.doc_id: r.tokens for r in mixing.token_rows(docs).collect()}
+    assert tokens[0] == 80 and tokens[100] == 225 and tokens[300] == 0
+    out = mixing.mix(docs, entropy=0.5).collect()                   # the shares are kept: each document once
+    assert sum(r.source == "unspaced" for r in out) in (99, 100) and sum(r.source == "spaced" for r in out) in (99, 100)
+    exact = docs.selectExpr("*", "if(source = 'spaced', 7L, null) AS n")
+    assert {r.source for r in mixing.mix(exact, token_col="n").collect()} == {"spaced"}
+
+
 def test_mix_is_a_permutation_per_copy(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     one, two = (Q.op9_source_mix(spark, SF).collect() for _ in range(2))
