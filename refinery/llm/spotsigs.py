@@ -9,11 +9,13 @@ so that fingerprints of different runs compare.
 Likeness is the Jaccard similarity of two signatures.  Since it can't exceed
 min/max of the set sizes, sizes are cut into partitions in which neighbouring
 sizes of likeness tau meet in one or two adjacent partitions, and a comparison
-stops as soon as its bound falls below tau (``pruned_jaccard``).
+stops as soon as its bound falls below tau (``pruned_jaccard``, which merges
+``STEP`` elements between looks at the bound).
 ``near_duplicates`` is the search over all documents: equal signatures collapse,
 each signature lists its rarest spots (enough that two signatures of likeness
 tau share one) under its own and the next size partition, and pairs that meet in
-a list are compared once.
+a list are compared once, by ``pruned_jaccard``.  ``next_document_likeness`` gives
+the exact likeness of every pair, so it has no tau and can't stop early.
 
 Edge cases: null counts as empty.  A text without a spot (no anchor, or too few
 content words) has its whole word sequence as its only element, and a text
@@ -45,6 +47,7 @@ ANCHORS = (
     "al como con del el es la las lo los no para por que se su un una y"
 ).split()
 CHAIN = 2
+STEP = 64
 BLOCK = 1 << 19
 
 
@@ -113,14 +116,37 @@ def size_partition(size: int, tau: float) -> int:
     return int(np.floor(np.log(max(size, 1)) / -np.log(tau)))
 
 
+def merged(a: np.ndarray, b: np.ndarray, tau: float) -> tuple[int, int]:
+    """(shared elements found, elements of the smaller set looked at) of two sorted sets:
+    STEP elements at a time, until the rests can't bring the likeness to ``tau``."""
+    if len(a) > len(b):
+        a, b = b, a
+    both = at = behind = 0
+    while at < len(a):
+        most = both + min(len(a) - at, len(b) - behind)
+        if most / (len(a) + len(b) - most) < tau:
+            break
+        part = a[at:at + STEP]
+        place = behind + np.searchsorted(b[behind:], part)
+        inside = place < len(b)
+        both += int(np.count_nonzero(b[place[inside]] == part[inside]))
+        at, behind = at + len(part), int(place[-1])
+    return both, at
+
+
 def pruned_jaccard(a: np.ndarray, b: np.ndarray, tau: float = 0.0) -> float | None:
     """Jaccard similarity of two sorted sets; None once it can't reach ``tau``."""
     if not len(a) and not len(b):
         return 1.0
     small, large = sorted((len(a), len(b)))
-    if small < tau * large:
+    if small / large < tau:
         return None
-    both = len(np.intersect1d(a, b, assume_unique=True))
+    if tau > 0:
+        both, seen = merged(a, b, tau)
+        if seen < small:
+            return None
+    else:
+        both = len(np.intersect1d(a, b, assume_unique=True))
     likeness = both / (small + large - both)
     return None if likeness < tau else likeness
 
@@ -277,8 +303,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
            .where((F.col("n_a") < F.col("n_b")) | (F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
            .where(F.col("n_a") >= F.col("n_b") * tau).select("a", "b").distinct())
     of = lambda c: sets.select(F.col("fingerprint").alias(f"f_{c}"), F.col("spots").alias(f"s_{c}"))
-    both = F.size(F.array_intersect("s_a", "s_b"))
+    def compared(batches):
+        for batch in slices(batches):
+            sides = [[x.as_py() for x in batch.column(k)] for k in (0, 1)]
+            sets = [[x.values.to_numpy().view(np.uint64) for x in batch.column(k)] for k in (2, 3)]
+            likeness = pa.array((pruned_jaccard(x, y, tau) for x, y in zip(*sets)), pa.float64())
+            whole = pa.RecordBatch.from_arrays([*(pa.array(x, pa.string()) for x in sides), likeness], names=["a", "b", "likeness"])
+            yield whole.filter(likeness.is_valid())
+
     pairs = (met.join(of("a"), F.col("a") == F.col("f_a")).join(of("b"), F.col("b") == F.col("f_b"))
-             .select("a", "b", (both / (F.size("s_a") + F.size("s_b") - both)).alias("likeness"))
-             .where(F.col("likeness") >= tau))
+             .select("a", "b", "s_a", "s_b").mapInArrow(compared, "a string, b string, likeness double"))
     return signed.select("doc_id", "fingerprint"), pairs

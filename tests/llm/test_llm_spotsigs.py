@@ -55,6 +55,25 @@ def test_pruned_jaccard():
             assert S.size_partition(n, 0.8) - S.size_partition(m, 0.8) in (0, 1)
 
 
+def test_the_merge_stops_at_the_bound():
+    a, b = np.arange(0, 20_000, 2, dtype=np.uint64), np.arange(1, 20_001, 2, dtype=np.uint64)
+    assert S.merged(a, b, 0.8)[1] < 2_000 and S.merged(a, a, 0.8) == (10_000, 10_000)
+    assert S.pruned_jaccard(a[:3], a[:30], 0.1) == 0.1              # 0.1 * 30 is above 3
+    rng = np.random.default_rng(1)
+    for _ in range(2000):
+        a, b = (np.unique(rng.integers(0, 400, rng.integers(1, 400)).astype(np.uint64)) for _ in range(2))
+        tau = rng.choice([0.1, 0.3, 0.5, 0.8])
+        exact = S.pruned_jaccard(a, b)
+        assert S.pruned_jaccard(a, b, tau) == (exact if exact >= tau else None)
+
+
+def test_the_search_compares_by_the_pruned_merge(spark):
+    text = "the cat sat on a mat of red wool and the dog ran to the old stone house in town"
+    pairs = S.near_duplicates(spark.createDataFrame([(1, text), (2, text + " with him")], "doc_id long, text string"), tau=0.5)[1]
+    plan = pairs._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan.split("Join")[0] and "array_intersect" not in plan
+
+
 def test_query_matches_plain_order(spark, docs):
     rows = {r.doc_id: r for r in Q.op6_document_fingerprints(spark, SF).collect()}
     assert len(rows) == len(docs)
