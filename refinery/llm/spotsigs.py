@@ -17,10 +17,15 @@ tau share one) under its own and the next size partition, and pairs that meet in
 a list are compared once, by ``pruned_jaccard``.  ``next_document_likeness`` gives
 the exact likeness of every pair, so it has no tau and can't stop early.
 
-Edge cases: null counts as empty.  A text without a spot (no anchor, or too few
-content words) has its whole word sequence as its only element, and a text
-without words the empty signature; two empty signatures have likeness 1, an
-empty and another 0.  Equal texts have equal fingerprints.
+The anchors are those of four languages.  A text without a spot (no anchor, or too
+few content words) has its whole word sequence as its only element, so its
+likeness to a changed text is 0.  ``near_duplicates`` with ``chains`` gives such a
+text all its chains of ``chain`` + 1 words instead, which finds near copies in any
+language written with letters and blanks.
+
+Edge cases: null counts as empty.  A text without words has the empty signature;
+two empty signatures have likeness 1, an empty and another 0.  Equal texts have
+equal fingerprints.
 """
 
 from __future__ import annotations
@@ -62,15 +67,16 @@ def _anchor_hashes() -> np.ndarray:
 _anchors: list[np.ndarray] = []
 
 
-def signatures(texts: list[str], chain: int = CHAIN) -> list[np.ndarray]:
-    """The sorted distinct spots of each text."""
+def signatures(texts: list[str], chain: int = CHAIN, chains: bool = False) -> list[np.ndarray]:
+    """The sorted distinct spots of each text; ``chains``: a text without spots has its
+    word chains instead of its whole word sequence."""
     out: list[np.ndarray] = []
     for a, b in text_blocks(texts, BLOCK):
-        out += _signatures(texts[a:b], chain)
+        out += _signatures(texts[a:b], chain, chains)
     return out
 
 
-def _signatures(texts: list[str], chain: int) -> list[np.ndarray]:
+def _signatures(texts: list[str], chain: int, chains: bool) -> list[np.ndarray]:
     if not _anchors:
         _anchors.append(_anchor_hashes())
     lowered = [t.lower() for t in texts]
@@ -100,7 +106,12 @@ def _signatures(texts: list[str], chain: int) -> list[np.ndarray]:
     for i in range(len(texts)):
         own = np.unique(spots[cuts[i]:cuts[i + 1]])
         mine = words[word_cuts[i]:word_cuts[i + 1]]
-        if not len(own) and len(mine):
+        if not len(own) and chains and len(mine) > chain:
+            linked = mine[:len(mine) - chain]
+            for k in range(1, chain + 1):
+                linked = mix(linked * np.uint64(3) + mine[k:len(mine) - chain + k])
+            own = np.unique(linked)
+        elif not len(own) and len(mine):
             own = np.array([int.from_bytes(hashlib.sha256(mine.tobytes()).digest()[:8], "little")], dtype=np.uint64)
         out.append(own)
     return out
@@ -272,15 +283,16 @@ def next_document_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: st
 # ---- search over all documents -----------------------------------------------
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tau: float = 0.8,
-                    chain: int = CHAIN) -> tuple[DataFrame, DataFrame]:
+                    chain: int = CHAIN, chains: bool = False) -> tuple[DataFrame, DataFrame]:
     """(members, pairs): members gives each document the fingerprint of its
     signature; pairs lists the different signatures (by fingerprint) whose
-    likeness is ``tau`` or more, each pair once."""
+    likeness is ``tau`` or more, each pair once.  ``chains``: texts without spots are
+    compared by their word chains."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         for batch in slices(batches):
-            sets = signatures([t or "" for t in batch.column(1).to_pylist()], chain)
+            sets = signatures([t or "" for t in batch.column(1).to_pylist()], chain, chains)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(map(fingerprint, sets), pa.string()),
                  pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["doc_id", "fingerprint", "spots"])

@@ -74,6 +74,19 @@ def test_the_search_compares_by_the_pruned_merge(spark):
     assert "MapInArrow" in plan.split("Join")[0] and "array_intersect" not in plan
 
 
+def test_the_search_finds_near_copies_without_anchors(spark):
+    rng = random.Random(7)
+    words = ["".join(rng.choice("абвгдежзиклмнопрст") for _ in range(6)) for _ in range(400)]
+    near = [*words[:200], "новое", *words[201:]]
+    rows = [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(reversed(words))), (4, "одно слово"), (5, "одно слово")]
+    members, pairs = S.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), tau=0.8, chains=True)
+    fp = {r.doc_id: r.fingerprint for r in members.collect()}
+    found = pairs.collect()
+    assert [{r.a, r.b} for r in found] == [{fp[1], fp[2]}] and fp[4] == fp[5]
+    a, b = ({tuple(w[i:i + 3]) for i in range(398)} for w in (words, near))
+    assert found[0].likeness == pytest.approx(plain_likeness(a, b))
+
+
 def test_query_matches_plain_order(spark, docs):
     rows = {r.doc_id: r for r in Q.op6_document_fingerprints(spark, SF).collect()}
     assert len(rows) == len(docs)
