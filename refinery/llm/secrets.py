@@ -11,9 +11,9 @@ one of ordinary identifiers.  A run whose log-likelihood ratio per whole run is
 The models are transition counts (add-one smoothed) of labelled samples.
 Random: the values the rules matched in the sampled documents, and digests of
 their ids in hex, base64 and upper-case letters with digits.  Identifiers: the
-words of the sampled documents without a match, alone and joined by ``_``,
-``-``, a capital letter or nothing.  The sample is bounded (``sample``
-documents, by a hash of the id); scanning covers every whole text.  What comes
+words of the sampled documents without a match, alone and each joined to the next
+by ``_``, ``-``, a capital letter or nothing.  The sample is bounded (``sample``
+documents, by a hash of the id) and taken whole; scanning covers every whole text.  What comes
 to the driver is one table of 67 x 67 numbers.
 
 Positions.  A pattern's matches and the pieces between them alternate, so a
@@ -84,7 +84,8 @@ def train(docs: DataFrame, sample: int = 2000, id_col: str = "doc_id", text_col:
     random = F.concat(F.filter(value, lambda v: F.length(v) >= 16),
                       F.array(digest, code, F.upper(F.substring(F.regexp_replace(code, "[^A-Za-z0-9]", ""), 1, 20))))
     words = F.regexp_extract_all("text", F.lit(r"(?<![A-Za-z0-9+/_=-])([A-Za-z][A-Za-z-]{1,24})(?![A-Za-z0-9+/_=-])"), F.lit(1))
-    pairs = F.zip_with(F.slice("words", 1, 400), F.slice("words", 2, 400), lambda a, b: F.when(
+    rest = F.greatest(F.size("words") - 1, F.lit(0))
+    pairs = F.zip_with(F.slice("words", F.lit(1), rest), F.slice("words", F.lit(2), rest), lambda a, b: F.when(
         F.pmod(F.hash(a), F.lit(4)) == 0, F.concat_ws("_", a, b)).when(
         F.pmod(F.hash(a), F.lit(4)) == 1, F.concat_ws("-", a, b)).when(
         F.pmod(F.hash(a), F.lit(4)) == 2, F.concat(F.coalesce(a, F.lit("")), F.initcap(F.coalesce(b, F.lit(""))))).otherwise(
@@ -93,7 +94,7 @@ def train(docs: DataFrame, sample: int = 2000, id_col: str = "doc_id", text_col:
     labelled = (rows.select(F.lit("random").alias("label"), F.explode(random).alias("run"))
                 .union(rows.where(clean).select(words.alias("words"))
                        .select(F.lit("word").alias("label"), F.explode(F.concat("words", pairs)).alias("run"))))
-    moves = (labelled.where(F.length("run").between(2, 4096)).select("label", _symbols(F.col("run")).alias("s"))
+    moves = (labelled.where(F.length("run") >= 2).select("label", _symbols(F.col("run")).alias("s"))
              .select("label", F.explode(F.zip_with(F.slice("s", F.lit(1), F.greatest(F.size("s") - 1, F.lit(0))),
                                                    F.slice("s", F.lit(2), F.greatest(F.size("s") - 1, F.lit(0))),
                                                    lambda a, b: a * len(ALPHABET) + b)).alias("move"))

@@ -103,6 +103,16 @@ CASES = [
 ]
 
 
+def test_secret_models_learn_from_whole_texts(spark):
+    """Only the words behind the 401st join q to Z, and only a run of over 4,096 characters has J after J."""
+    words = ["abc"] * 500 + ["aq", "zb"] * 200
+    df = spark.createDataFrame([(1, " ".join(words)), (2, "token=" + "J" * 5000)], "doc_id long, text string")
+    table, at, n = C.train(df), C.ALPHABET.index, len(C.ALPHABET)
+    joined = [table[at("q") * n + at(x)] for x in "Z_-z"]
+    assert min(joined) < -1                             # however the two are joined
+    assert table[at("J") * n + at("J")] > 4
+
+
 @pytest.fixture(scope="module")
 def ratios(spark):
     return C.train(spark.read.parquet(f"{SF}/documents.parquet"))
