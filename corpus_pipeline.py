@@ -57,7 +57,8 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language_id", language_id), ("simhash_near_dedup", near_dedup), ("secret_scan", secret_scan),
           ("source_mix", source_mix), ("byte_bpe", byte_bpe)]
-#: Trained models, fingerprints and BPE can't be put in SQL; tests/llm has brute-force versions.
+#: Trained models, fingerprints and BPE can't be put in SQL; tests/llm/test_llm_pipeline.py has
+#: each stage in plain Python.
 ORACLE_SQL = None
 
 
