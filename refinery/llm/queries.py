@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, language, mixing, quality, secrets, simhash, spotsigs, token_counts, toxicity
+from . import (
+    bpe, chat, language, mixing, negatives, quality, secrets, simhash, spotsigs, token_counts, topk, toxicity)
 from .common import held_out, table
 
 
@@ -75,9 +76,22 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five hard negatives for each of five positives of every anchor."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows, F.col("vec_id") % 100 == 0, scale=256, label=label)
+
+
+def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest inner products of every query vector."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20, scale=64)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_simhash_near_dedup, op2_language_id, op3_secret_scan, op4_toxicity, op5_chat_format,
                             op6_document_fingerprints, op7_quality_rules, op8_token_counts, op9_source_mix,
-                            op10_byte_bpe)
+                            op10_byte_bpe, op12_hard_negatives, op13_top_k)
 }
-ORACLE: dict[str, str] = {"op5_chat_format": chat.ORACLE}
+ORACLE: dict[str, str] = {"op5_chat_format": chat.ORACLE, "op12_hard_negatives": negatives.ORACLE,
+                          "op13_top_k": topk.ORACLE}
