@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    bpe, chat, language, mixing, negatives, quality, secrets, simhash, spotsigs, token_counts, topk, toxicity)
+    bpe, chat, language, mixing, negatives, phrases, quality, secrets, simhash, spotsigs, token_counts, topk, toxicity)
 from .common import held_out, table
 
 
@@ -76,6 +76,11 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 strongest phrases of two to four words of every language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five hard negatives for each of five positives of every anchor."""
     rows = table(spark, sf_dir, "embeddings")
@@ -91,7 +96,7 @@ def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_simhash_near_dedup, op2_language_id, op3_secret_scan, op4_toxicity, op5_chat_format,
                             op6_document_fingerprints, op7_quality_rules, op8_token_counts, op9_source_mix,
-                            op10_byte_bpe, op12_hard_negatives, op13_top_k)
+                            op10_byte_bpe, op11_phrase_collocations, op12_hard_negatives, op13_top_k)
 }
-ORACLE: dict[str, str] = {"op5_chat_format": chat.ORACLE, "op12_hard_negatives": negatives.ORACLE,
-                          "op13_top_k": topk.ORACLE}
+ORACLE: dict[str, str] = {"op5_chat_format": chat.ORACLE, "op11_phrase_collocations": phrases.ORACLE,
+                          "op12_hard_negatives": negatives.ORACLE, "op13_top_k": topk.ORACLE}
