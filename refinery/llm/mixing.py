@@ -8,10 +8,11 @@ scripts, base64 and minified text.  ``token_col`` names a column of exact counts
 use instead (null counts as 0).
 
 Source token shares p are raised to an exponent and normalised, q ~ p^a: 1 keeps
-the shares, 0 makes all sources equal.  The exponent is bisected, in SQL over the
-one row of shares, to the largest that meets ``entropy`` (as a part of log n of
-n sources); then raised as far as needed so that no source is repeated more than
-``max_repeats`` times (the limit wins if both can't be met).
+the shares, 0 makes all sources equal.  The exponent is bisected to the largest that
+meets ``entropy`` (as a part of log n of n sources); then raised as far as needed so
+that no source is repeated more than ``max_repeats`` times (the limit wins if both
+can't be met).  A pass of the bisection is one aggregation over the table of sources:
+the sums of p^a and p^a log p for a grid of exponents.
 
 The weights are realised as budgeted block permutations.  A source's share of
 the token budget is so many whole copies of the source and a rest.  Every copy
@@ -25,19 +26,25 @@ row per source, joined by size (Catalyst broadcasts it while it is small).
 A source ends within one document of its target, and never above it.
 
 Edge cases: a null source is a source; null and empty texts have no tokens and
-come along with their source's copies; documents of one id keep together;
-sources without tokens, an empty table: no rows.
+come along with their source's copies; rows of a null or repeated id are numbered
+(``tagged``), so each has its own place in every permutation; sources without
+tokens, an empty table: no rows.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACES, shared
 
 _KEY = "__mix_key"
+TAG = "__mix_tag"
 TOKEN_BYTES = 8
+#: exponents looked at in one pass, and passes: 54 halvings
+GRID, ROUNDS = 64, 9
 
 
 def word_count(text: Column) -> Column:
@@ -55,47 +62,67 @@ def source_key(source: Column) -> Column:
     return F.to_json(F.struct(source.cast("string").alias("s")))
 
 
-def weights(totals: DataFrame, entropy: float, max_repeats: float, budget: float) -> DataFrame:
-    """(key, tokens, weight, exponent, total) of the sources, from (key, tokens).
-
-    All sources' totals are in one row here: one number a source."""
-    one = totals.where("tokens > 0").agg(F.array_sort(F.collect_list(F.struct("key", "tokens"))).alias("s"))
-
-    def tempered(s: Column, a: Column) -> Column:
-        total = F.aggregate(s, F.lit(0.0), lambda x, y: x + y["tokens"])
-        logs = F.transform(s, lambda x: F.log(x["tokens"] / total) * a)
-        norm = F.log(F.aggregate(logs, F.lit(0.0), lambda x, y: x + F.exp(y)))
-        return F.transform(logs, lambda x: F.exp(x - norm))
+def _sums(shares: DataFrame, exponents: list[float]) -> list[tuple[float, float]]:
+    """(sum of p^a, sum of p^a log p) over all sources for each exponent a.  Summed as
+    decimals, so the order of the sources doesn't matter."""
+    a, power = F.col("a"), F.exp(F.col("a") * F.col("log"))
+    exact = lambda c: F.sum(c.cast("decimal(38,20)"))
+    found = (shares.select("log", F.explode(F.array(*map(F.lit, exponents))).alias("a"))
+             .groupBy("a").agg(exact(power).alias("z"), exact(power * F.col("log")).alias("s")).orderBy("a").collect())
+    return [(float(r["z"]), float(r["s"])) for r in found]
 
-    def spread(s: Column, a: Column) -> Column:
-        return F.aggregate(tempered(s, a), F.lit(0.0), lambda x, q: x - q * F.log(q))
 
-    def repeats(s: Column, a: Column) -> Column:
-        total = F.aggregate(s, F.lit(0.0), lambda x, y: x + y["tokens"])
-        return F.array_max(F.zip_with(tempered(s, a), s, lambda q, x: q * total * budget / x["tokens"]))
+def _bisected(shares: DataFrame, low: float, raise_low) -> tuple[float, float]:
+    """[low, 1] narrowed to neighbours: ``raise_low(a, z, s)`` says whether the limit lies
+    above ``a``.  A round looks at GRID exponents at once, which is a bisection of
+    log2(GRID) steps in one pass over the sources."""
+    high = 1.0
+    for _ in range(ROUNDS):
+        grid = sorted({low + (high - low) * i / GRID for i in range(1, GRID)} - {low, high})
+        if not grid:
+            break
+        above = [raise_low(a, z, s) for a, (z, s) in zip(grid, _sums(shares, grid))]
+        n = above.index(False) if False in above else len(grid)
+        low, high = grid[n - 1] if n else low, grid[n] if n < len(grid) else high
+    return low, high
 
-    def bisect(s: Column, low: Column, raise_low) -> Column:
-        """60 halvings of [low, 1]; ``raise_low`` says whether the middle is the new low end."""
-        start = F.struct(low.cast("double").alias("low"), F.lit(1.0).alias("high"))
-        middle = lambda x: (x["low"] + x["high"]) / 2
-        return F.aggregate(F.sequence(F.lit(1), F.lit(60)), start, lambda x, _: F.when(
-            raise_low(s, middle(x)), F.struct(middle(x).alias("low"), x["high"].alias("high"))).otherwise(
-            F.struct(x["low"].alias("low"), middle(x).alias("high"))))
-
-    goal = F.log(F.size("s").cast("double")) * entropy
-    fit_entropy = F.when(spread(F.col("s"), F.lit(1.0)) >= goal, F.lit(1.0)).otherwise(
-        bisect(F.col("s"), F.lit(0.0), lambda s, a: spread(s, a) >= goal)["low"])
-    fit_repeats = F.when(repeats(F.col("s"), F.col("a")) <= max_repeats, F.col("a")).otherwise(
-        bisect(F.col("s"), F.col("a"), lambda s, a: repeats(s, a) > max_repeats)["high"])
-    solved = one.select("s", fit_entropy.alias("a")).select("s", fit_repeats.alias("exponent"))
-    total = F.aggregate("s", F.lit(0).cast("long"), lambda x, y: x + y["tokens"])
-    solved = solved.select("exponent", total.alias("total"), F.explode(F.zip_with("s", tempered(F.col("s"), F.col("exponent")),
-                                                            lambda x, q: F.struct(x["key"].alias("key"), x["tokens"].alias("tokens"), q.alias("weight")))).alias("x"))
-    return solved.select("x.key", "x.tokens", "x.weight", "exponent", "total")
 
+def weights(totals: DataFrame, entropy: float, max_repeats: float, budget: float) -> DataFrame:
+    """(key, tokens, weight, exponent, total) of the sources, from (key, tokens).
 
-def _place(seed: int, copy: Column, doc_id: Column) -> Column:
-    return F.xxhash64(F.lit(seed), copy.cast("long"), doc_id)
+    The sources stay a table; the driver gets two sums an exponent."""
+    totals = totals.where("tokens > 0").select("key", "tokens")
+    whole = totals.agg(F.sum("tokens").alias("t"), F.count(F.lit(1)).alias("n"), F.min("tokens").alias("least")).first()
+    total, sources = whole["t"] or 0, whole["n"]
+    shares = totals.withColumn("log", F.log(F.col("tokens") / F.lit(float(max(total, 1)))))
+    exponent, norm = 1.0, 1.0
+    if sources:
+        goal = math.log(sources) * entropy
+        # entropy of p^a / z is log z - a s / z; the most repeated source is the smallest one
+        meets = lambda a, z, s: math.log(z) - a * s / z >= goal
+        least = math.log(whole["least"] / total)
+        over = lambda a, z, s: math.exp(least * (a - 1)) / z * budget > max_repeats
+        exponent = 1.0 if meets(1.0, *_sums(shares, [1.0])[0]) else _bisected(shares, 0.0, meets)[0]
+        if over(exponent, *_sums(shares, [exponent])[0]):
+            exponent = _bisected(shares, exponent, over)[1]
+        norm = _sums(shares, [exponent])[0][0]
+    return shares.select("key", "tokens", (F.exp(F.col("log") * exponent) / F.lit(norm)).alias("weight"),
+                         F.lit(exponent).alias("exponent"), F.lit(total).cast("long").alias("total"))
+
+
+def tagged(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` with TAG, written: a number for rows whose id is null or repeated (so that
+    each has a place of its own), null for the others (their place depends on the id)."""
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    many = (docs.groupBy(F.col(f"`{id_col}`").alias("__mix_id")).agg(F.count(F.lit(1)).alias("__mix_n"))
+            .where("__mix_n > 1 and __mix_id is not null"))
+    found = docs.join(many, F.col(f"`{id_col}`") == F.col("__mix_id"), "left")
+    again = F.col("__mix_id").isNotNull() | F.col(f"`{id_col}`").isNull()
+    return shared(found.select(*own, F.when(again, F.monotonically_increasing_id()).alias(TAG)), "mix-tagged")
+
+
+def _place(seed: int, copy: Column, doc_id: Column, tag: Column) -> Column:
+    return F.xxhash64(F.lit(seed), copy.cast("long"), doc_id, tag)      # a null tag changes nothing
 
 
 def _unit(place: Column) -> Column:
@@ -107,9 +134,13 @@ def _block(place: Column, blocks: Column) -> Column:
     return F.least(F.floor(_unit(place) * blocks), blocks - 1)
 
 
+def _tag(df: DataFrame) -> Column:
+    return F.col(TAG) if TAG in df.columns else F.lit(None).cast("long")
+
+
 def plan(rows: DataFrame, entropy: float = 0.9, max_repeats: float = 4.0, budget: float = 1.0,
          block_tokens: int = 1_000_000, seed: int = 11) -> DataFrame:
-    """One row per source, from (key, doc_id, tokens): weight, target, whole copies and
+    """One row per source, from (key, doc_id, tokens, TAG if there is one): weight, target, whole copies and
     where the rest ends (last whole block, last place within the next)."""
     totals = shared(rows.groupBy("key").agg(F.sum("tokens").alias("tokens")), "mix-totals")
     found = weights(totals, entropy, max_repeats, budget)
@@ -120,7 +151,7 @@ def plan(rows: DataFrame, entropy: float = 0.9, max_repeats: float = 4.0, budget
                    .withColumn("blocks", F.greatest(F.ceil(F.col("tokens") / block_tokens), F.lit(1)).cast("long"))
                    .drop("total"), "mix-sizes")
     placed = (rows.join(sized.select(F.col("key").alias("of_key"), "copies", "blocks", "rest"), F.col("key") == F.col("of_key"))
-              .withColumn("place", _place(seed, F.col("copies"), F.col("doc_id")))
+              .withColumn("place", _place(seed, F.col("copies"), F.col("doc_id"), _tag(rows)))
               .withColumn("block", _block(F.col("place"), F.col("blocks"))))
     run = Window.partitionBy("key").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
     border = (placed.groupBy("key", "block").agg(F.sum("tokens").alias("n"), F.max("rest").alias("rest"))
@@ -140,7 +171,7 @@ def plan(rows: DataFrame, entropy: float = 0.9, max_repeats: float = 4.0, budget
 
 
 def realise(docs: DataFrame, planned: DataFrame, id_col: str = "doc_id", source_col: str = "source", seed: int = 11) -> DataFrame:
-    """The rows of ``docs`` as often as the plan has them, with __mix_copy, __mix_block and
+    """The rows of ``docs`` (``tagged`` as the planned rows were) as often as the plan has them, with __mix_copy, __mix_block and
     __mix_place (their order in a source) and __mix_position (0 to 1: the order in which
     sources are interleaved by weight)."""
     p = planned.select(F.col("key").alias("__mix_of"), F.col("copies").alias("__mix_copies"), F.col("blocks").alias("__mix_blocks"),
@@ -149,8 +180,8 @@ def realise(docs: DataFrame, planned: DataFrame, id_col: str = "doc_id", source_
                        F.greatest(F.col("copies") + F.coalesce(_unit(F.col("last_place")), F.col("border") / F.col("blocks"), F.lit(0.0)),
                                   F.lit(1e-9)).alias("__mix_turns"))
     doc_id = F.col(f"`{id_col}`")
-    place = _place(seed, F.col("__mix_copy"), doc_id)
-    rest = _place(seed, F.col("__mix_copies"), doc_id)
+    place = _place(seed, F.col("__mix_copy"), doc_id, _tag(docs))
+    rest = _place(seed, F.col("__mix_copies"), doc_id, _tag(docs))
     rest_block = _block(rest, F.col("__mix_blocks"))
     inside = F.coalesce((rest_block < F.col("__mix_border")) | (rest_block == F.col("__mix_border")) & (rest <= F.col("__mix_last")),
                         F.lit(False))
@@ -168,13 +199,13 @@ def token_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                token_col: str | None = None) -> DataFrame:
     tokens = F.coalesce(F.col(f"`{token_col}`").cast("long"), F.lit(0)) if token_col else token_count(F.col(f"`{text_col}`"))
     return shared(docs.select(source_key(F.col(f"`{source_col}`")).alias("key"), F.col(f"`{source_col}`").cast("string").alias("source"),
-                              F.col(f"`{id_col}`").alias("doc_id"), tokens.alias("tokens")), "mix-rows")
+                              F.col(f"`{id_col}`").alias("doc_id"), tokens.alias("tokens"), _tag(docs).alias(TAG)), "mix-rows")
 
 
 def mix(docs: DataFrame, token_col: str | None = None, **options) -> DataFrame:
     """(doc_id, source, tokens, copy, block, place, position, weight) of the mixture."""
-    rows = token_rows(docs, token_col=token_col)
-    planned = plan(rows.select("key", "doc_id", "tokens"), **options)
+    rows = tagged(token_rows(docs, token_col=token_col).drop(TAG))
+    planned = plan(rows, **options)
     drawn = realise(rows, planned)
     return (drawn.join(planned.select(F.col("key").alias("w_key"), "weight"), F.col("key") == F.col("w_key"))
             .select("doc_id", "source", "tokens", F.col("__mix_copy").alias("copy"), F.col("__mix_block").alias("block"),
