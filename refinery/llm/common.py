@@ -33,17 +33,16 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(True))
 
 
-def sampled(df: DataFrame, n: int, *key: str) -> DataFrame:
-    """At most ``n`` rows of ``df``, those of the smallest hash of ``key``.
-
-    A share of about ``2 n`` rows is cut out by the hash first, so that the tasks
-    send what is needed and not ``n`` rows each."""
-    place = F.xxhash64(F.lit("sample"), *key)
-    rows = df.count()
-    if rows > 2 * n:
-        df = df.where(F.pmod(place, F.lit(1 << 40)) < F.lit(int((1 << 40) * 2 * n / rows)))
-    # in the order of the part of the hash that was cut by
-    return df.orderBy(F.pmod(place, F.lit(1 << 40)), *key).limit(n)
+def sampled(df: DataFrame, n: int) -> DataFrame:
+    """Exactly min(``n``, rows) rows of ``df``, whatever repeats in them: those of the
+    smallest hash of the row's number.
+
+    The nth smallest hash is found without reading a column, and the rows up to it stay
+    where they are (no task holds the sample).  ``df`` must give its rows in the same
+    order twice, as a stored table does."""
+    place = F.xxhash64(F.lit("sample"), F.monotonically_increasing_id())
+    last = df.select(place.alias("place")).orderBy("place").limit(n).agg(F.max("place")).first()[0]
+    return df.where(place <= last) if last is not None else df.limit(0)
 
 
 def slices(batches, rows: int = 1000):

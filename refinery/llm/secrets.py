@@ -75,7 +75,7 @@ def _literal(values: list[float]) -> Column:
 def train(docs: DataFrame, sample: int = 2000, id_col: str = "doc_id", text_col: str = "text") -> list[float]:
     """The flat table of log-likelihood ratios of transitions."""
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = shared(sampled(rows, sample, "id", "text"), "secret-sample")
+    rows = shared(sampled(rows, sample), "secret-sample")
     digest = F.sha2(F.coalesce("id", F.lit("")), 256)
     code = F.regexp_replace(F.base64(F.unhex(digest)), "=", "")
     value = F.array_union(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)),

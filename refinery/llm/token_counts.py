@@ -85,7 +85,7 @@ def _frequencies(batches):
 
 def frequent(docs: DataFrame, path: str, sample: int, known: int) -> dict[str, int]:
     """Piece counts of the pre-tokens most frequent in a sample of ``sample`` texts."""
-    texts = sampled(docs, sample, "doc_id", "text").select("text")
+    texts = sampled(docs, sample).select("text")
     seen = (texts.mapInArrow(_frequencies, "pre string, n long").groupBy("pre").agg(F.sum("n").alias("n"))
             .where(F.length("pre") <= 64).orderBy(F.desc("n"), "pre").limit(known).select("pre"))
     return {r.pre: r.pieces for r in _with_counts(seen, path).collect()}

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SpanHash, code_points, held_out, sampled, segments, slices, text_blocks, word_char_table
+from .common import SpanHash, code_points, held_out, sampled, segments, shared, slices, text_blocks, word_char_table
 
 BITS = 18
 CUT = 0.7
@@ -215,7 +215,7 @@ def _shift(z: np.ndarray, y: np.ndarray) -> float:
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> tuple[list[str], list[int]]:
     marks = (labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("mark"))
              .select(F.col("doc_id").alias("of_doc"), "mark"))
-    chosen = sampled(marks.where(~held_out(F.col("of_doc"))), max_rows, "of_doc")
+    chosen = sampled(shared(marks.where(~held_out(F.col("of_doc"))), "marks"), max_rows)
     rows = (docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null")
             .join(F.broadcast(chosen), F.col("doc_id") == F.col("of_doc"))      # at most max_rows rows
             .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(max_rows).select("text", "mark").collect())
