@@ -9,12 +9,13 @@ one of ordinary identifiers.  A run whose log-likelihood ratio per whole run is
 ``min_ratio`` or more is a secret as well, unless it overlaps a rule's match.
 
 The models are transition counts (add-one smoothed) of labelled samples.
-Random: the values the rules matched in the sampled documents, and digests of
-their ids in hex, base64 and upper-case letters with digits.  Identifiers: the
-words of the sampled documents without a match, alone and each joined to the next
-by ``_``, ``-``, a capital letter or nothing.  The sample is bounded (``sample``
-documents, by a hash of the id) and taken whole; scanning covers every whole text.  What comes
-to the driver is one table of 67 x 67 numbers.
+Random: the values the rules matched in the sampled documents, and ``sample`` digests
+of a counter in hex, base64 and upper-case letters with digits.  Ordinary: the
+words of the sampled documents without a match, alone and each joined to the next as
+names are (``_``, ``-``, a capital letter, all capitals, a number), and dates of a
+counter.  UUIDs are random by design but no keys: they are passed over by their shape.
+The sample is exactly min(``sample``, rows) documents and taken whole; scanning covers
+every whole text.  What comes to the driver is one table of 67 x 67 numbers.
 
 Positions.  A pattern's matches and the pieces between them alternate, so a
 match starts at the sum of the lengths before it: a running sum per document
@@ -45,6 +46,8 @@ HEX_RUN = r"(?<![0-9a-f])[0-9a-f]{24,}+"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 # a whole run of 16 or more key characters, one of them a letter (numbers are no keys)
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{16,}+"
+# random by design, but a name and not a key
+UUID = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
 KINDS = ("assign", "access", "hex", "markov")
 MASK = "<SECRET>"
 
@@ -76,22 +79,29 @@ def train(docs: DataFrame, sample: int = 2000, id_col: str = "doc_id", text_col:
     """The flat table of log-likelihood ratios of transitions."""
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = shared(sampled(rows, sample), "secret-sample")
-    digest = F.sha2(F.coalesce("id", F.lit("")), 256)
+    digest = F.sha2(F.concat(F.lit("random "), F.col("id").cast("string")), 256)
     code = F.regexp_replace(F.base64(F.unhex(digest)), "=", "")
+    made = docs.sparkSession.range(sample).select(F.explode(F.array(
+        digest, code, F.upper(F.substring(F.regexp_replace(code, "[^A-Za-z0-9]", ""), 1, 20)))).alias("run"))
     value = F.array_union(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)),
                           F.array_union(F.regexp_extract_all("text", F.lit(HEX_RUN), F.lit(0)),
                                         F.regexp_extract_all("text", F.lit(ACCESS_RUN), F.lit(0))))
-    random = F.concat(F.filter(value, lambda v: F.length(v) >= 16),
-                      F.array(digest, code, F.upper(F.substring(F.regexp_replace(code, "[^A-Za-z0-9]", ""), 1, 20))))
+    random = F.filter(value, lambda v: F.length(v) >= 16)
     words = F.regexp_extract_all("text", F.lit(r"(?<![A-Za-z0-9+/_=-])([A-Za-z][A-Za-z-]{1,24})(?![A-Za-z0-9+/_=-])"), F.lit(1))
     rest = F.greatest(F.size("words") - 1, F.lit(0))
-    pairs = F.zip_with(F.slice("words", F.lit(1), rest), F.slice("words", F.lit(2), rest), lambda a, b: F.when(
-        F.pmod(F.hash(a), F.lit(4)) == 0, F.concat_ws("_", a, b)).when(
-        F.pmod(F.hash(a), F.lit(4)) == 1, F.concat_ws("-", a, b)).when(
-        F.pmod(F.hash(a), F.lit(4)) == 2, F.concat(F.coalesce(a, F.lit("")), F.initcap(F.coalesce(b, F.lit(""))))).otherwise(
-        F.concat(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit("")))))
+    # each word joined to the next in one of the ways that names are written
+    joined = lambda a, b: F.element_at(F.array(
+        F.concat_ws("_", a, b), F.concat_ws("-", a, b), F.concat(a, F.initcap(b)), F.concat(F.initcap(a), F.initcap(b)), F.concat(a, b),
+        F.upper(F.concat_ws("_", a, b)), F.concat_ws("_", a, F.pmod(F.hash(b), F.lit(1000)))), F.pmod(F.hash(a), F.lit(7)) + 1)
+    pairs = F.zip_with(F.slice("words", F.lit(1), rest), F.slice("words", F.lit(2), rest),
+                       lambda a, b: joined(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))))
+    moment = F.timestamp_seconds(F.lit(946_684_800) + F.col("id") * F.lit(433_494))
+    dates = docs.sparkSession.range(sample).select(F.explode(F.array(*[
+        F.date_format(moment, f) for f in ("yyyy-MM-dd'T'HH-mm-ss'Z'", "yyyyMMdd-HHmmss", "yyyy-MM-dd-'v'H")])).alias("run"))
     clean = F.size(F.filter(value, lambda v: F.length(v) >= 16)) == 0
-    labelled = (rows.select(F.lit("random").alias("label"), F.explode(random).alias("run"))
+    labelled = (made.select(F.lit("random").alias("label"), "run")
+                .union(rows.select(F.lit("random").alias("label"), F.explode(random).alias("run")))
+                .union(dates.select(F.lit("word").alias("label"), "run"))
                 .union(rows.where(clean).select(words.alias("words"))
                        .select(F.lit("word").alias("label"), F.explode(F.concat("words", pairs)).alias("run"))))
     moves = (labelled.where(F.length("run") >= 2).select("label", _symbols(F.col("run")).alias("s"))
@@ -119,7 +129,7 @@ def _patterns() -> list[tuple[str, str, int]]:
 
 def _accepted(kind: str, value: Column, table: Column, min_ratio: float) -> Column:
     if kind == "markov":
-        return log_ratio(value, table) >= min_ratio
+        return ~value.rlike(UUID) & (log_ratio(value, table) >= min_ratio)
     return F.length(value) >= LEAST[kind]
 
 
@@ -129,7 +139,7 @@ def _may_match(text: Column, table: Column, min_ratio: float) -> Column:
         r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]""")
     return (assign | (F.contains(text, F.lit("AKIA")) & text.rlike(ACCESS_RUN)) | text.rlike("[0-9a-f]{24}")
             | F.exists(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)),
-                       lambda run: log_ratio(run, table) >= min_ratio))
+                       lambda run: _accepted("markov", run, table, min_ratio)))
 
 
 def scan(docs: DataFrame, ratios: list[float], id_col: str = "doc_id", text_col: str = "text",
