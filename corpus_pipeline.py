@@ -45,9 +45,10 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mixture draws them."""
-    rows = mixing.token_rows(docs)
-    planned = mixing.plan(rows.select("key", "doc_id", "tokens"), entropy=0.95, max_repeats=4.0, budget=1.0)
-    return mixing.realise(docs, planned).select(*_own(docs))
+    own = _own(docs)
+    tagged = mixing.tagged(docs)
+    planned = mixing.plan(mixing.token_rows(tagged), entropy=0.95, max_repeats=4.0, budget=1.0)
+    return mixing.realise(tagged, planned).select(*own)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
