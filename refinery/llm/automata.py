@@ -18,10 +18,12 @@ from __future__ import annotations
 import json
 import struct
 import zlib
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from .common import mix
 
@@ -38,10 +40,11 @@ class Level(NamedTuple):
 
 
 class Counts(NamedTuple):
-    """Sorted n-grams: ``levels[0]`` languages, ``levels[k]`` the k-th words."""
+    """Sorted n-grams: ``levels[0]`` languages, ``levels[k]`` the k-th words (numbers in
+    ``langs`` and in the binary array ``words``)."""
 
     langs: list[str]
-    words: list[bytes]
+    words: pa.Array
     levels: list[Level]
 
     @property
@@ -49,18 +52,24 @@ class Counts(NamedTuple):
         return sum(len(level.symbol) for level in self.levels)
 
 
-def _grouped(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _grouped(key: np.ndarray, stable: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct keys, the order that sorts, where each key starts in it."""
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key, kind="stable" if stable else None)
     key = key[order]
     starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
     return key[starts], order, starts
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values (by sorting: np.unique hashes, which is slower here)."""
+    x = np.sort(x)
+    return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
+
+
 def count(langs: list[str], words: list[bytes], lang: np.ndarray, token: np.ndarray, until: int) -> Counts:
     """N-grams of a token stream that begin before position ``until``.  ``token`` is
     -1 where a piece ends, ``lang`` the language of each token."""
-    width = max(len(words), 1)
+    width, words = max(len(words), 1), pa.array(words, pa.binary())
     at = np.flatnonzero(token[:until] >= 0)
     seen, inverse, weight = np.unique(lang[at], return_inverse=True, return_counts=True)
     levels = [Level(seen.astype(np.int64), weight, np.zeros(len(seen), np.int64))]
@@ -77,8 +86,8 @@ def count(langs: list[str], words: list[bytes], lang: np.ndarray, token: np.ndar
     return Counts(langs, words, levels)
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
+def word_hashes(words: Iterable[bytes]) -> np.ndarray:
+    return np.array([zlib.crc32(w) for w in words], dtype=np.uint64)
 
 
 def prefix_hash(before: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -89,7 +98,7 @@ def prefix_hash(before: np.ndarray, word: np.ndarray) -> np.ndarray:
 def prefix_ranges(counts: Counts, ranges: int) -> list[np.ndarray]:
     """The range of every n-gram: that of its prefix of a language and at most three
     words, so the extensions of a very common word or pair are spread."""
-    lang, word = word_hashes([x.encode() for x in counts.langs]), word_hashes(counts.words)
+    lang, word = word_hashes([x.encode() for x in counts.langs]), word_hashes(counts.words.to_pylist())
     h = prefix_hash(np.zeros(len(counts.levels[0].symbol), np.uint64), lang[counts.levels[0].symbol])
     out = [h]
     for k, level in enumerate(counts.levels[1:], 1):
@@ -98,51 +107,54 @@ def prefix_ranges(counts: Counts, ranges: int) -> list[np.ndarray]:
     return [(h % np.uint64(ranges)).astype(np.int64) for h in out]
 
 
-def split(counts: Counts, ranges: int) -> list[tuple[int, Counts]]:
+def split(counts: Counts, ranges: int) -> Iterator[tuple[int, Counts]]:
     """``counts`` by prefix range.  Arcs that only lead to a range's n-grams have
     weight 0 in it."""
     own = prefix_ranges(counts, ranges)
-    kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    below = np.zeros(0, np.int64)
-    for level, place in zip(counts.levels[::-1], own[::-1]):
-        n = max(len(level.symbol), 1)
-        key = np.unique(np.concatenate([place * n + np.arange(len(place)), below]))
+    sizes = [max(len(level.symbol), 1) for level in counts.levels]
+    # per level the sorted (range, node) pairs: a range's own nodes and the way to those below
+    keys, below = [], np.zeros(0, np.int64)
+    for k in range(MAX_WORDS, -1, -1):
+        n, place = sizes[k], own[k]
+        key = _distinct(np.concatenate([place * n + np.arange(len(place)), below]))
+        keys.append(key)
+        below = key // n * (sizes[k - 1] if k else 1) + counts.levels[k].parent[key % n] if len(key) else key
+    keys.reverse()
+    levels, bounds, above = [], [], np.arange(ranges)
+    for level, place, key, n in zip(counts.levels, own, keys, sizes):
         node = key % n
         weight = np.where(key // n == place[node], level.weight[node], 0) if len(key) else key
-        kept.append((key, node, weight))
-        above = max(len(counts.levels[len(counts.levels) - len(kept) - 1].symbol), 1) if len(kept) < len(own) else 1
-        below = (key // n) * above + level.parent[node] if len(key) else key
-    kept.reverse()
-    sizes = [max(len(level.symbol), 1) for level in counts.levels]
-    bounds = [np.searchsorted(key, np.arange(ranges + 1) * n) for (key, _, _), n in zip(kept, sizes)]
-    out = []
+        before = key // n * (1 if not levels else sizes[len(levels) - 1]) + level.parent[node] if len(key) else key
+        levels.append((level.symbol[node] if len(key) else key, weight, np.searchsorted(above, before)))
+        bounds.append(np.searchsorted(key, np.arange(ranges + 1) * n))
+        above = key
     for r in range(ranges):
-        levels, nodes = [], np.zeros(1, np.int64)
-        for level, (_, node, weight), bound in zip(counts.levels, kept, bounds):
+        out, first = [], r
+        for (symbol, weight, parent), bound in zip(levels, bounds):
             part = slice(bound[r], bound[r + 1])
-            mine = node[part]
-            levels.append(Level(level.symbol[mine], weight[part], np.searchsorted(nodes, level.parent[mine])))
-            nodes = mine
-        if len(levels[0].symbol):
-            out.append((r, _tight(Counts(counts.langs, counts.words, levels))))
-    return out
+            out.append(Level(symbol[part], weight[part], parent[part] - first))
+            first = bound[r]
+        if len(out[0].symbol):
+            yield r, _tight(Counts(counts.langs, counts.words, out))
 
 
 def _tight(counts: Counts) -> Counts:
     """Only the symbols that are used; their order stays."""
-    lang = np.unique(counts.levels[0].symbol)
-    word = np.unique(np.concatenate([level.symbol for level in counts.levels[1:]]))
-    levels = [level._replace(symbol=np.searchsorted(used, level.symbol))
-              for level, used in zip(counts.levels, [lang] + [word] * MAX_WORDS)]
-    return Counts([counts.langs[i] for i in lang], [counts.words[i] for i in word], levels)
+    used = [np.zeros(len(counts.langs), bool), np.zeros(len(counts.words), bool)]
+    for k, level in enumerate(counts.levels):
+        used[min(k, 1)][level.symbol] = True
+    number = [np.cumsum(u) - 1 for u in used]
+    levels = [level._replace(symbol=number[min(k, 1)][level.symbol]) for k, level in enumerate(counts.levels)]
+    return Counts([x for x, u in zip(counts.langs, used[0]) if u], counts.words.filter(pa.array(used[1])), levels)
 
 
 def union(parts: list[Counts]) -> Counts:
     """N-grams of all parts with their weights added."""
     langs: dict[str, int] = {}
-    words: dict[bytes, int] = {}
-    lang_of = [np.fromiter((langs.setdefault(x, len(langs)) for x in p.langs), np.int64, len(p.langs)) for p in parts]
-    word_of = [np.fromiter((words.setdefault(x, len(words)) for x in p.words), np.int64, len(p.words)) for p in parts]
+    lang_of = [np.array([langs.setdefault(x, len(langs)) for x in p.langs], dtype=np.int64) for p in parts]
+    coded = pa.concat_arrays([p.words for p in parts]).dictionary_encode()
+    words = coded.dictionary
+    word_of = np.split(coded.indices.to_numpy().astype(np.int64), np.cumsum([len(p.words) for p in parts])[:-1])
     levels, places = [], [np.zeros(1, np.int64) for _ in parts]
     for k in range(MAX_WORDS + 1):
         width = max(len(words) if k else len(langs), 1)
@@ -155,12 +167,12 @@ def union(parts: list[Counts]) -> Counts:
         at = np.empty(len(order), np.int64)
         at[order] = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(order)]))
         places = np.split(at, np.cumsum([len(x) for x in keys])[:-1])
-    return Counts(list(langs), list(words), levels)
+    return Counts(list(langs), words, levels)
 
 
 def at_least(counts: Counts, least: int) -> Counts:
     """The n-grams of weight ``least`` or more (of languages: 1) and the way to them."""
-    levels, kept, needed = [], [], np.zeros(0, bool)
+    levels, kept = [], []
     for k in range(MAX_WORDS, -1, -1):
         level = counts.levels[k]
         keep = level.weight >= (least if k else 1)
@@ -190,7 +202,7 @@ class Arcs(NamedTuple):
 
 class Transducer(NamedTuple):
     langs: list[str]
-    words: list[bytes]
+    words: pa.Array
     arcs: list[Arcs]
 
 
@@ -210,8 +222,10 @@ def _register(states: int, level: Level, target: np.ndarray) -> tuple[np.ndarray
     if len(full):
         h = mix(mix(mix(target.astype(np.uint64)) + level.weight.astype(np.uint64)) + level.symbol.astype(np.uint64))
         signature[full] += np.add.reduceat(h, start[full])
-    _, first, group = np.unique(signature, return_index=True, return_inverse=True)
-    model = first[group]
+    # the first of the states of one signature stands for all
+    _, order, groups = _grouped(signature, stable=False)
+    model = np.empty(states, np.int64)
+    model[order] = np.repeat(np.minimum.reduceat(order, groups) if states else order, np.diff(np.r_[groups, states]))
     # equal signatures are compared arc by arc, so the register is exact
     other = sizes != sizes[model]
     arc = np.minimum(start[model[level.parent]] + np.arange(len(level.symbol)) - start[level.parent], len(level.symbol) - 1)
@@ -219,9 +233,10 @@ def _register(states: int, level: Level, target: np.ndarray) -> tuple[np.ndarray
                if len(arc) else np.zeros(0, bool))
     other[level.parent[differs]] = True
     model[other] = np.flatnonzero(other)
-    kept = np.unique(model)
+    kept = np.flatnonzero(model == np.arange(states))
     take, owner = _spread(start, kept)
-    return np.searchsorted(kept, model), Arcs(np.r_[0, np.cumsum(sizes[kept])], level.symbol[take], level.weight[take], target[take])
+    number = np.cumsum(model == np.arange(states)) - 1
+    return number[model], Arcs(np.r_[0, np.cumsum(sizes[kept])], level.symbol[take], level.weight[take], target[take])
 
 
 def freeze(counts: Counts) -> Transducer:
@@ -250,26 +265,30 @@ def _narrow(x: np.ndarray) -> np.ndarray:
 
 
 def to_bytes(machine: Transducer) -> bytes:
-    arrays = [_narrow(a) for arcs in machine.arcs for a in (np.diff(arcs.start), *arcs[1:])]
+    words = machine.words.cast(pa.binary())
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1] if len(words) else np.zeros(1, np.int32)
+    data = bytes(words.buffers()[2])[ends[0]:ends[-1]] if len(words) and words.buffers()[2] else b""
+    arrays = [_narrow(np.diff(ends)), *(_narrow(a) for arcs in machine.arcs for a in (np.diff(arcs.start), *arcs[1:]))]
     head = json.dumps({"langs": machine.langs, "arrays": [[a.dtype.str, len(a)] for a in arrays]}).encode()
-    words = b" ".join(machine.words)
-    raw = struct.pack("<qqq", len(head), len(words), len(machine.words)) + head + words + b"".join(a.tobytes() for a in arrays)
+    raw = struct.pack("<qq", len(head), len(data)) + head + data + b"".join(a.tobytes() for a in arrays)
     return struct.pack("<q", len(raw)) + pa.compress(raw, codec="zstd", asbytes=True)
 
 
-def from_bytes(data: bytes) -> Transducer:
-    raw = pa.decompress(data[8:], decompressed_size=struct.unpack("<q", data[:8])[0], codec="zstd", asbytes=True)
-    head_size, words_size, n_words = struct.unpack("<qqq", raw[:24])
-    head = json.loads(raw[24:24 + head_size])
-    at = 24 + head_size
-    words = raw[at:at + words_size].split(b" ") if n_words else []
-    at += words_size
+def from_bytes(packed: bytes) -> Transducer:
+    raw = pa.decompress(packed[8:], decompressed_size=struct.unpack("<q", packed[:8])[0], codec="zstd", asbytes=True)
+    head_size, size = struct.unpack("<qq", raw[:16])
+    head = json.loads(raw[16:16 + head_size])
+    at = 16 + head_size
+    data = raw[at:at + size]
+    at += size
     arrays = []
     for kind, n in head["arrays"]:
         a = np.frombuffer(raw, dtype=kind, count=n, offset=at)
         at += a.nbytes
         arrays.append(a.astype(np.int64))
-    arcs = [Arcs(np.r_[0, np.cumsum(arrays[i])], *arrays[i + 1:i + 4]) for i in range(0, len(arrays), 4)]
+    ends = np.r_[0, np.cumsum(arrays[0])].astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data)])
+    arcs = [Arcs(np.r_[0, np.cumsum(arrays[i])], *arrays[i + 1:i + 4]) for i in range(1, len(arrays), 4)]
     return Transducer(head["langs"], words, arcs)
 
 
@@ -293,7 +312,7 @@ def acceptor(phrases: list[tuple[str, list[bytes]]]) -> tuple[Counts, list[np.nd
         place[there] = inverse
         places.append(place)
         node = place
-    return Counts(list(langs), list(words), levels), places
+    return Counts(list(langs), pa.array(list(words), pa.binary()), levels), places
 
 
 def compose(phrases: Counts, machine: Transducer) -> list[np.ndarray]:
@@ -301,9 +320,9 @@ def compose(phrases: Counts, machine: Transducer) -> list[np.ndarray]:
 
     A state of the composition is a pair of a prefix of the phrases and a state of the
     machine; level by level, arcs of equal symbols meet."""
-    names = [{x: i for i, x in enumerate(machine.langs)}, {x: i for i, x in enumerate(machine.words)}]
-    own = [np.fromiter((names[0].get(x, -1) for x in phrases.langs), np.int64, len(phrases.langs)),
-           np.fromiter((names[1].get(x, -1) for x in phrases.words), np.int64, len(phrases.words))]
+    names = [{x: i for i, x in enumerate(machine.langs)}, machine.words]
+    own = [np.array([names[0].get(x, -1) for x in phrases.langs], dtype=np.int64),
+           pc.fill_null(pc.index_in(phrases.words, machine.words), -1).to_numpy().astype(np.int64)]
     out, state = [], np.zeros(1, np.int64)
     for k, (level, arcs) in enumerate(zip(phrases.levels, machine.arcs)):
         width = max(len(names[min(k, 1)]), 1)

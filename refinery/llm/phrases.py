@@ -152,10 +152,11 @@ class Union:
 def phrases_of(counts: Counts) -> Iterator[tuple[str, list[bytes], int]]:
     """(language, words, weight) of every phrase of two words or more that is counted in
     ``counts``."""
+    known = counts.words.to_pylist()
     paths = [[(counts.langs[s], []) for s in counts.levels[0].symbol.tolist()]]
     for level in counts.levels[1:]:
         before = paths[-1]
-        paths.append([(before[p][0], before[p][1] + [counts.words[s]])
+        paths.append([(before[p][0], before[p][1] + [known[s]])
                       for s, p in zip(level.symbol.tolist(), level.parent.tolist())])
     for k in range(2, MAX_WORDS + 1):
         for (lang, words), weight in zip(paths[k], counts.levels[k].weight.tolist()):
