@@ -3,15 +3,20 @@ schema evolution, statistics."""
 
 from refinery.catalog.tables import (
     add_partition,
-    create_database,
+    compare,
     crawl,
+    create_database,
     evolve,
     list_tables,
+    partition_location,
+    partition_specs,
     refresh,
     register,
     same_name,
+    set_partition,
     table_stats,
 )
 
-__all__ = ["add_partition", "create_database", "crawl", "evolve", "list_tables", "refresh",
-           "register", "same_name", "table_stats"]
+__all__ = ["add_partition", "compare", "crawl", "create_database", "evolve", "list_tables",
+           "partition_location", "partition_specs", "refresh", "register", "same_name", "set_partition",
+           "table_stats"]

@@ -6,12 +6,15 @@ works on the in-memory catalog and on a Hive metastore alike.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
+from refinery.catalog import types
 from refinery.csv_format import reader_options
 from refinery.functions.columns import pretty_size
 
@@ -116,32 +119,102 @@ def same_name(spark: SparkSession, name: str) -> str:
     return name if spark.conf.get("spark.sql.caseSensitive") == "true" else name.lower()
 
 
-def evolve(spark: SparkSession, table: str, new_schema: StructType) -> dict[str, list[str]]:
+def compare(spark: SparkSession, table: str, new_schema: StructType) -> dict[str, list]:
+    """How ``new_schema`` differs from the table's, without changing anything: fields
+    ``added``, names ``gone``, ``widened`` (name, old, new) where the new type holds all
+    values of the old one, ``changed`` (same form) for any other change of type."""
+    fold = lambda name: same_name(spark, name)
+    current = {fold(f.name): f for f in spark.table(table).schema.fields}
+    partitions = set(map(fold, _partition_columns(spark, table)))
+    incoming = {fold(f.name): f for f in new_schema.fields}
+    differs = [(current[name].name, current[name].dataType, f.dataType)
+               for name, f in incoming.items() if name in current and current[name].dataType != f.dataType]
+    return {"added": [f for name, f in incoming.items() if name not in current],
+            "gone": [f.name for name, f in current.items() if name not in incoming and name not in partitions],
+            "widened": [d for d in differs if types.widens(d[1], d[2])],
+            "changed": [d for d in differs if not types.widens(d[1], d[2])]}
+
+
+def evolve(spark: SparkSession, table: str, new_schema: StructType, *, widen: bool = False) -> dict[str, list[str]]:
     """Schema drift policy.  Names are compared as Spark compares them.
 
     Columns in ``new_schema`` but not in the table are added (old files read
     them as NULL).  Columns missing from ``new_schema`` are not dropped: the
     table is marked ``deprecated`` with the names in a property, and the data
-    is left alone.  A column of another type is reported and not altered: files
-    already written hold the old type.  Returns
-    ``{"added": [...], "deprecated": [...], "changed": ["name: old -> new", ...]}``.
+    is left alone.  With ``widen``, a column whose new type holds every value of the old
+    one gets it (old files are cast as they are read).  Any other change of type is
+    reported, and then nothing at all is altered.  Returns
+    ``{"added": [...], "deprecated": [...], "changed": ["name: old -> new", ...]}``, and
+    ``"widened"`` in the same form if there are any.
     """
-    fold = lambda name: same_name(spark, name)
-    current = {fold(f.name): f for f in spark.table(table).schema.fields}
-    partitions = set(map(fold, _partition_columns(spark, table)))
-    incoming = {fold(f.name): f for f in new_schema.fields}
-    added = [f for name, f in incoming.items() if name not in current]
-    gone = [f.name for name, f in current.items() if name not in incoming and name not in partitions]
-    changed = [f"{current[name].name}: {current[name].dataType.simpleString()} -> {f.dataType.simpleString()}"
-               for name, f in incoming.items() if name in current and current[name].dataType != f.dataType]
-    if added:
-        cols = ", ".join(f"{_q_column(f.name)} {f.dataType.simpleString()}" for f in added)
+    found = compare(spark, table, new_schema)
+    changed = found["changed"] if widen else found["changed"] + found["widened"]
+    told = lambda xs: [f"{n}: {old.simpleString()} -> {new.simpleString()}" for n, old, new in xs]
+    out = {"added": [f.name for f in found["added"]], "deprecated": found["gone"], "changed": told(changed)}
+    if changed:
+        return out
+    if found["widened"]:
+        _with_types(spark, table, {n: new for n, _, new in found["widened"]})
+        out["widened"] = told(found["widened"])
+    if found["added"]:
+        cols = ", ".join(f"{_q_column(f.name)} {f.dataType.simpleString()}" for f in found["added"])
         spark.sql(f"ALTER TABLE {_q(table)} ADD COLUMNS ({cols})")
-    if gone:
+    if found["gone"]:
         spark.sql(f"ALTER TABLE {_q(table)} SET TBLPROPERTIES "
-                  f"('deprecated' = 'true', 'deprecated_columns' = {_lit(','.join(gone))})")
+                  f"('deprecated' = 'true', 'deprecated_columns' = {_lit(','.join(found['gone']))})")
+    spark.catalog.refreshTable(table)
+    return out
+
+
+def partition_specs(spark: SparkSession, table: str) -> list[dict[str, str | None]]:
+    """The partitions of ``table`` as {column: value}; None stands for NULL."""
+    out = []
+    for row in spark.sql(f"SHOW PARTITIONS {_q(table)}").collect():
+        parts = (x.split("=", 1) for x in row[0].split("/"))
+        out.append({unquote(k): None if v == "__HIVE_DEFAULT_PARTITION__" else unquote(v) for k, v in parts})
+    return out
+
+
+def _spec(spec: Mapping[str, object]) -> str:
+    return ", ".join(f"{_q_column(k)} = {'NULL' if v is None else _lit(v)}" for k, v in spec.items())
+
+
+def partition_location(spark: SparkSession, table: str, spec: Mapping[str, object]) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_q(table)} PARTITION ({_spec(spec)})").collect()
+    return next(r["data_type"] for r in rows if r["col_name"] == "Location")
+
+
+def _with_types(spark: SparkSession, table: str, changes: Mapping[str, DataType]) -> None:
+    """Give columns other types: the definition is written anew beside the old one, with
+    all partitions, and takes its name.  No file is touched."""
+    schema = spark.table(table).schema
+    cols = ", ".join(f"{_q_column(f.name)} {changes.get(f.name, f.dataType).simpleString()}" for f in schema.fields)
+    ddl = spark.sql(f"SHOW CREATE TABLE {_q(table)}").first()[0]
+    rest = re.search(r"\)\s*(USING .*)$", ddl, re.DOTALL).group(1)
+    fresh, old = f"{table}__wider", f"{table}__before"
+    spark.sql(f"DROP TABLE IF EXISTS {_q(fresh)}")
+    spark.sql(f"CREATE TABLE {_q(fresh)} ({cols}) {rest}")
+    if _partition_columns(spark, table):
+        specs = partition_specs(spark, table)
+        for i in range(0, len(specs), 100):
+            added = " ".join(f"PARTITION ({_spec(s)}) LOCATION {_lit(partition_location(spark, table, s))}"
+                             for s in specs[i:i + 100])
+            spark.sql(f"ALTER TABLE {_q(fresh)} ADD IF NOT EXISTS {added}")
+    spark.sql(f"ALTER TABLE {_q(table)} RENAME TO {_q(old)}")
+    try:
+        spark.sql(f"ALTER TABLE {_q(fresh)} RENAME TO {_q(table)}")
+    except BaseException:
+        spark.sql(f"ALTER TABLE {_q(old)} RENAME TO {_q(table)}")
+        raise
+    spark.sql(f"DROP TABLE {_q(old)}")
+
+
+def set_partition(spark: SparkSession, table: str, spec: Mapping[str, object], location: str) -> None:
+    """Point one partition at ``location``: readers see the old folder until this
+    statement and the new one after it."""
+    spark.sql(f"ALTER TABLE {_q(table)} ADD IF NOT EXISTS PARTITION ({_spec(spec)}) LOCATION {_lit(location)}")
+    spark.sql(f"ALTER TABLE {_q(table)} PARTITION ({_spec(spec)}) SET LOCATION {_lit(location)}")
     spark.catalog.refreshTable(table)
-    return {"added": [f.name for f in added], "deprecated": gone, "changed": changed}
 
 
 def list_tables(spark: SparkSession, database: str) -> DataFrame:

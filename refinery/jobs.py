@@ -39,6 +39,7 @@ from refinery.operators.segmentation import segment_customers
 from refinery.session import scratch_path
 from refinery.sinks.audit import land_with_audit, record_audit
 from refinery.sinks.files import replace_day, write_compact, write_csv, write_partitioned
+from refinery.sinks.publish import publish_day
 from refinery.sources.files import read_csv
 
 
@@ -53,11 +54,12 @@ def segmentation_job(spark: SparkSession, sales_path: str, customer_path: str,
                      customer_schema: T.StructType | str | None = None,
                      header: bool = False) -> str:
     """Headered CSV in, segmented CSV out (no header line by default, as
-    Spark writes it).  Pass schemas to skip type inference at scale.
+    Spark writes it).  Files are read by as many tasks as they have splits.  Pass
+    schemas to skip type inference (which reads each file in one task).
     Both aggregated sides are staged in the shared checkpoint folder before
     the join (see ``customer_totals``)."""
-    sales = read_csv(spark, sales_path, schema=sales_schema)
-    customers = read_csv(spark, customer_path, schema=customer_schema)
+    sales = read_csv(spark, sales_path, schema=sales_schema, split=True)
+    customers = read_csv(spark, customer_path, schema=customer_schema, split=True)
     result = segment_customers(sales, customers, tiers=tiers, default_label=default_label)
     return write_csv(result, output_path, header=header)
 
@@ -95,7 +97,7 @@ def partition_job(spark: SparkSession, raw_path: str, refined_path: str, *,
     refined_path = refined_path.rstrip("/")
     reject_path = (reject_path or f"{refined_path}_rejects").rstrip("/")
     batch = batch or hashlib.sha256(raw_path.encode()).hexdigest()[:16]
-    parsed = read_csv(spark, raw_path, schema=schema).withColumn(partition_column, parse_date(date_column, date_format))
+    parsed = read_csv(spark, raw_path, schema=schema, split=True).withColumn(partition_column, parse_date(date_column, date_format))
     stage = scratch_path(spark, "parsed_dates")
     parsed.write.parquet(stage)
     staged = spark.read.schema(parsed.schema).parquet(stage)
@@ -111,12 +113,20 @@ def extract_job(spark: SparkSession, source_df: DataFrame, raw_base: str, table:
                 audit_path: str | None = None) -> tuple[str | None, int]:
     """Land one extract at ``raw_base/table[/dt=ds]`` and record the audit row.
     Returns the folder written (``None`` for an empty extract) and the rows extracted."""
-    path, rows = land_with_audit(source_df, raw_base, table, ds, source=source,
-                                 database=database)
+    path, rows, _ = _extract(spark, source_df, raw_base, table, ds, source=source, database=database,
+                             audit_path=audit_path)
+    return path, rows
+
+
+def _extract(spark: SparkSession, source_df: DataFrame, raw_base: str, table: str, ds: str | None, *,
+             source: str, database: str | None, audit_path: str | None) -> tuple[str | None, int, str | None]:
+    path, rows, *content = land_with_audit(source_df, raw_base, table, ds, source=source,
+                                           database=database, content=True)
+    content = content[0] if content else None
     if audit_path is not None:
         record_audit(spark, audit_path, source=source, table=table, database=database,
-                     ds=ds, rows=rows, path=path)
-    return path, rows
+                     ds=ds, rows=rows, path=path, content=content)
+    return path, rows, content
 
 
 def extract_many(spark: SparkSession, sources: dict[str, DataFrame], raw_base: str,
@@ -136,22 +146,27 @@ def extract_many(spark: SparkSession, sources: dict[str, DataFrame], raw_base: s
 
 def refine_job(raw_day: DataFrame, refined_path: str, ds: str, *,
                keep: dict[str, Sequence[object]], upper: Sequence[str],
-               drop: Sequence[str], partition_column: str = "dt") -> str:
+               drop: Sequence[str], partition_column: str = "dt", table: str | None = None) -> str:
     """Refine one day and make that day's partition hold exactly the result, also
-    if no row is kept."""
+    if no row is kept.  With ``table`` the day is published through the catalog: a fresh
+    version, then one statement that points the partition at it."""
     out = refine(raw_day.drop(partition_column), keep=keep, upper=upper, drop=drop)
+    if table is not None:
+        return publish_day(out, table, refined_path, partition_column, ds)
     return replace_day(out, refined_path, partition_column, ds)
 
 
 def validate_job(raw: DataFrame, refined: DataFrame, *, upper: Sequence[str] = (),
                  allowed: dict[str, Sequence[object]] | None = None,
                  absent: Sequence[str] = (), fail: bool = True,
-                 landed_rows: int | None = None) -> list:
+                 landed_rows: int | None = None, landed_content: str | None = None,
+                 landed_columns: Sequence[str] | None = None, content: bool = False) -> list:
     """Run all checks; the verdict (one row per check) is collected and the
-    job fails when any check did not pass.  ``landed_rows``: see
+    job fails when any check did not pass.  ``landed_*`` and ``content``: see
     ``run_checks``."""
-    verdict = run_checks(raw, refined, upper=upper, allowed=allowed, absent=absent,
-                         landed_rows=landed_rows).collect()
+    verdict = run_checks(raw, refined, upper=upper, allowed=allowed, absent=absent, landed_rows=landed_rows,
+                         landed_content=landed_content, landed_columns=landed_columns,
+                         content=content).collect()
     failed = [r for r in verdict if not r["passed"]]
     if failed and fail:
         raise CheckFailed("; ".join(f"{r['check']}: {r['detail']}" for r in failed))
@@ -181,16 +196,16 @@ def daily_job(spark: SparkSession, ds: str, source_df: DataFrame, *, root: str,
     and the same audit row.
 
     extract -> land ``raw/<table>/dt=ds`` (CSV) -> register / add the raw
-    partition -> refine the day -> replace ``refined/<table>/dt=ds``
-    (Parquet) -> register / add the refined partition -> checks on the day,
-    counted from the written tables (raw as read against the rows extracted,
-    refined against raw).
+    partition -> refine the day -> publish a fresh version of the refined day
+    (Parquet) -> register / point the refined partition at it -> checks on the day,
+    on the written tables (raw as read against the rows extracted, refined against
+    raw, by counts and by content digests).
 
     Drift: columns are matched by name.  New ones are added to both tables, ones
-    that are gone land as NULL, another order or case changes nothing, and another
-    type raises before anything is written.  The catalog learns the one partition
-    written (``add_partition``); the first run's ``register`` recovers whatever
-    folders already exist.
+    that are gone land as NULL, another order or case changes nothing, and a type
+    that holds every value of the old one widens the column.  Any other type raises
+    before anything is written or altered.  The catalog learns the one partition
+    written; the first run's ``register`` recovers whatever folders already exist.
     """
     root = root.rstrip("/")
     raw_base, refined_path = f"{root}/raw", f"{root}/refined/{table}"
@@ -199,13 +214,13 @@ def daily_job(spark: SparkSession, ds: str, source_df: DataFrame, *, root: str,
 
     drift = None
     if spark.catalog.tableExists(raw_table):
-        drift = catalog.evolve(spark, raw_table, source_df.schema)
+        drift = catalog.evolve(spark, raw_table, source_df.schema, widen=True)
         if drift["changed"]:
             raise SchemaChanged("; ".join(drift["changed"]))
         source_df = in_table_order(spark, source_df, raw_table, "dt")
 
-    landed, rows = extract_job(spark, source_df, raw_base, table, ds, source=source,
-                               database=database, audit_path=f"{root}/audit")
+    landed, rows, content = _extract(spark, source_df, raw_base, table, ds, source=source,
+                                     database=database, audit_path=f"{root}/audit")
     if landed is None:
         return {"ds": ds, "landed": None, "verdict": [], "drift": drift}
 
@@ -217,17 +232,22 @@ def daily_job(spark: SparkSession, ds: str, source_df: DataFrame, *, root: str,
     catalog.add_partition(spark, raw_table, {"dt": ds})
 
     # Read by the header: a landing whose columns are not the table's fails here.
-    raw_day = read_csv(spark, landed, schema=source_df.schema, own=True, enforceSchema=False)
-    refine_job(raw_day, refined_path, ds, keep=keep, upper=upper, drop=drop)
-    if not spark.catalog.tableExists(refined_table):
-        catalog.register(spark, refined_table, refined_path, fmt="parquet")
-    else:
-        refined_schema = refine(raw_day, keep=keep, upper=upper, drop=drop).schema
-        catalog.evolve(spark, refined_table, refined_schema)
-    catalog.add_partition(spark, refined_table, {"dt": ds})
+    raw_day = read_csv(spark, landed, schema=source_df.schema, own=True, split=True, enforceSchema=False,
+                       unpaired="keep")          # a corrupt landing is for the checks to tell
+    refined = refine(raw_day, keep=keep, upper=upper, drop=drop)
+    known = spark.catalog.tableExists(refined_table)
+    if known:
+        catalog.evolve(spark, refined_table, refined.schema, widen=True)
+    folder = refine_job(raw_day, refined_path, ds, keep=keep, upper=upper, drop=drop, table=refined_table)
+    if not known:
+        catalog.register(spark, refined_table, refined_path, fmt="parquet",
+                         schema=T.StructType(refined.schema.fields + [T.StructField("dt", T.DateType())]),
+                         partition_by=("dt",))
+        catalog.set_partition(spark, refined_table, {"dt": ds}, folder)
 
     day = F.col("dt") == F.lit(ds).cast("date")
     verdict = validate_job(spark.table(raw_table).where(day), spark.table(refined_table).where(day),
-                           upper=upper, allowed=keep, absent=drop, fail=fail_on_check, landed_rows=rows)
+                           upper=upper, allowed=keep, absent=drop, fail=fail_on_check, landed_rows=rows,
+                           landed_content=content, landed_columns=source_df.columns, content=True)
     return {"ds": ds, "landed": landed, "raw_table": raw_table,
             "refined_table": refined_table, "verdict": verdict, "drift": drift}

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refinery.functions.columns import uppercase_verdict
+from refinery.functions.digest import SALTS, hash_sum, row_hash
 from refinery.operators.refine import among, has_column, resolve
 
 
@@ -90,7 +91,9 @@ def validate_columns(tables: Sequence[tuple[str, DataFrame]], absent: Iterable[s
 
 def run_checks(raw: DataFrame, refined: DataFrame, *, upper: Iterable[str] = (),
                allowed: dict[str, Sequence[object]] | None = None,
-               absent: Iterable[str] = (), landed_rows: int | None = None) -> DataFrame:
+               absent: Iterable[str] = (), landed_rows: int | None = None,
+               landed_content: str | None = None, landed_columns: Sequence[str] | None = None,
+               content: bool = False) -> DataFrame:
     """All checks in one pass over each table.
 
     * ``uppercase:<c>``   every refined value of ``c`` is upper case
@@ -98,7 +101,13 @@ def run_checks(raw: DataFrame, refined: DataFrame, *, upper: Iterable[str] = (),
     * ``absent:<c>``      column ``c`` is not in the refined table (schema only)
     * ``landed``          raw rows as read == ``landed_rows``, the rows the extract
                           counted (only when given)
+    * ``landed_content``  digest of the raw rows as read == the digest that the extract
+                          took while it was written (only when given), over
+                          ``landed_columns`` (default: all raw columns)
     * ``row_counts``      refined rows == raw rows passing the allowed lists
+    * ``content``         digest of the refined rows == digest of the raw rows passing the
+                          allowed lists, refined (only with ``content``): equal counts of
+                          other values fail
 
     Values are compared in the columns' own types, as ``refine`` does.
     """
@@ -110,12 +119,34 @@ def run_checks(raw: DataFrame, refined: DataFrame, *, upper: Iterable[str] = (),
     flags = {"is_ref": F.lit(True),
              **{f"bad_upper_{i}": _failed_upper(F.col(f"`{resolve(refined, c)}`")) for i, c in enumerate(upper)},
              **{f"bad_allowed_{i}": ~among(refined, c, v) for i, (c, v) in enumerate(allowed.items())}}
-    # Only flags leave the scans; rows of the two tables are told apart by is_ref.
+    # Rows' hashes as columns: what was landed, and what the refined rows should be / are.
+    landed, wanted, got = [], [], []
+    if landed_content is not None:
+        own = [F.col(f"`{resolve(raw, c)}`") for c in (landed_columns or raw.columns)]
+        landed = [row_hash(own, salt) for salt in SALTS]
+    if content:
+        raised = {resolve(raw, c) for c in upper if has_column(raw, c)}
+        names = [resolve(raw, c) for c in refined.columns]
+        made = [(F.upper(F.col(f"`{n}`")) if n in raised else F.col(f"`{n}`")).cast(refined.schema[c].dataType)
+                for n, c in zip(names, refined.columns)]
+        wanted = [F.when(kept, row_hash(made, salt)) for salt in SALTS]
+        got = [row_hash([F.col(f"`{c}`") for c in refined.columns], salt) for salt in SALTS]
+    nothing = F.lit(None).cast("long")
+    # Only flags and hashes leave the scans; rows of the two tables are told apart by is_ref.
     both = (raw.select(F.lit(False).alias("is_ref"), kept.alias("kept"),
-                       *[F.lit(False).alias(f) for f in flags if f != "is_ref"])
-            .unionByName(refined.select(*[c.alias(f) for f, c in flags.items()], F.lit(False).alias("kept"))))
+                       *[F.lit(False).alias(f) for f in flags if f != "is_ref"],
+                       *[h.alias(f"landed_{i}") for i, h in enumerate(landed)],
+                       *[h.alias(f"refined_{i}") for i, h in enumerate(wanted)])
+            .unionByName(refined.select(*[c.alias(f) for f, c in flags.items()], F.lit(False).alias("kept"),
+                                        *[nothing.alias(f"landed_{i}") for i in range(len(landed))],
+                                        *[h.alias(f"refined_{i}") for i, h in enumerate(got)])))
+    side = {False: ~F.col("is_ref"), True: F.col("is_ref")}
+    sums = [hash_sum([F.col(f"landed_{i}") for i in range(len(landed))], side[False]).alias("landed_digest")] if landed else []
+    if content:
+        sums += [hash_sum([F.col(f"refined_{i}") for i in range(len(got))], side[k]).alias(n)
+                 for k, n in ((False, "wanted_digest"), (True, "refined_digest"))]
     stats = both.agg(F.count_if(~F.col("is_ref")).alias("raw_rows"), F.count_if("is_ref").alias("refined_rows"),
-                     F.count_if("kept").alias("raw_kept"), *[F.count_if(f).alias(f) for f in flags if f != "is_ref"])
+                     F.count_if("kept").alias("raw_kept"), *[F.count_if(f).alias(f) for f in flags if f != "is_ref"], *sums)
 
     def verdict(name: str, passed: Column, detail: Column) -> Column:
         return F.struct(F.lit(name).alias("check"), passed.alias("passed"),
@@ -140,8 +171,16 @@ def run_checks(raw: DataFrame, refined: DataFrame, *, upper: Iterable[str] = (),
     if landed_rows is not None:
         rows.append(verdict("landed", F.col("raw_rows") == F.lit(int(landed_rows)),
                             F.concat(F.lit(f"extracted {int(landed_rows)}, raw "), F.col("raw_rows").cast("string"))))
+    if landed_content is not None:
+        same = F.col("landed_digest") == F.lit(landed_content)
+        rows.append(verdict("landed_content", same, F.when(same, F.lit("raw rows are those extracted"))
+                            .otherwise(F.lit("raw rows differ from those extracted"))))
     rows.append(verdict("row_counts", F.col("refined_rows") == F.col("raw_kept"),
                         F.concat(F.lit("raw "), F.col("raw_rows").cast("string"),
                                  F.lit(", expected refined "), F.col("raw_kept").cast("string"),
                                  F.lit(", refined "), refined_rows)))
+    if content:
+        same = F.col("wanted_digest") == F.col("refined_digest")
+        rows.append(verdict("content", same, F.when(same, F.lit("refined rows follow from raw"))
+                            .otherwise(F.lit("refined rows differ from raw rows refined"))))
     return stats.select(F.inline(F.array(*rows)))

@@ -2,7 +2,8 @@
 
 Writes go through Spark's commit protocol, so a lost executor only re-runs
 its tasks.  Overwrites are scoped (one landing folder, or only the
-partitions present in the batch), so re-running a day is idempotent.
+partitions present in the batch), so re-running a day is idempotent.  A folder that
+is replaced as a whole is written beside the old one first (``publish``).
 """
 
 from __future__ import annotations
@@ -10,8 +11,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from refinery.csv_format import writable, writer_options
+from refinery.functions.digest import content_digest
+from refinery.sinks.publish import replace_folder
 
 
 def write_csv(df: DataFrame, path: str, *, header: bool = False,
@@ -27,7 +31,7 @@ def write_csv(df: DataFrame, path: str, *, header: bool = False,
 
 
 def land_raw(df: DataFrame, base: str, table: str, ds: str | None = None,
-             *, fmt: str = "csv", observation=None) -> str | None:
+             *, fmt: str = "csv", observation=None, content: bool = False) -> str | None:
     """Raw landing at ``base/table[/dt=ds]`` with a header line.
 
     Returns the folder written, or ``None`` (and writes nothing) when the
@@ -37,18 +41,23 @@ def land_raw(df: DataFrame, base: str, table: str, ds: str | None = None,
     or aggregate, the probe would run that plan's shuffle, so land such an
     extract from a table written first.
     ``observation`` (a ``pyspark.sql.Observation``) is attached to the write
-    only, so it sees every row exactly once.
+    only, so it sees every row exactly once; with ``content`` it also gets the digest
+    of the rows.  The folder is written beside the old one and then takes its place
+    (``publish.replace_folder``), so a write that fails leaves what was there.
     """
     if df.isEmpty():
         return None
     path = f"{base.rstrip('/')}/{table}" + (f"/dt={ds}" if ds else "")
     if observation is not None:
-        from pyspark.sql import functions as F
-        df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
-    if fmt == "csv":
-        write_csv(df, path, header=True, quote_all=True)
-    else:
-        df.write.mode("overwrite").format(fmt).save(path)
+        seen = [F.count(F.lit(1)).alias("rows")]
+        if content:
+            seen.append(content_digest([F.col(f"`{c}`") for c in df.columns]).alias("content"))
+        df = df.observe(observation, *seen)
+    with replace_folder(df.sparkSession, path) as fresh:
+        if fmt == "csv":
+            write_csv(df, fresh, header=True, quote_all=True)
+        else:
+            df.write.mode("overwrite").format(fmt).save(fresh)
     return path
 
 
@@ -56,11 +65,18 @@ def replace_day(df: DataFrame, path: str, column: str, value: str, *, fmt: str =
     """Make ``path/column=value`` hold exactly the rows of ``df`` -- also when
     there are none, where a dynamic overwrite would leave the old rows.
 
-    One day is one folder, so a plain REBALANCE sizes its files from the real
-    bytes (hashing by the constant day would send all rows to one task).
-    Returns the folder."""
+    The new folder is written beside the old one and then takes its place, so a
+    write that fails leaves the old day.  Returns the folder."""
     folder = f"{path.rstrip('/')}/{column}={value}"
-    out = df.drop(column).hint("rebalance")
+    with replace_folder(df.sparkSession, folder) as fresh:
+        write_day(df.drop(column), fresh, fmt=fmt)
+    return folder
+
+
+def write_day(df: DataFrame, folder: str, *, fmt: str = "parquet") -> str:
+    """The rows of one day as one folder.  A plain REBALANCE sizes its files from the
+    real bytes (hashing by the constant day would send all rows to one task)."""
+    out = df.hint("rebalance")
     if fmt == "csv":
         return write_csv(out, folder, header=True, quote_all=True)
     out.write.mode("overwrite").format(fmt).save(folder)

@@ -8,20 +8,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from refinery.csv_format import reader_options
+from refinery.sources.csv_split import read_split_csv
 
 
 def read_csv(spark: SparkSession, path: str | list[str], *, header: bool = True,
-             schema: StructType | str | None = None, own: bool = False, **options) -> DataFrame:
+             schema: StructType | str | None = None, own: bool = False, split: bool = False,
+             **options) -> DataFrame:
     """CSV scan by the package's CSV contract (``refinery.csv_format``); ``own``
     says that the package's own writers made the files.
 
-    Values may hold line breaks, so each file is one task; pass
-    ``multiLine=False`` for one huge file that is known to hold none.
-    ``enforceSchema=False`` makes a header that differs from the schema an error.
+    Values may hold line breaks.  Spark's own reader then takes a file in one task;
+    with ``split`` a file is read by as many tasks as it has splits, with the same rows
+    (``csv_split``).  ``enforceSchema=False`` makes a header that differs from the
+    schema an error.
 
     With ``schema`` the file is read once.  Without it the column types are
-    inferred, which costs an extra pass over the input: fine for a small
-    landing file, avoid it at scale.
+    inferred, which costs an extra pass over the input (a task a file): fine for a
+    small landing file, avoid it at scale.
     """
     reader = spark.read.options(**reader_options(header, typed=schema is not None, own=own))
     if schema is not None:
@@ -30,7 +33,11 @@ def read_csv(spark: SparkSession, path: str | list[str], *, header: bool = True,
         reader = reader.option("inferSchema", True)
     for key, value in options.items():
         reader = reader.option(key, value)
-    return reader.csv(path)
+    if not split:
+        return reader.csv(path)
+    inferred = schema is None
+    return read_split_csv(spark, path, reader.csv(path).schema if inferred else schema, header=header, own=own,
+                          typed=not inferred, **options)
 
 
 def read_parquet(spark: SparkSession, path: str | list[str], *,

@@ -29,7 +29,7 @@ def test_daily_job_idempotent_and_leaves_other_days(spark, tmp):
     # the NULL city of customer 5 fails the casing check (NULL = UPPER(NULL) is unknown)
     assert {v.check: v.passed for v in r1["verdict"]} == {
         "uppercase:customer_city": False, "allowed:customer_state": True,
-        "absent:customer_unique_id": True, "landed": True, "row_counts": True}
+        "absent:customer_unique_id": True, "landed": True, "landed_content": True, "row_counts": True, "content": True}
     src = src.where(F.col("customer_city").isNotNull())
     day_a = _files(spark, f"{tmp}/refined/customers/dt=2024-02-01")
     daily_job(spark, "2024-02-02", src, root=tmp, database="daily_t", table="customers", **REFINE)
