@@ -14,9 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
+from refinery.catalog import ledger as folder_ledger
 from refinery.catalog import types
 from refinery.csv_format import reader_options
 from refinery.functions.columns import pretty_size
+from refinery.session import scratch_path
+from refinery.sinks.publish import child_folders
 
 
 def _q(name: str) -> str:
@@ -72,31 +75,124 @@ def _partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+class SchemaConflict(ValueError):
+    """Folders of one table hold a column in types that have no common one."""
+
+
+def union_schema(spark: SparkSession, path: str, *, width: int = 256) -> tuple[StructType, StructType, dict[str, list[str]]]:
+    """(columns, partition columns, conflicts) of a Parquet tree whose folders may differ.
+
+    The footers are read in tasks, ``width`` folders a job, and merged there.  A group
+    whose folders don't agree is halved until the parts do; their schemas are then merged
+    pairwise up the tree, each column to the narrowest type that holds all (``types``)."""
+    folders = [f for f in child_folders(spark, path) if "=" in f and not f.startswith((".", "_"))]
+    parts = [f"{path.rstrip('/')}/{f}" for f in folders] or [path]
+    names = {n.lower() for f in folders for n in _folder_spec(f)}
+
+    def read(group: list[str]) -> list[tuple[str, StructType]]:
+        try:
+            reader = spark.read.option("mergeSchema", "true").option("basePath", path)
+            return [(group[0], reader.parquet(*group).schema)]
+        except Exception:       # the folders of the group, or the files of one, don't merge
+            if len(group) == 1:
+                raise
+        half = len(group) // 2
+        return read(group[:half]) + read(group[half:])
+
+    found = [x for i in range(0, len(parts), width) for x in read(parts[i:i + width])]
+    # partition columns below the first level are in the folders' names as well
+    trees = spark.read.option("basePath", path).parquet(parts[0]).schema
+    data = {f.name.lower() for f in spark.read.parquet(_leaf(spark, parts[0])).schema.fields}
+    names |= {f.name.lower() for f in trees.fields if f.name.lower() not in data}
+    fields, conflicts = types.union(found)
+    inside = [f for f in fields if f.name.lower() not in names]
+    return StructType(inside), StructType([f for f in fields if f.name.lower() in names]), conflicts
+
+
+def _leaf(spark: SparkSession, folder: str) -> str:
+    while True:
+        below = [f for f in child_folders(spark, folder) if "=" in f and not f.startswith((".", "_"))]
+        if not below:
+            return folder
+        folder = f"{folder}/{below[0]}"
+
+
 def crawl(spark: SparkSession, targets: Mapping[str, str], database: str, *,
           prefix: str = "", fmt: str = "parquet", location: str | None = None,
-          **options: str) -> DataFrame:
+          merge: bool = False, **options) -> DataFrame:
     """Register one table per ``{name: path}`` target as ``database.<prefix><name>``
-    (schema and partitions inferred) and return the database's table list."""
+    (schema and partitions inferred) and return the database's table list.
+
+    With ``merge`` a Parquet table gets the columns of all its folders; types that
+    can't be merged raise :class:`SchemaConflict`, which names the folders."""
     create_database(spark, database, location)
     for name, path in targets.items():
+        if merge:
+            columns, partitions, conflicts = union_schema(spark, path)
+            if conflicts:
+                raise SchemaConflict(f"{name}: " + "; ".join(f"{c} is {', '.join(v)}" for c, v in conflicts.items()))
+            options = {**options, "schema": StructType(columns.fields + partitions.fields),
+                       "partition_by": tuple(partitions.names)}
         register(spark, f"{database}.{prefix}{name}", path, fmt=fmt, **options)
     return list_tables(spark, database)
 
 
-def refresh(spark: SparkSession, table: str, mode: str = "everything") -> None:
+def refresh(spark: SparkSession, table: str, mode: str = "everything", *, ledger: str | None = None) -> None:
     """Bring the catalog's partitions in line with the folders.
 
     ``everything``: add new partition folders and drop vanished ones.
     ``new_folders``: only add new ones.
+    ``ledger``: like ``everything``, but only for the folders that differ from the
+    ledger at that path (see :func:`refresh_by_ledger`).
     """
-    if mode not in ("everything", "new_folders"):
+    if mode not in ("everything", "new_folders", "ledger"):
         raise ValueError(f"unknown refresh mode {mode!r}")
+    if (mode == "ledger") != (ledger is not None):
+        raise ValueError("the mode ledger needs a ledger path, the others take none")
+    if mode == "ledger":
+        refresh_by_ledger(spark, table, ledger)
+        return
     if _partition_columns(spark, table):
         what = "SYNC" if mode == "everything" else "ADD"
         spark.sql(f"MSCK REPAIR TABLE {_q(table)} {what} PARTITIONS")
     spark.catalog.refreshTable(table)
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_q(table)}").collect()
+    return next(r["data_type"] for r in rows if r["col_name"] == "Location")
+
+
+def refresh_by_ledger(spark: SparkSession, table: str, ledger_path: str) -> DataFrame:
+    """Add, refresh or drop the partitions whose top-level folders were added, landed
+    again or removed since the ledger was written; returns (folder, change).
+
+    For tables partitioned by one column.  The ledger is written last."""
+    columns = _partition_columns(spark, table)
+    if len(columns) != 1:
+        raise ValueError(f"{table} is not partitioned by one column")
+    # written, so that the ledger below is the listing that was compared
+    listing = folder_ledger.list_folders(spark, table_location(spark, table))
+    found = folder_ledger.changes(listing.where(F.startswith("folder", F.lit(f"{columns[0]}="))),
+                                  folder_ledger.read_ledger(spark, ledger_path))
+    path = scratch_path(spark, "ledger_changes")
+    found.write.parquet(path)
+    found = spark.read.schema(found.schema).parquet(path)
+    for change, verb in (("added", "ADD IF NOT EXISTS"), ("vanished", "DROP IF EXISTS")):
+        names = [r[0] for r in found.where(F.col("change") == change).select("folder").orderBy("folder").toLocalIterator()]
+        for i in range(0, len(names), 100):
+            specs = [f"PARTITION ({_spec(_folder_spec(n))})" for n in names[i:i + 100]]
+            spark.sql(f"ALTER TABLE {_q(table)} {verb} {(' ' if change == 'added' else ', ').join(specs)}")
+    spark.catalog.refreshTable(table)
+    folder_ledger.write_ledger(listing.where(F.startswith("folder", F.lit(f"{columns[0]}="))), ledger_path)
+    return found
+
+
+def _folder_spec(folder: str) -> dict[str, str | None]:
+    key, value = folder.split("=", 1)
+    return {unquote(key): None if value == "__HIVE_DEFAULT_PARTITION__" else unquote(value)}
+
+
 def add_partition(spark: SparkSession, table: str, spec: Mapping[str, object],
                   location: str | None = None) -> None:
     """Register one known partition (``{"dt": "2024-01-02"}``).
@@ -170,8 +266,7 @@ def partition_specs(spark: SparkSession, table: str) -> list[dict[str, str | Non
     """The partitions of ``table`` as {column: value}; None stands for NULL."""
     out = []
     for row in spark.sql(f"SHOW PARTITIONS {_q(table)}").collect():
-        parts = (x.split("=", 1) for x in row[0].split("/"))
-        out.append({unquote(k): None if v == "__HIVE_DEFAULT_PARTITION__" else unquote(v) for k, v in parts})
+        out.append({k: v for x in row[0].split("/") for k, v in _folder_spec(x).items()})
     return out
 
 

@@ -17,8 +17,10 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from typing import NamedTuple
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -130,18 +132,37 @@ def _extract(spark: SparkSession, source_df: DataFrame, raw_base: str, table: st
 
 
 def extract_many(spark: SparkSession, sources: dict[str, DataFrame], raw_base: str,
-                 ds: str | None, *, source: str, audit_path: str | None = None) -> DataFrame:
+                 ds: str | None, *, source: str, audit_path: str | None = None,
+                 workers: int = 4, attempts: int = 1, pool: str = "extract") -> DataFrame:
     """Extract several tables; a failing table is recorded and the rest go on.
-    Returns (table_name, path, error) per table."""
-    results = []
-    for table, df in sources.items():
-        try:
-            path, _ = extract_job(spark, df, raw_base, table, ds, source=source,
-                                  audit_path=audit_path)
-            results.append((table, path, None))
-        except Exception as exc:  # keep going, report it
-            results.append((table, None, f"{type(exc).__name__}: {exc}"))
-    return spark.createDataFrame(results, "table_name string, path string, error string")
+    Returns (table_name, path, error, attempts) per table.
+
+    ``workers`` tables are extracted at a time, each in a scheduler pool of its own
+    (shares of the cluster are fair under ``spark.scheduler.mode=FAIR``), so a slow table
+    doesn't hold the others; a failing one is tried ``attempts`` times."""
+    def run(table: str) -> tuple:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"{pool}-{table}")
+        error = None
+        for n in range(1, attempts + 1):
+            try:
+                return *_extract(spark, sources[table], raw_base, table, ds, source=source, database=None,
+                                 audit_path=None), None, n
+            except Exception as exc:  # keep going, report it
+                error = f"{type(exc).__name__}: {exc}"
+        return None, 0, None, error, attempts
+
+    results = {}
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as threads:
+        waiting = {threads.submit(inheritable_thread_target(spark)(run), table): table for table in sources}
+        for done in as_completed(waiting):          # audit rows are written by one thread
+            table = waiting[done]
+            path, rows, content, error, n = done.result()
+            if audit_path is not None and error is None:
+                record_audit(spark, audit_path, source=source, table=table, database=None, ds=ds, rows=rows, path=path,
+                             content=content)
+            results[table] = (table, path, error, n)
+    return spark.createDataFrame([results[t] for t in sources],
+                                 "table_name string, path string, error string, attempts int")
 
 
 def refine_job(raw_day: DataFrame, refined_path: str, ds: str, *,

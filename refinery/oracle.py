@@ -4,7 +4,7 @@ joins, GROUP BY and CASE over the source tables."""
 
 from __future__ import annotations
 
-from refinery.queries import DAY, FILTER_SQL, KIND, RUN_DATES, STATE, TEXT_TABLES
+from refinery.queries import DAY, FILTER_SQL, KIND, RUN_DATES, STATE, TEXT_TABLES, WIDE_DATES
 
 _SALES = """
     SELECT o.o_custkey AS CustomerID,
@@ -86,6 +86,39 @@ ORACLE: dict[str, str] = {
                CASE WHEN bad THEN CASE WHEN d < DATE '{DAY}' THEN 'early' ELSE 'late' END END AS batch,
                (SELECT COUNT(*) FROM t WHERE bad) AS rejected_in_all
         FROM t""",
+    "csv_split_scan": "SELECT * FROM documents",
+    "partitioned_csv": _EVENTS,
+    "filter_data_clustered": f"SELECT * FROM ({_EVENTS}) WHERE event_type = '{KIND}'",
+    "top_words": r"""
+        SELECT word, COUNT(*) AS word_count
+        FROM (SELECT unnest(string_split_regex(text, '[ \n]+')) AS word FROM documents) WHERE word <> ''
+        GROUP BY word ORDER BY word_count DESC, word LIMIT 10""",
+    "content_report": f"""
+        WITH any_kept AS (SELECT COUNT(*) > 0 AS kept FROM ({_REFINED}))
+        SELECT t.table_name, c."check", NOT (t.table_name = 'altered' AND c."check" = 'content' AND kept) AS passed
+        FROM (VALUES ('true'), ('altered')) t(table_name),
+             (VALUES ('uppercase:customer_city'), ('allowed:customer_state'), ('row_counts'), ('content')) c("check"), any_kept""",
+    "ledger_refresh": f"""
+        WITH e AS ({_EVENTS}), d AS (SELECT date_partition, COUNT(*) AS n,
+            COUNT(*) FILTER (WHERE event_type = '{KIND}') AS clicks FROM e GROUP BY 1)
+        SELECT date_partition, CASE WHEN date_partition > DATE '{DAY}' THEN 'added'
+                 WHEN date_partition = DATE '{DAY}' THEN 'changed' ELSE 'vanished' END AS change,
+               CASE WHEN date_partition > DATE '{DAY}' THEN n WHEN date_partition = DATE '{DAY}' THEN clicks END AS row_count
+        FROM d WHERE date_partition >= DATE '{DAY}' OR date_partition = DATE '2024-01-02'""",
+    "crawl_union": f"""
+        SELECT event_id, ts, user_id, event_type, value,
+               CASE WHEN CAST(ts AS DATE) > DATE '{DAY}' THEN props END AS props,
+               CAST(ts AS DATE) AS date_partition
+        FROM events""",
+    "extract_many": """
+        SELECT 'supplier' AS table_name, true AS landed, false AS failed, 1 AS attempts, COUNT(*) AS extracted_rows FROM supplier
+        UNION ALL SELECT 'nation', true, false, 1, COUNT(*) FROM nation
+        UNION ALL SELECT 'none', false, false, 1, 0
+        UNION ALL SELECT 'down', false, true, 2, NULL""",
+    "extract_resumed": "SELECT * FROM orders",
+    "daily_refine_widening": " UNION ALL ".join(
+        f"SELECT * REPLACE (CAST(customer_zip_code_prefix AS DECIMAL(22,2)) + {more} AS customer_zip_code_prefix), "
+        f"DATE '{ds}' AS dt FROM ({_REFINED})" for ds, more in zip(WIDE_DATES, ("0", "0", "0.25"))),
     "filter_partition": f"SELECT * FROM ({_EVENTS}) WHERE date_partition = DATE '{DAY}'",
     "filter_data": f"SELECT * FROM ({_EVENTS}) WHERE event_type = '{KIND}'",
     "filter_combined": f"""SELECT * FROM ({_EVENTS})

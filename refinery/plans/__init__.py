@@ -3,7 +3,8 @@
 from refinery.plans.inspect import (
     explain_text,
     files_read,
+    rows_scanned,
     scan_filters,
 )
 
-__all__ = ["explain_text", "files_read", "scan_filters"]
+__all__ = ["explain_text", "files_read", "rows_scanned", "scan_filters"]

@@ -4,7 +4,8 @@
 driver) and ``PushedFilters`` (row groups skipped by the reader) out of the
 formatted plan.  ``files_read`` counts the files a query really opens, via
 the hidden ``_metadata.file_path`` column -- ``df.inputFiles()`` is not
-pruned and would list every file.
+pruned and would list every file.  ``rows_scanned`` tells how much of the files
+their statistics let a query skip.
 """
 
 from __future__ import annotations
@@ -59,3 +60,13 @@ def scan_filters(df: DataFrame) -> dict[str, list[list[str]]]:
 def files_read(df: DataFrame) -> DataFrame:
     """Distinct files a query scans (one row per file)."""
     return df.select(F.col("_metadata.file_path").alias("file_path")).distinct()
+
+
+def rows_scanned(df: DataFrame) -> int:
+    """Rows that the file scans of ``df`` hand on: after whole row groups are skipped by
+    their statistics, before the filter itself.  Runs the query (of a scan with
+    filters, without a shuffle)."""
+    run = df._jdf.queryExecution()
+    run.toRdd().count()
+    leaves = run.executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))

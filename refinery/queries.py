@@ -37,11 +37,15 @@ from refinery.functions.columns import (
     date_text,
     parse_date,
 )
+from refinery.operators.heavy_hitters import heavy_hitters
 from refinery.operators.sql_checks import run_sql_check
 from refinery.session import scratch_path
 from refinery.sinks.audit import read_audit
-from refinery.sinks.files import land_raw, write_csv, write_partitioned
+from refinery.sinks.clustered import write_clustered
+from refinery.sinks.files import land_raw, replace_day, write_csv, write_partitioned
+from refinery.sinks.publish import remove
 from refinery.sources.files import inventory_by_folder, read_csv, read_parquet, read_partition
+from refinery.sources.slices import Slice, extract_sliced, read_sliced
 from refinery.streaming.new_folders import refine_new_landings
 
 # Parameters of the queries on the test tables (fixed, also used in the SQL).
@@ -49,6 +53,7 @@ DAY = "2024-01-15"              # partition filter / leaf / overwritten day
 KIND = "click"                  # data filter (event_type stands in for Customer)
 STATE = "LARGE"                 # kept state (p_type stands in for customer_state)
 RUN_DATES = ("2024-01-01", "2024-01-02")
+WIDE_DATES = (*RUN_DATES, "2024-01-03")
 FILTER_SQL = "o_orderstatus = 'F' AND o_totalprice > 200000"
 TEXT_TABLES = ("documents", "events", "conversations")     # landed besides the clean tables
 REFINE_TEXT = dict(keep={"lang": ["en", "fr"]}, upper=["source"], drop=["n_chars"])
@@ -219,6 +224,21 @@ def partition_csv_job(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("rejected_in_all", F.lit(rejected).cast("bigint")))
 
 
+def csv_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in one CSV file, read by as many tasks as it has splits: texts hold line
+    breaks, so most splits begin inside quotes."""
+    docs = standins.table(spark, sf_dir, "documents")
+    path = write_csv(docs.coalesce(1), scratch_path(spark, "one_csv"), header=True, quote_all=True)
+    return read_csv(spark, path, schema=docs.schema, own=True, split=True, enforceSchema=False)
+
+
+def partitioned_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as CSV by date, read back through the folders."""
+    ev = standins.events_with_date(spark, sf_dir)
+    path = write_partitioned(ev, scratch_path(spark, "events_csv"), [PART], fmt="csv")
+    return read_csv(spark, path, schema=ev.schema, own=True)
+
+
 def filter_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir).filter(F.col(PART) == DAY)
 
@@ -227,6 +247,13 @@ def filter_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir).filter(F.col("event_type") == KIND)
 
 
+def filter_data_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The data filter over files in Z-order of the event type and the user."""
+    path = write_clustered(standins.events_with_date(spark, sf_dir), scratch_path(spark, "events_z"),
+                           ["event_type", "user_id"], partition_by=[PART], bloom=["user_id"])
+    return read_parquet(spark, path).filter(F.col("event_type") == KIND)
+
+
 def filter_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir)
     return ev.filter((F.col(PART) == DAY) & (F.col("event_type") == KIND))
@@ -301,6 +328,25 @@ def top_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(refined, ["customer_city", "customer_state"], 10, count_name="customer_count")
 
 
+def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten most frequent words of all documents: a key of very many values."""
+    words = F.explode(F.split("text", r"[ \n]+"))
+    return heavy_hitters(standins.table(spark, sf_dir, "documents").select(words.alias("word")).where("word <> ''"),
+                         ["word"], 10, count_name="word_count")
+
+
+def content_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refined against raw by content: the true refined table, and one of the same row
+    count with one altered cell."""
+    raw, refined = _raw_refined(spark, sf_dir)
+    first = refined.agg(F.min("customer_id")).first()[0]
+    altered = refined.withColumn(
+        "customer_city", F.when(F.col("customer_id") == first, "ELSEWHERE").otherwise(F.col("customer_city")))
+    parts = [run_checks(raw, table, allowed=REFINE["keep"], upper=REFINE["upper"], content=True)
+             .select(F.lit(name).alias("table_name"), "check", "passed") for name, table in (("true", refined), ("altered", altered))]
+    return parts[0].unionByName(parts[1])
+
+
 def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, refined = _raw_refined(spark, sf_dir)
     return run_checks(raw, refined, upper=REFINE["upper"], allowed=REFINE["keep"],
@@ -361,6 +407,37 @@ def refresh_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
+def ledger_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days added, landed again and removed between two looks at the folders, as the
+    ledger sees them, with the rows that the table then has."""
+    ev = standins.events_with_date(spark, sf_dir)
+    path = scratch_path(spark, "events_ledger")
+    write_partitioned(ev.where(F.col(PART) <= DAY), path, [PART])
+    table = catalog.register(spark, f"{_db(spark, 'ledger')}.events", path)
+    ledger = scratch_path(spark, "ledger")
+    catalog.refresh_by_ledger(spark, table, ledger)
+    write_partitioned(ev.where(F.col(PART) > DAY), path, [PART])
+    replace_day(ev.where((F.col(PART) == DAY) & (F.col("event_type") == KIND)), path, PART, DAY)
+    remove(spark, f"{path}/{PART}=2024-01-02")
+    found = catalog.refresh_by_ledger(spark, table, ledger)
+    rows = spark.table(table).groupBy(PART).agg(F.count(F.lit(1)).alias("row_count"))
+    day = F.regexp_extract("folder", "=(.*)$", 1).cast("date")
+    return found.select(day.alias(PART), "change").join(rows, PART, "left")
+
+
+def crawl_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A crawl of folders whose files differ: early days lack a column and hold narrower
+    numbers."""
+    ev = standins.events_with_date(spark, sf_dir)
+    path = scratch_path(spark, "events_differ")
+    early = F.col(PART) <= DAY
+    write_partitioned(ev.where(early).drop("props").withColumn("user_id", F.col("user_id").cast("int")), path, [PART])
+    write_partitioned(ev.where(~early), path, [PART])
+    db = _db(spark, "union")
+    catalog.crawl(spark, {"events": path}, db, merge=True)
+    return spark.table(f"{db}.events")
+
+
 def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = standins.events_with_date(spark, sf_dir)
     path = scratch_path(spark, "events_drift")
@@ -412,6 +489,38 @@ def extract_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_audit(spark, audit).select("source", "table_name", "run_date", "extracted_rows")
 
 
+def extract_many_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four tables at a time; one fails (twice), an empty one lands nothing."""
+    good = standins.table(spark, sf_dir, "supplier")
+    fails = good.withColumn("s_name", F.raise_error(F.lit("source is down")).cast("string"))
+    base = scratch_path(spark, "many")
+    out = jobs.extract_many(spark, {"supplier": good, "down": fails, "none": good.limit(0),
+                                    "nation": standins.table(spark, sf_dir, "nation")},
+                            base, RUN_DATES[0], source="parquet", audit_path=f"{base}/_audit", attempts=2)
+    rows = read_audit(spark, f"{base}/_audit").select("table_name", "extracted_rows")
+    return (out.join(rows, "table_name", "left")
+            .select("table_name", F.col("path").isNotNull().alias("landed"), F.col("error").isNotNull().alias("failed"),
+                    "attempts", "extracted_rows"))
+
+
+def extract_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in eight slices; the source breaks at the fifth, the next run goes on there."""
+    orders = standins.table(spark, sf_dir, "orders")
+    base = scratch_path(spark, "sliced")
+
+    def breaks(s: Slice) -> DataFrame:
+        if s.number == 4:
+            raise ConnectionError("source is down")
+        return orders.where(s.predicate("o_orderkey"))
+
+    args = dict(base=base, table="orders", column="o_orderkey", slices=8, source="parquet")
+    try:
+        extract_sliced(orders, breaks, **args)
+    except ConnectionError:
+        extract_sliced(orders, lambda s: orders.where(s.predicate("o_orderkey")), **args)
+    return read_sliced(spark, base, "orders", orders.schema)
+
+
 def daily_refine(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "daily")
     db = _db(spark, "daily")
@@ -442,6 +551,20 @@ def daily_refine_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{db}.{REFINED_TABLE_PREFIX}customers")
 
 
+def daily_refine_widening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three days on which a number is an int, a bigint, then a decimal."""
+    root = scratch_path(spark, "daily_wide")
+    db = _db(spark, "daily_wide")
+    day = standins.store_customers(spark, sf_dir)
+    for ds, kind in zip(WIDE_DATES, ("int", "bigint", "decimal(22,2)")):
+        number = F.col("customer_zip_code_prefix").cast(kind)
+        if kind.startswith("decimal"):
+            number = (number + F.lit(0.25).cast("decimal(3,2)")).cast(kind)
+        jobs.daily_job(spark, ds, day.withColumn("customer_zip_code_prefix", number), root=root, database=db,
+                       table="customers", **REFINE)
+    return spark.table(f"{db}.{REFINED_TABLE_PREFIX}customers")
+
+
 def incremental_refine(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "incremental")
     source = standins.store_customers(spark, sf_dir)
@@ -468,9 +591,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "leaf_partition_scan": leaf_partition_scan,
     "date_parse": date_parse,
     "date_parse_counts": date_parse_counts,
+    "csv_split_scan": csv_split_scan,
+    "partitioned_csv": partitioned_csv,
     "partition_csv_job": partition_csv_job,
     "filter_partition": filter_partition,
     "filter_data": filter_data,
+    "filter_data_clustered": filter_data_clustered,
     "filter_combined": filter_combined,
     "filter_expression": filter_expression,
     "data_reduction": data_reduction_report,
@@ -482,6 +608,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "validate_row_counts": validate_row_counts,
     "sample_rows": sample_refined,
     "top_cities": top_cities,
+    "top_words": top_words,
+    "content_report": content_report,
     "validation_report": validation_report,
     "validate_columns": validate_columns_report,
     "sql_validate_uppercase": sql_validate_uppercase,
@@ -491,13 +619,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_top_cities": sql_top_cities,
     "register_table": register_table,
     "refresh_partitions": refresh_partitions,
+    "ledger_refresh": ledger_refresh,
+    "crawl_union": crawl_union,
     "schema_drift": schema_drift,
     "table_stats": table_stats,
     **{("raw_landing" if t == "customer" else f"raw_landing_{t}"): _landing(t) for t in ("customer", *TEXT_TABLES)},
     "extract_audit": extract_audit,
+    "extract_many": extract_many_tables,
+    "extract_resumed": extract_resumed,
     "daily_refine": daily_refine,
     "daily_refine_text": daily_refine_text,
     "daily_refine_drift": daily_refine_drift,
+    "daily_refine_widening": daily_refine_widening,
     "incremental_refine": incremental_refine,
     "file_inventory": file_inventory_report,
 }

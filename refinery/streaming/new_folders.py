@@ -12,6 +12,8 @@ folder passed in by the caller.
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +23,7 @@ from pyspark.sql import types as T
 from refinery.csv_format import reader_options
 from refinery.operators.refine import refine
 from refinery.sinks.files import replace_day, write_partitioned
+from refinery.sinks.publish import child_folders, put_in_place, remove
 
 
 def refine_new_landings(spark: SparkSession, raw_table_path: str, schema: T.StructType,
@@ -31,28 +34,34 @@ def refine_new_landings(spark: SparkSession, raw_table_path: str, schema: T.Stru
     """Process all days with new CSV files under ``raw_table_path/<partition>=*/``.
 
     ``schema`` must include the partition column (filled from folder
-    names).
+    names).  The stream itself reads file names only.  A batch's days are read once,
+    refined and written once, beside the output; each then takes its day's place.
     """
-    raw_table_path = raw_table_path.rstrip("/")
-    options = {**reader_options(header=True), "basePath": raw_table_path}
-    reader = spark.readStream.schema(schema).options(**options)
+    raw_table_path, refined_path = raw_table_path.rstrip("/"), refined_path.rstrip("/")
+    reader = spark.readStream.format("binaryFile").schema(
+        "path string, modificationTime timestamp, length long, content binary")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    landed = reader.csv(f"{raw_table_path}/{partition_column}=*")
+    folder = F.regexp_extract("path", f"/({re.escape(partition_column)}=[^/]+)/[^/]*$", 1)
+    landed = reader.load(f"{raw_table_path}/{partition_column}=*").select(folder.alias("folder"))
 
     def replace_days(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         # the days landed since the last run: folder names, not rows
-        days = [r[0] for r in batch.select(F.col(partition_column).cast("string")).distinct().collect()]
+        days = sorted(r[0] for r in batch.distinct().collect())
         if not days:
             return
-        raw = (session.read.schema(schema).options(**options).csv(raw_table_path)
-               .where(F.col(partition_column).cast("string").isin(days)))
-        write_partitioned(refine(raw, keep=keep, upper=upper, drop=drop), refined_path, [partition_column])
-        full = {r[0] for r in refine(raw, keep=keep).select(F.col(partition_column).cast("string")).distinct().collect()}
-        nothing = refine(raw, keep=keep, upper=upper, drop=drop).limit(0)
-        for day in sorted(set(days) - full):        # a day of which no row is kept
-            replace_day(nothing, refined_path, partition_column, day)
+        raw = (session.read.schema(schema).options(**reader_options(header=True), basePath=raw_table_path)
+               .csv([f"{raw_table_path}/{day}" for day in days]))
+        refined = refine(raw, keep=keep, upper=upper, drop=drop)
+        stage = f"{refined_path}/.stage-{uuid.uuid4().hex[:12]}"
+        write_partitioned(refined, stage, [partition_column], dynamic=False)
+        kept = [f for f in child_folders(session, stage) if f.startswith(f"{partition_column}=")]
+        for day in kept:
+            put_in_place(session, f"{stage}/{day}", f"{refined_path}/{day}")
+        remove(session, stage)
+        for day in sorted(set(days) - set(kept)):        # a day of which no row is kept
+            replace_day(refined.limit(0), refined_path, partition_column, day.split("=", 1)[1])
 
     query = (landed.writeStream.foreachBatch(replace_days)
              .option("checkpointLocation", checkpoint)
