@@ -35,7 +35,7 @@ from . import automata
 from .automata import MAX_WORDS, Counts
 from .common import shared, slices
 
-SHARD = 3_000_000
+SHARD = 1_500_000
 STEP = 1 << 20
 #: about so many characters make a prefix range
 RANGE_CHARS = 8 << 20

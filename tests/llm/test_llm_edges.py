@@ -15,6 +15,7 @@ DOCS = T.StructType([
     *[T.StructField(c, T.StringType()) for c in ("fp", "tag", "row", "key", "score", "kept", "group", "found", "tokens",
                                                   "component_id", "lang_pred", "place", "block", "__text", "stays")]])
 LABELS = "doc_id long, quality int, toxic int, score string, text string"
+VECTORS = "vec_id long, embedding array<float>, label int, id string, vec string, rank string, score string"
 TURNS = "conv_id long, turn long, role string, text string, block string, pos string, len string"
 
 
@@ -41,18 +42,23 @@ def awkward(spark, tmp_path_factory):
              (3, 5, "user", "hi", "", "", ""), (None, 0, None, None, None, None, None), (4, None, None, "", None, None, None),
              (4, 0, "user", "<|im_end|>", "", "", ""), (4, 0, "user", "<|im_end|>", "", "", "")]
     spark.createDataFrame(turns, TURNS).write.parquet(f"{path}/conversations.parquet")
+    vecs = [(i, [float(rng.randint(-2, 4)) for _ in range(4)], i % 3, "x", "x", "x", "x") for i in range(210)]
+    vecs += [vecs[100], vecs[3], (None, [1.0], 1, *"xxxx"), (300, None, 1, *"xxxx"), (400, [1.0, float("nan")], 1, *"xxxx"),
+             (500, [], 1, *"xxxx"), (600, [1.0], None, *"xxxx"), (None, None, None, None, None, None, None)]
+    spark.createDataFrame(vecs, VECTORS).write.parquet(f"{path}/embeddings.parquet")
     return path, len(rows)
 
 
 @pytest.fixture(scope="module")
 def empty(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("empty"))
-    for name, schema in (("documents", DOCS), ("labels", LABELS), ("conversations", TURNS)):
+    for name, schema in (("documents", DOCS), ("labels", LABELS), ("conversations", TURNS), ("embeddings", VECTORS)):
         spark.createDataFrame([], schema).write.parquet(f"{path}/{name}.parquet")
     return path
 
 
-ROW_PER_DOC = [q for q in Q.QUERIES if q not in ("op5_chat_format", "op9_source_mix")]
+OTHERS = ("op5_chat_format", "op9_source_mix", "op11_phrase_collocations", "op12_hard_negatives", "op13_top_k")
+ROW_PER_DOC = [q for q in Q.QUERIES if q not in OTHERS]
 
 
 @pytest.mark.parametrize("name", ROW_PER_DOC)
@@ -69,6 +75,18 @@ def test_empty_tables(spark, empty, name):
     assert Q.QUERIES[name](spark, empty).collect() == []
 
 
+def test_phrases_and_vectors_of_awkward_tables(spark, awkward):
+    path, _ = awkward
+    found = Q.op11_phrase_collocations(spark, path).collect()
+    top = {r.phrase: r for r in found if r.lang == "en"}
+    assert top["word word"].a >= 29_999 and all(r.a >= 30 and r.rank <= 2000 for r in found)
+    rows = Q.op13_top_k(spark, path).collect()
+    assert {r.query_id for r in rows} == {*range(0, 210, 20), 500, 600} and all(r.query_id != r.vec_id for r in rows)
+    assert {r.rank for r in rows} == set(range(1, 21)) and len(rows) == 20 * 13
+    anchors = {r.anchor_id for r in Q.op12_hard_negatives(spark, path).collect()}
+    assert anchors <= {0, 100, 200, 500} and {0, 100, 200} <= anchors
+
+
 def test_awkward_values(spark, awkward):
     path, _ = awkward
     by = lambda name: {r.doc_id: r for r in Q.QUERIES[name](spark, path).collect()}
