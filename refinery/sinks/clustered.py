@@ -42,10 +42,13 @@ def z_number(df: DataFrame, columns: Sequence[str], bits: int = 8) -> Column:
     numbers = [_number(F.col(f"`{c}`"), df.schema[c].dataType) for c in columns]
     shares = [i / (1 << bits) for i in range(1, 1 << bits)]
     bounds = df.agg(*[F.percentile_approx(n, shares, 10 << bits).alias(f"q{i}") for i, n in enumerate(numbers)]).first()
-    ranks = []
-    for i, n in enumerate(numbers):
-        edges = F.array(*[F.lit(float(x)) for x in sorted(set(bounds[f"q{i}"] or []))]).cast("array<double>")
-        ranks.append(F.coalesce(F.size(F.filter(edges, lambda e, n=n: e < n)), F.lit(0)))
+
+    def rank(number: Column, quantiles: list[float] | None) -> Column:
+        # equal quantiles stay: a column of few values then uses all its bits as well
+        edges = F.array(*[F.lit(float(x)) for x in sorted(quantiles or [])]).cast("array<double>")
+        return F.coalesce(F.size(F.filter(edges, lambda e: e < number)), F.lit(0))
+
+    ranks = [rank(n, bounds[f"q{i}"]) for i, n in enumerate(numbers)]
     z = F.lit(0).cast("long")
     for bit in range(bits):
         for j, rank in enumerate(ranks):
