@@ -79,6 +79,7 @@ class BytePairCodec:
         tokens = {t.decode("latin-1"): t for t in made}
         self.left_edge = {name: self._edge(t, halves, 0) for name, t in tokens.items()}
         self.right_edge = {name: self._edge(t, halves, -1) for name, t in tokens.items()}
+        self.most = max(map(len, tokens))
         self.find = ahocorasick.Automaton()
         for name in tokens:
             self.find.add_word(name, name)
@@ -123,7 +124,7 @@ class BytePairCodec:
                 j += 1
 
     def _longest(self, text: str, at: int) -> str | None:
-        end = at + self.find.longest_prefix(text[at:at + 256])
+        end = at + self.find.longest_prefix(text[at:at + self.most])
         while end > at:
             if (name := text[at:end]) in self.id_of:
                 return name

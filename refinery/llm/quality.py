@@ -12,15 +12,19 @@ rejected.
 
 The estimate starts from medians and quartiles and takes concentration steps:
 each keeps the 75 % of a group's texts nearest to the present centre and takes
-mean and covariance of those, which never raises the determinant.  A step is one
+mean and covariance of those, which brings the determinant down.  A step is one
 aggregation by (group, distance bin) that sums the moments of each bin; the bins
-up to the 75 % mark make the subset (a quarter of the largest bin more at most).
-So a group of any size is summed map side and never gathered, no quantile needs
-a sort, and results don't depend on the order of rows.  ``SPREAD`` is added to
-the diagonal: statistics that hardly vary can't reject on a trifle.  Groups of
-under ``min_rows`` texts use the language's estimate, and languages of under
-``min_rows`` the estimate over all texts, which has no least number: every text
-that passes the rules gets a distance.
+up to the 75 % mark make the subset (up to one bin more).
+So a group of any size is summed map side and never gathered, and no quantile needs
+a sort.  Results depend on the order of rows only in the last digits of sums.
+``SPREAD`` is added to the diagonal: statistics that hardly vary can't reject on a trifle.
+
+All three levels (all texts, language, language and source) are estimated in the same
+passes.  After each, a group's centre and covariance are drawn towards those of the
+level above: n texts weigh n^2 / (n^2 + ``prior``^2) (by the squares, a few odd texts
+of a rare language can't vouch for each other).  So a rare group follows its language
+and a rare language all texts, without a least number; every text that passes the rules
+gets a distance.
 
 Edge cases: null text counts as empty, so it fails for its words; null language
 or source is a value like any other; repeated rows (also repeated or null ids)
@@ -35,7 +39,8 @@ from pyspark.sql import functions as F
 from .common import SPACES, WORD, shared
 
 SYMBOLS = "#*$%&|<>"
-CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ"
+CAPITALS = r"\p{Lu}"
+LEVELS = 3
 WINDOW = 5
 STATS = ("word_length", "symbols", "lines", "repeats", "capitals")
 SPREAD = (0.10, 0.05, 0.10, 0.10, 0.06)
@@ -86,7 +91,7 @@ def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return rows.select(
         "doc_id", "lang", "source", per_words.alias("w"), per_lines.alias("l"),
         without(SPACES).cast("long").alias("word_chars"), (F.length("text") - without(SYMBOLS)).cast("long").alias("n_symbols"),
-        (F.length("text") - without(CAPITALS)).cast("long").alias("n_capitals")).select(
+        F.regexp_count("text", F.lit(CAPITALS)).cast("long").alias("n_capitals")).select(
         "doc_id", "lang", "source", "w.n_words", "word_chars", "n_symbols", "l.n_lines", "l.n_dup_lines",
         "w.n_repeat_words", "n_capitals")
 
@@ -113,7 +118,7 @@ def _distance(prefix: str = "") -> Column:
 
 
 def _start(rows: DataFrame) -> DataFrame:
-    """Medians and quartile spreads per group, from binned counts."""
+    """(group, all, m*, c*): medians and quartile spreads per group, from binned counts."""
     n = len(STATS)
     binned = rows.select("group", F.explode(F.array(*[
         F.struct(F.lit(j).alias("j"), F.floor(F.col(f"x{j}") * 200).alias("bin")) for j in range(n)])).alias("b"))
@@ -122,17 +127,18 @@ def _start(rows: DataFrame) -> DataFrame:
     upto = (seen.withColumn("upto", F.sum("n").over(own.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)))
             .withColumn("all", F.sum("n").over(own)))
     at = lambda q: F.min(F.when(F.col("upto") >= F.col("all") * q, (F.col("bin") + 0.5) / 200))
-    quarter = upto.groupBy("group", "j").agg(at(0.5).alias("m"), ((at(0.75) - at(0.25)) / 1.349).alias("s"))
+    quarter = upto.groupBy("group", "j").agg(F.max("all").alias("all"), at(0.5).alias("m"),
+                                             ((at(0.75) - at(0.25)) / 1.349).alias("s"))
     pick = lambda j, c: F.max(F.when(F.col("j") == j, F.col(c)))
-    wide = quarter.groupBy("group").agg(*[pick(j, "m").alias(f"m{j}") for j in range(n)],
+    wide = quarter.groupBy("group").agg(F.max("all").alias("all"), *[pick(j, "m").alias(f"m{j}") for j in range(n)],
                                         *[pick(j, "s").alias(f"s{j}") for j in range(n)])
-    return wide.select("group", *[f"m{j}" for j in range(n)], *[
-        (1 / F.sqrt(F.col(f"s{i}") * F.col(f"s{i}") + SPREAD[i] ** 2) if i == j else F.lit(0.0)).alias(f"w{i}{j}")
+    return wide.select("group", "all", *[f"m{j}" for j in range(n)], *[
+        (F.col(f"s{i}") * F.col(f"s{i}") + SPREAD[i] ** 2 if i == j else F.lit(0.0)).alias(f"c{i}{j}")
         for i in range(n) for j in range(i + 1)])
 
 
 def _concentrate(rows: DataFrame, params: DataFrame) -> DataFrame:
-    """One step: moments of the nearest SUBSET of each group, as the next parameters."""
+    """(group, all, m*, c*): moments of the nearest SUBSET of each group."""
     n = len(STATS)
     pairs = [(i, j) for i in range(n) for j in range(i + 1)]
     near = rows.join(params.withColumnRenamed("group", "of_group"), F.col("group") == F.col("of_group"))
@@ -144,11 +150,16 @@ def _concentrate(rows: DataFrame, params: DataFrame) -> DataFrame:
     inside = (bins.withColumn("below", F.coalesce(F.sum("n").over(
         own.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         .withColumn("all", F.sum("n").over(own)).where(F.col("below") < F.col("all") * SUBSET))
-    sums = inside.groupBy("group").agg(F.sum("n").alias("n"), *[F.sum(f"t{j}").alias(f"t{j}") for j in range(n)],
+    sums = inside.groupBy("group").agg(F.max("all").alias("all"), F.sum("n").alias("n"), *[F.sum(f"t{j}").alias(f"t{j}") for j in range(n)],
                                        *[F.sum(f"t{i}{j}").alias(f"t{i}{j}") for i, j in pairs])
-    out = sums.select("group", *[(F.col(f"t{j}") / F.col("n")).alias(f"m{j}") for j in range(n)], *[
+    return sums.select("group", "all", *[(F.col(f"t{j}") / F.col("n")).alias(f"m{j}") for j in range(n)], *[
         ((F.col(f"t{i}{j}") / F.col("n") - F.col(f"t{i}") / F.col("n") * F.col(f"t{j}") / F.col("n")) * CONSISTENCY
          + F.lit(SPREAD[i] ** 2 if i == j else 0.0)).alias(f"c{i}{j}") for i, j in pairs])
+
+
+def _factored(out: DataFrame) -> DataFrame:
+    """(group, m*, w*) of (group, m*, c*): the inverse Cholesky factors."""
+    n = len(STATS)
     for j in range(n):                                  # Cholesky factor l, column by column
         for i in range(j, n):
             rest = F.col(f"c{i}{j}") - sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
@@ -158,35 +169,58 @@ def _concentrate(rows: DataFrame, params: DataFrame) -> DataFrame:
         for j in range(i):
             out = out.withColumn(f"w{i}{j}", -sum((F.col(f"l{i}{k}") * F.col(f"w{k}{j}") for k in range(j, i)), F.lit(0.0))
                                  / F.col(f"l{i}{i}"))
-    return out.select("group", *[f"m{j}" for j in range(n)], *[f"w{i}{j}" for i, j in pairs])
+    return out.select("group", *[f"m{j}" for j in range(n)], *[f"w{i}{j}" for i in range(n) for j in range(i + 1)])
 
 
 def estimate(rows: DataFrame, steps: int = 4, min_rows: int = 50) -> DataFrame:
-    """(group, m*, w*) of the groups of ``rows`` (group, x*) with ``min_rows`` rows or more."""
-    params = shared(_start(rows).join(
-        rows.groupBy(F.col("group").alias("big")).agg(F.count("*").alias("rows")).where(F.col("rows") >= min_rows),
-        F.col("group") == F.col("big"), "left_semi"), "mcd-start")
+    """(group, m*, w*) of the groups of ``rows`` (group, x*) with ``min_rows`` rows or more,
+    each by itself."""
+    params = shared(_factored(_start(rows).where(F.col("all") >= min_rows)), "mcd-start")
+    for step in range(steps):
+        params = shared(_factored(_concentrate(rows, params)), f"mcd-{step}")
+    return params
+
+
+def _leaning(found: DataFrame, groups: DataFrame, prior: float) -> DataFrame:
+    """Each group's moments drawn towards those of the group above it: n rows weigh
+    n^2 / (n^2 + ``prior``^2)."""
+    n = len(STATS)
+    names = [f"m{j}" for j in range(n)] + [f"c{i}{j}" for i in range(n) for j in range(i + 1)]
+    # written: a row a group, used once for each level
+    placed = shared(found.join(groups.withColumnRenamed("group", "of_group"), F.col("group") == F.col("of_group"))
+                    .drop("of_group"), "mcd-moments")
+    above = placed.where("level = 0").select("group", *names)
+    out = above
+    for level in range(1, LEVELS):
+        up = above.select(F.col("group").alias("u_group"), *[F.col(c).alias(f"u_{c}") for c in names])
+        seen = F.col("all").cast("double") * F.col("all")
+        share = seen / (seen + F.lit(float(prior) ** 2))
+        above = placed.where(F.col("level") == level).join(up, F.col("above") == F.col("u_group")).select(
+            "group", *[(share * F.col(c) + (1 - share) * F.col(f"u_{c}")).alias(c) for c in names])
+        out = out.unionByName(above)
+    return out
+
+
+def estimate_levels(rows: DataFrame, steps: int = 4, prior: float = 50.0) -> DataFrame:
+    """(group, m*, w*) of all groups of all levels; ``rows`` has x* and the groups of each
+    row from the top, ``levels``.  A step is one pass for all levels."""
+    each = rows.select(*[f"x{j}" for j in range(len(STATS))], F.posexplode("levels").alias("level", "group"), "levels")
+    groups = shared(each.select("group", "level", F.get("levels", F.col("level") - 1).alias("above")).distinct(), "mcd-groups")
+    each = each.drop("levels", "level")
+    params = shared(_factored(_leaning(_start(each), groups, prior)), "mcd-start")
     for step in range(steps):
-        params = shared(_concentrate(rows, params), f"mcd-{step}")
+        params = shared(_factored(_leaning(_concentrate(each, params), groups, prior)), f"mcd-{step}")
     return params
 
 
-def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", steps: int = 4, min_rows: int = 50,
+def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", steps: int = 4, prior: float = 50.0,
           cut: float = CUT) -> DataFrame:
     """One row per input row: the counts, base_failed, distance (null where base_failed), kept."""
-    rows = shared(statistics(counts(docs, id_col, text_col))
-                  .withColumn("base_failed", base_failed())
-                  .withColumn("by_all", F.lit("all"))
-                  .withColumn("by_lang", F.to_json(F.struct("lang")))
-                  .withColumn("by_source", F.to_json(F.struct("lang", "source"))), "quality")
-    good = rows.where(~F.col("base_failed"))
-    xs = [f"x{j}" for j in range(len(STATS))]
-    names = [f"m{j}" for j in range(len(xs))] + [f"w{i}{j}" for i in range(len(xs)) for j in range(i + 1)]
-    for level in ("by_all", "by_lang", "by_source"):
-        params = estimate(good.select(F.col(level).alias("group"), *xs), steps, 1 if level == "by_all" else min_rows)
-        rows = rows.join(params.select(F.col("group").alias(f"{level}_group"), *[F.col(c).alias(f"{level}_{c}") for c in names]),
-                         F.col(level) == F.col(f"{level}_group"), "left")
-    distance = F.coalesce(_distance("by_source_"), _distance("by_lang_"), _distance("by_all_"))
+    levels = F.array(F.lit("all"), F.to_json(F.struct("lang")), F.to_json(F.struct("lang", "source")))
+    rows = shared(statistics(counts(docs, id_col, text_col)).withColumn("base_failed", base_failed())
+                  .withColumn("levels", levels), "quality")
+    params = estimate_levels(rows.where(~F.col("base_failed")), steps, prior)
+    rows = rows.join(params.withColumnRenamed("group", "of_group"), F.element_at("levels", -1) == F.col("of_group"), "left")
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                       F.when(~F.col("base_failed"), distance).alias("distance"),
-                       (~F.col("base_failed") & (distance <= cut)).alias("kept"))
+                       F.when(~F.col("base_failed"), _distance()).alias("distance"),
+                       (~F.col("base_failed") & (_distance() <= cut)).alias("kept"))
