@@ -45,6 +45,18 @@ def sampled(df: DataFrame, n: int) -> DataFrame:
     return df.where(place <= last) if last is not None else df.limit(0)
 
 
+def within(df: DataFrame, place: str, size: str, n: int, total: int) -> DataFrame:
+    """The rows of ``df`` of the smallest ``place``, at most ``n`` and of at most ``total``
+    of ``size`` together.  Only places and sizes of ``n`` rows come to the driver."""
+    last, used = None, 0
+    for r in df.select(place, size).orderBy(place).limit(n).collect():
+        used += r[size] or 0
+        if used > total:
+            break
+        last = r[place]
+    return df.where(F.col(place) <= last) if last is not None else df.limit(0)
+
+
 def slices(batches, rows: int = 1000):
     """Arrow batches in parts of ``rows`` rows, which bounds what a task holds as
     Python objects (the parts share the batch's memory)."""

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import code_points, held_out, segments, shared, slices, text_blocks, word_char_table
+from .common import code_points, held_out, segments, shared, slices, text_blocks, word_char_table, within
 
 BUCKETS = 1 << 16
 BLOCK = 1 << 19            # characters turned into arrays at a time
@@ -181,24 +181,25 @@ def train(texts: list[str], labels: list[str], dim: int = 16, epochs: int = 4, r
     return LanguageModel(langs, scores, float(min(grid, key=loss)) if len(y) else 1.0, min_confidence)
 
 
-def labelled_sample(docs: DataFrame, per_lang: int, max_rows: int) -> tuple[list[str], list[str]]:
-    """About ``per_lang`` labelled texts a language and at most ``max_rows``, by a
-    hash of the id, from the rows that are not held out."""
-    known = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+def labelled_sample(docs: DataFrame, per_lang: int, max_rows: int, max_chars: int) -> tuple[list[str], list[str]]:
+    """About ``per_lang`` labelled texts a language, at most ``max_rows`` and ``max_chars``
+    characters in all, by a hash of the row, from the rows that are not held out.  Texts
+    of over a hundredth of ``max_chars`` are not learned from."""
+    known = (docs.select("doc_id", "lang", "text", F.monotonically_increasing_id().alias("row"))
+             .where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & (F.length("text") <= max_chars // 100)))
     # written, so that its size is known and the texts are not shuffled for this join
     counts = shared(known.groupBy("lang").agg(F.count("*").alias("rows")).withColumnRenamed("lang", "of_lang"), "langs")
-    order = F.xxhash64(F.lit("sample"), F.col("doc_id"))
-    share = F.pmod(order, F.lit(1 << 20)) / F.lit(float(1 << 20))
-    rows = (known.select("doc_id", "lang", "text", order.alias("place"), share.alias("share"))
-            .join(counts, F.col("lang") == F.col("of_lang"))
-            .where(F.col("share") * F.col("rows") <= per_lang)
-            .orderBy("place", "doc_id", "lang", "text").limit(max_rows).select("lang", "text").collect())
+    place = F.xxhash64(F.lit("sample"), "doc_id", "row")
+    share = F.pmod(place, F.lit(1 << 20)) / F.lit(float(1 << 20))
+    rows = (known.select("lang", "text", F.length("text").alias("size"), place.alias("place"), share.alias("share"))
+            .join(counts, F.col("lang") == F.col("of_lang")).where(F.col("share") * F.col("rows") <= per_lang))
+    rows = within(rows, "place", "size", max_rows, max_chars).orderBy("place").select("lang", "text").collect()
     return [r.text for r in rows], [r.lang for r in rows]
 
 
-def fit(docs: DataFrame, per_lang: int = 600, max_rows: int = 6000, **options) -> LanguageModel:
+def fit(docs: DataFrame, per_lang: int = 600, max_rows: int = 6000, max_chars: int = 64 << 20, **options) -> LanguageModel:
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    return train(*labelled_sample(rows, per_lang, max_rows), **options)
+    return train(*labelled_sample(rows, per_lang, max_rows, max_chars), **options)
 
 
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep: list[str] | None = None,

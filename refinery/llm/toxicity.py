@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SpanHash, code_points, held_out, sampled, segments, shared, slices, text_blocks, word_char_table
+from .common import SpanHash, code_points, held_out, sampled, segments, shared, slices, text_blocks, within, word_char_table
 
 BITS = 18
 CUT = 0.7
@@ -212,18 +212,22 @@ def _shift(z: np.ndarray, y: np.ndarray) -> float:
     return float(np.log(CUT / (1 - CUT)) - cut)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> tuple[list[str], list[int]]:
+def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, max_chars: int) -> tuple[list[str], list[int]]:
+    """At most ``max_rows`` labelled texts of at most ``max_chars`` characters in all, none
+    of over a hundredth of that, from the rows that are not held out."""
     marks = (labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("mark"))
              .select(F.col("doc_id").alias("of_doc"), "mark"))
     chosen = sampled(shared(marks.where(~held_out(F.col("of_doc"))), "marks"), max_rows)
-    rows = (docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null")
+    rows = (docs.select("doc_id", F.col("text").cast("string").alias("text"), F.monotonically_increasing_id().alias("row"))
+            .where(F.length("text") <= max_chars // 100)
             .join(F.broadcast(chosen), F.col("doc_id") == F.col("of_doc"))      # at most max_rows rows
-            .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(max_rows).select("text", "mark").collect())
+            .select("text", "mark", F.length("text").alias("size"), F.xxhash64(F.lit("sample"), "doc_id", "row").alias("place")))
+    rows = within(rows, "place", "size", max_rows, max_chars).orderBy("place").select("text", "mark").collect()
     return [r.text for r in rows], [int(r.mark) for r in rows]
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, **options) -> ToxicityModel:
-    return train(*labelled_sample(docs, labels, max_rows), **options)
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, max_chars: int = 64 << 20, **options) -> ToxicityModel:
+    return train(*labelled_sample(docs, labels, max_rows, max_chars), **options)
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
