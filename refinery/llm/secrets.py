@@ -9,7 +9,7 @@ one of ordinary identifiers.  A run whose log-likelihood ratio per whole run is
 ``min_ratio`` or more is a secret as well, unless it overlaps a rule's match.
 
 The models are transition counts (add-one smoothed) of labelled samples.
-Random: the values the rules matched in the sampled documents, and ``sample`` digests
+Random: the values the rules matched in the sampled documents, and as many digests
 of a counter in hex, base64 and upper-case letters with digits.  Ordinary: the
 words of the sampled documents without a match, alone and each joined to the next as
 names are (``_``, ``-``, a capital letter, all capitals, a number), and dates of a
@@ -79,9 +79,10 @@ def train(docs: DataFrame, sample: int = 2000, id_col: str = "doc_id", text_col:
     """The flat table of log-likelihood ratios of transitions."""
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = shared(sampled(rows, sample), "secret-sample")
+    drawn = rows.count()                # exactly min(sample, rows)
     digest = F.sha2(F.concat(F.lit("random "), F.col("id").cast("string")), 256)
     code = F.regexp_replace(F.base64(F.unhex(digest)), "=", "")
-    made = docs.sparkSession.range(sample).select(F.explode(F.array(
+    made = docs.sparkSession.range(drawn).select(F.explode(F.array(
         digest, code, F.upper(F.substring(F.regexp_replace(code, "[^A-Za-z0-9]", ""), 1, 20)))).alias("run"))
     value = F.array_union(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)),
                           F.array_union(F.regexp_extract_all("text", F.lit(HEX_RUN), F.lit(0)),
@@ -96,7 +97,7 @@ def train(docs: DataFrame, sample: int = 2000, id_col: str = "doc_id", text_col:
     pairs = F.zip_with(F.slice("words", F.lit(1), rest), F.slice("words", F.lit(2), rest),
                        lambda a, b: joined(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))))
     moment = F.timestamp_seconds(F.lit(946_684_800) + F.col("id") * F.lit(433_494))
-    dates = docs.sparkSession.range(sample).select(F.explode(F.array(*[
+    dates = docs.sparkSession.range(drawn).select(F.explode(F.array(*[
         F.date_format(moment, f) for f in ("yyyy-MM-dd'T'HH-mm-ss'Z'", "yyyyMMdd-HHmmss", "yyyy-MM-dd-'v'H")])).alias("run"))
     clean = F.size(F.filter(value, lambda v: F.length(v) >= 16)) == 0
     labelled = (made.select(F.lit("random").alias("label"), "run")

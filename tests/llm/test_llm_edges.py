@@ -79,7 +79,7 @@ def test_phrases_and_vectors_of_awkward_tables(spark, awkward):
     path, _ = awkward
     found = Q.op11_phrase_collocations(spark, path).collect()
     top = {r.phrase: r for r in found if r.lang == "en"}
-    assert top["word word"].a >= 29_999 and all(r.a >= 30 and r.rank <= 2000 for r in found)
+    assert top["word word word word"].a >= 29_997 and all(r.a >= 30 and r.rank <= 2000 for r in found)
     rows = Q.op13_top_k(spark, path).collect()
     assert {r.query_id for r in rows} == {*range(0, 210, 20), 500, 600} and all(r.query_id != r.vec_id for r in rows)
     assert {r.rank for r in rows} == set(range(1, 21)) and len(rows) == 20 * 13
