@@ -11,7 +11,10 @@ session and runs one job from :mod:`refinery.jobs`::
                --output PATH --run-date 2024-01-02 --keep customer_state=SP \\
                --upper customer_city --drop customer_unique_id
     ... validate --raw-table db.raw2_customers --refined-table db.refined_customers \\
-               [--run-date 2024-01-02] --keep ... --upper ... --drop ...
+               [--run-date 2024-01-02] [--content] --keep ... --upper ... --drop ...
+    ... crawl customers=PATH orders=PATH --database db [--prefix raw2_] [--merge]
+    ... refresh db.refined_customers [--new-folders | --ledger PATH]
+    ... drop-old-versions db.refined_customers PATH
     ... daily --run-date 2024-01-02 (--source-table T | --source-path P | --jdbc-url U
                --jdbc-table T) --root PATH --database db --table customers --keep ...
 
@@ -38,6 +41,7 @@ from refinery.functions.columns import (
     DEFAULT_TIERS,
 )
 from refinery.session import get_session
+from refinery.sinks.publish import drop_old_versions
 from refinery.sources.files import read_csv, read_parquet
 from refinery.sources.jdbc import read_jdbc
 
@@ -61,6 +65,13 @@ def _keep(pairs: Sequence[str]) -> dict[str, list[str]]:
     return out
 
 
+def _target(text: str) -> tuple[str, str]:
+    name, _, path = text.partition("=")
+    if not name or not path:
+        raise argparse.ArgumentTypeError(f"not NAME=PATH: {text!r}")
+    return name, path
+
+
 def _properties(path: str | None) -> dict[str, str]:
     """``key=value`` lines (JDBC user, password, driver ...) from a file."""
     if not path:
@@ -136,8 +147,26 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--raw-table", required=True)
     p.add_argument("--refined-table", required=True)
     p.add_argument("--run-date")
+    p.add_argument("--content", action="store_true", help="also compare the values, by digests")
     _refine_args(p)
 
+    p = sub.add_parser("crawl", help="register folders of Parquet files as tables")
+    p.add_argument("target", nargs="+", type=_target, metavar="NAME=PATH")
+    p.add_argument("--database", required=True)
+    p.add_argument("--prefix", default="")
+    p.add_argument("--merge", action="store_true", help="the columns of all folders, not of one")
+
+    p = sub.add_parser("refresh", help="bring a table's partitions in line with its folders")
+    p.add_argument("table")
+    how = p.add_mutually_exclusive_group()
+    how.add_argument("--new-folders", action="store_true", help="only add")
+    how.add_argument("--ledger", help="only what differs from the ledger in this folder")
+
+    p = sub.add_parser("drop-old-versions", help="remove versions of days that a table no longer points at")
+    p.add_argument("table")
+    p.add_argument("path")
+    p.add_argument("--partition-column", default="dt")
+
     p = sub.add_parser("daily", help="extract -> raw -> refine -> register -> validate for one date")
     p.add_argument("--run-date", required=True)
     src = p.add_mutually_exclusive_group(required=True)
@@ -169,7 +198,7 @@ def _source(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
         df = spark.table(a.source_table)
     elif a.source_path:
         df = (read_parquet(spark, a.source_path) if a.source_format == "parquet"
-              else read_csv(spark, a.source_path, schema=a.source_schema))
+              else read_csv(spark, a.source_path, schema=a.source_schema, split=True))
     else:
         if not a.jdbc_table:
             raise SystemExit("--jdbc-url needs --jdbc-table")
@@ -215,20 +244,33 @@ def run(spark: SparkSession, argv: Sequence[str]) -> int:
         if bool(a.raw_table) == bool(a.input):
             raise SystemExit("give exactly one of --raw-table and --input")
         raw = (spark.table(f"{a.database}.{a.raw_table}") if a.raw_table
-               else read_csv(spark, a.input, schema=a.input_schema))
-        jobs.refine_job(_day(raw, a.run_date), a.output, a.run_date, keep=keep,
-                        upper=a.upper, drop=a.drop)
+               else read_csv(spark, a.input, schema=a.input_schema, split=True))
         table = f"{a.database}.{a.refined_table}"
         catalog.create_database(spark, a.database)
+        folder = jobs.refine_job(_day(raw, a.run_date), a.output, a.run_date, keep=keep,
+                                 upper=a.upper, drop=a.drop, table=table)
         if not spark.catalog.tableExists(table):
             catalog.register(spark, table, a.output)
-        catalog.add_partition(spark, table, {"dt": a.run_date})
+            catalog.set_partition(spark, table, {"dt": a.run_date}, folder)
     elif a.command == "validate":
         raw = _day(spark.table(a.raw_table), a.run_date)
         refined = _day(spark.table(a.refined_table), a.run_date)
+        if a.content and "dt" not in raw.columns:       # a raw folder of one day
+            refined = refined.drop("dt")
         verdict = jobs.validate_job(raw, refined, upper=a.upper, allowed=keep,
-                                    absent=a.drop, fail=False)
+                                    absent=a.drop, fail=False, content=a.content)
         return 0 if _print_verdict(verdict) else 1
+    elif a.command == "crawl":
+        catalog.crawl(spark, dict(a.target), a.database, prefix=a.prefix, merge=a.merge)
+    elif a.command == "refresh":
+        if a.ledger:
+            for r in catalog.refresh_by_ledger(spark, a.table, a.ledger).orderBy("folder").toLocalIterator():
+                print(f"{r['change']}  {r['folder']}")
+        else:
+            catalog.refresh(spark, a.table, "new_folders" if a.new_folders else "everything")
+    elif a.command == "drop-old-versions":
+        for folder in drop_old_versions(spark, a.table, a.path, a.partition_column):
+            print(f"removed  {folder}")
     elif a.command == "daily":
         out = jobs.daily_job(spark, a.run_date, _source(spark, a), root=a.root,
                              database=a.database, table=a.table, keep=keep,

@@ -109,3 +109,40 @@ def test_jdbc_arguments_without_a_connection(spark, tmp):
     with pytest.raises(SystemExit):      # a JDBC source needs its table
         run(spark, ["daily", "--run-date", "2024-01-01", "--jdbc-url", "jdbc:postgresql://h/db",
                     "--root", tmp, "--database", "d", "--table", "t"])
+
+
+def test_crawl_refresh_and_versions(spark, tmp, capsys):
+    from refinery.sinks.files import write_partitioned
+    day = lambda ds, n: spark.range(n).withColumn("dt", F.lit(ds).cast("date"))
+    write_partitioned(day("2024-01-01", 3), f"{tmp}/t", ["dt"])
+    write_partitioned(day("2024-01-02", 4).withColumn("note", F.lit("x")), f"{tmp}/t", ["dt"])
+    assert run(spark, ["crawl", f"t={tmp}/t", "--database", "cli_crawl", "--prefix", "raw_", "--merge"]) == 0
+    assert set(spark.table("cli_crawl.raw_t").columns) == {"id", "note", "dt"}
+    ledger = ["refresh", "cli_crawl.raw_t", "--ledger", f"{tmp}/ledger"]
+    run(spark, ledger)
+    write_partitioned(day("2024-01-03", 5), f"{tmp}/t", ["dt"])
+    capsys.readouterr()
+    assert run(spark, ledger) == 0 and capsys.readouterr().out == "added  dt=2024-01-03\n"
+    assert spark.table("cli_crawl.raw_t").count() == 12
+    write_partitioned(day("2024-01-04", 1), f"{tmp}/t", ["dt"])
+    run(spark, ["refresh", "cli_crawl.raw_t", "--new-folders"])
+    assert spark.table("cli_crawl.raw_t").count() == 13
+    with pytest.raises(SystemExit):
+        run(spark, ["crawl", "no-path", "--database", "d"])
+
+
+def test_refine_publishes_through_the_table(spark, tmp, capsys):
+    raw = raw_customers(spark).where(F.col("customer_city").isNotNull())
+    raw.createOrReplaceTempView("cli_raw_versions")
+    schema = ", ".join(f"{n} {t}" for n, t in raw.dtypes)
+    table = ["--raw-table", "cli_raw_versions", "--refined-table", "cli_ver.refined_customers", "--run-date", "2024-05-01"]
+    for i, rows in enumerate((raw, raw.where("customer_state = 'RJ'"), raw)):
+        write_csv(rows, f"{tmp}/raw_day{i}", header=True)
+        assert run(spark, ["refine", "--database", "cli_ver", "--input", f"{tmp}/raw_day{i}", "--input-schema", schema,
+                           "--refined-table", "refined_customers", "--output", f"{tmp}/refined", "--run-date", "2024-05-01",
+                           *REFINE_ARGS]) == 0
+        assert spark.table("cli_ver.refined_customers").count() == (0 if i == 1 else 6)
+        assert run(spark, ["validate", "--content", *table, *REFINE_ARGS]) == (1 if i == 1 else 0)
+    capsys.readouterr()
+    assert run(spark, ["drop-old-versions", "cli_ver.refined_customers", f"{tmp}/refined"]) == 0
+    assert capsys.readouterr().out.count("removed") == 2 and spark.table("cli_ver.refined_customers").count() == 6
