@@ -112,6 +112,31 @@ class ToxicityModel:
         doc, _, _, z = self.sentence_logits(texts)
         return np.bincount(doc, weights=_softplus(z), minlength=len(texts))
 
+    def long_sentences(self, text: str) -> Iterator[tuple[int, int, float]]:
+        """(first character, the one past its end, logit) of the sentences of a long text,
+        read in parts: a sentence that goes on over a cut is one sentence."""
+        open_ = None
+        for at, part in _parts(text):
+            _, place, stop, z = self.sentence_logits([part])
+            start, end = (at + original_places(part, place)).tolist(), (at + original_places(part, stop - 1) + 1).tolist()
+            found = list(zip(start, end, z.tolist()))
+            marks = [i for i in (part.find(m) for m in _MARKS) if i >= 0]
+            if open_ is not None:
+                if found and (not marks or found[0][0] - at < min(marks)):
+                    found[0] = (open_[0], found[0][1], open_[2] + found[0][2] - self.bias)
+                elif marks:
+                    found.insert(0, open_)
+                else:
+                    found = [open_]
+            open_ = None
+            if found and found[-1][0] - at > max((part.rfind(m) for m in _MARKS), default=-1):
+                open_ = found.pop()
+            elif found and not marks:
+                open_ = found.pop()
+            yield from found
+        if open_ is not None:
+            yield open_
+
     def score(self, texts: list[str | None]) -> np.ndarray:
         s = np.zeros(len(texts))
         if self.weights is None:
@@ -119,7 +144,7 @@ class ToxicityModel:
         texts = [t or "" for t in texts]
         for a, b in text_blocks(texts, BLOCK):
             if b - a == 1 and len(texts[a]) > 2 * BLOCK:
-                s[a] = sum(self._strength([part])[0] for _, part in _parts(texts[a]))
+                s[a] = sum(float(_softplus(np.float64(z))) for _, _, z in self.long_sentences(texts[a]))
             else:
                 s[a:b] = self._strength(texts[a:b])
         return self.calibrated(s)
@@ -136,20 +161,18 @@ class ToxicityModel:
         """``locate`` of a text whose score is at or over ``cut``."""
         if self.weights is None or not text:
             return []
-        found, top = [], None
-        for at, part in _parts(text) if len(text) > 2 * BLOCK else [(0, text)]:
-            _, place, stop, z = self.sentence_logits([part])
-            if not len(z):
-                continue
-            p = self.calibrated(_softplus(z))
-            over, best = np.flatnonzero(p >= cut), int(z.argmax())
-            chosen = np.r_[over, best]
-            start, end = at + original_places(part, place[chosen]), at + original_places(part, stop[chosen] - 1) + 1
-            spans = list(zip(start.tolist(), end.tolist(), p[chosen].tolist()))
-            found += spans[:-1]
-            if top is None or z[best] > top[0]:
-                top = z[best], spans[-1]
-        return found or [top[1]] if top else []
+        if len(text) > 2 * BLOCK:
+            found = list(self.long_sentences(text))
+            start, end, z = (np.array([x[k] for x in found]) for k in range(3))
+        else:
+            _, place, stop, z = self.sentence_logits([text])
+            start, end = original_places(text, place), original_places(text, stop - 1) + 1
+        if not len(z):
+            return []
+        p = self.calibrated(_softplus(z))
+        over = np.flatnonzero(p >= cut)
+        chosen = over if len(over) else [int(z.argmax())]
+        return [(int(start[i]), int(end[i]), float(p[i])) for i in chosen]
 
 
 def _logit(s: np.ndarray) -> np.ndarray:

@@ -157,3 +157,22 @@ def test_toxicity_scores_match_plain_loops(spark):
         s = _plain_sentences(model, texts[r.doc_id])
         want = 0.0 if s <= 0 else 1 / (1 + math.exp(-(s + math.log(-math.expm1(-s)) + model.shift))) if s > 1e-12 else 0.0
         assert abs(r.score - want) < 1e-6
+
+
+@pytest.mark.parametrize("block", [16, 40, 1000])
+def test_a_sentence_over_a_cut_is_one(monkeypatch, block):
+    rng = np.random.default_rng(4)
+    model = toxicity.ToxicityModel(rng.normal(0, 0.4, 1 << toxicity.BITS), -1.0, 0.3)
+    words = "the damn river \u0130stanbul x \u00c9t\u00e9 longerword 12".split()
+    picks = random.Random(3)
+    text = " ".join(picks.choice(words) + picks.choice([""] * 9 + [".", "!", "\n", " ."]) for _ in range(300))
+    whole = model._strength([text])[0]
+    spans = model._offending(text, 0.5)
+    assert spans and 0 < whole
+    monkeypatch.setattr(toxicity, "BLOCK", block)
+    if len(text) > 2 * block:
+        assert abs(sum(np.logaddexp(0, z) for _, _, z in model.long_sentences(text)) - whole) < 1e-6
+    assert abs(model.score([text])[0] - model.calibrated(np.array([whole]))[0]) < 1e-9
+    cut = model._offending(text, 0.5)
+    assert [x[:2] for x in cut] == [x[:2] for x in spans] and np.allclose([x[2] for x in cut], [x[2] for x in spans])
+    assert model._offending(" . \n" * block, 0.5) == [] and model.score([" . \n" * block])[0] == 0
