@@ -116,6 +116,7 @@ def tagged(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     own = [F.col(f"`{c}`") for c in docs.columns]
     many = (docs.groupBy(F.col(f"`{id_col}`").alias("__mix_id")).agg(F.count(F.lit(1)).alias("__mix_n"))
             .where("__mix_n > 1 and __mix_id is not null"))
+    many = shared(many, "mix-repeated")     # written, so that texts aren't shuffled while it is small
     found = docs.join(many, F.col(f"`{id_col}`") == F.col("__mix_id"), "left")
     again = F.col("__mix_id").isNotNull() | F.col(f"`{id_col}`").isNull()
     return shared(found.select(*own, F.when(again, F.monotonically_increasing_id()).alias(TAG)), "mix-tagged")
