@@ -81,7 +81,11 @@ def heavy_hitters(df: DataFrame, keys: Sequence[str], k: int = 10, *, capacity:
         error = merged.where("h is null").agg(F.sum("n")).first()[0] or 0
         least = (first["l"] or 0) if first["k"] == k else 0
         if error < least or error == 0:
-            asked = merged.where(F.col("h").isNotNull() & (F.col("n") + error >= least)).select("h")
+            # written, so that its size is known: a few candidates are broadcast and no row is
+            # shuffled, many are joined by a shuffle
+            chosen = scratch_path(spark, "candidates")
+            merged.where(F.col("h").isNotNull() & (F.col("n") + error >= least)).select("h").coalesce(1).write.parquet(chosen)
+            asked = spark.read.schema("h long").parquet(chosen)
             return top_k(df.withColumn("__h", h).join(asked, F.col("__h") == F.col("h"), "left_semi"),
                          keys, k, count_name=count_name)
         capacity *= 8

@@ -92,4 +92,4 @@ def test_only_summaries_and_candidates_are_shuffled(spark):
     found = hh.heavy_hitters(df, ["x"], 3, capacity=64)
     assert {r.x for r in found.collect()} == {0, 3, 6}
     plan = found._jdf.queryExecution().toString()
-    assert "LeftSemi" in plan
+    assert "LeftSemi" in plan and "BroadcastHashJoin" in plan
