@@ -52,9 +52,9 @@ class Counts(NamedTuple):
         return sum(len(level.symbol) for level in self.levels)
 
 
-def _grouped(key: np.ndarray, stable: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _grouped(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct keys, the order that sorts, where each key starts in it."""
-    order = np.argsort(key, kind="stable" if stable else None)
+    order = np.argsort(key)
     key = key[order]
     starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
     return key[starts], order, starts
@@ -71,18 +71,22 @@ def count(langs: list[str], words: list[bytes], lang: np.ndarray, token: np.ndar
     -1 where a piece ends, ``lang`` the language of each token."""
     width, words = max(len(words), 1), pa.array(words, pa.binary())
     at = np.flatnonzero(token[:until] >= 0)
-    seen, inverse, weight = np.unique(lang[at], return_inverse=True, return_counts=True)
-    levels = [Level(seen.astype(np.int64), weight, np.zeros(len(seen), np.int64))]
-    node = inverse.astype(np.int64)
-    for k in range(MAX_WORDS):
-        there = at + k < len(token)
-        at, node = at[there], node[there]
-        word = token[at + k]
-        inside = word >= 0
-        at, node = at[inside], node[inside]
-        key, inverse, weight = np.unique(node * width + word[inside], return_inverse=True, return_counts=True)
-        levels.append(Level(key % width, weight, key // width))
-        node = inverse
+    node = np.zeros(len(at), np.int64)
+    levels = []
+    for k in range(MAX_WORDS + 1):
+        if k:
+            there = at + k - 1 < len(token)
+            at, node = at[there], node[there]
+            symbol = token[at + k - 1]
+            inside = symbol >= 0
+            at, key = at[inside], node[inside] * width + symbol[inside]
+        else:
+            key = lang[at].astype(np.int64)
+        key, order, starts = _grouped(key)
+        weight = np.diff(np.r_[starts, len(order)])
+        levels.append(Level(key % width, weight, key // width) if k else Level(key, weight, np.zeros(len(key), np.int64)))
+        node = np.empty(len(order), np.int64)
+        node[order] = np.repeat(np.arange(len(starts)), weight)
     return Counts(langs, words, levels)
 
 
@@ -223,7 +227,7 @@ def _register(states: int, level: Level, target: np.ndarray) -> tuple[np.ndarray
         h = mix(mix(mix(target.astype(np.uint64)) + level.weight.astype(np.uint64)) + level.symbol.astype(np.uint64))
         signature[full] += np.add.reduceat(h, start[full])
     # the first of the states of one signature stands for all
-    _, order, groups = _grouped(signature, stable=False)
+    _, order, groups = _grouped(signature)
     model = np.empty(states, np.int64)
     model[order] = np.repeat(np.minimum.reduceat(order, groups) if states else order, np.diff(np.r_[groups, states]))
     # equal signatures are compared arc by arc, so the register is exact

@@ -24,7 +24,9 @@ as often as they are there; an empty table gives no row.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,7 @@ STEP = 1 << 20
 RANGE_CHARS = 8 << 20
 #: n-grams that are held before they are united
 HELD = 1 << 20
+PARTS = 64
 # A-Z go to lower case with bytes.lower; blanks split words, the other marks split pieces.
 _MARKS = bytes.maketrans(b"\t.,;:!?\n\x0b\x0c\r", b" " + b"\n" * 10)
 
@@ -175,12 +178,24 @@ def _text(words: list[bytes]) -> str:
     return b" ".join(words).decode("utf-8", "surrogatepass")
 
 
+_ALL = (1 << 64) - 1
+
+
+@lru_cache(maxsize=1 << 16)
+def _next_hash(before: int, word: bytes) -> int:
+    """``automata.prefix_hash`` of one prefix, in plain numbers."""
+    x = (before * int(automata._ODD) + zlib.crc32(word)) & _ALL
+    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & _ALL
+    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & _ALL
+    return x ^ (x >> 31)
+
+
 def _place(lang: str, words: list[bytes], ranges: int) -> int:
     """The prefix range of one n-gram, as ``automata.prefix_ranges`` has it."""
-    h = automata.prefix_hash(np.zeros(1, np.uint64), automata.word_hashes([lang.encode()]))
+    h = _next_hash(0, lang.encode())
     for word in words[:MAX_WORDS - 1]:
-        h = automata.prefix_hash(h, automata.word_hashes([word]))
-    return int(h[0] % np.uint64(ranges))
+        h = _next_hash(h, word)
+    return h % ranges
 
 
 def _range_rows(place: int, counts: Counts, ranges: int, least: int) -> Iterator[dict]:
@@ -296,8 +311,12 @@ def collocations(docs: DataFrame, *, least: int = 30, factor: int = 2_000_000, l
                .groupBy("lang", "phrase").agg(F.max("holder").alias("holder")))
     held = F.coalesce(wide("holder") * 100 >= wide("a") * longer, F.lit(False))
     kept = scored.join(holders, ["lang", "phrase"], "left").where(~held)
-    best = Window.partitionBy("lang").orderBy(F.desc("low.score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    order = [F.desc("low.score"), F.desc("a"), F.col("phrase")]
+    # first within PARTS parts of a language, so that one task ranks at most PARTS * top rows of it
+    part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))
+    first = kept.withColumn("part", part).withColumn(
+        "rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= top)
+    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     totals = rows.where(F.col("kind") == TOTAL).groupBy("lang").agg(F.sum("a").alias("n"))
     return ranked.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "low.l", "low.r", "n", "low.score")
