@@ -34,6 +34,24 @@ def _number(column: Column, kind: T.DataType) -> Column:
     return column.cast("double")
 
 
+def _longs(values: Sequence[int]) -> Column:
+    return F.array(*[F.lit(v).cast("long") for v in values])
+
+
+def _rank(number: Column, quantiles: Sequence[float], bits: int) -> Column:
+    """How many of the 2**bits - 1 quantiles are below ``number``, by binary search (NULL: none)."""
+    # in Spark's order, NaN last; equal quantiles stay, so a column of few values uses all its bits as well
+    edges = F.array(*[F.lit(float(x)) for x in sorted(quantiles, key=lambda x: (x != x, x))])
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(bits))])
+
+    def search(x: Column) -> Column:
+        return F.aggregate(steps, F.lit(0), lambda found, step: found + F.when(
+            F.element_at(edges, found + step) < x, step).otherwise(0))
+
+    # as an array's element the number is worked out once, not at every step
+    return F.element_at(F.transform(F.array(number), search), 1)
+
+
 def z_number(df: DataFrame, columns: Sequence[str], bits: int = 8) -> Column:
     """The Z-number of ``columns``; quantiles are taken over all rows in one aggregation
     of sketches.  NULL ranks first."""
@@ -43,17 +61,12 @@ def z_number(df: DataFrame, columns: Sequence[str], bits: int = 8) -> Column:
     shares = [i / (1 << bits) for i in range(1, 1 << bits)]
     bounds = df.agg(*[F.percentile_approx(n, shares, 10 << bits).alias(f"q{i}") for i, n in enumerate(numbers)]).first()
 
-    def rank(number: Column, quantiles: list[float] | None) -> Column:
-        # equal quantiles stay: a column of few values then uses all its bits as well
-        edges = F.array(*[F.lit(float(x)) for x in sorted(quantiles or [])]).cast("array<double>")
-        return F.coalesce(F.size(F.filter(edges, lambda e: e < number)), F.lit(0))
-
-    ranks = [rank(n, bounds[f"q{i}"]) for i, n in enumerate(numbers)]
     z = F.lit(0).cast("long")
-    for bit in range(bits):
-        for j, rank in enumerate(ranks):
-            one = F.shiftright(rank, bit).bitwiseAND(F.lit(1)).cast("long")
-            z = z.bitwiseOR(F.shiftleft(one, bit * len(ranks) + j))
+    for j, number in enumerate(numbers):
+        if bounds[f"q{j}"] is not None:         # null: no value at all
+            # each column is searched once a row: its rank's bits are looked up in their places
+            spread = [sum((r >> bit & 1) << bit * len(numbers) + j for bit in range(bits)) for r in range(1 << bits)]
+            z = z.bitwiseOR(F.element_at(_longs(spread), _rank(number, bounds[f"q{j}"], bits) + 1))
     return z
 
 

@@ -58,6 +58,18 @@ def test_z_numbers_interleave_ranks(spark):
         z_number(df, ["a", "b"], bits=40)
 
 
+def test_each_column_is_ranked_once_a_row(spark):
+    df = spark.range(3000).selectExpr("int(xxhash64(id) % 500) as a", "if(id % 7 = 0, null, if(id % 11 = 0, double('NaN'), id % 13)) as b")
+    shares = [i / 256 for i in range(1, 256)]
+    edges = df.agg(*[F.percentile_approx(F.col(c).cast("double"), shares, 2560).alias(c) for c in "ab"]).first()
+    got = df.withColumn("z", z_number(df, ["a", "b"]))
+    order = lambda x: (x != x, x)           # NaN is the greatest
+    for r in got.collect():
+        ranks = [0 if x is None else sum(order(e) < order(float(x)) for e in edges[c]) for c, x in (("a", r.a), ("b", r.b))]
+        assert r.z == sum((rank >> i & 1) << 2 * i + j for i in range(8) for j, rank in enumerate(ranks))
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("cast(a#") == 1
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 30), max_size=60), max_size=6), st.integers(1, 12))
 def test_summaries_bound_every_count(parts, capacity):
