@@ -8,6 +8,7 @@ the written data back.  Nothing is kept between queries: each builds its inputs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,7 +45,7 @@ from refinery.sinks.audit import read_audit
 from refinery.sinks.clustered import write_clustered
 from refinery.sinks.files import land_raw, replace_day, write_csv, write_partitioned
 from refinery.sinks.publish import remove
-from refinery.sources.files import inventory_by_folder, read_csv, read_parquet, read_partition
+from refinery.sources.files import file_inventory, inventory_by_folder, read_csv, read_parquet, read_partition
 from refinery.sources.slices import Slice, extract_sliced, read_sliced
 from refinery.streaming.new_folders import refine_new_landings
 
@@ -55,6 +56,7 @@ STATE = "LARGE"                 # kept state (p_type stands in for customer_stat
 RUN_DATES = ("2024-01-01", "2024-01-02")
 WIDE_DATES = (*RUN_DATES, "2024-01-03")
 FILTER_SQL = "o_orderstatus = 'F' AND o_totalprice > 200000"
+CSV_TASK_BYTES = 192 << 20      # of the table, written by one task: some splits of its CSV file
 TEXT_TABLES = ("documents", "events", "conversations")     # landed besides the clean tables
 REFINE_TEXT = dict(keep={"lang": ["en", "fr"]}, upper=["source"], drop=["n_chars"])
 REFINE = dict(keep={"customer_state": [STATE]}, upper=["customer_city"],
@@ -225,10 +227,12 @@ def partition_csv_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents in one CSV file, read by as many tasks as it has splits: texts hold line
-    breaks, so most splits begin inside quotes."""
+    """Documents in few CSV files (one up to ``CSV_TASK_BYTES`` of input), each read by as
+    many tasks as it has splits: texts hold line breaks, so most splits begin inside quotes."""
     docs = standins.table(spark, sf_dir, "documents")
-    path = write_csv(docs.coalesce(1), scratch_path(spark, "one_csv"), header=True, quote_all=True)
+    size = file_inventory(spark, f"{sf_dir.rstrip('/')}/documents.parquet").agg(F.sum("length")).first()[0]
+    few = docs.coalesce(max(1, math.ceil(size / CSV_TASK_BYTES)))
+    path = write_csv(few, scratch_path(spark, "few_csv"), header=True, quote_all=True)
     return read_csv(spark, path, schema=docs.schema, own=True, split=True, enforceSchema=False)
 
 

@@ -5,11 +5,12 @@ import random
 
 import pytest
 
+from refinery import queries
 from refinery.csv_format import reader_options
 from refinery.jobs import segmentation_job
 from refinery.sinks.files import write_csv
 from refinery.sources.csv_split import read_split_csv, records
-from refinery.sources.files import read_csv
+from refinery.sources.files import file_inventory, read_csv
 
 SF = "/root/testdata/sf0.01"
 
@@ -43,6 +44,19 @@ def test_one_file_of_texts_is_read_by_many_tasks(spark, tmp, small_splits):
     assert _rows(split) == _rows(docs)
 
 
+def test_query_writes_a_large_table_by_several_tasks(spark, tmp, small_splits, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs.repartition(8).write.parquet(f"{tmp}/documents.parquet")
+    size = sum(r.length for r in file_inventory(spark, f"{tmp}/documents.parquet").collect())
+    small_splits("200k")
+    for files in (1, 4):
+        monkeypatch.setattr(queries, "CSV_TASK_BYTES", size // files + 1, raising=False)
+        got = queries.csv_split_scan(spark, tmp)
+        written = [f for f in got.inputFiles() if f.endswith(".csv")]
+        assert len(written) == files and got.rdd.getNumPartitions() >= 13
+        assert _rows(got) == _rows(docs)
+
+
 @pytest.mark.parametrize("size", ["25", "300"])
 def test_random_values_over_tiny_splits(spark, tmp, small_splits, size):
     rng = random.Random(int(size))
