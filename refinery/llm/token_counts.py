@@ -10,8 +10,11 @@ this for a vocabulary before it is used.
 * Pre-tokens that are frequent in a bounded sample of the documents (``sample``
   documents, at most ``known`` pre-tokens; both affect speed only) are counted
   once each and sent to all tasks: that table's size is bounded by ``known``.
-* All others, however many, go the distributed way: distinct pre-tokens are
-  counted once each, joined to the (row, pre-token, frequency) rows and summed.
+* All others, however many, go the distributed way: the (row, pre-token,
+  frequency) rows are dealt by pre-token and sorted, so that equal ones lie
+  together and are counted once, whatever the number of rows that have them; each
+  row gets its pre-token's count, and the products are summed by row.  That is one
+  shuffle of the pre-tokens: no table of the distinct ones is made beside them.
 
 Edge cases: null and empty texts have 0 bytes and 0 tokens; special strings
 inside texts are ordinary text, as the library has it by default; repeated rows
@@ -24,6 +27,7 @@ import re
 from collections import Counter
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark import TaskContext
@@ -74,6 +78,18 @@ def _with_counts(pieces: DataFrame, path: str) -> DataFrame:
     return pieces.mapInArrow(run, "pre string, pieces long")
 
 
+def _times_pieces(rest: DataFrame, path: str) -> DataFrame:
+    """(row, more) of sorted (row, pre, n): frequency times pieces, each pre-token of a batch counted once."""
+    def run(batches):
+        for batch in batches:
+            pre = batch.column(1).dictionary_encode()
+            pieces = np.array(count_pieces(path, pre.dictionary.to_pylist()), np.int64)
+            more = batch.column(2).to_numpy() * pieces[pre.indices.to_numpy()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(more)], names=["row", "more"])
+
+    return rest.mapInArrow(run, "row long, more long")
+
+
 def _frequencies(batches):
     for batch in batches:
         seen: Counter[str] = Counter()
@@ -132,8 +148,9 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     counted = shared(rows.mapInArrow(run, f"row long, doc_id {id_type}, n_bytes long, known long, "
                                           "rest array<struct<pre: string, n: long>>"), "pre-tokens")
     rest = counted.select("row", F.explode("rest").alias("x")).select("row", "x.pre", "x.n")
-    pieces = shared(_with_counts(rest.select("pre").distinct(), path), "piece-counts")
-    sums = (rest.join(pieces.withColumnRenamed("pre", "of_pre"), F.col("pre") == F.col("of_pre"))
-            .groupBy("row").agg(F.sum(F.col("n") * F.col("pieces")).alias("more")).withColumnRenamed("row", "of_row"))
+    # REBALANCE: a pre-token too frequent for one task is split over several
+    dealt = rest.hint("rebalance", "pre").sortWithinPartitions("pre")
+    sums = (_times_pieces(dealt, path).groupBy("row").agg(F.sum("more").alias("more"))
+            .withColumnRenamed("row", "of_row"))
     return (counted.join(sums, F.col("row") == F.col("of_row"), "left")
             .select("doc_id", "n_bytes", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_tokens")))

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import public_tokenizers as P
@@ -12,6 +13,7 @@ from hypothesis import strategies as st
 
 from refinery.llm import bpe, token_counts
 from refinery.llm import queries as Q
+from refinery.plans.inspect import explain_text
 
 SF = "/root/testdata/sf0.01"
 PIECES = P.path("piece_bpe_32k.model")
@@ -93,3 +95,24 @@ def test_piece_query_whatever_is_frequent(spark):
     for known in (1, 1_000_000):
         got = token_counts.token_counts(docs, PIECES, sample=1000, known=known).collect()
         assert {r.doc_id: (r.n_bytes, r.n_tokens) for r in got} == want
+
+
+def test_rare_pre_tokens_are_shuffled_once(spark):
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    rng = random.Random(4)
+    hot = "q" * 90                          # too long for the table of frequent ones
+    texts = [None, "", hot] + [" ".join([hot] * rng.randint(0, 3) + ["".join(rng.choice("aeiorst\né") for _ in range(rng.randint(1, 12)))
+                                                                    for _ in range(rng.randint(0, 9))]) for _ in range(150)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "7")                # equal pre-tokens lie in several batches
+    try:
+        found = token_counts.token_counts(docs, PIECES, known=1)
+        got = {r.doc_id: (r.n_bytes, r.n_tokens) for r in found.collect()}
+    finally:
+        spark.conf.set(key, before)
+    assert got == {i: (len((t or "").encode()), len(sp.encode(t or ""))) for i, t in enumerate(texts)}
+    # no second pass over them for the distinct ones, and no join with these
+    plan = explain_text(found, "simple").split("Initial Plan")[0]
+    assert plan.count("REBALANCE_PARTITIONS_BY_COL") == 1 and len(re.findall(r"Join (\[|Left|Inner)", plan)) == 1
